@@ -24,56 +24,40 @@ DATE_FORMATS = ("%Y-%m-%d", "%m/%d/%Y")
 END_OF_DAY = "23:59:59"
 # ---------------------------------------------------------------------------
 
-# Digit rules of strptime's directives (%Y four digits, year 0 does not exist).
-_FIELD = {
-    "Y": r"(?!0000)[0-9]{4}",
-    "m": r"1[0-2]|0[1-9]|[1-9]",
-    "d": r"3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9]",
-    "H": r"2[0-3]|[0-1][0-9]|[0-9]",
-    "M": r"[0-5][0-9]|[0-9]",
-    "S": r"6[0-1]|[0-5][0-9]|[0-9]",
-}
-
-
-def _format_regex(fmt: str) -> tuple[str, list[str]]:
-    """strptime format -> anchored Java regex with one group per field."""
-    out, order, i = ["(?U)^"], [], 0
-    while i < len(fmt):
-        ch = fmt[i]
-        if ch == "%":
-            key = fmt[i + 1]
-            out.append("(" + _FIELD[key] + ")")
-            order.append(key)
-            i += 2
-        elif ch == " ":
-            out.append(WS + "+")
-            i += 1
-        else:
-            out.append("\\" + ch if ch in "/-:." else ch)
-            i += 1
-    out.append("$")
-    return "".join(out), order
-
-
-def _parse_with(s: Column, fmt: str) -> Column:
-    rx, order = _format_regex(fmt)
-
-    def grp(key: str, default: int = 0) -> Column:
-        if key not in order:
-            return F.lit(default)
-        return F.trim(F.regexp_extract(s, rx, order.index(key) + 1)).cast("int")
-
-    ts = F.try_make_timestamp_ntz(grp("Y"), grp("m"), grp("d"), grp("H"), grp("M"), grp("S"))
-    return F.when(s.rlike(rx), ts)
-
-
-def _prepare(col) -> Column:
-    """strip; drop a leading 'UTC ' (any case) and strip again; drop one
-    trailing 'Z'; every 'T' becomes a blank."""
+# Digit rules of strptime's directives (%Y four digits, year 0 does not
+# exist; a day may be written as blank + digit). A 'T' counts as a blank,
+# since every T is turned into one before the formats are tried.
+_Y = r"((?!0000)[0-9]{4})"
+_MON = r"(1[0-2]|0[1-9]|[1-9])"
+_DAY = r"(3[01]|[12][0-9]|0[1-9]|[1-9]|[ T][1-9])"
+_HOUR = r"(2[0-3]|[0-1][0-9]|[0-9])"
+_MIN = r"([0-5][0-9]|[0-9])"
+_SEC = r"(6[0-1]|[0-5][0-9]|[0-9])"
+_SEP = r"[T\s\x1c-\x1f]+"
+
+# One anchored pattern for all six formats on the stripped text: optional
+# 'UTC ' prefix (any case) and blanks, a year-first or month-first date,
+# optionally a separator run and H:M[:S], optionally one final 'Z'.
+# Groups: 1-3 Y m d | 4-6 m d Y | 7-9 H M S.
+_BOUND_RX = (
+    "(?U)^(?:(?i:UTC )" + r"[\s\x1c-\x1f]*" + ")?"
+    + "(?:" + _Y + "-" + _MON + "-" + _DAY + "|" + _MON + "/" + _DAY + "/" + _Y + ")"
+    + "(?:" + _SEP + _HOUR + ":" + _MIN + "(?::" + _SEC + ")?)?Z?$"
+)
+
+
+def _parts(col) -> tuple[Column, Column]:
+    """(timestamp, has_time) of a bound cell; NULL timestamp when unreadable."""
     s = strip_ws(col)
-    s = F.when(F.upper(F.substring(s, 1, 4)) == F.lit("UTC "), strip_ws(F.substring(s, 5, 2147483647))).otherwise(s)
-    s = F.regexp_replace(s, r"Z\z", "")
-    return F.translate(s, "T", " ")
+
+    def g(i: int) -> Column:
+        return F.translate(F.regexp_extract(s, _BOUND_RX, i), "T ", "")
+
+    def num(*idx: int) -> Column:
+        return F.coalesce(*[F.nullif(g(i), F.lit("")).try_cast("int") for i in idx], F.lit(0))
+
+    ts = F.try_make_timestamp_ntz(num(1, 6), num(2, 4), num(3, 5), num(7), num(8), num(9))
+    return F.when(s.rlike(_BOUND_RX), ts), g(7) != F.lit("")
 
 
 def parse_bound(col, is_end: bool = False) -> Column:
@@ -81,12 +65,13 @@ def parse_bound(col, is_end: bool = False) -> Column:
 
     Date-only spellings give 00:00:00, or 23:59:59 when ``is_end``.
     """
-    s = _prepare(col)
-    full = F.coalesce(*[_parse_with(s, f) for f in DATETIME_FORMATS])
-    day = F.coalesce(*[_parse_with(s, f) for f in DATE_FORMATS])
+    ts, has_time = _parts(col)
     if is_end:
-        day = day + F.expr("INTERVAL '" + END_OF_DAY + "' HOUR TO SECOND")
-    return F.when(is_missing(col), F.lit(None).cast("timestamp_ntz")).otherwise(F.coalesce(full, day))
+        shift = F.when(has_time, F.expr("INTERVAL '0' SECOND")).otherwise(
+            F.expr("INTERVAL '" + END_OF_DAY + "' HOUR TO SECOND")
+        )
+        ts = ts + shift
+    return F.when(is_missing(col), F.lit(None).cast("timestamp_ntz")).otherwise(ts)
 
 
 def bound_unreadable(col) -> Column:
