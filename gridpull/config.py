@@ -94,7 +94,7 @@ class ExtractConfig:
     on_bad_bound: str = "open"
     pushdown_max_sets: int = 50
     broadcast_max_sets: int = 200_000
-    broadcast_max_ids: int = 10_000
+    broadcast_max_ids: int = 1_000
     max_cols: int = 256
     omit_bound_headers: bool = True
     single_file_max_rows: int = 5_000_000

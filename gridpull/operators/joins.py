@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from ..config import ExtractConfig
 from ..functions.dates import day_start
-from .sizing import broadcast_if_small, count_at_most, take_at_most
+from .sizing import broadcast_if_small, count_at_most, materialize, take_at_most
 
 _FAR_FUTURE = "9999-12-31 23:59:59.999999"
 
@@ -173,7 +173,9 @@ def param_match(
         if strategy == "literal":
             raise ValueError("more sets than pushdown_max_sets for the literal strategy")
 
-    merged = merge_ranges(sets.select(*by, "_pid", "_ps", "_pe"), [*by, "_pid"])
+    # The merged sets are read by the size check, the envelope and the join:
+    # materialise them once instead of recomputing their lineage each time.
+    merged = materialize(merge_ranges(sets.select(*by, "_pid", "_ps", "_pe"), [*by, "_pid"]))
     if strategy in ("auto", "broadcast"):
         side, small = broadcast_if_small(merged, cfg.broadcast_max_sets)
         if strategy == "broadcast" and not small:

@@ -28,31 +28,39 @@ def marker_scan(cells: DataFrame, labels: Labels = Labels()) -> DataFrame:
     return cells.where(norm_label("v").isin(anchors)).select("sheet", "c").distinct()
 
 
-def find_markers(cells: DataFrame, labels: Labels = Labels()) -> DataFrame:
-    """(sheet, role, r, c): first hit of each label in the candidate columns."""
+def marker_table(cells: DataFrame, labels: Labels = Labels()) -> DataFrame:
+    """One row per sheet: header_r, header_c, start_r, start_c, end_r, end_c,
+    id_r, id_c – the first cell (row-major) of each label inside the
+    candidate label columns; NULL when a label is absent.
+
+    Only cells whose normalised text is a label take part; they are folded
+    per (sheet, column) and then per sheet, two partial aggregates with no
+    join, so the cost does not depend on how large a sheet is beyond one
+    scan of its cells.
+    """
     keys = {role: norm_label_py(text) for role, text in labels.as_dict().items()}
+    anchors = sorted({norm_label_py(a) for a in labels.anchors})
     n = norm_label("v")
-    role = F.lit(None).cast("string")
-    for name in reversed(ROLES):
-        role = F.when(n == F.lit(keys[name]), F.lit(name)).otherwise(role)
-    candidates = marker_scan(cells, labels)
-    return (
-        cells.join(candidates, ["sheet", "c"], "left_semi")
-        .select("sheet", "r", "c", role.alias("role"))
-        .where(F.col("role").isNotNull())
-        .groupBy("sheet", "role")
-        .agg(F.min(F.struct("r", "c")).alias("rc"))
-        .select("sheet", "role", F.col("rc.r").alias("r"), F.col("rc.c").alias("c"))
+    hits = cells.select("sheet", "r", "c", n.alias("n")).where(F.col("n").isin(sorted(set(keys.values()) | set(anchors))))
+    rc = F.struct("r", "c")
+    per_col = hits.groupBy("sheet", "c").agg(
+        F.max(F.col("n").isin(anchors)).alias("_anchor"),
+        *[F.min(F.when(F.col("n") == keys[role], rc)).alias(role) for role in ROLES],
     )
+    per_sheet = per_col.where(F.col("_anchor")).groupBy("sheet").agg(*[F.min(role).alias(role) for role in ROLES])
+    cols = []
+    for role in ROLES:
+        cols += [F.col(f"{role}.r").alias(f"{role}_r"), F.col(f"{role}.c").alias(f"{role}_c")]
+    return per_sheet.select("sheet", *cols)
 
 
-def marker_table(markers: DataFrame) -> DataFrame:
-    """One row per sheet: header_r, header_c, start_r, start_c, end_r, end_c, id_r, id_c."""
-    aggs = []
-    for role in ROLES:
-        aggs.append(F.max(F.when(F.col("role") == role, F.col("r"))).alias(f"{role}_r"))
-        aggs.append(F.max(F.when(F.col("role") == role, F.col("c"))).alias(f"{role}_c"))
-    return markers.groupBy("sheet").agg(*aggs)
+def find_markers(cells: DataFrame, labels: Labels = Labels()) -> DataFrame:
+    """(sheet, role, r, c): first hit of each label in the candidate columns."""
+    mk = marker_table(cells, labels)
+    stacked = F.explode(
+        F.array(*[F.struct(F.lit(role).alias("role"), F.col(f"{role}_r").alias("r"), F.col(f"{role}_c").alias("c")) for role in ROLES])
+    )
+    return mk.select("sheet", stacked.alias("m")).select("sheet", "m.role", "m.r", "m.c").where(F.col("r").isNotNull())
 
 
 def marker_errors(mk: DataFrame) -> DataFrame:

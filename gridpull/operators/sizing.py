@@ -23,6 +23,22 @@ def take_at_most(df: DataFrame, limit: int) -> list | None:
     return rows if len(rows) <= limit else None
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as a Parquet table under the session's shared
+    checkpoint folder and read it back: the lineage is cut (later size
+    checks and the join do not recompute it, a lost executor does not force
+    a recomputation), it costs one job, and the planner sees the real file
+    size."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, limit: int) -> tuple[DataFrame, bool]:
     """Broadcast hint only behind a counted bound; otherwise leave the join
     to the planner (sort-merge with AQE skew splitting)."""

@@ -698,7 +698,7 @@ params AS (SELECT sheet, c, {cid} AS id, {ps} AS "start", {pe} AS "end", start_r
 
 def _segment_plan(spark, sf):
     cells = segment_sheet_cells(spark, sf)
-    return cells, marker_table(find_markers(cells))
+    return cells, marker_table(cells)
 
 
 def q_sheet_cells(spark, sf):

@@ -55,7 +55,7 @@ class ExtractRun:
 
 def plan_sheet(cells: DataFrame, cfg: ExtractConfig, max_sheets: int = 1) -> SheetPlan:
     """Markers, header list and parameter sets of one sheet's cells."""
-    mk = marker_table(find_markers(cells, cfg.labels))
+    mk = marker_table(cells, cfg.labels)
     rows = take_at_most(mk, max_sheets)
     if rows is None:
         raise SheetError(f"expected at most {max_sheets} sheet(s) in this run")
@@ -132,9 +132,9 @@ def run(
 def plan_sheets(cells: DataFrame, cfg: ExtractConfig) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Batch form for many sheets in one job: (markers, header names, params,
     sheet errors), all distributed and keyed by ``sheet``."""
-    mk = marker_table(find_markers(cells, cfg.labels))
+    mk = marker_table(cells, cfg.labels)
     errs = marker_errors(mk)
-    ok = mk.join(errs, "sheet", "left_anti")
+    ok = mk.where(F.col("header_r").isNotNull() & F.col("id_r").isNotNull())
     names = header_names(cells, ok, cfg.labels, cfg.omit_bound_headers)
     params = param_sets(cells, ok)
     return ok, names, params, errs

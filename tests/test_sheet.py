@@ -37,7 +37,7 @@ def test_cells_markers_header_params(spark):
     assert [r.c for r in marker_scan(cells).collect()] == [1]
     m = {r.role: (r.r, r.c) for r in find_markers(cells).collect()}
     assert m == {"header": (2, 1), "start": (3, 1), "end": (4, 1), "id": (6, 1)}
-    mk = marker_table(find_markers(cells))
+    mk = marker_table(cells)
     names = [r.name for r in header_names(cells, mk).orderBy("c").collect()]
     assert names == ["voyage_date_voyagestart", "voyage_id", "rate_usd", "voyage_expense_desc"]
     ps = [(r.c, r.id, r.start, r.end) for r in param_sets(cells, mk).orderBy("c").collect()]
