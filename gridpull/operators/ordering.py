@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import PAGE_SIZE, PROBE_LIMIT
+from .sizing import materialize
 
 
 def result_order(date_col: str | None, id_col: str | None, extra: Sequence[str] = ()) -> list[Column]:
@@ -40,13 +41,13 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str = "pos") ->
     """Attach the 1-based position of each row under ``order`` without a
     single-partition window.
 
-    The frame is range-sorted and checkpointed (fixed partitions, lineage
-    cut, survives executor loss); per-partition row counts (one row per
-    partition) give each partition's offset, and the row index inside a
-    partition comes from ``monotonically_increasing_id``.
+    The frame is range-sorted once and each row records its partition and
+    its index inside the partition; that is written as a table in the shared
+    checkpoint folder (lineage cut, survives executor loss). Per-partition
+    row counts (one row per partition) give each partition's offset.
     """
     sorted_df = df.orderBy(*order).select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid"))
-    sorted_df = sorted_df.checkpoint(eager=True)
+    sorted_df = materialize(sorted_df)
     counts = sorted_df.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
