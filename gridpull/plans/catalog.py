@@ -626,6 +626,19 @@ def q_parse_end(spark, sf):
     return _spelled_dates(spark, sf).select("o_orderkey", "txt", parse_bound("txt", is_end=True).alias("bound"))
 
 
+def q_iso_bounds(spark, sf):
+    """Start bounds as the ISO text a request carries."""
+    return _spelled_dates(spark, sf).select("o_orderkey", "txt", iso_text(parse_bound("txt")).alias("bound_text"))
+
+
+def _iso_sql() -> str:
+    return (
+        "SELECT o_orderkey, txt, strftime(bound, '%Y-%m-%dT%H:%M:%S') AS bound_text FROM ("
+        + _spelled_sql(False)
+        + ")"
+    )
+
+
 def q_coerce_ts(spark, sf):
     o = _t(spark, sf, "orders")
     m = F.pmod(F.col("o_orderkey"), F.lit(3))
@@ -845,6 +858,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "clean_id": (q_clean_id, SQL_CLEAN_ID),
     "parse_start": (q_parse_start, _spelled_sql(False)),
     "parse_end": (q_parse_end, _spelled_sql(True)),
+    "iso_bounds": (q_iso_bounds, _iso_sql()),
     "coerce_ts": (q_coerce_ts, SQL_COERCE_TS),
     "sheet_cells": (q_sheet_cells, SQL_SHEET_CELLS),
     "sheet_shape": (q_sheet_shape, SQL_SHEET_SHAPE),

@@ -140,6 +140,18 @@ def plan_sheets(cells: DataFrame, cfg: ExtractConfig) -> tuple[DataFrame, DataFr
     return ok, names, params, errs
 
 
+def batch_header(names: DataFrame, cfg: ExtractConfig) -> list[str]:
+    """Union of all sheets' header names, ordered by first column position.
+    These become select-list entries, so they must fit on the driver: more
+    than ``4 * max_cols`` distinct names is refused, never cut."""
+    limit = cfg.max_cols * 4
+    distinct_names = names.groupBy("name").agg(F.min("c").alias("c"))
+    rows = take_at_most(distinct_names.orderBy("c", "name"), limit)
+    if rows is None:
+        raise SheetError(f"more than {limit} distinct header names across the sheets")
+    return [r["name"] for r in rows]
+
+
 def run_batch(
     spark: SparkSession,
     sheet_paths: str | Sequence[str],
@@ -152,8 +164,7 @@ def run_batch(
     written partitioned by sheet. Returns (result, sheet errors)."""
     cells = read_sheet_cells(spark, sheet_paths, cfg.max_cols)
     mk, names, params, errs = plan_sheets(cells, cfg)
-    distinct_names = names.groupBy("name").agg(F.min("c").alias("c"))
-    header = [r["name"] for r in distinct_names.orderBy("c", "name").limit(cfg.max_cols * 4).collect()]
+    header = batch_header(names, cfg)
     result = extract_rows(fact, params, cfg, header, by=["sheet"])
     if out_path is not None:
         named = result.withColumn("sheet", F.regexp_extract("sheet", r"([^/]+?)(\.[^./]*)?$", 1))

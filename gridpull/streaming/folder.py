@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import ExtractConfig
-from ..plans.extract import extract_rows, plan_sheets
+from ..plans.extract import batch_header, extract_rows, plan_sheets
 from ..sources.csv_sink import write_csv
 from ..sources.sheet import grid_schema, grid_to_cells
 
@@ -53,8 +53,7 @@ def answer_sheet_stream(
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         cells = _cells_of_batch(batch, cfg.max_cols)
         _, names, params, _ = plan_sheets(cells, cfg)
-        distinct_names = names.groupBy("name").agg(F.min("c").alias("c"))
-        header = [r["name"] for r in distinct_names.orderBy("c", "name").limit(cfg.max_cols * 4).collect()]
+        header = batch_header(names, cfg)
         if not header:
             return
         result = extract_rows(fact, params, cfg, header, by=["sheet"])
