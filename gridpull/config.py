@@ -81,6 +81,9 @@ class ExtractConfig:
                         number is at most this; beyond it the join shuffles.
     broadcast_max_ids   distinct-id envelope pushed to the scan only up to
                         this many ids.
+    hot_id_sets         in the shuffled set join, ids with more merged ranges
+                        than this are joined on (id, time bucket).
+    buckets_per_hot_id  at most this many time buckets per hot id.
     max_cols            sheet width read from CSV (explicit schema).
     omit_bound_headers  drop StartDate/EndDate names from the header list.
     single_file_max_rows  CSV sink writes one file only up to this many rows.
@@ -95,6 +98,8 @@ class ExtractConfig:
     pushdown_max_sets: int = 50
     broadcast_max_sets: int = 200_000
     broadcast_max_ids: int = 1_000
+    hot_id_sets: int = 64
+    buckets_per_hot_id: int = 4096
     max_cols: int = 256
     omit_bound_headers: bool = True
     single_file_max_rows: int = 5_000_000

@@ -22,8 +22,9 @@ Physical strategy, chosen behind counted bounds:
    with the range as residual; the fact side never shuffles. A distinct-id
    envelope (``id IN …``) and the overall date envelope are added as scan
    filters when small;
-3. otherwise: sort-merge join on id (fact rows of a hot id are split by AQE's
-   skew handling; merged ranges keep each id's build side small).
+3. otherwise: a shuffled equi join on (id, time bucket) – see
+   ``bucketed_range_join`` – so that neither a hot id's fact rows nor its
+   many ranges pile up in one task.
 """
 
 from __future__ import annotations
@@ -183,7 +184,9 @@ def param_match(
             small = True
     else:
         side, small = merged, False
-    probe = _envelope(fact, merged, cfg) if small else fact
+    if not small:
+        return bucketed_range_join(fact, merged, cfg, by)
+    probe = _envelope(fact, merged, cfg)
 
     f = probe.alias("f")
     s = side.alias("s")
@@ -199,6 +202,107 @@ def param_match(
     )
 
 
+# Bucket keys of the shuffled range join. Non-negative keys are time buckets
+# of a hot id; the negative ones are sentinels.
+_COLD, _LOW, _HIGH, _NULLD = -1, -2, -3, -4
+
+
+def time_key(c: Column, dtype: T.DataType) -> Column | None:
+    """Monotone whole-second key of a date/time value (None: unsupported type).
+
+    timestamp_ntz uses its calendar fields (time-zone free), timestamp its
+    instant, date its day number.
+    """
+    epoch = F.lit("1970-01-01").cast("date")
+    if isinstance(dtype, T.TimestampNTZType):
+        days = F.datediff(F.to_date(c), epoch).cast("long")
+        return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_seconds(c)
+    if isinstance(dtype, T.DateType):
+        return F.datediff(c, epoch).cast("long") * 86400
+    return None
+
+
+def bucketed_range_join(fact: DataFrame, merged: DataFrame, cfg: ExtractConfig, by: Sequence[str] = ()) -> DataFrame:
+    """Shuffled set join that stays balanced when one id is hot.
+
+    ``merged`` holds disjoint ranges per (by, id). Ids with more than
+    ``cfg.hot_id_sets`` ranges get a bucket domain of at most
+    ``cfg.buckets_per_hot_id`` time buckets spanning their finite bounds;
+    each range expands to the buckets it covers (open ends add a low / high
+    sentinel bucket, an all-open range the NULL-date bucket) and each fact
+    row of such an id computes its one bucket. The join is then an equi join
+    on (id, bucket) with the range as residual: a hot id's fact rows spread
+    over thousands of keys, each key meets only the few ranges of its time
+    slice, and no range is compared with rows outside its slice. Other ids
+    keep a single key, and AQE splits a fact-side hot partition. Exact: a
+    range containing a date always covers that date's bucket.
+    """
+    by = list(by)
+    dtype = fact.schema[cfg.date_col].dataType
+    ps, pe = F.col("_ps").cast(dtype), F.col("_pe").cast(dtype)
+    key = time_key(ps, dtype)
+    if key is None:
+        s = merged.alias("s")
+        f = fact.alias("f")
+        cond = (F.col("f." + cfg.id_col) == F.col("s._pid")) & range_ok(F.col("f." + cfg.date_col), F.col("s._ps"), F.col("s._pe"))
+        how = "left_semi" if not by else "inner"
+        out = f.join(s, cond, how)
+        return out.select(*([F.col("s." + b).alias(b) for b in by] if by else []), *[F.col("f." + c).alias(c) for c in fact.columns])
+
+    m = merged.select(*by, "_pid", ps.alias("_ps"), pe.alias("_pe"), time_key(ps, dtype).alias("_ks"), time_key(pe, dtype).alias("_ke"))
+    stats = m.groupBy("_pid").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.least(F.min("_ks"), F.min("_ke")).alias("_lo"),
+        F.greatest(F.max("_ks"), F.max("_ke")).alias("_hi"),
+    )
+    width = F.greatest(F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.lit(cfg.buckets_per_hot_id)), F.lit(1)).cast("long")
+    hot = materialize(
+        stats.where((F.col("_n") > cfg.hot_id_sets) & F.col("_lo").isNotNull()).select(
+            "_pid", "_lo", "_hi", width.alias("_w")
+        )
+    )
+    hot_side, _ = broadcast_if_small(hot, cfg.broadcast_max_sets)
+
+    # Parameter side: one row per (range, bucket it covers).
+    nb = F.floor((F.col("_hi") - F.col("_lo")) / F.col("_w")).cast("long")
+    first = F.when(F.col("_ks").isNull(), F.lit(0)).otherwise(F.floor((F.col("_ks") - F.col("_lo")) / F.col("_w"))).cast("long")
+    last = F.when(F.col("_ke").isNull(), nb).otherwise(F.floor((F.col("_ke") - F.col("_lo")) / F.col("_w"))).cast("long")
+    empty = F.array().cast("array<long>")
+    lows = F.when(F.col("_ks").isNull(), F.array(F.lit(_LOW).cast("long"))).otherwise(empty)
+    highs = F.when(F.col("_ke").isNull(), F.array(F.lit(_HIGH).cast("long"))).otherwise(empty)
+    nulls = F.when(F.col("_ks").isNull() & F.col("_ke").isNull(), F.array(F.lit(_NULLD).cast("long"))).otherwise(empty)
+    keys = F.when(F.col("_lo").isNull(), F.array(F.lit(_COLD).cast("long"))).otherwise(
+        F.concat(lows, F.sequence(first, last), highs, nulls)
+    )
+    pk = m.join(hot_side, "_pid", "left").select(*by, "_pid", "_ps", "_pe", F.explode(keys).alias("_bk"))
+
+    # Fact side: the one bucket of each row.
+    h = hot_side.select(F.col("_pid").alias("_hid"), "_lo", "_hi", "_w")
+    d = F.col(cfg.date_col)
+    dk = time_key(d, dtype)
+    bucket = (
+        F.when(F.col("_lo").isNull(), F.lit(_COLD))
+        .when(d.isNull(), F.lit(_NULLD))
+        .when(dk < F.col("_lo"), F.lit(_LOW))
+        .when(dk > F.col("_hi"), F.lit(_HIGH))
+        .otherwise(F.floor((dk - F.col("_lo")) / F.col("_w")))
+        .cast("long")
+    )
+    fk = fact.join(h, fact[cfg.id_col] == h["_hid"], "left").select(*fact.columns, bucket.alias("_fbk"))
+
+    f, s = fk.alias("f"), pk.alias("s")
+    cond = (
+        (F.col("f." + cfg.id_col) == F.col("s._pid"))
+        & (F.col("f._fbk") == F.col("s._bk"))
+        & range_ok(F.col("f." + cfg.date_col), F.col("s._ps"), F.col("s._pe"))
+    )
+    if not by:
+        return f.join(s, cond, "left_semi").select(*[F.col("f." + c).alias(c) for c in fact.columns])
+    return f.join(s, cond, "inner").select(*[F.col("s." + b).alias(b) for b in by], *[F.col("f." + c).alias(c) for c in fact.columns])
+
+
 def param_join(fact: DataFrame, params: DataFrame, cfg: ExtractConfig, set_key: Sequence[str] = ("sheet", "c"), broadcast: bool | None = None) -> DataFrame:
     """Inner join of fact rows with every set they satisfy (multiplicity kept).
 

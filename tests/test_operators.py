@@ -156,3 +156,37 @@ def test_csv_edge_values(spark, scratch):
     assert '"c\rr"' in text and '"n\nl"' in text
     back = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(out)
     assert back.count() == len(vals)
+
+
+def _random_sets(n, seed):
+    rnd = random.Random(seed)
+    out = []
+    for _ in range(n):
+        sid = str(rnd.randint(0, 12))
+        s = None if rnd.random() < 0.15 else dt.datetime(1995, 1, 1) + dt.timedelta(days=rnd.randint(0, 2400))
+        e = None if rnd.random() < 0.15 else (s or dt.datetime(1995, 1, 1)) + dt.timedelta(days=rnd.randint(0, 90), seconds=rnd.randint(0, 86399))
+        out.append((sid, None if s is None else s.strftime("%Y-%m-%d %H:%M:%S"), None if e is None else e.strftime("%Y-%m-%d %H:%M:%S")))
+    out.append(("5", None, None))
+    return tuple(out)
+
+
+@pytest.mark.parametrize("hot", [0, 3, 1000])
+def test_bucketed_shuffle_join_is_exact(spark, hot):
+    li = _li(spark)
+    sets = _random_sets(300, 5)
+    cfg = LINEITEM_CFG.with_(hot_id_sets=hot, buckets_per_hot_id=64)
+    p = literal_params(spark, sets)
+    want = _rows(extract_rows(li, p, cfg, LINEITEM_HEADER, strategy="broadcast"))
+    got = _rows(extract_rows(li, p, cfg, LINEITEM_HEADER, strategy="shuffle"))
+    assert got == want and len(want) > 0
+
+
+def test_bucketed_shuffle_join_by_sheet(spark):
+    li = _li(spark)
+    a = literal_params(spark, _random_sets(120, 1), sheet="a")
+    b = literal_params(spark, _random_sets(120, 2), sheet="b")
+    p = a.unionByName(b)
+    cfg = LINEITEM_CFG.with_(hot_id_sets=2, buckets_per_hot_id=16)
+    want = _rows(extract_rows(li, p, cfg, LINEITEM_HEADER, by=["sheet"], strategy="broadcast"))
+    got = _rows(extract_rows(li, p, cfg, LINEITEM_HEADER, by=["sheet"], strategy="shuffle"))
+    assert got == want and len(want) > 0

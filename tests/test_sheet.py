@@ -105,11 +105,11 @@ def _fact(spark):
     )
 
 
-@pytest.mark.parametrize("strategy", ["auto", "broadcast", "shuffle"])
-def test_end_to_end_strategies(spark, strategy):
+@pytest.mark.parametrize("strategy,hot", [("auto", 64), ("broadcast", 64), ("shuffle", 64), ("shuffle", 0)])
+def test_end_to_end_strategies(spark, strategy, hot):
     from gridpull.plans.extract import extract_rows
 
-    cfg = ExtractConfig(tie_break=("id",))
+    cfg = ExtractConfig(tie_break=("id",), hot_id_sets=hot, buckets_per_hot_id=8)
     fact = _fact(spark)
     plan = plan_sheet(read_sheet_cells(spark, S1, 16), cfg)
     out = extract_rows(fact, plan.params, cfg, plan.header + ["id"], strategy=strategy).collect()
