@@ -94,6 +94,61 @@ def merge_ranges(sets: DataFrame, keys: Sequence[str]) -> DataFrame:
     ).drop("_g")
 
 
+def merge_ranges_balanced(sets: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """:func:`merge_ranges` for set tables where one key may hold a large
+    share of all ranges.
+
+    The ranges are range-partitioned on (key, start, end), so a hot key is
+    spread over many tasks in global order. Each task computes the running
+    maximum end and the group starts of its own slice; what a slice needs
+    from earlier slices of the same key (the maximum end so far and the last
+    group start) comes from a carry table with at most two rows per
+    partition (the first and the last key of each partition), which is
+    broadcast. No key is ever gathered into one task.
+    """
+    keys = list(keys)
+    far = F.lit(_FAR_FUTURE).cast("timestamp_ntz")
+    kstruct = F.struct(*[F.col(k) for k in keys])
+    order = [F.col("_ps").asc_nulls_first(), F.col("_pei").asc()]
+    base = sets.select(*keys, "_ps", "_pe", F.coalesce("_pe", far).alias("_pei"))
+    rp = base.repartitionByRange(partitions, *keys, *order) if partitions else base.repartitionByRange(*keys, *order)
+    ordered = materialize(rp.withColumn("_part", F.spark_partition_id()))
+
+    w = Window.partitionBy(*keys, "_part").orderBy(*order)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    ks_w = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+
+    bounds = F.broadcast(ordered.groupBy("_part").agg(F.min(kstruct).alias("_fk"), F.max(kstruct).alias("_lk")))
+
+    def boundary(df: DataFrame) -> DataFrame:
+        # (part, key) rows whose key is the first or last key of the partition
+        return df.join(bounds, "_part").where((kstruct == F.col("_fk")) | (kstruct == F.col("_lk")))
+
+    def first_key_only(df: DataFrame) -> DataFrame:
+        return df.join(bounds, "_part").where(kstruct == F.col("_fk")).drop("_fk", "_lk")
+
+    # 1. maximum end over earlier partitions of the same key
+    t1 = boundary(ordered.groupBy("_part", *keys).agg(F.max("_pei").alias("_kmax")))
+    c1 = first_key_only(t1.select("_part", *keys, F.max("_kmax").over(ks_w).alias("_cend")))
+    x = ordered.withColumn("_lprev", F.max("_pei").over(before)).join(F.broadcast(c1), ["_part", *keys], "left")
+    prev = F.greatest(F.col("_lprev"), F.col("_cend"))
+    x = x.withColumn("_new", prev.isNull() | (F.col("_ps").isNotNull() & (F.col("_ps") > prev)))
+
+    # 2. group start: the start of the last range that opened a group
+    opener = F.when(F.col("_new"), F.struct(F.col("_ps").alias("s")))
+    x = x.withColumn("_lgs", F.last(opener, ignorenulls=True).over(upto))
+    t2 = boundary(x.groupBy("_part", *keys).agg(F.max(opener).alias("_pgs")))
+    c2 = first_key_only(t2.select("_part", *keys, F.last("_pgs", ignorenulls=True).over(ks_w).alias("_cgs")))
+    y = x.join(F.broadcast(c2), ["_part", *keys], "left").withColumn("_gs", F.coalesce("_lgs", "_cgs"))
+
+    n = F.count(F.lit(1))
+    return y.groupBy(*keys, "_gs").agg(
+        F.when(F.count("_ps") < n, F.lit(None)).otherwise(F.min("_ps")).cast("timestamp_ntz").alias("_ps"),
+        F.when(F.count("_pe") < n, F.lit(None)).otherwise(F.max("_pe")).cast("timestamp_ntz").alias("_pe"),
+    ).drop("_gs")
+
+
 def _lit_ts(text: str | None) -> Column | None:
     return None if text is None else F.lit(text).cast("timestamp_ntz")
 
@@ -163,31 +218,32 @@ def param_match(
     'shuffle' (forcing is for tests and plan inspection).
     """
     by = list(by)
-    sets = prepared_sets(fact, params, cfg, by)
     dtype = fact.schema[cfg.id_col].dataType
     cond_cols = fact.columns
+    # The distinct typed sets are read by every decision below and by the
+    # join: write them once (one evaluation of e.g. a sheet's lineage).
+    raw = materialize(prepared_sets(fact, params, cfg, by).select(*by, "_pid", "_ps", "_pe").distinct())
 
     if not by and strategy in ("auto", "literal"):
-        rows = take_at_most(_with_texts(sets.select("_pid", "_ps", "_pe").distinct()), cfg.pushdown_max_sets)
+        rows = take_at_most(_with_texts(raw), cfg.pushdown_max_sets)
         if rows is not None:
             return fact.where(literal_sets_predicate(rows, cfg.id_col, cfg.date_col, dtype))
         if strategy == "literal":
             raise ValueError("more sets than pushdown_max_sets for the literal strategy")
 
-    # The merged sets are read by the size check, the envelope and the join:
-    # materialise them once instead of recomputing their lineage each time.
-    merged = materialize(merge_ranges(sets.select(*by, "_pid", "_ps", "_pe"), [*by, "_pid"]))
-    if strategy in ("auto", "broadcast"):
-        side, small = broadcast_if_small(merged, cfg.broadcast_max_sets)
-        if strategy == "broadcast" and not small:
-            side = F.broadcast(merged)
-            small = True
-    else:
-        side, small = merged, False
+    small = strategy == "broadcast" or (
+        strategy == "auto" and count_at_most(raw, cfg.broadcast_max_sets) is not None
+    )
     if not small:
+        # Many sets: merge without gathering a key, join on (id, time bucket).
+        merged = materialize(merge_ranges_balanced(raw, [*by, "_pid"]))
         return bucketed_range_join(fact, merged, cfg, by)
+    # At most broadcast_max_sets ranges: a per-key window is cheap. The
+    # merged sets are read by the envelope and the join, so they are
+    # materialised once instead of recomputing their lineage.
+    merged = materialize(merge_ranges(raw, [*by, "_pid"]))
+    side = F.broadcast(merged)
     probe = _envelope(fact, merged, cfg)
-
     f = probe.alias("f")
     s = side.alias("s")
     cond = (F.col("f." + cfg.id_col) == F.col("s._pid")) & range_ok(

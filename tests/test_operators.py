@@ -190,3 +190,22 @@ def test_bucketed_shuffle_join_by_sheet(spark):
     want = _rows(extract_rows(li, p, cfg, LINEITEM_HEADER, by=["sheet"], strategy="broadcast"))
     got = _rows(extract_rows(li, p, cfg, LINEITEM_HEADER, by=["sheet"], strategy="shuffle"))
     assert got == want and len(want) > 0
+
+
+@pytest.mark.parametrize("parts", [1, 7, 23])
+def test_balanced_merge_equals_window_merge(spark, parts):
+    from gridpull.operators.joins import merge_ranges_balanced
+
+    rnd = random.Random(parts)
+    base = dt.datetime(2020, 1, 1)
+    rows = []
+    for _ in range(600):
+        sheet = rnd.choice(["a", "b"])
+        pid = 0 if rnd.random() < 0.6 else rnd.randint(1, 6)  # id 0 is hot
+        s = None if rnd.random() < 0.05 else base + dt.timedelta(hours=rnd.randint(0, 2000))
+        e = None if rnd.random() < 0.05 else (s or base) + dt.timedelta(hours=rnd.randint(0, 30))
+        rows.append((sheet, pid, s, e))
+    sdf = spark.createDataFrame(rows, "sheet string, _pid long, _ps timestamp_ntz, _pe timestamp_ntz")
+    want = _rows(merge_ranges(sdf, ["sheet", "_pid"]))
+    got = _rows(merge_ranges_balanced(sdf, ["sheet", "_pid"], partitions=parts))
+    assert got == want
