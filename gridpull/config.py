@@ -84,6 +84,8 @@ class ExtractConfig:
     hot_id_sets         in the shuffled set join, ids with more merged ranges
                         than this are joined on (id, time bucket).
     buckets_per_hot_id  at most this many time buckets per hot id.
+    broadcast_max_sheets  per-sheet marker rows are broadcast up to this many
+                        sheets (counted).
     max_cols            sheet width read from CSV (explicit schema).
     omit_bound_headers  drop StartDate/EndDate names from the header list.
     single_file_max_rows  CSV sink writes one file only up to this many rows.
@@ -100,6 +102,7 @@ class ExtractConfig:
     broadcast_max_ids: int = 1_000
     hot_id_sets: int = 64
     buckets_per_hot_id: int = 4096
+    broadcast_max_sheets: int = 100_000
     max_cols: int = 256
     omit_bound_headers: bool = True
     single_file_max_rows: int = 5_000_000

@@ -180,27 +180,33 @@ def _with_texts(sets: DataFrame) -> DataFrame:
     )
 
 
-def _envelope(fact: DataFrame, sets: DataFrame, cfg: ExtractConfig) -> DataFrame:
+def _set_stats(sets: DataFrame):
+    """One small job over the (materialised) sets: how many, how many ids,
+    and the overall date envelope."""
+    fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    return sets.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("_pid").alias("n_ids"),
+        F.count("_ps").alias("n_s"),
+        F.count("_pe").alias("n_e"),
+        F.date_format(F.min("_ps"), fmt).alias("lo"),
+        F.date_format(F.max("_pe"), fmt).alias("hi"),
+    ).first()
+
+
+def _envelope(fact: DataFrame, sets: DataFrame, stats, cfg: ExtractConfig) -> DataFrame:
     """Add scan-level filters implied by all sets together: id IN (ids) when
     the distinct ids are few, and the overall [min start, max end] when every
     set is bounded on that side. Pure pre-filters: the join stays exact."""
     dtype = fact.schema[cfg.id_col].dataType
-    ids = take_at_most(sets.select("_pid").distinct(), cfg.broadcast_max_ids)
     out = fact
-    if ids is not None:
-        vals = [r["_pid"] for r in ids]
+    if stats["n_ids"] <= cfg.broadcast_max_ids:
+        vals = [r["_pid"] for r in sets.select("_pid").distinct().collect()]
         out = out.where(F.col(cfg.id_col).isin([F.lit(v).cast(dtype) for v in vals]) if vals else F.lit(False))
-    env = sets.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count("_ps").alias("n_s"),
-        F.count("_pe").alias("n_e"),
-        F.date_format(F.min("_ps"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("lo"),
-        F.date_format(F.max("_pe"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("hi"),
-    ).first()
-    if env["n"] and env["n_s"] == env["n"] and env["lo"] is not None:
-        out = out.where(F.col(cfg.date_col) >= _lit_ts(env["lo"]))
-    if env["n"] and env["n_e"] == env["n"] and env["hi"] is not None:
-        out = out.where(F.col(cfg.date_col) <= _lit_ts(env["hi"]))
+    if stats["n"] and stats["n_s"] == stats["n"] and stats["lo"] is not None:
+        out = out.where(F.col(cfg.date_col) >= _lit_ts(stats["lo"]))
+    if stats["n"] and stats["n_e"] == stats["n"] and stats["hi"] is not None:
+        out = out.where(F.col(cfg.date_col) <= _lit_ts(stats["hi"]))
     return out
 
 
@@ -231,9 +237,8 @@ def param_match(
         if strategy == "literal":
             raise ValueError("more sets than pushdown_max_sets for the literal strategy")
 
-    small = strategy == "broadcast" or (
-        strategy == "auto" and count_at_most(raw, cfg.broadcast_max_sets) is not None
-    )
+    stats = _set_stats(raw)
+    small = strategy == "broadcast" or (strategy == "auto" and stats["n"] <= cfg.broadcast_max_sets)
     if not small:
         # Many sets: merge without gathering a key, join on (id, time bucket).
         merged = materialize(merge_ranges_balanced(raw, [*by, "_pid"]))
@@ -243,7 +248,7 @@ def param_match(
     # materialised once instead of recomputing their lineage.
     merged = materialize(merge_ranges(raw, [*by, "_pid"]))
     side = F.broadcast(merged)
-    probe = _envelope(fact, merged, cfg)
+    probe = _envelope(fact, raw, stats, cfg)
     f = probe.alias("f")
     s = side.alias("s")
     cond = (F.col("f." + cfg.id_col) == F.col("s._pid")) & range_ok(

@@ -73,15 +73,23 @@ def marker_errors(mk: DataFrame) -> DataFrame:
     ).where(F.col("error").isNotNull())
 
 
-def header_names(cells: DataFrame, mk: DataFrame, labels: Labels = Labels(), omit_bound_headers: bool = True) -> DataFrame:
+def header_names(
+    cells: DataFrame,
+    mk: DataFrame,
+    labels: Labels = Labels(),
+    omit_bound_headers: bool = True,
+    broadcast_mk: bool = True,
+) -> DataFrame:
     """(sheet, c, name): sanitized names right of the Header marker, in column order.
 
-    ``mk`` has one row per sheet, so it is broadcast (bounded by the number of
-    sheets). With ``omit_bound_headers`` StartDate / EndDate names are left
-    out, as they are query parameters rather than table columns.
+    ``mk`` has one row per sheet; callers pass ``broadcast_mk`` after
+    checking the sheet count. With ``omit_bound_headers`` StartDate /
+    EndDate names are left out, as they are query parameters rather than
+    table columns.
     """
+    m = mk.select("sheet", "header_r", "header_c")
     h = (
-        cells.join(F.broadcast(mk.select("sheet", "header_r", "header_c")), "sheet")
+        cells.join(F.broadcast(m) if broadcast_mk else m, "sheet")
         .where((F.col("r") == F.col("header_r")) & (F.col("c") > F.col("header_c")) & ~is_missing("v"))
         .select("sheet", "c", sanitize_name("v").alias("name"))
     )

@@ -19,9 +19,12 @@ from ..functions.text import clean_id, clean_id_ascii, is_missing
 PARAM_COLUMNS = ("sheet", "c", "id", "start", "end")
 
 
-def raw_param_cells(cells: DataFrame, mk: DataFrame) -> DataFrame:
-    """(sheet, c, id_raw, start_raw, end_raw, start_r, end_r) for every column right of the id marker."""
-    m = F.broadcast(mk.select("sheet", "id_r", "id_c", "start_r", "end_r"))
+def raw_param_cells(cells: DataFrame, mk: DataFrame, broadcast_mk: bool = True) -> DataFrame:
+    """(sheet, c, id_raw, start_raw, end_raw, start_r, end_r) for every column
+    right of the id marker. ``mk`` (one row per sheet) is broadcast when the
+    caller has checked the sheet count."""
+    m = mk.select("sheet", "id_r", "id_c", "start_r", "end_r")
+    m = F.broadcast(m) if broadcast_mk else m
     r = F.col("r")
     x = cells.join(m, "sheet").where(
         (F.col("c") > F.col("id_c"))
@@ -56,18 +59,18 @@ def clean_params(raw: DataFrame, ascii_only: bool = False) -> DataFrame:
     ).where(F.col("id").isNotNull())
 
 
-def param_sets(cells: DataFrame, mk: DataFrame, ascii_only: bool = False) -> DataFrame:
+def param_sets(cells: DataFrame, mk: DataFrame, ascii_only: bool = False, broadcast_mk: bool = True) -> DataFrame:
     """(sheet, c, id, start, end)."""
-    return clean_params(raw_param_cells(cells, mk), ascii_only).select(*PARAM_COLUMNS)
+    return clean_params(raw_param_cells(cells, mk, broadcast_mk), ascii_only).select(*PARAM_COLUMNS)
 
 
-def param_errors(cells: DataFrame, mk: DataFrame, ascii_only: bool = False) -> DataFrame:
+def param_errors(cells: DataFrame, mk: DataFrame, ascii_only: bool = False, broadcast_mk: bool = True) -> DataFrame:
     """(sheet, r, c, v): filled bound cells of a set that could not be read.
 
     Such a bound is treated as open, which silently widens the set; this
     table makes that visible (and ``on_bad_bound='error'`` refuses the run).
     """
-    p = clean_params(raw_param_cells(cells, mk), ascii_only)
+    p = clean_params(raw_param_cells(cells, mk, broadcast_mk), ascii_only)
     bad_start = p.where(~is_missing("start_raw") & F.col("start").isNull()).select(
         "sheet", F.col("start_r").alias("r"), "c", F.col("start_raw").alias("v")
     )

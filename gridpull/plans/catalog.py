@@ -33,6 +33,7 @@ from ..operators.ordering import page, probe_limit, sort_desc_nulls_last, with_p
 from ..operators.params import param_errors, param_sets
 from ..operators.predicates import date_clause, eq, or_groups
 from ..operators.projection import conform, project, schema_for
+from ..operators.sizing import count_at_most, materialize
 from ..session import ensure_checkpoint_dir
 from ..sources.csv_sink import write_csv
 from ..sources.sheet import sheet_shape
@@ -710,8 +711,11 @@ params AS (SELECT sheet, c, {cid} AS id, {ps} AS "start", {pe} AS "end", start_r
 
 
 def _segment_plan(spark, sf):
+    """Cells and marker rows of the derived sheets; the marker table (one row
+    per sheet) is written once and broadcast only behind a counted bound."""
     cells = segment_sheet_cells(spark, sf)
-    return cells, marker_table(cells)
+    mk = materialize(marker_table(cells))
+    return cells, mk, count_at_most(mk, ORDERS_CFG.broadcast_max_sheets) is not None
 
 
 def q_sheet_cells(spark, sf):
@@ -743,8 +747,8 @@ SQL_MARKER_FIND = "WITH " + _MARKERS_SQL + " SELECT sheet, role, r, c FROM marke
 
 
 def q_header_cols(spark, sf):
-    cells, mk = _segment_plan(spark, sf)
-    return header_names(cells, mk)
+    cells, mk, few = _segment_plan(spark, sf)
+    return header_names(cells, mk, broadcast_mk=few)
 
 
 SQL_HEADER_COLS = (
@@ -761,16 +765,16 @@ SELECT sheet, c, name FROM h WHERE """
 
 
 def q_param_sets(spark, sf):
-    cells, mk = _segment_plan(spark, sf)
-    return param_sets(cells, mk, ascii_only=True)
+    cells, mk, few = _segment_plan(spark, sf)
+    return param_sets(cells, mk, ascii_only=True, broadcast_mk=few)
 
 
 SQL_PARAM_SETS = "WITH " + _PARAMS_SQL + ' SELECT sheet, c, id, "start", "end" FROM params WHERE id IS NOT NULL'
 
 
 def q_param_errors(spark, sf):
-    cells, mk = _segment_plan(spark, sf)
-    return param_errors(cells, mk, ascii_only=True)
+    cells, mk, few = _segment_plan(spark, sf)
+    return param_errors(cells, mk, ascii_only=True, broadcast_mk=few)
 
 
 SQL_PARAM_ERRORS = (

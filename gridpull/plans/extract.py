@@ -16,17 +16,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ExtractConfig
 from ..operators.dedup import dedup_first, dedup_keys, orderable_columns
 from ..operators.joins import param_match
-from ..operators.markers import find_markers, header_names, marker_errors, marker_table
+from ..operators.markers import header_names, marker_errors, marker_table
 from ..operators.ordering import result_order, sort_result
 from ..operators.params import param_errors, param_sets
 from ..operators.projection import project, read_columns, select_list
-from ..operators.sizing import take_at_most
+from ..operators.sizing import count_at_most, materialize, take_at_most
 from ..sources.csv_sink import write_csv
 from ..sources.sheet import read_sheet_cells
 
@@ -132,11 +132,13 @@ def run(
 def plan_sheets(cells: DataFrame, cfg: ExtractConfig) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Batch form for many sheets in one job: (markers, header names, params,
     sheet errors), all distributed and keyed by ``sheet``."""
-    mk = marker_table(cells, cfg.labels)
+    mk = materialize(marker_table(cells, cfg.labels))
     errs = marker_errors(mk)
     ok = mk.where(F.col("header_r").isNotNull() & F.col("id_r").isNotNull())
-    names = header_names(cells, ok, cfg.labels, cfg.omit_bound_headers)
-    params = param_sets(cells, ok)
+    # one row per sheet: broadcast only behind a counted bound
+    few = count_at_most(ok, cfg.broadcast_max_sheets) is not None
+    names = header_names(cells, ok, cfg.labels, cfg.omit_bound_headers, broadcast_mk=few)
+    params = param_sets(cells, ok, broadcast_mk=few)
     return ok, names, params, errs
 
 

@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+MAX_BROADCAST_FILES = 1_000_000
+
+
 def grid_schema(max_cols: int) -> T.StructType:
     return T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(max_cols)])
 
@@ -41,21 +44,21 @@ def read_sheet_grid(spark: SparkSession, paths: str | Sequence[str], max_cols: i
             *cols,
         )
     )
-    # One row per file: bounded by the file listing the driver already holds.
+    # One row per file: the driver holds the file listing, so its length is
+    # the (checked) bound of what is broadcast.
     first = raw.groupBy("sheet").agg(F.min("_k").alias("_k0"))
-    return raw.join(F.broadcast(first), "sheet").select(
-        "sheet", (F.col("_k") - F.col("_k0")).alias("r"), *cols
-    )
+    if len(raw.inputFiles()) <= MAX_BROADCAST_FILES:
+        first = F.broadcast(first)
+    return raw.join(first, "sheet").select("sheet", (F.col("_k") - F.col("_k0")).alias("r"), *cols)
 
 
 def grid_to_cells(grid: DataFrame) -> DataFrame:
     """Wide grid -> cells (sheet, r, c, v); blank cells are not materialised."""
     cols = [c for c in grid.columns if c.startswith("_c")]
-    return (
-        grid.select("sheet", "r", F.posexplode(F.array(*cols)).alias("c", "v"))
-        .where(F.col("v").isNotNull())
-        .select("sheet", "r", F.col("c").cast("int").alias("c"), "v")
-    )
+    cells = grid.select("sheet", "r", F.posexplode(F.array(*cols)).alias("c", "v")).where(F.col("v").isNotNull())
+    # A spreadsheet export may start with a UTF-8 byte-order mark.
+    v = F.when((F.col("r") == 0) & (F.col("c") == 0), F.regexp_replace("v", "^\ufeff", "")).otherwise(F.col("v"))
+    return cells.select("sheet", "r", F.col("c").cast("int").alias("c"), v.alias("v"))
 
 
 def read_sheet_cells(spark: SparkSession, paths: str | Sequence[str], max_cols: int = 256) -> DataFrame:
