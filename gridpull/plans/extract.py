@@ -85,7 +85,7 @@ def survivor_order(fact: DataFrame, cfg: ExtractConfig, keys: Sequence[str]) ->
     return orderable_columns(fact, keys)
 
 
-def extract_rows(
+def match_dedup(
     fact: DataFrame,
     params: DataFrame,
     cfg: ExtractConfig,
@@ -93,21 +93,39 @@ def extract_rows(
     by: Sequence[str] = (),
     strategy: str = "auto",
 ) -> DataFrame:
-    """Semi join -> dedup -> sort -> project for already-built sets."""
+    """Semi join -> de-dup: one row per (by, id, date), unordered, with the
+    header columns the table has plus the keys."""
     wanted = select_list(header, cfg.id_col, cfg.date_col) + list(cfg.tie_break)
     pruned = read_columns(fact, wanted)
     matched = param_match(pruned, params, cfg, by=by, strategy=strategy)
     keys = [*by, cfg.id_col, cfg.date_col]
     order = survivor_order(pruned, cfg, keys)
     if by:
-        deduped = dedup_first(matched, keys, order)
+        return dedup_first(matched, keys, order)
+    return dedup_keys(matched, cfg.id_col, cfg.date_col, order)
+
+
+def order_project(deduped: DataFrame, cfg: ExtractConfig, header: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Final order (by, date, id) and projection to the header."""
+    if by:
         ordered = deduped.orderBy(*[F.col(b) for b in by], *result_order(cfg.date_col, cfg.id_col))
     else:
-        deduped = dedup_keys(matched, cfg.id_col, cfg.date_col, order)
         ordered = sort_result(deduped, cfg.date_col, cfg.id_col)
     return project(ordered, header, keep=by)
 
 
+def extract_rows(
+    fact: DataFrame,
+    params: DataFrame,
+    cfg: ExtractConfig,
+    header: Sequence[str],
+    by: Sequence[str] = (),
+    strategy: str = "auto",
+) -> DataFrame:
+    """Semi join -> dedup -> sort -> project for already-built sets."""
+    return order_project(match_dedup(fact, params, cfg, header, by, strategy), cfg, header, by)
+
+
 def run(
     spark: SparkSession,
     sheet_path: str,
@@ -117,16 +135,28 @@ def run(
     single_file: bool | None = None,
 ) -> ExtractRun:
     """Read one parameter sheet, answer its sets against ``fact`` and (when
-    ``out_path`` is given) write the CSV result."""
+    ``out_path`` is given) write the CSV result.
+
+    The de-duplicated rows are written once as a table in the checkpoint
+    folder; the row count, the single-file decision and the sorted CSV
+    write all read that table instead of recomputing the extraction.
+    """
     cells = read_sheet_cells(spark, sheet_path, cfg.max_cols)
     plan = plan_sheet(cells, cfg)
-    result = extract_rows(fact, plan.params, cfg, plan.header)
+    deduped = match_dedup(fact, plan.params, cfg, plan.header)
+    metrics = {}
+    if out_path is not None:
+        deduped = materialize(deduped)
+        metrics["rows"] = deduped.count()
+        if single_file is None:
+            single_file = metrics["rows"] <= cfg.single_file_max_rows
+    result = order_project(deduped, cfg, plan.header)
     obs = Observation("extract")
     result = result.observe(obs, F.count(F.lit(1)).alias("rows"))
     out = None
     if out_path is not None:
-        out = write_csv(result, out_path, single_file=single_file, single_file_max_rows=cfg.single_file_max_rows)
-    return ExtractRun(plan, result, obs, out)
+        out = write_csv(result, out_path, single_file=single_file)
+    return ExtractRun(plan, result, obs, out, metrics)
 
 
 def plan_sheets(cells: DataFrame, cfg: ExtractConfig) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
