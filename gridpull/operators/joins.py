@@ -226,28 +226,32 @@ def param_match(
     by = list(by)
     dtype = fact.schema[cfg.id_col].dataType
     cond_cols = fact.columns
-    # The distinct typed sets are read by every decision below and by the
-    # join: write them once (one evaluation of e.g. a sheet's lineage).
-    raw = materialize(prepared_sets(fact, params, cfg, by).select(*by, "_pid", "_ps", "_pe").distinct())
+    typed = prepared_sets(fact, params, cfg, by).select(*by, "_pid", "_ps", "_pe").distinct()
 
     if not by and strategy in ("auto", "literal"):
-        rows = take_at_most(_with_texts(raw), cfg.pushdown_max_sets)
+        rows = take_at_most(_with_texts(typed), cfg.pushdown_max_sets)
         if rows is not None:
             return fact.where(literal_sets_predicate(rows, cfg.id_col, cfg.date_col, dtype))
         if strategy == "literal":
             raise ValueError("more sets than pushdown_max_sets for the literal strategy")
 
+    # The distinct typed sets are read by every decision below and by the
+    # join: write them once (one evaluation of e.g. a sheet's lineage).
+    raw = materialize(typed)
     stats = _set_stats(raw)
     small = strategy == "broadcast" or (strategy == "auto" and stats["n"] <= cfg.broadcast_max_sets)
     if not small:
         # Many sets: merge without gathering a key, join on (id, time bucket).
         merged = materialize(merge_ranges_balanced(raw, [*by, "_pid"]))
         return bucketed_range_join(fact, merged, cfg, by)
-    # At most broadcast_max_sets ranges: a per-key window is cheap. The
-    # merged sets are read by the envelope and the join, so they are
-    # materialised once instead of recomputing their lineage.
-    merged = materialize(merge_ranges(raw, [*by, "_pid"]))
-    side = F.broadcast(merged)
+    if by:
+        # Per-group inner join: disjoint ranges per (group, id) make it a
+        # per-group semi join. At most broadcast_max_sets ranges, so a
+        # per-key window is cheap.
+        side = F.broadcast(materialize(merge_ranges(raw, [*by, "_pid"])))
+    else:
+        # A semi join stops at the first matching set: no merge needed.
+        side = F.broadcast(raw)
     probe = _envelope(fact, raw, stats, cfg)
     f = probe.alias("f")
     s = side.alias("s")
