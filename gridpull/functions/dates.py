@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WS, is_missing, strip_ws
+from .text import is_missing, strip_ws
 
 # --- Fixed values -----------------------------------------------------------
 # Accepted spellings, tried in this order: four date-time forms, then two

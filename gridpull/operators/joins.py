@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from ..config import ExtractConfig
 from ..functions.dates import day_start
-from .sizing import broadcast_if_small, count_at_most, materialize, take_at_most
+from .sizing import broadcast_if_small, materialize, take_at_most
 
 _FAR_FUTURE = "9999-12-31 23:59:59.999999"
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,12 +27,12 @@ from ..config import PAGE_SIZE, PROBE_LIMIT, ExtractConfig
 from ..functions.dates import coerce_ts, day_start, iso_text, parse_bound
 from ..functions.text import clean_id, is_missing, norm_label, sanitize_name
 from ..operators.dedup import dedup_first, distinct_rows
-from ..operators.joins import ids_missing, ids_present, merge_ranges, param_join, param_match, prepared_sets, set_counts, union_sets
+from ..operators.joins import ids_missing, ids_present, merge_ranges, param_join, prepared_sets, set_counts, union_sets
 from ..operators.markers import find_markers, header_names, marker_scan, marker_table
-from ..operators.ordering import page, probe_limit, sort_desc_nulls_last, with_position
+from ..operators.ordering import page, probe_limit, with_position
 from ..operators.params import param_errors, param_sets
 from ..operators.predicates import date_clause, eq, or_groups
-from ..operators.projection import conform, project, schema_for
+from ..operators.projection import conform, schema_for
 from ..operators.sizing import count_at_most, materialize
 from ..session import ensure_checkpoint_dir
 from ..sources.csv_sink import write_csv
