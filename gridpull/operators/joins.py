@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from ..config import ExtractConfig
 from ..functions.dates import day_start
-from .sizing import broadcast_if_small, materialize, take_at_most
+from .sizing import broadcast_if_small, count_at_most, materialize, take_at_most
 
 _FAR_FUTURE = "9999-12-31 23:59:59.999999"
 
@@ -371,16 +371,21 @@ def bucketed_range_join(fact: DataFrame, merged: DataFrame, cfg: ExtractConfig,
 def param_join(fact: DataFrame, params: DataFrame, cfg: ExtractConfig, set_key: Sequence[str] = ("sheet", "c"), broadcast: bool | None = None) -> DataFrame:
     """Inner join of fact rows with every set they satisfy (multiplicity kept).
 
-    Output: set key columns + fact columns. The sets are broadcast only
-    behind a counted bound.
+    Output: set key columns + fact columns. The sets are written once to the
+    checkpoint folder and broadcast only behind a counted bound; beyond it
+    the join runs on (id, time bucket) like the semi join, so a hot id does
+    not compare all its rows with all its sets in one task.
     """
     keys = [k for k in set_key if k in params.columns]
     sets = prepared_sets(fact, params, cfg, keep=keys)
     if broadcast is None:
-        side, _ = broadcast_if_small(sets, cfg.broadcast_max_sets)
+        sets = materialize(sets)
+        small = count_at_most(sets, cfg.broadcast_max_sets) is not None
     else:
-        side = F.broadcast(sets) if broadcast else sets
-    f, s = fact.alias("f"), side.alias("s")
+        small = broadcast
+    if not small:
+        return bucketed_range_join(fact, sets, cfg, by=keys)
+    f, s = fact.alias("f"), F.broadcast(sets).alias("s")
     cond = (F.col("f." + cfg.id_col) == F.col("s._pid")) & range_ok(
         F.col("f." + cfg.date_col), F.col("s._ps"), F.col("s._pe")
     )
@@ -404,22 +409,26 @@ def set_counts(fact: DataFrame, params: DataFrame, cfg: ExtractConfig, set_key:
 
 
 def union_sets(fact: DataFrame, params_rows: Sequence[dict], cfg: ExtractConfig) -> DataFrame:
-    """Literal form of the per-set loop: one filter per set, bag union in set
-    order. Meant for a handful of literal sets; ``param_join`` is the scalable
-    form of the same result."""
+    """Literal form of the per-set loop for a handful of literal sets: the
+    bag union of one filter per set, numbered by set order (``ord``).
+
+    Computed in one scan: the OR of all sets is pushed to the scan, and each
+    surviving row is emitted once per set it satisfies."""
     dtype = fact.schema[cfg.id_col].dataType
     d = F.col(cfg.date_col)
-    parts = []
-    for i, p in enumerate(params_rows):
+    conds = []
+    for p in params_rows:
         cond = F.col(cfg.id_col) == F.lit(p["id"]).try_cast(dtype)
         if p.get("start") is not None:
             cond = cond & (d >= _lit_ts(p["start"]))
         if p.get("end") is not None:
             cond = cond & (d <= _lit_ts(p["end"]))
-        parts.append(fact.where(cond).select(F.lit(i + 1).alias("ord"), *fact.columns))
-    if not parts:
+        conds.append(cond)
+    if not conds:
         return fact.limit(0).select(F.lit(0).alias("ord"), *fact.columns)
-    return reduce(DataFrame.unionByName, parts)
+    hits = F.array(*[F.when(c, F.lit(i + 1)) for i, c in enumerate(conds)])
+    ords = F.filter(hits, lambda x: x.isNotNull())
+    return fact.where(reduce(lambda a, b: a | b, conds)).select(F.explode(ords).alias("ord"), *fact.columns)
 
 
 def ids_present(fact: DataFrame, params: DataFrame, cfg: ExtractConfig) -> DataFrame:

@@ -209,3 +209,23 @@ def test_balanced_merge_equals_window_merge(spark, parts):
     want = _rows(merge_ranges(sdf, ["sheet", "_pid"]))
     got = _rows(merge_ranges_balanced(sdf, ["sheet", "_pid"], partitions=parts))
     assert got == want
+
+
+def test_param_join_bucketed_equals_broadcast(spark):
+    li = _li(spark)
+    p = literal_params(spark, _random_sets(150, 9))
+    cfg = LINEITEM_CFG.with_(hot_id_sets=2, buckets_per_hot_id=32)
+    want = _rows(param_join(li, p, cfg, set_key=("c",), broadcast=True))
+    got = _rows(param_join(li, p, cfg, set_key=("c",), broadcast=False))
+    assert got == want and len(want) > 0
+
+
+def test_union_sets_one_scan(spark):
+    from gridpull.operators import union_sets
+
+    li = _li(spark)
+    rows = [{"id": i, "start": s, "end": e} for i, s, e in LINEITEM_SETS]
+    u = union_sets(li, rows, LINEITEM_CFG)
+    assert u.count() == 906
+    counts = {r.ord: r["count"] for r in u.groupBy("ord").count().collect()}
+    assert counts == {1: 106, 2: 80, 3: 82, 4: 638}
