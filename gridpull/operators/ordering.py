@@ -57,10 +57,23 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str = "pos") ->
     )
 
 
+# Up to this many leading rows a page is a top-k (each task keeps at most
+# this many rows); deeper pages go through distributed positions.
+TOP_K_PAGE_DEPTH = 100_000
+
+
 def page(df: DataFrame, order: Sequence[Column], page_no: int, size: int = PAGE_SIZE) -> DataFrame:
     """Rows ``page_no*size .. page_no*size+size-1`` under a total ``order``
-    (an offset page is only stable when the order is total)."""
-    return df.orderBy(*order).offset(page_no * size).limit(size)
+    (an offset page is only stable when the order is total).
+
+    Shallow pages plan as TakeOrderedAndProject; a deep page would make
+    every task keep offset+size rows, so it filters positions from
+    :func:`with_position` instead."""
+    lo = page_no * size
+    if lo + size <= TOP_K_PAGE_DEPTH:
+        return df.orderBy(*order).offset(lo).limit(size)
+    pos = with_position(df, order, "_pos")
+    return pos.where((F.col("_pos") > lo) & (F.col("_pos") <= lo + size)).drop("_pos")
 
 
 def probe_limit(fact: DataFrame, id_col: str, id_value, order: Sequence[Column], n: int = PROBE_LIMIT) -> DataFrame:

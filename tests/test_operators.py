@@ -229,3 +229,14 @@ def test_union_sets_one_scan(spark):
     assert u.count() == 906
     counts = {r.ord: r["count"] for r in u.groupBy("ord").count().collect()}
     assert counts == {1: 106, 2: 80, 3: 82, 4: 638}
+
+
+def test_deep_page_uses_positions(spark, monkeypatch):
+    from gridpull.operators import ordering
+
+    o = spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_orderdate")
+    order = [F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey").asc_nulls_first()]
+    shallow = {r.o_orderkey for r in ordering.page(o, order, 4, 1000).collect()}
+    monkeypatch.setattr(ordering, "TOP_K_PAGE_DEPTH", 10)
+    deep = {r.o_orderkey for r in ordering.page(o, order, 4, 1000).collect()}
+    assert deep == shallow and len(deep) == 1000
