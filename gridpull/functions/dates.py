@@ -47,17 +47,19 @@ _BOUND_RX = (
 
 
 def _parts(col) -> tuple[Column, Column]:
-    """(timestamp, has_time) of a bound cell; NULL timestamp when unreadable."""
-    s = strip_ws(col)
+    """(timestamp, has_time) of a bound cell; NULL timestamp when unreadable.
 
-    def g(i: int) -> Column:
-        return F.translate(F.regexp_extract(s, _BOUND_RX, i), "T ", "")
+    One regex replace rewrites a matching text into ``Y|m|d|H|M|S`` (the
+    month-first groups fill the same slots); one match test guards it.
+    """
+    s = strip_ws(col)
+    canon = F.split(F.regexp_replace(s, _BOUND_RX, "$1$6|$2$4|$3$5|$7|$8|$9"), r"\|")
 
-    def num(*idx: int) -> Column:
-        return F.coalesce(*[F.nullif(g(i), F.lit("")).try_cast("int") for i in idx], F.lit(0))
+    def num(i: int) -> Column:
+        return F.coalesce(F.nullif(F.translate(canon.getItem(i), "T ", ""), F.lit("")).try_cast("int"), F.lit(0))
 
-    ts = F.try_make_timestamp_ntz(num(1, 6), num(2, 4), num(3, 5), num(7), num(8), num(9))
-    return F.when(s.rlike(_BOUND_RX), ts), g(7) != F.lit("")
+    ts = F.try_make_timestamp_ntz(num(0), num(1), num(2), num(3), num(4), num(5))
+    return F.when(s.rlike(_BOUND_RX), ts), canon.getItem(3) != F.lit("")
 
 
 def parse_bound(col, is_end: bool = False) -> Column:

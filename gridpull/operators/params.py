@@ -19,49 +19,48 @@ from ..functions.text import clean_id, clean_id_ascii, is_missing
 PARAM_COLUMNS = ("sheet", "c", "id", "start", "end")
 
 
-def raw_param_cells(cells: DataFrame, mk: DataFrame, broadcast_mk: bool = True) -> DataFrame:
-    """(sheet, c, id_raw, start_raw, end_raw, start_r, end_r) for every column
-    right of the id marker. ``mk`` (one row per sheet) is broadcast when the
-    caller has checked the sheet count."""
+def raw_param_cells(cells: DataFrame, mk: DataFrame, broadcast_mk: bool = True, ascii_only: bool = False) -> DataFrame:
+    """(sheet, c, id, start, end, id_raw, start_raw, end_raw, start_r, end_r)
+    for every column right of the id marker.
+
+    The cells of the three marker rows are cleaned and parsed where they are
+    read (before the shuffle, in parallel over the cell partitions); the
+    ``groupBy(sheet, c)`` only gathers the three values of a column. ``mk``
+    (one row per sheet) is broadcast when the caller has checked the sheet
+    count.
+    """
     m = mk.select("sheet", "id_r", "id_c", "start_r", "end_r")
     m = F.broadcast(m) if broadcast_mk else m
-    r = F.col("r")
-    x = cells.join(m, "sheet").where(
-        (F.col("c") > F.col("id_c"))
-        & ((r == F.col("id_r")) | (r == F.col("start_r")) | (r == F.col("end_r")))
+    r, v = F.col("r"), F.col("v")
+    is_id, is_start, is_end = r == F.col("id_r"), r == F.col("start_r"), r == F.col("end_r")
+    cid = clean_id_ascii if ascii_only else clean_id
+    x = cells.join(m, "sheet").where((F.col("c") > F.col("id_c")) & (is_id | is_start | is_end))
+    x = x.select(
+        "sheet",
+        "c",
+        F.when(is_id, v).alias("id_raw"),
+        F.when(is_start, v).alias("start_raw"),
+        F.when(is_end, v).alias("end_raw"),
+        F.when(is_id, cid(v)).alias("id"),
+        F.when(is_start, parse_bound(v)).alias("start"),
+        F.when(is_end, parse_bound(v, is_end=True)).alias("end"),
+        "start_r",
+        "end_r",
     )
     return x.groupBy("sheet", "c").agg(
-        F.max(F.when(r == F.col("id_r"), F.col("v"))).alias("id_raw"),
-        F.max(F.when(r == F.col("start_r"), F.col("v"))).alias("start_raw"),
-        F.max(F.when(r == F.col("end_r"), F.col("v"))).alias("end_raw"),
-        F.max("start_r").alias("start_r"),
-        F.max("end_r").alias("end_r"),
+        *[F.max(c).alias(c) for c in ("id", "start", "end", "id_raw", "start_raw", "end_raw", "start_r", "end_r")]
     )
 
 
 def clean_params(raw: DataFrame, ascii_only: bool = False) -> DataFrame:
-    """Raw set cells -> (sheet, c, id, start, end, start_raw, end_raw, start_r, end_r).
-
-    Columns whose id cell is missing give no set. A missing or unreadable
-    bound is NULL, which means open.
-    """
-    cid = clean_id_ascii if ascii_only else clean_id
-    return raw.select(
-        "sheet",
-        "c",
-        cid("id_raw").alias("id"),
-        parse_bound("start_raw").alias("start"),
-        parse_bound("end_raw", is_end=True).alias("end"),
-        "start_raw",
-        "end_raw",
-        "start_r",
-        "end_r",
-    ).where(F.col("id").isNotNull())
+    """Sets only: columns whose id cell is missing give no set. A missing or
+    unreadable bound is NULL, which means open."""
+    return raw.where(F.col("id").isNotNull())
 
 
 def param_sets(cells: DataFrame, mk: DataFrame, ascii_only: bool = False, broadcast_mk: bool = True) -> DataFrame:
     """(sheet, c, id, start, end)."""
-    return clean_params(raw_param_cells(cells, mk, broadcast_mk), ascii_only).select(*PARAM_COLUMNS)
+    return clean_params(raw_param_cells(cells, mk, broadcast_mk, ascii_only)).select(*PARAM_COLUMNS)
 
 
 def param_errors(cells: DataFrame, mk: DataFrame, ascii_only: bool = False, broadcast_mk: bool = True) -> DataFrame:
@@ -70,7 +69,7 @@ def param_errors(cells: DataFrame, mk: DataFrame, ascii_only: bool = False, broa
     Such a bound is treated as open, which silently widens the set; this
     table makes that visible (and ``on_bad_bound='error'`` refuses the run).
     """
-    p = clean_params(raw_param_cells(cells, mk, broadcast_mk), ascii_only)
+    p = clean_params(raw_param_cells(cells, mk, broadcast_mk, ascii_only))
     bad_start = p.where(~is_missing("start_raw") & F.col("start").isNull()).select(
         "sheet", F.col("start_r").alias("r"), "c", F.col("start_raw").alias("v")
     )
