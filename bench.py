@@ -4,8 +4,8 @@
 
 Prints one JSON line: total seconds over the headline queries plus one
 number per query. Every query is built and then fully executed with the
-``noop`` sink (no driver collection); each is run twice and the faster run
-is reported, after a warm-up query, so JVM start-up and JIT are excluded
+``noop`` sink (no driver collection); each is run three times and the fastest
+run is reported, after a warm-up query, so JVM start-up and JIT are excluded
 (as the reference's own timings exclude its session start).
 """
 
@@ -45,7 +45,7 @@ def main() -> None:
     for name in HEADLINE:
         fn = REGISTRY[name][0]
         best = None
-        for _ in range(2):
+        for _ in range(3):
             t0 = time.perf_counter()
             df = fn(spark, sf_dir)
             df.write.format("noop").mode("overwrite").save()

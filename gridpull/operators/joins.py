@@ -229,16 +229,20 @@ def param_match(
     typed = prepared_sets(fact, params, cfg, by).select(*by, "_pid", "_ps", "_pe").distinct()
 
     if not by and strategy in ("auto", "literal"):
+        # Few sets (the usual sheet): one job fetches at most
+        # pushdown_max_sets + 1 of them; nothing is written.
         rows = take_at_most(_with_texts(typed), cfg.pushdown_max_sets)
         if rows is not None:
             return fact.where(literal_sets_predicate(rows, cfg.id_col, cfg.date_col, dtype))
         if strategy == "literal":
             raise ValueError("more sets than pushdown_max_sets for the literal strategy")
 
-    # The distinct typed sets are read by every decision below and by the
-    # join: write them once (one evaluation of e.g. a sheet's lineage).
+    # The distinct typed sets are read by the decisions below and by the
+    # join: write them once, then one small aggregate tells how many there
+    # are and their envelope.
     raw = materialize(typed)
     stats = _set_stats(raw)
+
     small = strategy == "broadcast" or (strategy == "auto" and stats["n"] <= cfg.broadcast_max_sets)
     if not small:
         # Many sets: merge without gathering a key, join on (id, time bucket).
