@@ -46,34 +46,37 @@ _BOUND_RX = (
 )
 
 
-def _parts(col) -> tuple[Column, Column]:
-    """(timestamp, has_time) of a bound cell; NULL timestamp when unreadable.
-
-    One regex replace rewrites a matching text into ``Y|m|d|H|M|S`` (the
-    month-first groups fill the same slots); one match test guards it.
-    """
+def _bound_parts(col) -> Column:
+    """Matching text -> array [Y, m, d, H, M, S] (strings, '' when absent);
+    NULL when the text does not match. One regex replace rewrites the text
+    into ``Y|m|d|H|M|S`` (month-first groups fill the same slots)."""
     s = strip_ws(col)
-    canon = F.split(F.regexp_replace(s, _BOUND_RX, "$1$6|$2$4|$3$5|$7|$8|$9"), r"\|")
+    return F.when(s.rlike(_BOUND_RX), F.split(F.regexp_replace(s, _BOUND_RX, "$1$6|$2$4|$3$5|$7|$8|$9"), r"\|"))
+
 
+def _bound_from_parts(p: Column, is_end: bool) -> Column:
     def num(i: int) -> Column:
-        return F.coalesce(F.nullif(F.translate(canon.getItem(i), "T ", ""), F.lit("")).try_cast("int"), F.lit(0))
+        return F.coalesce(F.nullif(F.translate(p.getItem(i), "T ", ""), F.lit("")).try_cast("int"), F.lit(0))
 
     ts = F.try_make_timestamp_ntz(num(0), num(1), num(2), num(3), num(4), num(5))
-    return F.when(s.rlike(_BOUND_RX), ts), canon.getItem(3) != F.lit("")
+    if is_end:
+        has_time = p.getItem(3) != F.lit("")
+        ts = ts + F.when(has_time, F.expr("INTERVAL '0' SECOND")).otherwise(
+            F.expr("INTERVAL '" + END_OF_DAY + "' HOUR TO SECOND")
+        )
+    return F.when(p.isNotNull(), ts)
 
 
 def parse_bound(col, is_end: bool = False) -> Column:
     """Sheet date cell -> timestamp_ntz, or NULL when missing / unreadable.
 
-    Date-only spellings give 00:00:00, or 23:59:59 when ``is_end``.
+    Date-only spellings give 00:00:00, or 23:59:59 when ``is_end``. The
+    parts array is bound once through ``transform`` so the regex work is
+    not repeated for every field (Spark does not share subexpressions
+    inside conditional branches).
     """
-    ts, has_time = _parts(col)
-    if is_end:
-        shift = F.when(has_time, F.expr("INTERVAL '0' SECOND")).otherwise(
-            F.expr("INTERVAL '" + END_OF_DAY + "' HOUR TO SECOND")
-        )
-        ts = ts + shift
-    return F.when(is_missing(col), F.lit(None).cast("timestamp_ntz")).otherwise(ts)
+    bound = F.element_at(F.transform(F.array(_bound_parts(col)), lambda p: _bound_from_parts(p, is_end)), 1)
+    return F.when(is_missing(col), F.lit(None).cast("timestamp_ntz")).otherwise(bound)
 
 
 def bound_unreadable(col) -> Column:
