@@ -37,11 +37,15 @@ def answer_sheet_stream(
     out_path: str,
     checkpoint_location: str,
     available_now: bool = True,
+    max_files_per_trigger: int = 1000,
 ) -> StreamingQuery:
     """Start a stream over ``folder``; every new sheet file is answered
-    against ``fact`` and written to ``out_path`` partitioned by sheet."""
+    against ``fact`` and written to ``out_path`` partitioned by sheet.
+    ``max_files_per_trigger`` bounds a micro-batch (and so the per-file
+    offsets that are broadcast inside it)."""
     stream = (
         spark.readStream.schema(grid_schema(cfg.max_cols))
+        .option("maxFilesPerTrigger", str(max_files_per_trigger))
         .option("header", "false")
         .option("multiLine", "true")
         .option("ignoreLeadingWhiteSpace", "false")
