@@ -1,12 +1,12 @@
 """Command line: answer one parameter sheet (or a folder of sheets) against
 a fact table and write the CSV result.
 
-    spark-submit -m gridpull --sheet sheets/query_params.csv \\
+    python -m gridpull --sheet sheets/query_params.csv \\
         --parquet /data/summary --out out/db_results [--id-col voyage_id] \\
         [--date-col voyage_date_voyagestart] [--tie-break id] [--date-only]
 
 ``--table schema.table`` reads a catalog table instead of Parquet. The
-session comes from the environment (``spark-submit`` settings).
+session settings come from the environment (spark-defaults, PYSPARK_SUBMIT_ARGS).
 """
 
 from __future__ import annotations
