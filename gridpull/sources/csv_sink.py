@@ -5,7 +5,8 @@
 * UTF-8 with a byte-order mark (so spreadsheets detect the encoding): the
   BOM is the first character of the first column name;
 * timestamps as ``YYYY-MM-DDTHH:MM:SS`` plus a fraction only when non-zero,
-  decimals without padding zeros (``1234.5``, ``12.0``).
+  decimals without padding zeros (``1234.5``, ``12.0``), booleans as
+  ``True`` / ``False``.
 
 Spark's output committer publishes the folder atomically. ``single_file``
 coalesces to one part only after a counted check; big results are written
@@ -35,6 +36,8 @@ def format_for_csv(df: DataFrame) -> DataFrame:
             c = iso_text_fraction(c)
         elif isinstance(f.dataType, T.DecimalType) and f.dataType.scale > 0:
             c = F.regexp_replace(c.cast("string"), r"(\.[0-9]*?[0-9])0+$", "$1")
+        elif isinstance(f.dataType, T.BooleanType):
+            c = F.when(c, F.lit("True")).when(~c, F.lit("False"))
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
