@@ -2,6 +2,7 @@
 
 from .csv_sink import format_for_csv, part_files, write_csv
 from .fact import read_jdbc, read_parquet, read_table, set_predicates_sql
+from .layout import save_bucketed, write_clustered
 from .sheet import grid_to_cells, read_sheet_cells, read_sheet_grid, sheet_shape
 
 __all__ = [
@@ -13,7 +14,9 @@ __all__ = [
     "read_sheet_cells",
     "read_sheet_grid",
     "read_table",
+    "save_bucketed",
     "set_predicates_sql",
     "sheet_shape",
+    "write_clustered",
     "write_csv",
 ]

@@ -57,3 +57,34 @@ def test_read_table_and_jdbc_predicates(spark):
         "\"voyage_id\" = 'x''y' AND \"voyage_date_voyagestart\" >= '2025-01-01T00:00:00'",
         "\"voyage_id\" = 'z'",
     ]
+
+
+def test_clustered_and_bucketed_layouts(spark, scratch):
+    import io
+    import contextlib
+
+    from gridpull.plans.catalog import LINEITEM_CFG, LINEITEM_HEADER, literal_params
+    from gridpull.plans.extract import extract_rows
+    from gridpull.sources.layout import save_bucketed, write_clustered
+
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    want = sorted((tuple(r) for r in extract_rows(li, literal_params(spark), LINEITEM_CFG, LINEITEM_HEADER).collect()), key=repr)
+
+    path = write_clustered(li, os.path.join(scratch, "li_clustered"), "l_suppkey", "l_shipdate", files=8)
+    cl = spark.read.parquet(path)
+    got = sorted((tuple(r) for r in extract_rows(cl, literal_params(spark), LINEITEM_CFG, LINEITEM_HEADER).collect()), key=repr)
+    assert got == want
+
+    spark.conf.set("spark.sql.sources.bucketing.enabled", "true")
+    # keep the scan bucketed so the plan reports the pruned bucket count
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS gp_layout LOCATION '{scratch}/wh'")
+    save_bucketed(li, "gp_layout.li_b", "l_suppkey", "l_shipdate", 16)
+    bt = spark.table("gp_layout.li_b")
+    q = extract_rows(bt, literal_params(spark), LINEITEM_CFG, LINEITEM_HEADER)
+    assert sorted((tuple(r) for r in q.collect()), key=repr) == want
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        bt.where("l_suppkey IN (3, 7, 12)").explain("formatted")
+    assert "SelectedBucketsCount: 3 out of 16" in buf.getvalue()
+    spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
