@@ -22,8 +22,25 @@ from pyspark.sql import types as T
 MAX_BROADCAST_FILES = 1_000_000
 
 
+CORRUPT = "_corrupt_record"
+
+
 def grid_schema(max_cols: int) -> T.StructType:
-    return T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(max_cols)])
+    """``max_cols`` string columns plus the reader's malformed-record column."""
+    fields = [T.StructField(f"_c{i}", T.StringType(), True) for i in range(max_cols)]
+    return T.StructType(fields + [T.StructField(CORRUPT, T.StringType(), True)])
+
+
+def width_guarded_sheet(max_cols: int, sheet: str = "sheet") -> F.Column:
+    """The sheet column, failing the job for a record wider than ``max_cols``.
+
+    A record with more fields than the schema is kept whole in the
+    malformed-record column and still fills the last column; rather than
+    silently cutting it, the read stops with an error naming the limit.
+    """
+    too_wide = F.col(CORRUPT).isNotNull() & F.col(f"_c{max_cols - 1}").isNotNull()
+    msg = F.concat(F.lit(f"sheet row wider than max_cols={max_cols}: "), F.col(sheet))
+    return F.when(too_wide, F.raise_error(msg)).otherwise(F.col(sheet)).cast("string")
 
 
 def read_sheet_grid(spark: SparkSession, paths: str | Sequence[str], max_cols: int = 256) -> DataFrame:
@@ -35,11 +52,13 @@ def read_sheet_grid(spark: SparkSession, paths: str | Sequence[str], max_cols: i
         .option("header", "false")
         .option("multiLine", "true")
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("ignoreLeadingWhiteSpace", "false")
         .option("ignoreTrailingWhiteSpace", "false")
         .csv(paths)
+        .select(F.col("_metadata.file_path").alias("sheet"), *cols, CORRUPT)
         .select(
-            F.col("_metadata.file_path").alias("sheet"),
+            width_guarded_sheet(max_cols).alias("sheet"),
             F.monotonically_increasing_id().alias("_k"),
             *cols,
         )

@@ -18,12 +18,12 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import ExtractConfig
 from ..plans.extract import batch_header, extract_rows, plan_sheets
 from ..sources.csv_sink import write_csv
-from ..sources.sheet import grid_schema, grid_to_cells
+from ..sources.sheet import CORRUPT, grid_schema, grid_to_cells, width_guarded_sheet
 
 
 def _cells_of_batch(batch: DataFrame, max_cols: int) -> DataFrame:
     cols = [f"_c{i}" for i in range(max_cols)]
-    keyed = batch.select("sheet", F.monotonically_increasing_id().alias("_k"), *cols)
+    keyed = batch.select(width_guarded_sheet(max_cols).alias("sheet"), F.monotonically_increasing_id().alias("_k"), *cols)
     first = keyed.groupBy("sheet").agg(F.min("_k").alias("_k0"))
     grid = keyed.join(F.broadcast(first), "sheet").select("sheet", (F.col("_k") - F.col("_k0")).alias("r"), *cols)
     return grid_to_cells(grid)
@@ -46,6 +46,7 @@ def answer_sheet_stream(
     stream = (
         spark.readStream.schema(grid_schema(cfg.max_cols))
         .option("maxFilesPerTrigger", str(max_files_per_trigger))
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("header", "false")
         .option("multiLine", "true")
         .option("ignoreLeadingWhiteSpace", "false")

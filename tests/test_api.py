@@ -88,3 +88,10 @@ def test_clustered_and_bucketed_layouts(spark, scratch):
         bt.where("l_suppkey IN (3, 7, 12)").explain("formatted")
     assert "SelectedBucketsCount: 3 out of 16" in buf.getvalue()
     spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+
+
+def test_too_wide_sheet_is_refused(spark, scratch):
+    p = _write(scratch, "wide.csv", "x,Header,a,b,c,d,e\n,Voyage ID,1\n")
+    with pytest.raises(Exception, match="wider than max_cols=4"):
+        read_sheet_cells(spark, p, 4).collect()
+    assert read_sheet_cells(spark, p, 8).count() == 9
