@@ -310,8 +310,11 @@ def bucketed_range_join(fact: DataFrame, merged: DataFrame, cfg: ExtractConfig,
     """
     by = list(by)
     dtype = fact.schema[cfg.date_col].dataType
-    ps, pe = F.col("_ps").cast(dtype), F.col("_pe").cast(dtype)
-    key = time_key(ps, dtype)
+    # Keys are computed in the type the range check compares in: a date
+    # column is compared with the (timestamp_ntz) bounds as a timestamp.
+    ctype = T.TimestampNTZType() if isinstance(dtype, T.DateType) else dtype
+    ps, pe = F.col("_ps").cast(ctype), F.col("_pe").cast(ctype)
+    key = time_key(ps, ctype)
     if key is None:
         s = merged.alias("s")
         f = fact.alias("f")
@@ -320,7 +323,7 @@ def bucketed_range_join(fact: DataFrame, merged: DataFrame, cfg: ExtractConfig,
         out = f.join(s, cond, how)
         return out.select(*([F.col("s." + b).alias(b) for b in by] if by else []), *[F.col("f." + c).alias(c) for c in fact.columns])
 
-    m = merged.select(*by, "_pid", ps.alias("_ps"), pe.alias("_pe"), time_key(ps, dtype).alias("_ks"), time_key(pe, dtype).alias("_ke"))
+    m = merged.select(*by, "_pid", "_ps", "_pe", time_key(ps, ctype).alias("_ks"), time_key(pe, ctype).alias("_ke"))
     stats = m.groupBy("_pid").agg(
         F.count(F.lit(1)).alias("_n"),
         F.least(F.min("_ks"), F.min("_ke")).alias("_lo"),
@@ -350,7 +353,7 @@ def bucketed_range_join(fact: DataFrame, merged: DataFrame, cfg: ExtractConfig,
     # Fact side: the one bucket of each row.
     h = hot_side.select(F.col("_pid").alias("_hid"), "_lo", "_hi", "_w")
     d = F.col(cfg.date_col)
-    dk = time_key(d, dtype)
+    dk = time_key(d.cast(ctype), ctype)
     bucket = (
         F.when(F.col("_lo").isNull(), F.lit(_COLD))
         .when(d.isNull(), F.lit(_NULLD))

@@ -240,3 +240,16 @@ def test_deep_page_uses_positions(spark, monkeypatch):
     monkeypatch.setattr(ordering, "TOP_K_PAGE_DEPTH", 10)
     deep = {r.o_orderkey for r in ordering.page(o, order, 4, 1000).collect()}
     assert deep == shallow and len(deep) == 1000
+
+
+def test_bucketed_join_on_date_column(spark):
+    """A date-typed fact column against timestamp bounds with a time part."""
+    rows = [(i % 3, dt.date(2024, 1, 1) + dt.timedelta(days=i % 40), i) for i in range(600)]
+    fact = spark.createDataFrame(rows, "k long, d date, v long")
+    sets = (("1", "2024-01-05 10:00:00", "2024-01-09 00:00:00"), ("1", "2024-01-20 00:00:00", None), ("2", None, "2024-01-03 12:00:00"))
+    p = literal_params(spark, sets)
+    cfg = ExtractConfig(id_col="k", date_col="d", tie_break=("v",), hot_id_sets=0, buckets_per_hot_id=8)
+    want = _rows(extract_rows(fact, p, cfg, ("d", "k", "v"), strategy="broadcast"))
+    got = _rows(extract_rows(fact, p, cfg, ("d", "k", "v"), strategy="shuffle"))
+    assert got == want and len(want) > 0
+    assert all(r[0] != dt.date(2024, 1, 5) or r[1] != 1 for r in want)  # 10:00 start excludes that day
