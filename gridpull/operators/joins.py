@@ -17,11 +17,13 @@ Physical strategy, chosen behind counted bounds:
 1. few sets (<= ``pushdown_max_sets``): one literal OR-of-sets filter on the
    fact scan; it reaches Parquet as pushed filters (row-group skipping) and
    needs no join at all;
-2. sets counted <= ``broadcast_max_sets``: overlapping ranges of one id are
-   merged, the merged sets are broadcast and probed by a hash join on id
-   with the range as residual; the fact side never shuffles. A distinct-id
-   envelope (``id IN …``) and the overall date envelope are added as scan
-   filters when small;
+2. sets counted <= ``broadcast_max_sets``: the sets are written once to the
+   checkpoint folder, broadcast and probed by a hash join on id with the
+   range as residual (per-group sets are first merged into disjoint ranges,
+   so the inner join is a per-group semi join); the fact side never
+   shuffles. A distinct-id envelope (``id IN …``, up to
+   ``broadcast_max_ids``) and the overall date envelope are added as scan
+   filters;
 3. otherwise: a shuffled equi join on (id, time bucket) – see
    ``bucketed_range_join`` – so that neither a hot id's fact rows nor its
    many ranges pile up in one task.
