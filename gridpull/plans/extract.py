@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..config import ExtractConfig
 from ..operators.dedup import dedup_first, dedup_keys, orderable_columns
-from ..operators.joins import param_match
+from ..operators.joins import param_match, set_counts
 from ..operators.markers import header_names, marker_errors, marker_table
 from ..operators.ordering import result_order, sort_result
 from ..operators.params import param_errors, param_sets
@@ -133,6 +133,7 @@ def run(
     cfg: ExtractConfig = ExtractConfig(),
     out_path: str | None = None,
     single_file: bool | None = None,
+    count_fetched: bool = False,
 ) -> ExtractRun:
     """Read one parameter sheet, answer its sets against ``fact`` and (when
     ``out_path`` is given) write the CSV result.
@@ -140,11 +141,16 @@ def run(
     The de-duplicated rows are written once as a table in the checkpoint
     folder; the row count, the single-file decision and the sorted CSV
     write all read that table instead of recomputing the extraction.
+    ``count_fetched`` adds the number of rows all sets fetch before
+    de-duplication (one extra pass over the id and date columns).
     """
     cells = read_sheet_cells(spark, sheet_path, cfg.max_cols)
     plan = plan_sheet(cells, cfg)
     deduped = match_dedup(fact, plan.params, cfg, plan.header)
     metrics = {}
+    if count_fetched:
+        per_set = set_counts(fact, plan.params, cfg)
+        metrics["fetched_rows"] = per_set.agg(F.sum("n_rows")).first()[0] or 0
     if out_path is not None:
         deduped = materialize(deduped)
         metrics["rows"] = deduped.count()

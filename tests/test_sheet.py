@@ -119,7 +119,8 @@ def test_end_to_end_strategies(spark, strategy, hot):
 def test_end_to_end_csv(spark, scratch):
     cfg = ExtractConfig(tie_break=("id",))
     out_dir = os.path.join(scratch, "out")
-    res = run(spark, S1, _fact(spark), cfg, out_path=out_dir, single_file=True)
+    res = run(spark, S1, _fact(spark), cfg, out_path=out_dir, single_file=True, count_fetched=True)
+    assert res.metrics == {"fetched_rows": 7, "rows": 6}
     files = part_files(out_dir)
     assert len(files) == 1
     data = open(files[0], "rb").read()
