@@ -59,9 +59,11 @@ def write_csv(
     partitions.
     """
     out = format_for_csv(df)
-    if bom and out.columns and not partition_by:
-        first = out.columns[0]
-        out = out.withColumnRenamed(first, BOM + first)
+    data_cols = [c for c in out.columns if c not in (partition_by or [])]
+    if bom and data_cols:
+        # the BOM is the first character of every part file: it leads the
+        # first written column name of the header line
+        out = out.withColumnRenamed(data_cols[0], BOM + data_cols[0])
     if single_file is None:
         single_file = count_at_most(df, single_file_max_rows) is not None
     if single_file and not partition_by:

@@ -50,3 +50,13 @@ def test_folder_stream(spark, scratch):
     assert files, "stream wrote nothing"
     back = spark.read.option("header", "true").csv(out)
     assert back.where(F.col("sheet") == "s1").count() == 6
+
+
+def test_batch_csv_parts_have_bom(spark, scratch):
+    d = _three_sheets(scratch)
+    out = os.path.join(scratch, "batch_out")
+    run_batch(spark, d, _fact(spark), CFG, out_path=out)
+    files = part_files(out)
+    assert {os.path.basename(os.path.dirname(f)) for f in files} == {"sheet=s1", "sheet=s4", "sheet=s7"}
+    for f in files:
+        assert open(f, "rb").read(3) == b"\xef\xbb\xbf"
