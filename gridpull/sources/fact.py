@@ -56,3 +56,38 @@ def set_predicates_sql(sets: Sequence[dict], id_col: str, date_col: str) -> list
             terms.append(f'"{date_col}" <= {_sql_text(s["end"])}')
         out.append(" AND ".join(terms))
     return out
+
+
+def read_jdbc_for_sets(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    params,
+    id_col: str,
+    date_col: str,
+    properties: dict | None = None,
+    max_sets: int = 50,
+):
+    """Fact rows for a handful of parameter sets straight from a database:
+    one JDBC partition per set, so the database answers the sets in
+    parallel (the per-set requests of the sheet workflow, run as one job).
+
+    ``params`` is a (id, start, end) DataFrame; at most ``max_sets`` sets are
+    taken to the driver (counted), more are refused – read the table with
+    column partitioning and use the set join instead. Overlapping sets
+    return a row once per set, which the set join and de-dup absorb.
+    """
+    from pyspark.sql import functions as F
+
+    from ..functions.dates import iso_text
+    from ..operators.sizing import take_at_most
+
+    rows = take_at_most(
+        params.select("id", iso_text("start").alias("start"), iso_text("end").alias("end")).distinct(), max_sets
+    )
+    if rows is None:
+        raise ValueError(f"more than {max_sets} sets: use a partitioned table read and the set join")
+    if not rows:
+        return None
+    preds = set_predicates_sql([r.asDict() for r in rows], id_col, date_col)
+    return read_jdbc(spark, url, table, properties, preds)
