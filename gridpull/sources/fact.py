@@ -77,8 +77,6 @@ def read_jdbc_for_sets(
     column partitioning and use the set join instead. Overlapping sets
     return a row once per set, which the set join and de-dup absorb.
     """
-    from pyspark.sql import functions as F
-
     from ..functions.dates import iso_text
     from ..operators.sizing import take_at_most
 
