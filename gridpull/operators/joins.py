@@ -228,16 +228,19 @@ def param_match(
     by = list(by)
     dtype = fact.schema[cfg.id_col].dataType
     cond_cols = fact.columns
-    typed = prepared_sets(fact, params, cfg, by).select(*by, "_pid", "_ps", "_pe").distinct()
+    typed = prepared_sets(fact, params, cfg, by).select(*by, "_pid", "_ps", "_pe")
 
     if not by and strategy in ("auto", "literal"):
-        # Few sets (the usual sheet): one job fetches at most
-        # pushdown_max_sets + 1 of them; nothing is written.
+        # Few sets (the usual sheet): one job reads at most
+        # pushdown_max_sets + 1 of them (no shuffle, stops early); nothing
+        # is written. Repeated sets collapse on the driver.
         rows = take_at_most(_with_texts(typed), cfg.pushdown_max_sets)
         if rows is not None:
-            return fact.where(literal_sets_predicate(rows, cfg.id_col, cfg.date_col, dtype))
+            unique = list({(r["_pid"], r["_ps_text"], r["_pe_text"]): r for r in rows}.values())
+            return fact.where(literal_sets_predicate(unique, cfg.id_col, cfg.date_col, dtype))
         if strategy == "literal":
             raise ValueError("more sets than pushdown_max_sets for the literal strategy")
+    typed = typed.distinct()
 
     # The distinct typed sets are read by the decisions below and by the
     # join: write them once, then one small aggregate tells how many there
