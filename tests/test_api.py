@@ -95,3 +95,45 @@ def test_too_wide_sheet_is_refused(spark, scratch):
     with pytest.raises(Exception, match="wider than max_cols=4"):
         read_sheet_cells(spark, p, 4).collect()
     assert read_sheet_cells(spark, p, 8).count() == 9
+
+
+def test_summary_schema_end_to_end(spark, scratch):
+    import datetime as dt
+    import decimal
+
+    from gridpull.config import SUMMARY_TABLE_DDL
+    from gridpull.plans.extract import run
+    from gridpull.sources import part_files
+
+    D = decimal.Decimal
+    T = dt.datetime
+    names = [f.split()[0] for f in SUMMARY_TABLE_DDL.split(", ")]
+    base = {n: None for n in names}
+    rows = []
+    for i, (vid, d, rate) in enumerate(
+        [
+            ("250101/AAA/BBB", T(2025, 7, 3), D("1234.50")),
+            ("250101/AAA/BBB", T(2025, 7, 3), D("9.99")),  # same key: id 1 survives
+            ("250202/CCC DDD", T(2025, 8, 17, 12), D("12.00")),
+            ("250303/EEE", None, None),
+        ]
+    ):
+        r = dict(base, id=i + 1, voyage_id=vid, voyage_date_voyagestart=d, voyage_rate_usd_24hrgross=rate)
+        rows.append(tuple(r[n] for n in names))
+    fact = spark.createDataFrame(rows, SUMMARY_TABLE_DDL)
+    sheet = _write(
+        scratch,
+        "summary.csv",
+        ",Header,Voyage_Date VoyageStart,voyage_id,Voyage Rate USD 24HRGross,unknown col\n"
+        ",StartDate,7/1/2025\n,EndDate,2025-12-31\n,Voyage ID,250101/AAA/BBB,250202/CCC DDD,250303/EEE\n",
+    )
+    out = os.path.join(scratch, "summary_out")
+    res = run(spark, sheet, fact, ExtractConfig(tie_break=("id",)), out_path=out, single_file=True)
+    assert res.plan.header == ["voyage_date_voyagestart", "voyage_id", "voyage_rate_usd_24hrgross", "unknown_col"]
+    text = open(part_files(out)[0], encoding="utf-8-sig").read()
+    assert text == (
+        "voyage_date_voyagestart,voyage_id,voyage_rate_usd_24hrgross,unknown_col\n"
+        "2025-07-03T00:00:00,250101/AAA/BBB,1234.5,\n"
+        "2025-08-17T12:00:00,250202/CCC DDD,12.0,\n"
+        ",250303/EEE,,\n"  # open set: the NULL-date row matches and sorts last
+    )
