@@ -5,8 +5,9 @@
 * UTF-8 with a byte-order mark (so spreadsheets detect the encoding): the
   BOM is the first character of the first column name;
 * timestamps as ``YYYY-MM-DDTHH:MM:SS`` plus a fraction only when non-zero,
-  decimals without padding zeros (``1234.5``, ``12.0``), booleans as
-  ``True`` / ``False``.
+  decimals without padding zeros (``1234.5``, ``12.0``), doubles as
+  Python prints them (``10000000.0``, ``1e-05``), booleans as ``True`` /
+  ``False``.
 
 Spark's output committer publishes the folder atomically. ``single_file``
 coalesces to one part only after a counted check; big results are written
@@ -28,6 +29,48 @@ from ..operators.sizing import count_at_most
 BOM = "\ufeff"
 
 
+_JAVA_SCI = r"^(-?)([0-9])\.([0-9]+)E(-?[0-9]+)$"
+
+
+def python_float_text(c) -> F.Column:
+    """double -> the text Python's ``repr`` gives (what a pandas CSV holds).
+
+    Spark prints doubles like Java: scientific from 1e7 and below 1e-3.
+    Python prints plainly from 1e-4 up to 1e16 and writes exponents as
+    ``e+16`` / ``e-05``; NaN and infinities are ``nan`` / ``inf``.
+    """
+    s = c.cast("string")
+    sign = F.regexp_extract(s, _JAVA_SCI, 1)
+    d0 = F.regexp_extract(s, _JAVA_SCI, 2)
+    frac = F.regexp_extract(s, _JAVA_SCI, 3)
+    e = F.regexp_extract(s, _JAVA_SCI, 4).try_cast("int")
+    frac = F.when(frac == F.lit("0"), F.lit("")).otherwise(frac)
+    digits = F.concat(d0, frac)
+    width = e + F.lit(1)
+    big = F.when(
+        F.length(digits) <= width, F.concat(sign, F.rpad(digits, width, "0"), F.lit(".0"))
+    ).otherwise(F.concat(sign, F.substring(digits, F.lit(1), width), F.lit("."), F.substring(digits, width + 1, F.lit(400))))
+    tiny = F.concat(sign, F.lit("0.000"), digits)
+    sci = F.concat(
+        sign,
+        d0,
+        F.when(frac != F.lit(""), F.concat(F.lit("."), frac)).otherwise(F.lit("")),
+        F.lit("e"),
+        F.when(e < 0, F.lit("-")).otherwise(F.lit("+")),
+        F.when(F.abs(e) < 10, F.lit("0")).otherwise(F.lit("")),  # at least two exponent digits
+        F.abs(e).cast("string"),
+    )
+    return (
+        F.when(s == F.lit("NaN"), F.lit("nan"))
+        .when(s == F.lit("Infinity"), F.lit("inf"))
+        .when(s == F.lit("-Infinity"), F.lit("-inf"))
+        .when(~s.rlike(_JAVA_SCI), s)
+        .when((e >= 7) & (e < 16), big)
+        .when(e == -4, tiny)
+        .otherwise(sci)
+    )
+
+
 def format_for_csv(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
@@ -36,6 +79,8 @@ def format_for_csv(df: DataFrame) -> DataFrame:
             c = iso_text_fraction(c)
         elif isinstance(f.dataType, T.DecimalType) and f.dataType.scale > 0:
             c = F.regexp_replace(c.cast("string"), r"(\.[0-9]*?[0-9])0+$", "$1")
+        elif isinstance(f.dataType, T.DoubleType):
+            c = python_float_text(c)
         elif isinstance(f.dataType, T.BooleanType):
             c = F.when(c, F.lit("True")).when(~c, F.lit("False"))
         cols.append(c.alias(f.name))

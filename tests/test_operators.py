@@ -253,3 +253,13 @@ def test_bucketed_join_on_date_column(spark):
     got = _rows(extract_rows(fact, p, cfg, ("d", "k", "v"), strategy="shuffle"))
     assert got == want and len(want) > 0
     assert all(r[0] != dt.date(2024, 1, 5) or r[1] != 1 for r in want)  # 10:00 start excludes that day
+
+
+def test_python_float_text(spark):
+    from gridpull.sources.csv_sink import python_float_text
+
+    vals = [0.0, -0.0, 1.5, 123.45, 1234567.0, 1e7, 12345678.9, 1.5e15, 1e16, 1.2345e20, 1e100, 0.001, 0.0001,
+            0.00015, 1e-05, 1.5e-07, -2.5e-10, -31234567.25, float("nan"), float("inf"), float("-inf"), 473274.17]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v double")
+    got = [r.o for r in df.select("i", python_float_text(F.col("v")).alias("o")).orderBy("i").collect()]
+    assert got == [repr(v) for v in vals]
