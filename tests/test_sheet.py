@@ -145,3 +145,23 @@ def test_zero_sets_gives_header_only(spark, scratch):
     run(spark, sheet, _fact(spark), ExtractConfig(tie_break=("id",)), out_path=out_dir, single_file=True)
     body = open(part_files(out_dir)[0], encoding="utf-8-sig").read()
     assert body == "voyage_id,voyage_date_voyagestart\n"
+
+
+def test_header_without_keys_and_duplicate_sets(spark, scratch):
+    from gridpull.plans.extract import extract_rows
+
+    cfg = ExtractConfig(tie_break=("id",))
+    # S-9: neither id nor date is asked for; both still drive the match and de-dup.
+    s9 = _write(scratch, "s9.csv", ",Header,voyage_expense_desc\n,StartDate,2025-07-03\n,EndDate,2025-07-10 00:00\n,Voyage ID,250101/AAA/BBB\n")
+    p9 = plan_sheet(read_sheet_cells(spark, s9, 8), cfg)
+    out9 = extract_rows(_fact(spark), p9.params, cfg, p9.header)
+    assert out9.columns == ["voyage_expense_desc"]
+    assert [r.voyage_expense_desc for r in out9.collect()] == ["a", "b"]
+    # S-10: a repeated set changes nothing.
+    one = _write(scratch, "s10a.csv", ",Header,id\n,StartDate,8/12/2025\n,EndDate,2025-08-17\n,Voyage ID,250202/CCC DDD\n")
+    two = _write(scratch, "s10b.csv", ",Header,id\n,StartDate,8/12/2025,8/12/2025\n,EndDate,2025-08-17,2025-08-17\n,Voyage ID,250202/CCC DDD,250202/CCC DDD\n")
+    res = []
+    for path in (one, two):
+        p = plan_sheet(read_sheet_cells(spark, path, 8), cfg)
+        res.append([r.id for r in extract_rows(_fact(spark), p.params, cfg, p.header).collect()])
+    assert res[0] == res[1] == [4]
