@@ -95,6 +95,10 @@ def match_dedup(
 ) -> DataFrame:
     """Semi join -> de-dup: one row per (by, id, date), unordered, with the
     header columns the table has plus the keys."""
+    have = {c.lower() for c in fact.columns}
+    missing = [c for c in (cfg.id_col, cfg.date_col, *cfg.tie_break) if c.lower() not in have]
+    if missing:
+        raise ValueError(f"fact table lacks configured column(s) {missing}; it has {fact.columns}")
     wanted = select_list(header, cfg.id_col, cfg.date_col) + list(cfg.tie_break)
     pruned = read_columns(fact, wanted)
     matched = param_match(pruned, params, cfg, by=by, strategy=strategy)

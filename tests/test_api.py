@@ -137,3 +137,12 @@ def test_summary_schema_end_to_end(spark, scratch):
         "2025-08-17T12:00:00,250202/CCC DDD,12.0,\n"
         ",250303/EEE,,\n"  # open set: the NULL-date row matches and sorts last
     )
+
+
+def test_missing_config_columns_are_reported(spark):
+    from gridpull.plans.extract import extract_rows
+    from gridpull.plans.catalog import literal_params
+
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    with pytest.raises(ValueError, match="lacks configured column"):
+        extract_rows(o, literal_params(spark), ExtractConfig(id_col="o_custkey", date_col="nope"), ["o_orderkey"])
