@@ -40,6 +40,7 @@ from pyspark.sql import types as T
 
 from ..config import ExtractConfig
 from ..functions.dates import day_start
+from .projection import column_type
 from .sizing import broadcast_if_small, count_at_most, materialize, take_at_most
 
 _FAR_FUTURE = "9999-12-31 23:59:59.999999"
@@ -61,7 +62,7 @@ def range_ok(d: Column, start: Column, end: Column) -> Column:
 
 def prepared_sets(fact: DataFrame, params: DataFrame, cfg: ExtractConfig, by: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
     """params -> (*by, *keep, _pid, _ps, _pe) typed for the fact columns."""
-    dtype = fact.schema[cfg.id_col].dataType
+    dtype = column_type(fact, cfg.id_col)
     ps, pe = F.col("start"), F.col("end")
     if cfg.date_only:
         ps, pe = day_start(ps), day_start(pe)
@@ -200,7 +201,7 @@ def _envelope(fact: DataFrame, sets: DataFrame, stats, cfg: ExtractConfig) -> Da
     """Add scan-level filters implied by all sets together: id IN (ids) when
     the distinct ids are few, and the overall [min start, max end] when every
     set is bounded on that side. Pure pre-filters: the join stays exact."""
-    dtype = fact.schema[cfg.id_col].dataType
+    dtype = column_type(fact, cfg.id_col)
     out = fact
     if stats["n_ids"] <= cfg.broadcast_max_ids:
         vals = [r["_pid"] for r in sets.select("_pid").distinct().collect()]
@@ -226,7 +227,7 @@ def param_match(
     'shuffle' (forcing is for tests and plan inspection).
     """
     by = list(by)
-    dtype = fact.schema[cfg.id_col].dataType
+    dtype = column_type(fact, cfg.id_col)
     cond_cols = fact.columns
     typed = prepared_sets(fact, params, cfg, by).select(*by, "_pid", "_ps", "_pe")
 
@@ -314,7 +315,7 @@ def bucketed_range_join(fact: DataFrame, merged: DataFrame, cfg: ExtractConfig,
     range containing a date always covers that date's bucket.
     """
     by = list(by)
-    dtype = fact.schema[cfg.date_col].dataType
+    dtype = column_type(fact, cfg.date_col)
     # Keys are computed in the type the range check compares in: a date
     # column is compared with the (timestamp_ntz) bounds as a timestamp.
     ctype = T.TimestampNTZType() if isinstance(dtype, T.DateType) else dtype
@@ -426,7 +427,7 @@ def union_sets(fact: DataFrame, params_rows: Sequence[dict], cfg: ExtractConfig)
 
     Computed in one scan: the OR of all sets is pushed to the scan, and each
     surviving row is emitted once per set it satisfies."""
-    dtype = fact.schema[cfg.id_col].dataType
+    dtype = column_type(fact, cfg.id_col)
     d = F.col(cfg.date_col)
     conds = []
     for p in params_rows:
@@ -449,7 +450,7 @@ def ids_present(fact: DataFrame, params: DataFrame, cfg: ExtractConfig) -> DataF
     The fact scan is semi-joined with the (broadcast, counted) id list and
     de-duplicated with a partial aggregate, so only <= #ids rows shuffle.
     """
-    dtype = fact.schema[cfg.id_col].dataType
+    dtype = column_type(fact, cfg.id_col)
     ids = params.select(F.col("id"), typed_id(F.col("id"), dtype).alias("_pid")).where(F.col("_pid").isNotNull()).distinct()
     side, _ = broadcast_if_small(ids.select("_pid").distinct(), cfg.broadcast_max_sets)
     found = (

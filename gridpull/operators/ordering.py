@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import PAGE_SIZE, PROBE_LIMIT
+from .projection import column_type
 from .sizing import materialize
 
 
@@ -78,5 +79,5 @@ def page(df: DataFrame, order: Sequence[Column], page_no: int, size: int = PAGE_
 
 def probe_limit(fact: DataFrame, id_col: str, id_value, order: Sequence[Column], n: int = PROBE_LIMIT) -> DataFrame:
     """First ``n`` rows of one id – the smoke probe, with a defined order."""
-    dtype = fact.schema[id_col].dataType
+    dtype = column_type(fact, id_col)
     return fact.where(F.col(id_col) == F.lit(id_value).try_cast(dtype)).orderBy(*order).limit(n)

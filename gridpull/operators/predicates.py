@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .projection import column_type
+
 
 def eq(col: str, value, dtype=None) -> Column:
     """col = value (NULL never matches); the literal takes the column type."""
@@ -36,7 +38,7 @@ def date_clause(date_col: str, start=None, end=None) -> Column:
 def _cond(df: DataFrame | None, col: str, op: str, value) -> Column:
     op = op.lower()
     if op in ("=", "eq"):
-        dtype = df.schema[col].dataType if df is not None else None
+        dtype = column_type(df, col) if df is not None else None
         return eq(col, value, dtype)
     if op == "like":
         return F.col(col).like(str(value))

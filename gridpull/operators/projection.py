@@ -23,6 +23,15 @@ def _lookup(df: DataFrame) -> dict[str, str]:
     return {c.lower(): c for c in df.columns}
 
 
+def column_type(df: DataFrame, name: str) -> T.DataType:
+    """Data type of ``name`` in ``df``, matched case-insensitively like Spark."""
+    by_name = {f.name.lower(): f.dataType for f in df.schema.fields}
+    try:
+        return by_name[name.lower()]
+    except KeyError:
+        raise ValueError(f"column {name!r} not in {df.columns}") from None
+
+
 def project(df: DataFrame, header: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Exactly ``header`` in order (repeats allowed); a name the frame does
     not have becomes the constant ''. ``keep`` columns (e.g. ``sheet``) lead."""
