@@ -33,7 +33,7 @@ from ..operators.ordering import page, probe_limit, with_position
 from ..operators.params import param_errors, param_sets
 from ..operators.predicates import date_clause, eq, or_groups
 from ..operators.projection import conform, schema_for
-from ..operators.sizing import count_at_most, materialize
+from ..operators.sizing import materialize, take_at_most
 from ..session import ensure_checkpoint_dir
 from ..sources.csv_sink import write_csv
 from ..sources.sheet import sheet_shape
@@ -712,10 +712,14 @@ params AS (SELECT sheet, c, {cid} AS id, {ps} AS "start", {pe} AS "end", start_r
 
 def _segment_plan(spark, sf):
     """Cells and marker rows of the derived sheets; the marker table (one row
-    per sheet) is written once and broadcast only behind a counted bound."""
+    per sheet) becomes a local table behind a counted bound, else it is
+    written once and joined without a broadcast."""
     cells = segment_sheet_cells(spark, sf)
-    mk = materialize(marker_table(cells))
-    return cells, mk, count_at_most(mk, ORDERS_CFG.broadcast_max_sheets) is not None
+    mk = marker_table(cells)
+    rows = take_at_most(mk, ORDERS_CFG.broadcast_max_sheets)
+    if rows is None:
+        return cells, materialize(mk), False
+    return cells, spark.createDataFrame(rows, mk.schema), True
 
 
 def q_sheet_cells(spark, sf):

@@ -26,7 +26,7 @@ from ..operators.markers import header_names, marker_errors, marker_table
 from ..operators.ordering import result_order, sort_result
 from ..operators.params import param_errors, param_sets
 from ..operators.projection import project, read_columns, select_list
-from ..operators.sizing import count_at_most, materialize, take_at_most
+from ..operators.sizing import materialize, take_at_most
 from ..sources.csv_sink import write_csv
 from ..sources.sheet import read_sheet_cells
 
@@ -63,6 +63,8 @@ def plan_sheet(cells: DataFrame, cfg: ExtractConfig, max_sheets: int = 1) -> She
         raise SheetError("Header marker not found")
     if rows[0]["id_r"] is None:
         raise SheetError("Voyage ID marker not found")
+    # the fetched marker row becomes a local table: not recomputed below
+    mk = cells.sparkSession.createDataFrame(rows, mk.schema)
     names = header_names(cells, mk, cfg.labels, cfg.omit_bound_headers)
     # One sheet row of names: bounded by the sheet width (max_cols).
     header = [r["name"] for r in names.orderBy("c").collect()]
@@ -172,11 +174,15 @@ def run(
 def plan_sheets(cells: DataFrame, cfg: ExtractConfig) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Batch form for many sheets in one job: (markers, header names, params,
     sheet errors), all distributed and keyed by ``sheet``."""
-    mk = materialize(marker_table(cells, cfg.labels))
+    mk = marker_table(cells, cfg.labels)
+    # One row per sheet. Up to broadcast_max_sheets of them are fetched in one
+    # job and become a local table (broadcast for free); more stay a written
+    # table joined without a broadcast.
+    rows = take_at_most(mk, cfg.broadcast_max_sheets)
+    few = rows is not None
+    mk = cells.sparkSession.createDataFrame(rows, mk.schema) if few else materialize(mk)
     errs = marker_errors(mk)
     ok = mk.where(F.col("header_r").isNotNull() & F.col("id_r").isNotNull())
-    # one row per sheet: broadcast only behind a counted bound
-    few = count_at_most(ok, cfg.broadcast_max_sheets) is not None
     names = header_names(cells, ok, cfg.labels, cfg.omit_bound_headers, broadcast_mk=few)
     params = param_sets(cells, ok, broadcast_mk=few)
     return ok, names, params, errs
