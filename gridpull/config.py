@@ -81,6 +81,8 @@ class ExtractConfig:
                         number is at most this; beyond it the join shuffles.
     broadcast_max_ids   distinct-id envelope pushed to the scan only up to
                         this many ids.
+    window_merge_max_per_key  ranges of one key merged by a per-key window up
+                        to this many (counted); beyond it the balanced merge.
     hot_id_sets         in the shuffled set join, ids with more merged ranges
                         than this are joined on (id, time bucket).
     buckets_per_hot_id  at most this many time buckets per hot id.
@@ -100,6 +102,7 @@ class ExtractConfig:
     pushdown_max_sets: int = 50
     broadcast_max_sets: int = 200_000
     broadcast_max_ids: int = 1_000
+    window_merge_max_per_key: int = 1_000_000
     hot_id_sets: int = 64
     buckets_per_hot_id: int = 4096
     broadcast_max_sheets: int = 100_000

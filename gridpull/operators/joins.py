@@ -251,8 +251,13 @@ def param_match(
 
     small = strategy == "broadcast" or (strategy == "auto" and stats["n"] <= cfg.broadcast_max_sets)
     if not small:
-        # Many sets: merge without gathering a key, join on (id, time bucket).
-        merged = materialize(merge_ranges_balanced(raw, [*by, "_pid"]))
+        # Many sets: merge (a per-key window unless one key holds more than
+        # window_merge_max_per_key ranges, then without gathering a key) and
+        # join on (id, time bucket).
+        keys = [*by, "_pid"]
+        per_key = raw.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        merge = merge_ranges if per_key <= cfg.window_merge_max_per_key else merge_ranges_balanced
+        merged = materialize(merge(raw, keys))
         return bucketed_range_join(fact, merged, cfg, by)
     if by:
         # Per-group inner join: disjoint ranges per (group, id) make it a
