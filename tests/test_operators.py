@@ -263,3 +263,12 @@ def test_python_float_text(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v double")
     got = [r.o for r in df.select("i", python_float_text(F.col("v")).alias("o")).orderBy("i").collect()]
     assert got == [repr(v) for v in vals]
+
+
+def test_shuffle_path_with_balanced_merge(spark):
+    li = _li(spark)
+    p = literal_params(spark, _random_sets(300, 21))
+    cfg = LINEITEM_CFG.with_(hot_id_sets=3, buckets_per_hot_id=64, window_merge_max_per_key=0)
+    want = _rows(extract_rows(li, p, cfg, LINEITEM_HEADER, strategy="broadcast"))
+    got = _rows(extract_rows(li, p, cfg, LINEITEM_HEADER, strategy="shuffle"))
+    assert got == want and len(want) > 0
