@@ -60,3 +60,14 @@ def test_batch_csv_parts_have_bom(spark, scratch):
     assert {os.path.basename(os.path.dirname(f)) for f in files} == {"sheet=s1", "sheet=s4", "sheet=s7"}
     for f in files:
         assert open(f, "rb").read(3) == b"\xef\xbb\xbf"
+
+
+def test_batch_reports_broken_sheets(spark, scratch):
+    d = _three_sheets(scratch)
+    body = _s1_text().splitlines()
+    _write(d, "broken.csv", "\n".join(l for l in body if ",Header," not in l) + "\n")
+    result, errs = run_batch(spark, d, _fact(spark), CFG)
+    bad = [(os.path.basename(r.sheet), r.error) for r in errs.collect()]
+    assert bad == [("broken.csv", "Header marker not found")]
+    sheets = {os.path.basename(r.sheet) for r in result.select("sheet").distinct().collect()}
+    assert sheets == {"s1.csv", "s4.csv", "s7.csv"}
