@@ -20,6 +20,7 @@ from ..config import Labels
 from ..functions.text import is_missing, norm_label, norm_label_py, sanitize_name
 
 ROLES = ("header", "start", "end", "id")
+NON_ASCII = r"[^\x00-\x7F]"
 
 
 def marker_scan(cells: DataFrame, labels: Labels = Labels()) -> DataFrame:
@@ -48,10 +49,14 @@ def marker_table(cells: DataFrame, labels: Labels = Labels()) -> DataFrame:
         *[F.min(F.when(F.col("n") == keys[role], rc)).alias(role) for role in ROLES],
     )
     per_sheet = per_col.where(F.col("_anchor")).groupBy("sheet").agg(*[F.min(role).alias(role) for role in ROLES])
+    # Every sheet gets a row (a sheet without any label is reported as
+    # lacking its markers), with a flag telling whether any cell is
+    # non-ASCII: only then does text need the NFKC step.
+    flags = cells.groupBy("sheet").agg(F.max(F.col("v").rlike(NON_ASCII)).alias("non_ascii"))
     cols = []
     for role in ROLES:
         cols += [F.col(f"{role}.r").alias(f"{role}_r"), F.col(f"{role}.c").alias(f"{role}_c")]
-    return per_sheet.select("sheet", *cols)
+    return flags.join(per_sheet, "sheet", "left").select("sheet", *cols, "non_ascii")
 
 
 def find_markers(cells: DataFrame, labels: Labels = Labels()) -> DataFrame:
@@ -79,6 +84,7 @@ def header_names(
     labels: Labels = Labels(),
     omit_bound_headers: bool = True,
     broadcast_mk: bool = True,
+    ascii_only: bool = False,
 ) -> DataFrame:
     """(sheet, c, name): sanitized names right of the Header marker, in column order.
 
@@ -91,7 +97,7 @@ def header_names(
     h = (
         cells.join(F.broadcast(m) if broadcast_mk else m, "sheet")
         .where((F.col("r") == F.col("header_r")) & (F.col("c") > F.col("header_c")) & ~is_missing("v"))
-        .select("sheet", "c", sanitize_name("v").alias("name"))
+        .select("sheet", "c", sanitize_name("v", nfkc_text=not ascii_only).alias("name"))
     )
     if omit_bound_headers:
         drop = [norm_label_py(labels.start), norm_label_py(labels.end)]

@@ -64,14 +64,15 @@ def plan_sheet(cells: DataFrame, cfg: ExtractConfig, max_sheets: int = 1) -> She
     if rows[0]["id_r"] is None:
         raise SheetError("Voyage ID marker not found")
     # the fetched marker row becomes a local table: not recomputed below
+    ascii_only = not rows[0]["non_ascii"]
     mk = cells.sparkSession.createDataFrame(rows, mk.schema)
-    names = header_names(cells, mk, cfg.labels, cfg.omit_bound_headers)
+    names = header_names(cells, mk, cfg.labels, cfg.omit_bound_headers, ascii_only=ascii_only)
     # One sheet row of names: bounded by the sheet width (max_cols).
     header = [r["name"] for r in names.orderBy("c").collect()]
     if not header:
         raise SheetError("Header row found but no DB column names to the right.")
-    params = param_sets(cells, mk)
-    errors = param_errors(cells, mk)
+    params = param_sets(cells, mk, ascii_only=ascii_only)
+    errors = param_errors(cells, mk, ascii_only=ascii_only)
     if cfg.on_bad_bound == "error":
         bad = take_at_most(errors, 20)
         if bad is None or bad:
@@ -180,11 +181,13 @@ def plan_sheets(cells: DataFrame, cfg: ExtractConfig) -> tuple[DataFrame, DataFr
     # table joined without a broadcast.
     rows = take_at_most(mk, cfg.broadcast_max_sheets)
     few = rows is not None
+    # NFKC (a Python step) only when some sheet holds non-ASCII text
+    ascii_only = few and not any(r["non_ascii"] for r in rows)
     mk = cells.sparkSession.createDataFrame(rows, mk.schema) if few else materialize(mk)
     errs = marker_errors(mk)
     ok = mk.where(F.col("header_r").isNotNull() & F.col("id_r").isNotNull())
-    names = header_names(cells, ok, cfg.labels, cfg.omit_bound_headers, broadcast_mk=few)
-    params = param_sets(cells, ok, broadcast_mk=few)
+    names = header_names(cells, ok, cfg.labels, cfg.omit_bound_headers, broadcast_mk=few, ascii_only=ascii_only)
+    params = param_sets(cells, ok, broadcast_mk=few, ascii_only=ascii_only)
     return ok, names, params, errs
 
 

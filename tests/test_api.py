@@ -146,3 +146,22 @@ def test_missing_config_columns_are_reported(spark):
     o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     with pytest.raises(ValueError, match="lacks configured column"):
         extract_rows(o, literal_params(spark), ExtractConfig(id_col="o_custkey", date_col="nope"), ["o_orderkey"])
+
+
+def test_non_ascii_sheet_goes_through_nfkc(spark, scratch):
+    p = _write(scratch, "wide_chars.csv", ",Header,Ｒａｔｅ USD,voyage_id\n,StartDate,2025-01-01\n,Voyage ID,ＡＢ１,' x  y '\n")
+    plan = plan_sheet(read_sheet_cells(spark, p, 8), ExtractConfig())
+    assert plan.header == ["rate_usd", "voyage_id"]
+    assert sorted(r.id for r in plan.params.collect()) == [" x y ", "AB1"]  # blanks inside quotes stay
+
+
+def test_sheet_without_labels_is_reported(spark, scratch):
+    from gridpull.plans.extract import plan_sheets
+
+    d = os.path.join(scratch, "two")
+    os.makedirs(d)
+    _write(d, "ok.csv", ",Header,a\n,StartDate,2025-01-01\n,Voyage ID,k\n")
+    _write(d, "plain.csv", "just,some,numbers\n1,2,3\n")
+    mk, names, params, errs = plan_sheets(read_sheet_cells(spark, d, 8), ExtractConfig())
+    assert [(os.path.basename(r.sheet), r.error) for r in errs.collect()] == [("plain.csv", "Header marker not found")]
+    assert [r.id for r in params.collect()] == ["k"]
