@@ -41,7 +41,12 @@ class SheetPlan:
     markers: DataFrame
     header: list[str]
     params: DataFrame
-    errors: DataFrame
+    ascii_only: bool = False
+
+    @property
+    def errors(self) -> DataFrame:
+        """(sheet, r, c, v) of filled bound cells that could not be read."""
+        return param_errors(self.cells, self.markers, ascii_only=self.ascii_only)
 
 
 @dataclass
@@ -67,17 +72,18 @@ def plan_sheet(cells: DataFrame, cfg: ExtractConfig, max_sheets: int = 1) -> She
     ascii_only = not rows[0]["non_ascii"]
     mk = cells.sparkSession.createDataFrame(rows, mk.schema)
     names = header_names(cells, mk, cfg.labels, cfg.omit_bound_headers, ascii_only=ascii_only)
-    # One sheet row of names: bounded by the sheet width (max_cols).
-    header = [r["name"] for r in names.orderBy("c").collect()]
+    # One sheet row of names: bounded by the sheet width (max_cols), so it
+    # is fetched as is and put in column order here.
+    header = [r["name"] for r in sorted(names.collect(), key=lambda r: r["c"])]
     if not header:
         raise SheetError("Header row found but no DB column names to the right.")
     params = param_sets(cells, mk, ascii_only=ascii_only)
-    errors = param_errors(cells, mk, ascii_only=ascii_only)
+    plan = SheetPlan(cells, mk, header, params, ascii_only)
     if cfg.on_bad_bound == "error":
-        bad = take_at_most(errors, 20)
+        bad = take_at_most(plan.errors, 20)
         if bad is None or bad:
             raise SheetError(f"unreadable date bounds: {bad if bad is not None else 'more than 20'}")
-    return SheetPlan(cells, mk, header, params, errors)
+    return plan
 
 
 def survivor_order(fact: DataFrame, cfg: ExtractConfig, keys: Sequence[str]) -> list[str]:

@@ -43,9 +43,27 @@ def width_guarded_sheet(max_cols: int, sheet: str = "sheet") -> F.Column:
     return F.when(too_wide, F.raise_error(msg)).otherwise(F.col(sheet)).cast("string")
 
 
+def sheet_width(spark: SparkSession, paths: Sequence[str], max_cols: int) -> int:
+    """Columns needed for the sheets: the widest line's field count when no
+    line holds a quote (then every comma separates fields), else
+    ``max_cols``. One small job over the raw lines; a narrow schema keeps
+    planning and code generation cheap for typical sheets."""
+    lines = spark.read.text(list(paths))
+    agg = lines.agg(
+        F.max(F.size(F.split("value", ",", -1))).alias("w"),
+        F.max(F.col("value").contains('"').cast("int")).alias("q"),
+    ).first()
+    if agg is None or agg["w"] is None:
+        return 1
+    if agg["q"]:
+        return max_cols
+    return max(1, min(max_cols, agg["w"]))
+
+
 def read_sheet_grid(spark: SparkSession, paths: str | Sequence[str], max_cols: int = 256) -> DataFrame:
-    """(sheet, r, _c0 .. _c{max_cols-1}) – one row per CSV record."""
+    """(sheet, r, _c0 .. _c{w-1}) – one row per CSV record, ``w`` ≤ ``max_cols``."""
     paths = [paths] if isinstance(paths, str) else list(paths)
+    max_cols = sheet_width(spark, paths, max_cols)
     cols = [f"_c{i}" for i in range(max_cols)]
     raw = (
         spark.read.schema(grid_schema(max_cols))
