@@ -128,3 +128,8 @@ def test_iso_fraction_and_coerce(spark):
     )
     rows = df.select(iso_text_fraction(coerce_ts("v")).alias("o")).collect()
     assert [r.o for r in rows] == ["2024-01-01T00:00:00.5", "2025-07-03T00:00:00", None, "2025-07-03T00:00:00"]
+
+
+def test_norm_label_case_folding(spark):
+    vals = ["Straße", "ﬁle ID", "ſtartDate", "HEADER", "J̌oin"]
+    assert _apply(spark, vals, norm_label) == ["strasse", "file_id", "startdate", "header", "join"]
