@@ -6,9 +6,10 @@
          -> de-duplicate on (id, date) with a deterministic survivor
          -> sort (date, id) -> project to the header -> CSV
 
-The only values that reach the driver are the marker positions of the sheet
-(four cells), the header names (one sheet row) and, when the sets are few,
-the sets themselves as literals for scan pushdown – all counted and bounded.
+The only values that reach the driver are the marker rows (one per sheet,
+counted), the header names (one sheet row; for a batch, the distinct names,
+refused above a bound) and, when the sets are few, the sets themselves as
+literals for scan pushdown – all counted and bounded.
 """
 
 from __future__ import annotations
