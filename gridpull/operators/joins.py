@@ -341,12 +341,16 @@ def bucketed_range_join(fact: DataFrame, merged: DataFrame, cfg: ExtractConfig,
         F.greatest(F.max("_ks"), F.max("_ke")).alias("_hi"),
     )
     width = F.greatest(F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.lit(cfg.buckets_per_hot_id)), F.lit(1)).cast("long")
-    hot = materialize(
-        stats.where((F.col("_n") > cfg.hot_id_sets) & F.col("_lo").isNotNull()).select(
-            "_pid", "_lo", "_hi", width.alias("_w")
-        )
+    hot_q = stats.where((F.col("_n") > cfg.hot_id_sets) & F.col("_lo").isNotNull()).select(
+        "_pid", "_lo", "_hi", width.alias("_w")
     )
-    hot_side, _ = broadcast_if_small(hot, cfg.broadcast_max_sets)
+    # Few hot ids (the usual case) come back in one job as a local table;
+    # more are written once and broadcast only behind a counted bound.
+    rows = take_at_most(hot_q, cfg.broadcast_max_ids)
+    if rows is not None:
+        hot_side = F.broadcast(fact.sparkSession.createDataFrame(rows, hot_q.schema))
+    else:
+        hot_side, _ = broadcast_if_small(materialize(hot_q), cfg.broadcast_max_sets)
 
     # Parameter side: one row per (range, bucket it covers).
     nb = F.floor((F.col("_hi") - F.col("_lo")) / F.col("_w")).cast("long")
