@@ -122,7 +122,14 @@ def merge_ranges_balanced(sets: DataFrame, keys: Sequence[str], partitions: int
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     ks_w = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
 
-    bounds = F.broadcast(ordered.groupBy("_part").agg(F.min(kstruct).alias("_fk"), F.max(kstruct).alias("_lk")))
+    spark = sets.sparkSession
+
+    def local(df: DataFrame) -> DataFrame:
+        # per-partition summaries: at most a few rows per partition, fetched
+        # once and used as a local (free to broadcast) table
+        return F.broadcast(spark.createDataFrame(df.collect(), df.schema))
+
+    bounds = local(ordered.groupBy("_part").agg(F.min(kstruct).alias("_fk"), F.max(kstruct).alias("_lk")))
 
     def boundary(df: DataFrame) -> DataFrame:
         # (part, key) rows whose key is the first or last key of the partition
@@ -133,8 +140,8 @@ def merge_ranges_balanced(sets: DataFrame, keys: Sequence[str], partitions: int
 
     # 1. maximum end over earlier partitions of the same key
     t1 = boundary(ordered.groupBy("_part", *keys).agg(F.max("_pei").alias("_kmax")))
-    c1 = first_key_only(t1.select("_part", *keys, F.max("_kmax").over(ks_w).alias("_cend")))
-    x = ordered.withColumn("_lprev", F.max("_pei").over(before)).join(F.broadcast(c1), ["_part", *keys], "left")
+    c1 = local(first_key_only(t1.select("_part", *keys, F.max("_kmax").over(ks_w).alias("_cend"))))
+    x = ordered.withColumn("_lprev", F.max("_pei").over(before)).join(c1, ["_part", *keys], "left")
     prev = F.greatest(F.col("_lprev"), F.col("_cend"))
     x = x.withColumn("_new", prev.isNull() | (F.col("_ps").isNotNull() & (F.col("_ps") > prev)))
 
@@ -142,8 +149,8 @@ def merge_ranges_balanced(sets: DataFrame, keys: Sequence[str], partitions: int
     opener = F.when(F.col("_new"), F.struct(F.col("_ps").alias("s")))
     x = x.withColumn("_lgs", F.last(opener, ignorenulls=True).over(upto))
     t2 = boundary(x.groupBy("_part", *keys).agg(F.max(opener).alias("_pgs")))
-    c2 = first_key_only(t2.select("_part", *keys, F.last("_pgs", ignorenulls=True).over(ks_w).alias("_cgs")))
-    y = x.join(F.broadcast(c2), ["_part", *keys], "left").withColumn("_gs", F.coalesce("_lgs", "_cgs"))
+    c2 = local(first_key_only(t2.select("_part", *keys, F.last("_pgs", ignorenulls=True).over(ks_w).alias("_cgs"))))
+    y = x.join(c2, ["_part", *keys], "left").withColumn("_gs", F.coalesce("_lgs", "_cgs"))
 
     n = F.count(F.lit(1))
     return y.groupBy(*keys, "_gs").agg(
