@@ -15,8 +15,8 @@ _spec = importlib.util.spec_from_file_location("oracle_check", os.path.join(ROOT
 oc = importlib.util.module_from_spec(_spec)
 _spec.loader.exec_module(oc)
 
-QUERIES = E.queries()
-SQLS = E.oracle_sql()
+QUERIES = {k: f for k, f in E.queries().items() if k not in E.LLM_QUERIES}
+SQLS = {k: q for k, q in E.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")
