@@ -4,9 +4,12 @@ parameters over its whole table, reduced to digest columns."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import BpeModel, bpe_digests
-from .common import read_table
+from .common import read_table, sha256_hex
+from .line_dedup import drop_repeated_lines
+from .minhash import near_duplicates
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -19,7 +22,18 @@ def q_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_digests(read_table(spark, sf, "documents"), BpeModel(vocabulary_path()))
 
 
+def q_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    got = drop_repeated_lines(read_table(spark, sf, "documents"), ["doc_id"])
+    return got.select("row.doc_id", "n_lines", "n_dropped", sha256_hex(F.col("kept")).alias("kept_sha256"))
+
+
+def q_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf, "documents"), percent=85).drop("digest")
+
+
 QUERIES = {
+    "op7_line_dedup": q_line_dedup,
     "op8_bpe": q_bpe,
+    "op9_minhash": q_minhash,
 }
 SQL: dict[str, str] = {}
