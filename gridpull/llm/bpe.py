@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import in_blocks
+from .common import in_blocks, ship, shipped
 
 #: Fixed value: the split pattern of this kind of vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -232,14 +232,15 @@ def encode_column(df: DataFrame, model: BpeModel, text: str = "text", keep: tupl
     """``keep`` columns plus ids array<int> of every row's text."""
     from pyspark.sql import types as T
 
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = ship(df.sparkSession, model)
     fields = [df.schema[c] for c in keep] + [T.StructField("ids", T.ArrayType(T.IntegerType()))]
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        m: BpeModel = shipped(shared)
         for t in in_blocks(batches, BLOCK_BYTES):
-            got = encode_texts(shared.value, t.column("_text").fill_null("").to_pylist())
+            got = encode_texts(m, t.column("_text").fill_null("").to_pylist())
             for at in range(0, len(got), 256):
                 part = got[at : at + 256]
                 cols = [t.column(c).slice(at, 256).combine_chunks() for c in keep]
@@ -253,7 +254,7 @@ def encode_column(df: DataFrame, model: BpeModel, text: str = "text", keep: tupl
 def bpe_digests(df: DataFrame, model: BpeModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256) for every row: the ids as
     decimals joined by commas, and the text decoded from them."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = ship(df.sparkSession, model)
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator) -> Iterator:
@@ -261,7 +262,7 @@ def bpe_digests(df: DataFrame, model: BpeModel, key: str = "doc_id", text: str =
 
         import pyarrow as pa
 
-        m: BpeModel = shared.value
+        m: BpeModel = shipped(shared)
         split = splitter(m)
         decimal = [str(i) for i in range(len(m.token_bytes))]
         for t in in_blocks(batches, BLOCK_BYTES):

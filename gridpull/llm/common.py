@@ -67,6 +67,20 @@ def in_blocks(batches: Iterator, limit: int) -> Iterator:
         yield pa.Table.from_batches(held)
 
 
+def ship(spark: SparkSession, value):
+    """Broadcast ``value`` with the code of its classes, so that workers need
+    not import this package; read it with ``shipped``."""
+    from pyspark import cloudpickle
+
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shipped(shared):
+    import pickle
+
+    return pickle.loads(shared.value)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir}/{name}.parquet"
 
