@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from .bpe import BpeModel, bpe_digests
 from .common import read_table, sha256_hex
+from .decontam import contamination, digests
+from .license_scan import scan_licenses, summary
 from .line_dedup import drop_repeated_lines
 from .minhash import near_duplicates
+from .url_filter import RULES, judge_urls, url_host, url_path
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -31,9 +34,77 @@ def q_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf, "documents"), percent=85).drop("digest")
 
 
+def q_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return digests(contamination(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")))
+
+
+_LOWER_SQL = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS_SQL = "regexp_extract_all(" + _LOWER_SQL.format("coalesce({0}, '')") + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+SQL_DECONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {_WORDS_SQL.format('text')} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS_SQL.format('text')} AS w FROM benchmark),
+bw AS (
+  SELECT item_id, array_to_string(w[i:i + 9], ' ') AS win, least(len(w), 10) AS n
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+m AS (SELECT doc_id, i, dw.n, item_id FROM dw JOIN bw ON dw.win = bw.win AND dw.n = bw.n),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY 1),
+its AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+
+#: Words of hosts that the query's block list is made of.
+LISTED_HOST_WORDS = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+
+
+def q_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    """The list: addresses of all pages on hosts with a listed word."""
+    pages = read_table(spark, sf, "pages")
+    listed = pages.select(url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
+    listed = listed.where(F.col("host").rlike("(^|[.])(" + "|".join(LISTED_HOST_WORDS) + ")[.]"))
+    return judge_urls(pages, listed.select(F.concat("host", "path").alias("key")))
+
+
+def _rule_sql(column: int) -> str:
+    order = sorted(RULES, key=lambda r: -(len(r[1]) + len(r[2])))
+    whens = [
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{(h + p, v)[column]}'" for v, h, p in order
+    ]
+    return "CASE " + " ".join(whens) + " END"
+
+
+_HOST_SQL = _LOWER_SQL.format("coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), '')")
+SQL_URL_FILTERS = f"""
+WITH p AS (
+  SELECT page_id, {_HOST_SQL} AS host, coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path FROM pages)
+SELECT page_id, host, path, {_rule_sql(0)} AS rule,
+       coalesce({_rule_sql(1)}, CASE WHEN regexp_matches(host, '(^|[.])({"|".join(LISTED_HOST_WORDS)})[.]') THEN 'block' ELSE 'allow' END) AS verdict
+FROM p
+"""
+
+
+def q_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return summary(scan_licenses(read_table(spark, sf, "documents"), threshold=0.8))
+
+
 QUERIES = {
+    "op2_decontamination": q_decontamination,
+    "op6_url_filters": q_url_filters,
     "op7_line_dedup": q_line_dedup,
     "op8_bpe": q_bpe,
     "op9_minhash": q_minhash,
+    "op10_license_scan": q_license_scan,
+}
+SQL: dict[str, str] = {
+    "op2_decontamination": SQL_DECONTAMINATION,
+    "op6_url_filters": SQL_URL_FILTERS,
 }
-SQL: dict[str, str] = {}
