@@ -12,7 +12,11 @@ from .decontam import contamination, digests
 from .license_scan import scan_licenses, summary
 from .line_dedup import drop_repeated_lines
 from .minhash import near_duplicates
+from .quality import quality
+from .token_counts import count_after_edits
+from .toxicity import toxicity
 from .url_filter import RULES, judge_urls, url_host, url_path
+from .vector_dedup import embedding_duplicates
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -38,6 +42,37 @@ def q_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return digests(contamination(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")))
 
 
+def _scored(got: DataFrame) -> DataFrame:
+    return got.select("row.doc_id", "held_out", "score", "predicted")
+
+
+def q_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return _scored(toxicity(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"), max_per_class=1500, threshold=0.3))
+
+
+def q_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return _scored(quality(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"), max_per_class=1500, threshold=0.3))
+
+
+def contact_edits(text: str) -> list[tuple[int, int, str]]:
+    """Edits that replace mail addresses, and numbers of seven or more digits
+    and separators, from the last to the first."""
+    import re
+
+    found = re.finditer(r"([\w.+-]+@[\w-]+\.[\w.-]+)|\+?\d[\d ().-]{5,}\d", text)
+    return [(m.start(), m.end(), "<mail>" if m[1] else "<number>") for m in found][::-1]
+
+
+def q_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of every document before and after its contact data are
+    replaced."""
+    return count_after_edits(read_table(spark, sf, "documents"), BpeModel(vocabulary_path()), contact_edits)
+
+
+def q_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return embedding_duplicates(read_table(spark, sf, "embeddings"), cosine=0.93)
+
+
 _LOWER_SQL = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS_SQL = "regexp_extract_all(" + _LOWER_SQL.format("coalesce({0}, '')") + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
@@ -97,7 +132,11 @@ def q_license_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": q_toxicity,
     "op2_decontamination": q_decontamination,
+    "op3_token_counts": q_token_counts,
+    "op4_quality": q_quality,
+    "op5_embedding_dedup": q_embedding_dedup,
     "op6_url_filters": q_url_filters,
     "op7_line_dedup": q_line_dedup,
     "op8_bpe": q_bpe,
