@@ -2,16 +2,67 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next stage's ``docs``. All but the
-last return the columns of ``documents``.
+last return the columns of ``docs``, whatever these are beside doc_id and text.
+
+What a stage decides takes effect: toxic documents go; repeated lines go from
+all but the last document that holds them (n_chars, where there, follows the
+text); of each group of near duplicates the document with the smallest id
+stays; documents with a benchmark window go; the rest is encoded. Rows with a
+null id are scored, cleaned and encoded like any other and take no part in
+groups. Empty tables pass through every stage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridpull.llm.bpe import BpeModel, bpe_digests
-from gridpull.llm.common import read_table, stored
+from gridpull.llm.common import fresh, read_table, stored, text_hash
+from gridpull.llm.decontam import contamination
+from gridpull.llm.line_dedup import drop_repeated_lines
+from gridpull.llm.minhash import near_duplicates
 from gridpull.llm.queries import vocabulary_path
+from gridpull.llm.toxicity import toxicity
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a toxic verdict (score below 0.3)."""
+    got = toxicity(docs, read_table(spark, sf_dir, "labels"), threshold=0.3).where("predicted = 0")
+    return got.select(*[F.col("t").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines of five or more documents except in
+    the last holder. A document keeps its row even if no line is left; a text
+    without a dropped line is kept as it was."""
+    got = drop_repeated_lines(docs, docs.columns, min_docs=5, min_chars=40)
+    changed = F.col("n_dropped") > 0
+    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
+
+    def column(c: str) -> Column:
+        old = F.col("row")[c]
+        return (F.when(changed, new[c]).otherwise(old) if c in new else old).alias(c)
+
+    return got.select(*map(column, docs.columns))
+
+
+def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that of the smallest
+    id. Rows that repeat an id and its text are one document; one stays."""
+    found = near_duplicates(docs, percent=85).where("kept and doc_id is not null")
+    kept = found.select(F.col("doc_id").alias("k"), F.col("text_hash").alias("h")).distinct()
+    h = fresh(docs, "text_hash")
+    named = docs.where(docs["doc_id"].isNotNull()).withColumn(h, text_hash(docs["text"]))
+    rows = named.join(kept, (named["doc_id"] == kept["k"]) & (named[h] == kept["h"]), "left_semi")
+    return rows.dropDuplicates(["doc_id", h]).drop(h).unionByName(docs.where(docs["doc_id"].isNull()))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of ten words of a benchmark item."""
+    found = contamination(docs, read_table(spark, sf_dir, "benchmark")).where("contaminated")
+    bad = found.select(F.col("doc_id").alias("k"), F.col("text_hash").alias("h")).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["k"]) & (text_hash(docs["text"]) == bad["h"]), "left_anti")
 
 
 def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,6 +71,10 @@ def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", dedup_lines),
+    ("near_dedup", dedup_near),
+    ("decontamination", drop_contaminated),
     ("bpe", encode_bpe),
 ]
 

@@ -38,6 +38,24 @@ def ascii_lower(c: Column) -> Column:
     return F.when(c.rlike(r"[^\x00-\x7F]"), F.translate(c, UPPER, LOWER)).otherwise(F.lower(c))
 
 
+def pick(df: DataFrame, name: str) -> Column:
+    """The column of this very name, whatever it looks like."""
+    return df["`" + name.replace("`", "``") + "`"]
+
+
+def text_hash(text: Column) -> Column:
+    """Tells rows that repeat an id apart by their text."""
+    return F.xxhash64(text)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row."""
     return F.transform(F.array(value), body)[0]

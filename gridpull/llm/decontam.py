@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, broadcast_below, sha256_hex, stored
+from .common import ascii_lower, broadcast_below, sha256_hex, stored, text_hash
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 END = ""  # the term that marks a document's end
@@ -47,7 +47,7 @@ def query_windows(items: DataFrame, item_id: str = "item_id", text: str = "text"
 class Index:
     postings: DataFrame  # row long, pos int, term long
     vocabulary: DataFrame  # word string, term long
-    ids: DataFrame  # row long, doc_id, n_words int
+    ids: DataFrame  # row long, doc_id, text_hash, n_words int
     counts: DataFrame  # term long, n long
 
 
@@ -60,12 +60,14 @@ def build_index(docs: DataFrame, words: DataFrame, doc_id: str = "doc_id", text:
     base = docs.select(
         F.monotonically_increasing_id().alias("row"),
         docs[doc_id].alias("doc_id"),
+        text_hash(docs[text]).alias("text_hash"),
         F.concat(words_of(docs[text]), F.array(F.lit(END))).alias("w"),
     )
-    hits = base.select("row", "doc_id", F.posexplode("w").alias("pos", "word")).join(terms, "word")
-    hits = hits.select("row", "pos", "term", F.when(F.col("word") == END, F.col("doc_id")).alias("doc_id"), (F.col("word") == END).alias("is_end"))
-    postings = stored(hits, "postings")
-    ids = postings.where("is_end").select("row", "doc_id", F.col("pos").alias("n_words"))
+    hits = base.select("row", "doc_id", "text_hash", F.posexplode("w").alias("pos", "word")).join(terms, "word")
+    at_end = F.col("word") == END
+    of_doc = [F.when(at_end, F.col(c)).alias(c) for c in ("doc_id", "text_hash")]
+    postings = stored(hits.select("row", "pos", "term", *of_doc, at_end.alias("is_end")), "postings")
+    ids = postings.where("is_end").select("row", "doc_id", "text_hash", F.col("pos").alias("n_words"))
     postings = postings.where("not is_end").select("row", "pos", "term")
     return Index(postings, vocabulary, ids, stored(postings.groupBy("term").agg(F.count("*").alias("n")), "term-counts"))
 
@@ -133,7 +135,7 @@ def proximity_matches(index: Index, windows: DataFrame, span: int) -> DataFrame:
 def contamination(
     docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = 10
 ) -> DataFrame:
-    """(doc_id, n_words long, n_hit long, n_items long, item_ids
+    """(doc_id, text_hash long, n_words long, n_hit long, n_items long, item_ids
     array<string>, contaminated boolean), one row per input row. A word is
     hit that stands in any occurrence of an item's window."""
     windows = query_windows(items, item_id, item_text, size)
@@ -154,6 +156,7 @@ def contamination(
         index.ids.join(covered.join(named, "row"), "row", "left")
         .select(
             F.col("doc_id").alias(doc_id),
+            "text_hash",
             F.col("n_words").cast("long").alias("n_words"),
             F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
             F.size(F.coalesce("item_ids", F.array().cast("array<string>"))).cast("long").alias("n_items"),
@@ -164,4 +167,4 @@ def contamination(
 
 
 def digests(result: DataFrame) -> DataFrame:
-    return result.withColumn("items_sha256", sha256_hex(F.array_join("item_ids", ","))).drop("item_ids")
+    return result.withColumn("items_sha256", sha256_hex(F.array_join("item_ids", ","))).drop("item_ids", "text_hash")

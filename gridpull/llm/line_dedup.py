@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import in_blocks, stored
+from .common import in_blocks, pick, stored, text_hash
 
 BLANKS = b"\t\n\x0b\x0c\r "
 BLOCK_BYTES = 16 << 20
@@ -144,10 +144,10 @@ def drop_repeated_lines(
     distinct line, as far as an executor's memory goes."""
     spark = docs.sparkSession
     base = docs.select(
-        F.struct(*[docs[c] for c in carry]).alias("row"),
+        F.struct(*[pick(docs, c) for c in carry]).alias("row"),
         docs[text].alias("t"),
         docs[doc_id].alias("d"),
-        F.coalesce(F.xxhash64(docs[text]), F.lit(0)).alias("h"),
+        text_hash(docs[text]).alias("h"),
     )
     d_type = base.schema["d"].dataType
     shared = spark.sparkContext.broadcast(twice_seen_filter(docs, text, min_chars, filter_bits))

@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_below, in_blocks, stored
+from .common import broadcast_below, in_blocks, stored, text_hash
 from .graph import connected_components
 
 WORDS = 5
@@ -99,7 +99,7 @@ def estimate(a: np.ndarray, b: np.ndarray, k: int = SKETCH) -> float:
     """Jaccard estimate from two sorted bottom-k sketches: the share of the
     union's k smallest values that both hold."""
     u = np.union1d(a, b)[:k]
-    return np.isin(u, a, assume_unique=True).__and__(np.isin(u, b, assume_unique=True)).sum() / max(len(u), 1)
+    return float((np.isin(u, a, assume_unique=True) & np.isin(u, b, assume_unique=True)).sum() / max(len(u), 1))
 
 
 def _signatures(docs: DataFrame, words: int) -> DataFrame:
@@ -112,13 +112,14 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
             sets = shingle_sets(t.column("t").fill_null("").to_pylist(), words)
             cols = [
                 t.column("d").combine_chunks(),
+                t.column("h").combine_chunks(),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
                 pa.array([s[:SKETCH].tobytes() for s in sets], pa.binary()),
             ]
-            yield from pa.Table.from_arrays(cols, ["d", "n", "digest", "sketch"]).to_batches()
+            yield from pa.Table.from_arrays(cols, ["d", "h", "n", "digest", "sketch"]).to_batches()
 
-    return docs.mapInArrow(run, "d long, n long, digest binary, sketch binary")
+    return docs.mapInArrow(run, "d long, h long, n long, digest binary, sketch binary")
 
 
 def _list_entries(nodes: DataFrame, similarity: float) -> DataFrame:
@@ -187,10 +188,10 @@ def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85, words: int = WORDS, max_leader_rounds: int = 6
 ) -> DataFrame:
-    """(doc_id long, digest binary, n_shingles long, component_id long, kept
+    """(doc_id long, text_hash long, n_shingles long, component_id long, kept
     boolean), one row per input row. Documents link where 100 * intersection
     >= ``percent`` * union of their shingle sets."""
-    base = docs.select(docs[doc_id].cast("long").alias("d"), docs[text].alias("t"))
+    base = docs.select(docs[doc_id].cast("long").alias("d"), docs[text].alias("t"), text_hash(docs[text]).alias("h"))
     rows = stored(_signatures(base, words), "signatures")
     usable = rows.where("digest is not null and d is not null")
     reps = stored(usable.groupBy("digest").agg(F.min("d").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
@@ -256,13 +257,13 @@ def near_duplicates(
 
     classed = reps.select("digest", "node").join(comps, "node", "left").select("digest", F.coalesce("component", "node").alias("c"))
     return (
-        rows.select("d", "n", "digest")
+        rows.select("d", "h", "n", "digest")
         .join(classed, "digest", "left")
         .select(
             F.col("d").alias(doc_id),
-            "digest",
+            F.col("h").alias("text_hash"),
             F.col("n").alias("n_shingles"),
             F.coalesce("c", "d").alias("component_id"),
-            F.col("d").isNull().__or__(F.coalesce("c", "d") == F.col("d")).alias("kept"),
+            (F.col("d").isNull() | (F.coalesce("c", "d") == F.col("d"))).alias("kept"),
         )
     )

@@ -35,7 +35,7 @@ def q_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_minhash(spark: SparkSession, sf: str) -> DataFrame:
-    return near_duplicates(read_table(spark, sf, "documents"), percent=85).drop("digest")
+    return near_duplicates(read_table(spark, sf, "documents"), percent=85).drop("text_hash")
 
 
 def q_decontamination(spark: SparkSession, sf: str) -> DataFrame:

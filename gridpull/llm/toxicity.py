@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import in_blocks, ship, shipped
+from .common import in_blocks, pick, ship, shipped
 
 SIZES = (4, 5, 6)
 PIECE = 1 << 20
@@ -213,7 +213,7 @@ def score_rows(docs: DataFrame, make, held_out: Column, threshold: float, doc_id
     """(row struct of all columns, held_out, score, predicted). ``make`` gives
     a task its function from texts to scores; ``held_out`` is over a column
     named id."""
-    base = docs.select(F.struct(*[docs[c] for c in docs.columns if c != text]).alias("row"), docs[doc_id].alias("id"), docs[text].alias("t"))
+    base = docs.select(F.struct(*[pick(docs, c) for c in docs.columns if c != text]).alias("row"), docs[doc_id].alias("id"), docs[text].alias("t"))
     base = base.select("row", "t", F.coalesce(held_out, F.lit(False)).alias("held_out"))
 
     def run(batches: Iterator) -> Iterator:

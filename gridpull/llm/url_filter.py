@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, ship, shipped, stored
+from .common import LOWER, UPPER, pick, ship, shipped, stored
 
 #: Fixed values: (verdict, host, path) rules of the query; the longest wins.
 RULES = (
@@ -169,7 +169,7 @@ def build_cascade(universe: DataFrame, listed: DataFrame, bits_per_key: int = 10
 def listed_column(df: DataFrame, key: Column, cascade: Cascade) -> DataFrame:
     """(row struct of all columns, listed boolean) of every row, no join."""
     shared = ship(df.sparkSession, cascade)
-    base = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), *key_hashes(key))
+    base = df.select(F.struct(*[pick(df, c) for c in df.columns]).alias("row"), *key_hashes(key))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
