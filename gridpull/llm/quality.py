@@ -55,7 +55,6 @@ class ConvModel:
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """Probability of label 1 for every text, whole."""
-        f = len(self.shift)
         out = np.empty(len(texts))
         held: list[tuple[int, bytes]] = []
         size = 0
@@ -81,14 +80,15 @@ class ConvModel:
             if size > PIECE:
                 flush()
         flush()
-        assert f == self.filters.shape[1]
         return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
 
 
 def _padded(raw: list[bytes], whole: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """All texts back to back, each padded to whole half-chunks, and the
-    number of half-chunks of each."""
-    n = np.array([max(1, -(-len(b) // HALF)) if whole else (len(b) - WIDTH) // HALF for b in raw])
+    """All texts back to back, each padded to whole half-chunks so that no
+    window meets the next text, and the number of half-chunks of each. Of a
+    piece that is not the last (``whole`` false) the bytes that follow it are
+    part of its last windows."""
+    n = np.array([-(-(len(b) + WIDTH - STRIDE) // HALF) if whole else PIECE // HALF for b in raw])
     buf = np.zeros(int(n.sum()) * HALF + WIDTH, np.uint8)
     at = 0
     for b, k in zip(raw, n):
@@ -98,21 +98,24 @@ def _padded(raw: list[bytes], whole: bool = True) -> tuple[np.ndarray, np.ndarra
     return buf, n
 
 
-def responses(model: ConvModel, buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(embedded strides, filter responses) at every stride of ``buf``."""
+def responses(model: ConvModel, buf: np.ndarray, n: np.ndarray, whole: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(embedded strides, filter responses by half-chunk, stride and filter).
+    A text's last stride holds padding only and reaches into the next text;
+    it never wins."""
     a = EMBED[buf].reshape(-1, STRIDE * EMBED.shape[1])
     k = a.shape[1]
     y = a[:-2] @ model.filters[:k]
     y += a[1:-1] @ model.filters[k:]
-    return a, y + model.shift
+    y += model.shift
+    if whole:
+        y[np.cumsum(n) * (HALF // STRIDE) - 1] = -np.inf
+    return a, y.reshape(-1, HALF // STRIDE, y.shape[1])
 
 
 def half_maxima(model: ConvModel, raw: list[bytes], whole: bool = True) -> tuple[np.ndarray, np.ndarray]:
     buf, n = _padded(raw, whole)
-    _, y = responses(model, np.r_[buf, np.zeros(STRIDE * 2 - WIDTH % (STRIDE * 2), np.uint8)] if WIDTH % (STRIDE * 2) else buf)
-    y = y[: (len(buf) - WIDTH) // STRIDE]
-    m = y.reshape(-1, HALF // STRIDE, y.shape[1]).max(axis=1)
-    return np.maximum(m, 0), n
+    _, y = responses(model, buf, n, whole)
+    return np.maximum(y.max(axis=1), 0), n
 
 
 def pool(halves: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -169,9 +172,8 @@ def fit(
 def _gradients(model: ConvModel, raw: list[bytes], y: np.ndarray):
     """Gradients of the mean log loss by filters, shift, dense and bias."""
     buf, n = _padded(raw)
-    a, r = responses(model, buf)
-    f = r.shape[1]
-    r = r[: (len(buf) - WIDTH) // STRIDE].reshape(-1, HALF // STRIDE, f)
+    a, r = responses(model, buf, n)
+    f = r.shape[2]
     where = r.argmax(axis=1)  # the stride that gave each half-chunk's maximum
     halves = np.maximum(np.take_along_axis(r, where[:, None], 1)[:, 0], 0)
     mean, top, after = pool(halves, n)
@@ -180,12 +182,14 @@ def _gradients(model: ConvModel, raw: list[bytes], y: np.ndarray):
     g_dense = np.hstack([mean, top]).T @ e + 1e-3 * model.dense
     # back to the chunks, then to the half-chunk that gave each chunk's maximum
     who = np.repeat(np.arange(len(n)), n)
-    chunk = np.maximum(halves, halves[after])
     g_chunk = e[who, None] * model.dense[:f] / n[who, None]
-    g_chunk += (chunk == top[who]) * e[who, None] * model.dense[f:]
     second = halves[after] > halves
     g_half = np.where(second, 0, g_chunk)
     np.add.at(g_half, after, np.where(second, g_chunk, 0))
+    for j in range(f):  # a text's maximum: its first half-chunk that has it
+        best = np.flatnonzero(halves[:, j] == top[who, j])
+        text, first = np.unique(who[best], return_index=True)
+        g_half[best[first], j] += e[text] * model.dense[f + j]
     g_half *= halves > 0
     k = a.shape[1]
     pos = where + (np.arange(len(where)) * (HALF // STRIDE))[:, None]
