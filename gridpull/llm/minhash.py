@@ -3,22 +3,26 @@
 1. Every document's distinct word shingles are hashed once; the ``SKETCH``
    smallest hashes are its sketch. Documents with equal shingle sets form one
    class, and only class representatives go on.
-2. Inverted lists of retained values: each run of two neighbouring values
-   among the ``RETAINED`` smallest, within a size band, is a list key. Two
-   sets with Jaccard 0.85 miss each other in all runs with probability
-   below 1e-5; at higher similarity sooner still less.
-3. A list's members are paired with its leader first. What is linked is
-   contracted into components, and only members outside their list's main
-   component meet the others, so a group of near copies costs a multiple of
-   its size instead of its square. No list is capped.
+2. Inverted lists of retained values generate the overlaps. Similar sets
+   share at least ``least_overlap`` values of their sketches (the chance to
+   share fewer at the threshold is below 1e-5), so it is enough to list each
+   set under the first size - overlap + 1 of its values in one order, the
+   globally rarest first (prefix filter). Values of one class need no list:
+   most sets, and sets that share only a passage, drop out here.
+3. A list's members are paired with its leader first, where their sizes
+   allow the similarity. What is linked is contracted into components; then,
+   for a few rounds, the first member outside a list's main component leads,
+   and at last all members outside meet the others. So a group of near copies
+   costs a multiple of its size instead of its square, and no pair that could
+   join two components is left out. No list is capped.
 4. Pairs are estimated by the union sketch, and those that remain are
    verified exactly on the full sets of shingle hashes (64 bit).
 
 Defined cases: null or empty texts and texts without words have no shingles,
 link with nothing and are their own component. Texts with fewer words than a
 shingle are one shingle. Rows with a null id are compared with nothing: their
-component is null and they are kept. Rows that repeat an id are each classed
-by their own text under that id.
+component is null and they are kept. Rows that repeat an id are each compared
+by their own text.
 """
 
 from __future__ import annotations
@@ -34,8 +38,7 @@ from .graph import connected_components
 
 WORDS = 5
 SKETCH = 64
-RETAINED = 16
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 _TABLE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -95,11 +98,23 @@ def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def estimate(a: np.ndarray, b: np.ndarray, k: int = SKETCH) -> float:
-    """Jaccard estimate from two sorted bottom-k sketches: the share of the
-    union's k smallest values that both hold."""
-    u = np.union1d(a, b)[:k]
-    return float((np.isin(u, a, assume_unique=True) & np.isin(u, b, assume_unique=True)).sum() / max(len(u), 1))
+def estimates(x: list[bytes], y: list[bytes], k: int = SKETCH) -> np.ndarray:
+    """Jaccard estimates from pairs of sorted bottom-k sketches: the share of
+    the union's k smallest values that both hold."""
+    rows = len(x)
+    size = np.array([[len(p) // 8, len(q) // 8] for p, q in zip(x, y)]).reshape(rows, 2)
+    v = np.full((rows, 2 * k), np.uint64(2**64 - 1))
+    both = np.frombuffer(b"".join([p + q for p, q in zip(x, y)]), np.uint64)
+    total = size.sum(axis=1)
+    at = np.arange(len(both)) - np.repeat(np.cumsum(total) - total, total)
+    v[np.repeat(np.arange(rows), total), at] = both
+    v.sort(axis=1)
+    real = np.arange(2 * k) < total[:, None]
+    again = np.zeros_like(real)
+    again[:, 1:] = (v[:, 1:] == v[:, :-1]) & real[:, 1:]
+    taken = real & (np.cumsum(real & ~again, axis=1) <= k)
+    # a value that both hold stands twice; its second copy is of the same rank
+    return (again & taken).sum(axis=1) / np.maximum((taken & ~again).sum(axis=1), 1)
 
 
 def _signatures(docs: DataFrame, words: int) -> DataFrame:
@@ -122,31 +137,51 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "d long, h long, n long, digest binary, sketch binary")
 
 
+def least_overlap(m: int, similarity: float) -> int:
+    """Shared sketch values that similar sets have at least, for a sketch of
+    ``m`` values: exact while both sets are their own sketches, else five
+    standard errors below the mean."""
+    if m <= similarity * SKETCH:
+        return int(np.ceil(similarity * m - 1e-9))
+    share = similarity - 4.5 * (similarity * (1 - similarity) / SKETCH) ** 0.5
+    return max(1, int(np.floor(share * m)))
+
+
 def _list_entries(nodes: DataFrame, similarity: float) -> DataFrame:
-    """(key, node): runs of two neighbouring retained values, in the node's
-    size band and the next. Sets that are similar enough differ by one band
-    at most."""
-    width = -np.log(similarity)
+    """(key, node, n): each node under the prefix of its shared values, in its
+    size band and the next. Similar sets differ by one band at most."""
+    width = float(-np.log(similarity))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for b in batches:
-            node = b.column("node").to_numpy()
-            n = b.column("n").to_numpy()
-            keys, who = [], []
-            for i, s in enumerate(b.column("sketch").to_pylist()):
-                v = np.frombuffer(s, np.uint64)[:RETAINED]
-                run2 = v[:-1] * _NEXT + v[1:] if len(v) > 1 else v
-                band = int(np.log(n[i]) / width + 1e-9)
-                keys += [_mix(run2 + np.array([x], np.uint64) * _STEP) for x in (band, band + 1)]
-                who += [node[i]] * (2 * len(run2))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.array(who))], ["key", "node"])
+            sketch = [np.frombuffer(x, np.int64) for x in b.column("sketch").to_pylist()]
+            if not sketch:
+                continue
+            m = np.array([len(x) for x in sketch])
+            prefix = m - np.array([least_overlap(x, similarity) for x in m.tolist()]) + 1
+            cols = [np.concatenate(sketch)] + [np.repeat(x, m) for x in (b.column("node").to_numpy(), b.column("n").to_numpy(), m, prefix)]
+            yield from pa.Table.from_arrays(list(map(pa.array, cols)), ["value", "node", "n", "m", "prefix"]).to_batches(max_chunksize=50_000)
 
     # Sets of fewer members cannot reach the similarity without being equal.
     least = int(np.floor(similarity / (1 - similarity) + 1e-9))
-    return nodes.where(F.col("n") >= least).mapInArrow(run, "key long, node long")
+    values = nodes.where(F.col("n") >= least).mapInArrow(run, "value long, node long, n long, m long, prefix long")
+    shared = stored(values.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "shared-values")
+    mine = values.join(shared, "value").groupBy("node", "n", "m", "prefix").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"))  # a sketch at most
+    # values of this node alone come first in the order
+    listed = mine.withColumn("take", F.col("prefix") - (F.col("m") - F.size("v"))).where("take > 0")
+    band = F.floor(F.log(F.col("n").cast("double")) / width + 1e-9).cast("long")
+    return (
+        listed.select("node", "n", F.explode(F.slice("v", F.lit(1), F.col("take").cast("int"))).alias("v"))
+        .select("node", "n", "v.value", F.explode(F.array(band, band + 1)).alias("band"))
+        .select(F.xxhash64("value", "band").alias("key"), "node", "n")
+    )
+
+
+def _number(digest):
+    """A class's node number."""
+    return F.conv(F.hex(F.substring(digest, 1, 8)), 16, -10).cast("long")
 
 
 def _pairs_with(pairs: DataFrame, side: DataFrame, column: str) -> DataFrame:
@@ -165,9 +200,9 @@ def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
         import pyarrow as pa
 
         for b in batches:
-            x, y = b.column("x").to_pylist(), b.column("y").to_pylist()
-            keep = [estimate(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)) >= least for p, q in zip(x, y)]
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            if b.num_rows:
+                keep = estimates(b.column("x").to_pylist(), b.column("y").to_pylist()) >= least
+                yield b.select(["a", "b"]).filter(pa.array(keep))
 
     def exact(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -186,7 +221,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
 
 
 def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85, words: int = WORDS, max_leader_rounds: int = 6
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85, words: int = WORDS, max_leader_rounds: int = 3
 ) -> DataFrame:
     """(doc_id long, text_hash long, n_shingles long, component_id long, kept
     boolean), one row per input row. Documents link where 100 * intersection
@@ -194,19 +229,16 @@ def near_duplicates(
     base = docs.select(docs[doc_id].cast("long").alias("d"), docs[text].alias("t"), text_hash(docs[text]).alias("h"))
     rows = stored(_signatures(base, words), "signatures")
     usable = rows.where("digest is not null and d is not null")
-    reps = stored(usable.groupBy("digest").agg(F.min("d").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
-    # An id with several texts would be several classes under one number; the
-    # class of its smallest digest stands for the id, links count for the id.
-    nodes = reps.groupBy("node").agg(F.min(F.struct("digest", "n", "sketch")).alias("s")).select("node", "s.*")
-    nodes = stored(nodes, "nodes")
+    classes = usable.groupBy("digest").agg(F.min("d").alias("low"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    nodes = stored(classes.select(_number(F.col("digest")).alias("node"), "digest", "low", "n", "sketch"), "classes")
 
     entries = stored(_list_entries(nodes, percent / 100), "lists")
-    heads = entries.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("size")).where("size > 1")
-    entries = stored(entries.join(heads.select("key", "lead"), "key"), "shared-lists")
+    heads = entries.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("size")).where("size > 1")
+    entries = stored(entries.join(stored(heads.select("key", "lead"), "heads"), "key"), "shared-lists")
 
     in_lists = broadcast_below(entries.select("node").distinct(), 1_000_000)
-    wanted = nodes.join(in_lists, "node", "left_semi").select("node", "digest")
-    texts = base.join(broadcast_below(wanted, 1_000_000), F.col("d") == F.col("node")).select("node", "digest", "t")
+    wanted = nodes.join(in_lists, "node", "left_semi").select("node", "digest", "low")
+    texts = base.join(broadcast_below(wanted, 1_000_000), F.col("d") == F.col("low")).select("node", "digest", "t")
 
     def members(batches: Iterator) -> Iterator:
         from hashlib import blake2b
@@ -221,7 +253,11 @@ def near_duplicates(
 
     sets = stored(texts.mapInArrow(members, "node long, members binary").dropDuplicates(["node"]), "sets")
 
-    pairs = entries.where("lead <> node").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    def alike(x, y):  # no more can be shared than the smaller set has
+        return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+
+    pairs = entries.where("lead.node <> node").where(alike(F.col("lead.n"), F.col("n")))
+    pairs = pairs.select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
     links, tested = None, None
     last, turn = False, 0
     while True:
@@ -233,29 +269,29 @@ def near_duplicates(
         if last:
             break
         now = (
-            entries.select("key", "node")
+            entries.select("key", "node", "n")
             .join(comps, "node", "left")
-            .select("key", "node", F.coalesce("component", "node").alias("comp"))
+            .select("key", "node", "n", F.coalesce("component", "node").alias("comp"))
         )
         now = stored(now, "lists-now")
-        per = now.groupBy("key", "comp").agg(F.count("*").alias("n"), F.min("node").alias("low"))
-        main = per.groupBy("key").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("size"))
-        main = main.where("parts > 1")
-        rest = stored(now.join(main, "key").where("comp <> main"), "outside-main")
+        per = now.groupBy("key", "comp").agg(F.count("*").alias("c"))
+        main = per.groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count("*").alias("parts"), F.sum("c").alias("size"))
+        rest = stored(now.join(stored(main.where("parts > 1"), "main-components"), "key").where("comp <> main"), "outside-main")
         cost = rest.agg(F.count("*").alias("n"), F.sum("size").alias("pairs")).first()
         if not cost["n"]:
             break
         turn += 1
         last = turn >= max_leader_rounds or cost["pairs"] <= 4 * now.count()
         if last:  # everything that is left, in full
-            other, mine = now.toDF("key", "o", "oc"), rest.select("key", F.col("node").alias("m"), F.col("comp").alias("mc"))
-            pairs = mine.join(other, "key").where("mc <> oc")
+            mine = rest.select("key", F.col("node").alias("m"), F.col("n").alias("mn"), F.col("comp").alias("mc"))
         else:  # the first member outside the main component leads next
-            lead = rest.groupBy("key").agg(F.min("node").alias("m"), F.min_by("comp", "node").alias("mc"))
-            pairs = lead.join(now.toDF("key", "o", "oc"), "key").where("mc <> oc")
+            mine = stored(rest.groupBy("key").agg(F.min(F.struct("node", "n", "comp")).alias("s")).select("key", "s.*").toDF("key", "m", "mn", "mc"), "next-leaders")
+        pairs = mine.join(now.toDF("key", "o", "on", "oc"), "key").where("mc <> oc").where(alike(F.col("mn"), F.col("on")))
         pairs = pairs.select(F.least("m", "o").alias("a"), F.greatest("m", "o").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
 
-    classed = reps.select("digest", "node").join(comps, "node", "left").select("digest", F.coalesce("component", "node").alias("c"))
+    of = nodes.select("digest", "node", "low").join(comps, "node", "left").select("digest", "low", F.coalesce("component", "node").alias("comp"))
+    of = stored(of, "classed")
+    classed = of.join(of.groupBy("comp").agg(F.min("low").alias("c")), "comp").select("digest", "c")
     return (
         rows.select("d", "h", "n", "digest")
         .join(classed, "digest", "left")
@@ -263,7 +299,7 @@ def near_duplicates(
             F.col("d").alias(doc_id),
             F.col("h").alias("text_hash"),
             F.col("n").alias("n_shingles"),
-            F.coalesce("c", "d").alias("component_id"),
+            F.when(F.col("d").isNotNull(), F.coalesce("c", "d")).alias("component_id"),
             (F.col("d").isNull() | (F.coalesce("c", "d") == F.col("d"))).alias("kept"),
         )
     )
