@@ -179,7 +179,8 @@ def drop_repeated_lines(
         ),
         "suspects",
     )
-    confirmed = said.groupBy("key").agg(F.count("*").alias("n"), F.max("d").alias("last")).where(F.col("n") >= min_docs)
+    # stored, so that a hot key in the join below can be split
+    confirmed = stored(said.groupBy("key").agg(F.count("*").alias("n"), F.max("d").alias("last")).where(F.col("n") >= min_docs), "confirmed")
     drops = (
         said.join(confirmed, "key")
         .where(~F.col("d").eqNullSafe(F.col("last")))
