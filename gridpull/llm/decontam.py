@@ -53,7 +53,7 @@ class Index:
 
 def build_index(docs: DataFrame, words: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Index:
     """Postings of the words in ``words`` (one column) over all documents."""
-    end = docs.sparkSession.createDataFrame([(END,)], "word string")
+    end = docs.sparkSession.range(1).select(F.lit(END).alias("word"))
     vocabulary = words.toDF("word").where(F.col("word") != END).unionByName(end).distinct()
     vocabulary = stored(vocabulary.coalesce(1).select("word", F.monotonically_increasing_id().alias("term")), "vocabulary")
     terms = broadcast_below(vocabulary, VOCABULARY_BROADCAST)

@@ -59,9 +59,16 @@ def _strings(values) -> Column:
     return F.array(*map(F.lit, values)).cast(STRINGS)
 
 
+def _rows(spark, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A small table of literals; lists are arrays of strings."""
+    lit = lambda v: _strings(v) if isinstance(v, list) else F.lit(v)
+    structs = [F.struct(*[lit(v).alias(n) for n, v in zip(names, r)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def template_sets(spark, templates) -> list[tuple[int, str, list[str]]]:
     """(number, label, distinct tokens) of each template."""
-    df = spark.createDataFrame([(i, lab, t) for i, (lab, t) in enumerate(templates)], "i int, label string, t string")
+    df = _rows(spark, [(i, lab, t) for i, (lab, t) in enumerate(templates)], ["i", "label", "t"])
     return [tuple(r) for r in df.select("i", "label", F.sort_array(F.array_distinct(_tokens(F.col("t"))))).collect()]
 
 
@@ -145,7 +152,7 @@ def _contained(told: DataFrame, sets, vocabulary: list[str], threshold: float) -
         alpha = max(1, ceil(threshold * len(ts) - 1e-9))
         prefix = ts[: len(ts) - alpha + 1]
         prefixes += [(t, i, label, ts, prefix, alpha) for i, t in enumerate(prefix)]
-    heads = spark.createDataFrame(prefixes, "t string, i int, label string, ts array<string>, prefix array<string>, alpha int")
+    heads = _rows(spark, prefixes, ["t", "i", "label", "ts", "prefix", "alpha"])
     least = min(p[-1] for p in prefixes)
     by_rank = blocks.where(F.size("b") >= least).select("row", F.array_intersect(_strings(order), "b").alias("s"))
     probe = by_rank.select("row", "s", F.explode(F.array_intersect("s", _strings(sorted({p[0] for p in prefixes})))).alias("t"))

@@ -58,22 +58,30 @@ def components(nodes, links) -> dict:
 
 
 def near(rows: list[tuple[int | None, str | None]], percent: int = 85) -> list[tuple]:
-    """(doc_id, n_shingles, component_id, kept) of each row; null ids alone."""
+    """(doc_id, n_shingles, component_id, kept) of each row; null ids alone,
+    rows without words under their own id."""
     sets = [shingles(t) for _, t in rows]
-    by = defaultdict(set)
-    for i, s in enumerate(sets):
-        if rows[i][0] is not None:
-            for x in s:
-                by[x].add(i)
+    low: dict[frozenset, int] = {}
+    for (d, _), s in zip(rows, sets):
+        if d is not None and s:
+            low[s] = min(d, low.get(s, d))
+    texts = sorted(low, key=low.__getitem__)
+    by = defaultdict(list)
+    for i, s in enumerate(texts):
+        for x in s:
+            by[x].append(i)
     links = []
-    for i, s in enumerate(sets):
-        if rows[i][0] is None:
-            continue
+    for i, s in enumerate(texts):
         n = defaultdict(int)
         for x in s:
             for j in by[x]:
                 if j > i:
                     n[j] += 1
-        links += [(rows[i][0], rows[j][0]) for j, c in n.items() if 100 * c >= percent * (len(s) + len(sets[j]) - c)]
-    comp = components([d for d, _ in rows if d is not None], links)
-    return [(d, len(s), comp.get(d), d is None or comp[d] == d) for (d, _), s in zip(rows, sets)]
+        links += [(i, j) for j, c in n.items() if 100 * c >= percent * (len(s) + len(texts[j]) - c)]
+    comp = components(range(len(texts)), links)
+    least = {texts[i]: low[texts[c]] for i, c in comp.items()}
+    out = []
+    for (d, _), s in zip(rows, sets):
+        c = d if d is None or not s else least[s]
+        out.append((d, len(s), c, d is None or c == d))
+    return out
