@@ -128,7 +128,7 @@ def _level(keys: DataFrame, n: int, level: int, bits_per_key: int, hashes: int)
                 packed.append(np.packbits(one, bitorder="little").tobytes())
             yield pa.RecordBatch.from_arrays([b.column("shard"), pa.array(packed, pa.binary())], ["shard", "bits"])
 
-    for r in rows.mapInArrow(pack, "shard long, bits binary").toLocalIterator():  # bits / 8 bytes in all
+    for r in rows.mapInArrow(pack, "shard long, bits binary").collect():  # bits / 8 bytes in all
         at = r["shard"] * shard // 8
         part = np.frombuffer(r["bits"], np.uint8)[: len(data) - at]
         data[at : at + len(part)] = part
