@@ -125,7 +125,7 @@ def twice_seen_filter(docs: DataFrame, text: str, min_chars: int, filter_bits: i
         .mapInArrow(merge, "shard int, bits binary")
     )
     bits = np.zeros(filter_bits // 8, np.uint8)
-    for r in merged.toLocalIterator():  # filter_bits / 8 bytes in all
+    for r in merged.collect():  # filter_bits / 8 bytes in all
         bits[r["shard"] * span // 8 :][: span // 8] = np.frombuffer(r["bits"], np.uint8)
     return bits
 
