@@ -1,7 +1,6 @@
 """Column -> Column functions: text cleaning and date reading rules."""
 
 from .dates import (
-    bound_unreadable,
     coerce_ts,
     day_start,
     iso_text,
@@ -10,27 +9,24 @@ from .dates import (
 )
 from .text import (
     clean_id,
-    clean_id_ascii,
     is_missing,
+    label_keys,
     nfkc,
     norm_label,
-    norm_label_py,
     sanitize_name,
     strip_ws,
 )
 
 __all__ = [
-    "bound_unreadable",
     "clean_id",
-    "clean_id_ascii",
     "coerce_ts",
     "day_start",
     "is_missing",
     "iso_text",
     "iso_text_fraction",
+    "label_keys",
     "nfkc",
     "norm_label",
-    "norm_label_py",
     "parse_bound",
     "sanitize_name",
     "strip_ws",

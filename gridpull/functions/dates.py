@@ -1,11 +1,10 @@
 """Date reading and formatting rules as Column -> Column functions.
 
-``parse_bound`` accepts exactly the spellings a ``datetime.strptime`` reader
-with the formats below accepts (unpadded fields, any whitespace run between
-date and time, an optional ``UTC `` prefix and one trailing ``Z``) and returns
-``timestamp_ntz``; everything else is NULL. The field patterns mirror
-strptime's own digit rules so that e.g. ``25-7-3`` or ``2025-07-03 24:00`` are
-rejected, and ``try_make_timestamp_ntz`` rejects impossible dates such as
+``parse_bound`` accepts year-first and month-first dates, alone or with H:M or
+H:M:S (unpadded fields, any whitespace run between date and time, an optional
+``UTC `` prefix and one trailing ``Z``) and returns ``timestamp_ntz``;
+everything else is NULL. Digits are ASCII, seconds 0 to 59; ``25-7-3`` or
+``2025-07-03 24:00`` are rejected, and ``try_make_timestamp_ntz`` rejects impossible dates such as
 Feb 30. No Python runs per row.
 """
 
@@ -17,22 +16,18 @@ from pyspark.sql import functions as F
 from .text import is_missing, strip_ws
 
 # --- Fixed values -----------------------------------------------------------
-# Accepted spellings, tried in this order: four date-time forms, then two
-# date-only forms (date-only end bounds are moved to 23:59:59).
-DATETIME_FORMATS = ("%Y-%m-%d %H:%M:%S", "%Y-%m-%d %H:%M", "%m/%d/%Y %H:%M:%S", "%m/%d/%Y %H:%M")
-DATE_FORMATS = ("%Y-%m-%d", "%m/%d/%Y")
+# Date-only end bounds are moved to the end of their day.
 END_OF_DAY = "23:59:59"
 # ---------------------------------------------------------------------------
 
-# Digit rules of strptime's directives (%Y four digits, year 0 does not
-# exist; a day may be written as blank + digit). A 'T' counts as a blank,
+# Field rules (a year has four digits, year 0 does not exist; a day may be written as blank + digit). A 'T' counts as a blank,
 # since every T is turned into one before the formats are tried.
 _Y = r"((?!0000)[0-9]{4})"
 _MON = r"(1[0-2]|0[1-9]|[1-9])"
 _DAY = r"(3[01]|[12][0-9]|0[1-9]|[1-9]|[ T][1-9])"
 _HOUR = r"(2[0-3]|[0-1][0-9]|[0-9])"
 _MIN = r"([0-5][0-9]|[0-9])"
-_SEC = r"(6[0-1]|[0-5][0-9]|[0-9])"
+_SEC = r"([0-5][0-9]|[0-9])"
 _SEP = r"[T\s\x1c-\x1f]+"
 
 # One anchored pattern for all six formats on the stripped text: optional
@@ -79,11 +74,6 @@ def parse_bound(col, is_end: bool = False) -> Column:
     return F.when(is_missing(col), F.lit(None).cast("timestamp_ntz")).otherwise(bound)
 
 
-def bound_unreadable(col) -> Column:
-    """True for a non-missing cell that :func:`parse_bound` cannot read."""
-    return ~is_missing(col) & parse_bound(col).isNull()
-
-
 def iso_text(ts) -> Column:
     """timestamp -> 'YYYY-MM-DDTHH:MM:SS' (the bound text a request carries)."""
     c = F.col(ts) if isinstance(ts, str) else ts

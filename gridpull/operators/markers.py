@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Labels
-from ..functions.text import is_missing, norm_label, norm_label_py, sanitize_name
+from ..functions.text import is_missing, label_keys, norm_label, sanitize_name
 
 ROLES = ("header", "start", "end", "id")
 NON_ASCII = r"[^\x00-\x7F]"
@@ -25,38 +25,33 @@ NON_ASCII = r"[^\x00-\x7F]"
 
 def marker_scan(cells: DataFrame, labels: Labels = Labels()) -> DataFrame:
     """(sheet, c): distinct columns that contain an anchor label."""
-    anchors = sorted({norm_label_py(a) for a in labels.anchors})
-    return cells.where(norm_label("v").isin(anchors)).select("sheet", "c").distinct()
+    return cells.where(norm_label("v").isin(label_keys(labels.anchors))).select("sheet", "c").distinct()
 
 
 def marker_table(cells: DataFrame, labels: Labels = Labels()) -> DataFrame:
     """One row per sheet: header_r, header_c, start_r, start_c, end_r, end_c,
     id_r, id_c – the first cell (row-major) of each label inside the
-    candidate label columns; NULL when a label is absent.
+    candidate label columns, NULL when a label is absent – and whether any
+    cell is non-ASCII (only then does text need the NFKC step).
 
-    Only cells whose normalised text is a label take part; they are folded
-    per (sheet, column) and then per sheet, two partial aggregates with no
-    join, so the cost does not depend on how large a sheet is beyond one
-    scan of its cells.
+    One scan of the cells, folded per (sheet, column) and then per sheet: two
+    partial aggregates. A sheet without any label still gets its row.
     """
-    keys = {role: norm_label_py(text) for role, text in labels.as_dict().items()}
-    anchors = sorted({norm_label_py(a) for a in labels.anchors})
-    n = norm_label("v")
-    hits = cells.select("sheet", "r", "c", n.alias("n")).where(F.col("n").isin(sorted(set(keys.values()) | set(anchors))))
+    n = F.col("n")
+    keyed = cells.select("sheet", "r", "c", norm_label("v").alias("n"), F.col("v").rlike(NON_ASCII).alias("_wide"))
     rc = F.struct("r", "c")
-    per_col = hits.groupBy("sheet", "c").agg(
-        F.max(F.col("n").isin(anchors)).alias("_anchor"),
-        *[F.min(F.when(F.col("n") == keys[role], rc)).alias(role) for role in ROLES],
+    per_col = keyed.groupBy("sheet", "c").agg(
+        F.max(n.isin(label_keys(labels.anchors))).alias("_anchor"),
+        F.max("_wide").alias("_wide"),
+        *[F.min(F.when(n == key, rc)).alias(role) for role, key in zip(labels.as_dict(), label_keys(labels.as_dict().values()))],
+    )
+    per_sheet = per_col.groupBy("sheet").agg(
+        F.max("_wide").alias("non_ascii"), *[F.min(F.when(F.col("_anchor"), F.col(role))).alias(role) for role in ROLES]
     )
-    per_sheet = per_col.where(F.col("_anchor")).groupBy("sheet").agg(*[F.min(role).alias(role) for role in ROLES])
-    # Every sheet gets a row (a sheet without any label is reported as
-    # lacking its markers), with a flag telling whether any cell is
-    # non-ASCII: only then does text need the NFKC step.
-    flags = cells.groupBy("sheet").agg(F.max(F.col("v").rlike(NON_ASCII)).alias("non_ascii"))
     cols = []
     for role in ROLES:
         cols += [F.col(f"{role}.r").alias(f"{role}_r"), F.col(f"{role}.c").alias(f"{role}_c")]
-    return flags.join(per_sheet, "sheet", "left").select("sheet", *cols, "non_ascii")
+    return per_sheet.select("sheet", *cols, "non_ascii")
 
 
 def find_markers(cells: DataFrame, labels: Labels = Labels()) -> DataFrame:
@@ -68,12 +63,22 @@ def find_markers(cells: DataFrame, labels: Labels = Labels()) -> DataFrame:
     return mk.select("sheet", stacked.alias("m")).select("sheet", "m.role", "m.r", "m.c").where(F.col("r").isNotNull())
 
 
-def marker_errors(mk: DataFrame) -> DataFrame:
+def lacks(label: str) -> str:
+    """What is said of a sheet without a required label."""
+    return f"no cell of the label columns reads {label!r}"
+
+
+def no_names(label: str) -> str:
+    """What is said of a sheet whose header row is empty."""
+    return f"nothing stands right of {label!r}"
+
+
+def marker_errors(mk: DataFrame, labels: Labels = Labels()) -> DataFrame:
     """(sheet, error) for sheets lacking a required marker."""
     return mk.select(
         "sheet",
-        F.when(F.col("header_r").isNull(), F.lit("Header marker not found"))
-        .when(F.col("id_r").isNull(), F.lit("Voyage ID marker not found"))
+        F.when(F.col("header_r").isNull(), F.lit(lacks(labels.header)))
+        .when(F.col("id_r").isNull(), F.lit(lacks(labels.id)))
         .alias("error"),
     ).where(F.col("error").isNotNull())
 
@@ -83,13 +88,13 @@ def header_names(
     mk: DataFrame,
     labels: Labels = Labels(),
     omit_bound_headers: bool = True,
-    broadcast_mk: bool = True,
+    broadcast_mk: bool = False,
     ascii_only: bool = False,
 ) -> DataFrame:
     """(sheet, c, name): sanitized names right of the Header marker, in column order.
 
-    ``mk`` has one row per sheet; callers pass ``broadcast_mk`` after
-    checking the sheet count. With ``omit_bound_headers`` StartDate /
+    ``mk`` has one row per sheet; callers that have checked the sheet count
+    pass ``broadcast_mk``. With ``omit_bound_headers`` StartDate /
     EndDate names are left out, as they are query parameters rather than
     table columns.
     """
@@ -100,6 +105,5 @@ def header_names(
         .select("sheet", "c", sanitize_name("v", nfkc_text=not ascii_only).alias("name"))
     )
     if omit_bound_headers:
-        drop = [norm_label_py(labels.start), norm_label_py(labels.end)]
-        h = h.where(~norm_label("name").isin(drop))
+        h = h.where(~norm_label("name").isin(label_keys((labels.start, labels.end))))
     return h

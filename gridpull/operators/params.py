@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_bound
-from ..functions.text import clean_id, clean_id_ascii, is_missing
+from ..functions.text import clean_id, is_missing
 
 PARAM_COLUMNS = ("sheet", "c", "id", "start", "end")
 
 
-def raw_param_cells(cells: DataFrame, mk: DataFrame, broadcast_mk: bool = True, ascii_only: bool = False) -> DataFrame:
+def raw_param_cells(cells: DataFrame, mk: DataFrame, broadcast_mk: bool = False, ascii_only: bool = False) -> DataFrame:
     """(sheet, c, id, start, end, id_raw, start_raw, end_raw, start_r, end_r)
     for every column right of the id marker.
 
@@ -33,7 +33,6 @@ def raw_param_cells(cells: DataFrame, mk: DataFrame, broadcast_mk: bool = True,
     m = F.broadcast(m) if broadcast_mk else m
     r, v = F.col("r"), F.col("v")
     is_id, is_start, is_end = r == F.col("id_r"), r == F.col("start_r"), r == F.col("end_r")
-    cid = clean_id_ascii if ascii_only else clean_id
     x = cells.join(m, "sheet").where((F.col("c") > F.col("id_c")) & (is_id | is_start | is_end))
     x = x.select(
         "sheet",
@@ -41,7 +40,7 @@ def raw_param_cells(cells: DataFrame, mk: DataFrame, broadcast_mk: bool = True,
         F.when(is_id, v).alias("id_raw"),
         F.when(is_start, v).alias("start_raw"),
         F.when(is_end, v).alias("end_raw"),
-        F.when(is_id, cid(v)).alias("id"),
+        F.when(is_id, clean_id(v, ascii_only)).alias("id"),
         F.when(is_start, parse_bound(v)).alias("start"),
         F.when(is_end, parse_bound(v, is_end=True)).alias("end"),
         "start_r",
@@ -52,18 +51,18 @@ def raw_param_cells(cells: DataFrame, mk: DataFrame, broadcast_mk: bool = True,
     )
 
 
-def clean_params(raw: DataFrame, ascii_only: bool = False) -> DataFrame:
+def clean_params(raw: DataFrame) -> DataFrame:
     """Sets only: columns whose id cell is missing give no set. A missing or
     unreadable bound is NULL, which means open."""
     return raw.where(F.col("id").isNotNull())
 
 
-def param_sets(cells: DataFrame, mk: DataFrame, ascii_only: bool = False, broadcast_mk: bool = True) -> DataFrame:
+def param_sets(cells: DataFrame, mk: DataFrame, ascii_only: bool = False, broadcast_mk: bool = False) -> DataFrame:
     """(sheet, c, id, start, end)."""
     return clean_params(raw_param_cells(cells, mk, broadcast_mk, ascii_only)).select(*PARAM_COLUMNS)
 
 
-def param_errors(cells: DataFrame, mk: DataFrame, ascii_only: bool = False, broadcast_mk: bool = True) -> DataFrame:
+def param_errors(cells: DataFrame, mk: DataFrame, ascii_only: bool = False, broadcast_mk: bool = False) -> DataFrame:
     """(sheet, r, c, v): filled bound cells of a set that could not be read.
 
     Such a bound is treated as open, which silently widens the set; this

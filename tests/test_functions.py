@@ -11,7 +11,6 @@ from gridpull.functions import (
     is_missing,
     iso_text_fraction,
     norm_label,
-    norm_label_py,
     parse_bound,
     sanitize_name,
 )
@@ -26,8 +25,10 @@ def _apply(spark, values, fn):
 def test_norm_label(spark):
     vals = ["\xa0Voyage\xa0 ID ", "\x1cHeader", "Start-Date", "  Voyage ID ", "EndDate", "voyage_id", None]
     assert _apply(spark, vals, norm_label) == ["voyage_id", "header", "startdate", "voyage_id", "enddate", "voyage_id", None]
-    assert norm_label_py("Voyage ID") == "voyage_id"
-    assert norm_label_py("StartDate") == "startdate"
+    from gridpull.functions import label_keys
+
+    row = spark.range(1).select(*label_keys(["Voyage ID", "StartDate"])).first()
+    assert tuple(row) == ("voyage_id", "startdate")
 
 
 def test_is_missing(spark):
