@@ -85,12 +85,11 @@ class ExtractConfig:
                         to this many (counted); beyond it the balanced merge.
     hot_id_sets         in the shuffled set join, ids with more merged ranges
                         than this are joined on (id, time bucket).
+    hot_id_rows         so are ids with more fact rows than this.
     buckets_per_hot_id  at most this many time buckets per hot id.
     broadcast_max_sheets  per-sheet marker rows are broadcast up to this many
                         sheets (counted).
-    max_cols            sheet width read from CSV (explicit schema).
     omit_bound_headers  drop StartDate/EndDate names from the header list.
-    single_file_max_rows  CSV sink writes one file only up to this many rows.
     """
 
     id_col: str = DEFAULT_ID_COL
@@ -104,11 +103,22 @@ class ExtractConfig:
     broadcast_max_ids: int = 1_000
     window_merge_max_per_key: int = 1_000_000
     hot_id_sets: int = 64
+    hot_id_rows: int = 5_000_000
     buckets_per_hot_id: int = 4096
     broadcast_max_sheets: int = 100_000
-    max_cols: int = 256
     omit_bound_headers: bool = True
-    single_file_max_rows: int = 5_000_000
+
+    def resolved(self, columns) -> "ExtractConfig":
+        """This configuration with every column name in the table's own
+        spelling (names match without regard to case, as in Spark); names
+        that the table lacks are refused."""
+        have = {c.lower(): c for c in columns}
+        asked = (self.id_col, self.date_col, *self.tie_break)
+        missing = [c for c in asked if c.lower() not in have]
+        if missing:
+            raise ValueError(f"fact table lacks configured column(s) {missing}; it has {list(columns)}")
+        id_col, date_col, *tie = [have[c.lower()] for c in asked]
+        return replace(self, id_col=id_col, date_col=date_col, tie_break=tuple(tie))
 
     def with_(self, **kw) -> "ExtractConfig":
         return replace(self, **kw)

@@ -23,8 +23,8 @@ _UNORDERABLE = (T.MapType, T.VariantType) if hasattr(T, "VariantType") else (T.M
 
 
 def orderable_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    ex = set(exclude)
-    return [f.name for f in df.schema.fields if f.name not in ex and not isinstance(f.dataType, _UNORDERABLE)]
+    ex = {c.lower() for c in exclude}
+    return [f.name for f in df.schema.fields if f.name.lower() not in ex and not isinstance(f.dataType, _UNORDERABLE)]
 
 
 def _order_cols(order: Sequence[str | Column]) -> list[Column]:
@@ -44,12 +44,11 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
 def dedup_keys(df: DataFrame, id_col: str, date_col: str | None, order: Sequence[str | Column] | None = None) -> DataFrame:
     """Key choice of the sheet workflow: (id, date) when both exist, id alone
     when there is no date column, the full row otherwise."""
-    cols = set(df.columns)
-    if id_col in cols and date_col and date_col in cols:
-        return dedup_first(df, [id_col, date_col], order)
-    if id_col in cols:
-        return dedup_first(df, [id_col], order)
-    return df.distinct()
+    have = {c.lower(): c for c in df.columns}
+    keys = [have[k.lower()] for k in (id_col, date_col) if k and k.lower() in have]
+    if have.get((id_col or "").lower()) not in keys:
+        return df.distinct()
+    return dedup_first(df, keys, order)
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -41,8 +41,9 @@ from pyspark.sql import types as T
 from ..config import ExtractConfig
 from ..functions.dates import day_start
 from .projection import column_type
-from .sizing import broadcast_if_small, count_at_most, materialize, take_at_most
+from .sizing import broadcast_if_small, materialize, take_at_most
 
+MAX_SUMMARY_ROWS = 100_000
 _FAR_FUTURE = "9999-12-31 23:59:59.999999"
 
 
@@ -125,9 +126,10 @@ def merge_ranges_balanced(sets: DataFrame, keys: Sequence[str], partitions: int
     spark = sets.sparkSession
 
     def local(df: DataFrame) -> DataFrame:
-        # per-partition summaries: at most a few rows per partition, fetched
-        # once and used as a local (free to broadcast) table
-        return F.broadcast(spark.createDataFrame(df.collect(), df.schema))
+        # per-partition summaries, two rows per partition: a local table
+        # (free to broadcast) behind a count, else a table of their own
+        rows = take_at_most(df, MAX_SUMMARY_ROWS)
+        return materialize(df) if rows is None else F.broadcast(spark.createDataFrame(rows, df.schema))
 
     bounds = local(ordered.groupBy("_part").agg(F.min(kstruct).alias("_fk"), F.max(kstruct).alias("_lk")))
 
@@ -220,6 +222,16 @@ def _envelope(fact: DataFrame, sets: DataFrame, stats, cfg: ExtractConfig) -> Da
     return out
 
 
+def _asked_rows(fact: DataFrame, sets: DataFrame, stats, cfg: ExtractConfig) -> DataFrame:
+    """Before a shuffled join: only rows inside the overall envelope, of ids
+    that some set asks for (a semi join while the ids can be broadcast)."""
+    out = _envelope(fact, sets, stats, cfg)
+    if cfg.broadcast_max_ids < stats["n_ids"] <= cfg.broadcast_max_sets:
+        ids = sets.select(F.col("_pid").alias(cfg.id_col)).distinct()
+        out = out.join(F.broadcast(ids), cfg.id_col, "left_semi").select(*fact.columns)
+    return out
+
+
 def param_match(
     fact: DataFrame,
     params: DataFrame,
@@ -234,6 +246,7 @@ def param_match(
     'shuffle' (forcing is for tests and plan inspection).
     """
     by = list(by)
+    cfg = cfg.with_(tie_break=()).resolved(fact.columns)
     dtype = column_type(fact, cfg.id_col)
     cond_cols = fact.columns
     typed = prepared_sets(fact, params, cfg, by).select(*by, "_pid", "_ps", "_pe")
@@ -256,7 +269,8 @@ def param_match(
     raw = materialize(typed)
     stats = _set_stats(raw)
 
-    small = strategy == "broadcast" or (strategy == "auto" and stats["n"] <= cfg.broadcast_max_sets)
+    # a forced broadcast is still held to the counted bound
+    small = strategy in ("auto", "broadcast") and stats["n"] <= cfg.broadcast_max_sets
     if not small:
         # Many sets: merge (a per-key window unless one key holds more than
         # window_merge_max_per_key ranges, then without gathering a key) and
@@ -265,7 +279,7 @@ def param_match(
         per_key = raw.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
         merge = merge_ranges if per_key <= cfg.window_merge_max_per_key else merge_ranges_balanced
         merged = materialize(merge(raw, keys))
-        return bucketed_range_join(fact, merged, cfg, by)
+        return bucketed_range_join(_asked_rows(fact, raw, stats, cfg), merged, cfg, by)
     if by:
         # Per-group inner join: disjoint ranges per (group, id) make it a
         # per-group semi join. At most broadcast_max_sets ranges, so a
@@ -330,26 +344,31 @@ def bucketed_range_join(fact: DataFrame, merged: DataFrame, cfg: ExtractConfig,
     dtype = column_type(fact, cfg.date_col)
     # Keys are computed in the type the range check compares in: a date
     # column is compared with the (timestamp_ntz) bounds as a timestamp.
-    ctype = T.TimestampNTZType() if isinstance(dtype, T.DateType) else dtype
+    # Text dates are read leniently: unreadable ones count as NULL.
+    text = isinstance(dtype, T.StringType)
+    ctype = T.TimestampNTZType() if text or isinstance(dtype, T.DateType) else dtype
+    date = F.col(cfg.date_col).try_cast(ctype) if text else F.col(cfg.date_col)
     ps, pe = F.col("_ps").cast(ctype), F.col("_pe").cast(ctype)
     key = time_key(ps, ctype)
     if key is None:
-        s = merged.alias("s")
-        f = fact.alias("f")
-        cond = (F.col("f." + cfg.id_col) == F.col("s._pid")) & range_ok(F.col("f." + cfg.date_col), F.col("s._ps"), F.col("s._pe"))
-        how = "left_semi" if not by else "inner"
-        out = f.join(s, cond, how)
-        return out.select(*([F.col("s." + b).alias(b) for b in by] if by else []), *[F.col("f." + c).alias(c) for c in fact.columns])
+        raise ValueError(f"column {cfg.date_col!r} of type {dtype.simpleString()} holds no dates")
 
     m = merged.select(*by, "_pid", "_ps", "_pe", time_key(ps, ctype).alias("_ks"), time_key(pe, ctype).alias("_ke"))
     stats = m.groupBy("_pid").agg(
         F.count(F.lit(1)).alias("_n"),
         F.least(F.min("_ks"), F.min("_ke")).alias("_lo"),
         F.greatest(F.max("_ks"), F.max("_ke")).alias("_hi"),
+        F.max(F.col("_ks").isNull()).alias("_from_low"),
+        F.max(F.col("_ke").isNull()).alias("_to_high"),
+        F.max(F.col("_ks").isNull() & F.col("_ke").isNull()).alias("_any"),
     )
+    # An id is hot by its ranges or by its rows (a partial count of one column).
+    many = fact.groupBy(F.col(cfg.id_col).alias("_pid")).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > cfg.hot_id_rows)
+    stats = stats.join(many, "_pid", "left")
     width = F.greatest(F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.lit(cfg.buckets_per_hot_id)), F.lit(1)).cast("long")
-    hot_q = stats.where((F.col("_n") > cfg.hot_id_sets) & F.col("_lo").isNotNull()).select(
-        "_pid", "_lo", "_hi", width.alias("_w")
+    hot = (F.col("_n") > cfg.hot_id_sets) | F.col("_rows").isNotNull()
+    hot_q = stats.where(hot & F.col("_lo").isNotNull()).select(
+        "_pid", "_lo", "_hi", width.alias("_w"), "_from_low", "_to_high", "_any"
     )
     # Few hot ids (the usual case) come back in one job as a local table;
     # more are written once and broadcast only behind a counted bound.
@@ -373,8 +392,8 @@ def bucketed_range_join(fact: DataFrame, merged: DataFrame, cfg: ExtractConfig,
     pk = m.join(hot_side, "_pid", "left").select(*by, "_pid", "_ps", "_pe", F.explode(keys).alias("_bk"))
 
     # Fact side: the one bucket of each row.
-    h = hot_side.select(F.col("_pid").alias("_hid"), "_lo", "_hi", "_w")
-    d = F.col(cfg.date_col)
+    h = hot_side.select(F.col("_pid").alias("_hid"), "_lo", "_hi", "_w", "_from_low", "_to_high", "_any")
+    d = date
     dk = time_key(d.cast(ctype), ctype)
     bucket = (
         F.when(F.col("_lo").isNull(), F.lit(_COLD))
@@ -384,13 +403,17 @@ def bucketed_range_join(fact: DataFrame, merged: DataFrame, cfg: ExtractConfig,
         .otherwise(F.floor((dk - F.col("_lo")) / F.col("_w")))
         .cast("long")
     )
-    fk = fact.join(h, fact[cfg.id_col] == h["_hid"], "left").select(*fact.columns, bucket.alias("_fbk"))
+    # Rows of a hot id beyond all its bounds go nowhere unless a range is open.
+    b = F.col("_fbk")
+    met = ((b != _LOW) | F.col("_from_low")) & ((b != _HIGH) | F.col("_to_high")) & ((b != _NULLD) | F.col("_any"))
+    fk = fact.join(h, fact[cfg.id_col] == h["_hid"], "left").withColumn("_fbk", bucket).where(b.eqNullSafe(F.lit(_COLD)) | met)
+    fk = fk.select(*fact.columns, "_fbk", date.alias("_fd"))
 
     f, s = fk.alias("f"), pk.alias("s")
     cond = (
         (F.col("f." + cfg.id_col) == F.col("s._pid"))
         & (F.col("f._fbk") == F.col("s._bk"))
-        & range_ok(F.col("f." + cfg.date_col), F.col("s._ps"), F.col("s._pe"))
+        & range_ok(F.col("f._fd"), F.col("s._ps"), F.col("s._pe"))
     )
     if not by:
         return f.join(s, cond, "left_semi").select(*[F.col("f." + c).alias(c) for c in fact.columns])
@@ -406,14 +429,21 @@ def param_join(fact: DataFrame, params: DataFrame, cfg: ExtractConfig, set_key:
     not compare all its rows with all its sets in one task.
     """
     keys = [k for k in set_key if k in params.columns]
+    cfg = cfg.with_(tie_break=()).resolved(fact.columns)
     sets = prepared_sets(fact, params, cfg, keep=keys)
-    if broadcast is None:
-        sets = materialize(sets)
-        small = count_at_most(sets, cfg.broadcast_max_sets) is not None
+    rows = take_at_most(_with_texts(sets), cfg.pushdown_max_sets) if broadcast is None else None
+    if rows is not None:
+        # a few sets: their literals reach the scan, and they are a local table
+        fact = fact.where(literal_sets_predicate(rows, cfg.id_col, cfg.date_col, column_type(fact, cfg.id_col)))
+        sets = fact.sparkSession.createDataFrame([tuple(r)[:-2] for r in rows], sets.schema)
     else:
-        small = broadcast
-    if not small:
-        return bucketed_range_join(fact, sets, cfg, by=keys)
+        sets = materialize(sets)
+        stats = _set_stats(sets)
+        # a forced broadcast is still held to the counted bound
+        if (broadcast is None or broadcast) and stats["n"] <= cfg.broadcast_max_sets:
+            fact = _envelope(fact, sets, stats, cfg)
+        else:
+            return bucketed_range_join(_asked_rows(fact, sets, stats, cfg), sets, cfg, by=keys)
     f, s = fact.alias("f"), F.broadcast(sets).alias("s")
     cond = (F.col("f." + cfg.id_col) == F.col("s._pid")) & range_ok(
         F.col("f." + cfg.date_col), F.col("s._ps"), F.col("s._pe")
@@ -430,6 +460,7 @@ def set_counts(fact: DataFrame, params: DataFrame, cfg: ExtractConfig, set_key:
     shuffle; the zero-filling join is between two set-sized tables.
     """
     keys = [k for k in set_key if k in params.columns]
+    cfg = cfg.with_(tie_break=()).resolved(fact.columns)
     only_keys = fact.select(cfg.id_col, cfg.date_col)
     counted = param_join(only_keys, params, cfg, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
     return params.join(counted, keys, "left").select(
@@ -468,12 +499,14 @@ def ids_present(fact: DataFrame, params: DataFrame, cfg: ExtractConfig) -> DataF
     """
     dtype = column_type(fact, cfg.id_col)
     ids = params.select(F.col("id"), typed_id(F.col("id"), dtype).alias("_pid")).where(F.col("_pid").isNotNull()).distinct()
-    side, _ = broadcast_if_small(ids.select("_pid").distinct(), cfg.broadcast_max_sets)
-    found = (
-        fact.select(F.col(cfg.id_col).alias("_pid"))
-        .join(side, "_pid", "left_semi")
-        .distinct()
-    )
+    asked = ids.select("_pid").distinct()
+    rows = take_at_most(asked, cfg.broadcast_max_ids)
+    if rows is not None:  # few ids: literals that reach the scan
+        vals = [F.lit(r["_pid"]).cast(dtype) for r in rows]
+        found = fact.where(F.col(cfg.id_col).isin(vals) if vals else F.lit(False)).select(F.col(cfg.id_col).alias("_pid")).distinct()
+    else:
+        side, _ = broadcast_if_small(asked, cfg.broadcast_max_sets)
+        found = fact.select(F.col(cfg.id_col).alias("_pid")).join(side, "_pid", "left_semi").distinct()
     return ids.join(found, "_pid", "left_semi").select("id")
 
 

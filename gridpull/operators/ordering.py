@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from ..config import PAGE_SIZE, PROBE_LIMIT
 from .projection import column_type
-from .sizing import materialize
+from .sizing import broadcast_if_small, materialize
+
+MAX_BROADCAST_PARTITIONS = 1_000_000
 
 
 def result_order(date_col: str | None, id_col: str | None, extra: Sequence[str] = ()) -> list[Column]:
@@ -29,31 +31,36 @@ def result_order(date_col: str | None, id_col: str | None, extra: Sequence[str]
 
 def sort_result(df: DataFrame, date_col: str | None, id_col: str | None, extra: Sequence[str] = ()) -> DataFrame:
     """Date ascending (NULLs last), then id ascending; no date column -> no sort."""
-    order = result_order(date_col if date_col in df.columns else None, id_col if id_col in df.columns else None, extra)
+    have = {c.lower(): c for c in df.columns}
+    order = result_order(have.get((date_col or "").lower()), have.get((id_col or "").lower()), extra)
     return df.orderBy(*order) if order else df
 
 
-def sort_desc_nulls_last(df: DataFrame, date_col: str, extra: Sequence[str] = ()) -> DataFrame:
+def fetch_order(date_col: str, extra: Sequence[str] = ()) -> list[Column]:
     """Per-set fetch order: date descending, NULLs last."""
-    return df.orderBy(F.col(date_col).desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in extra])
+    return [F.col(date_col).desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in extra]]
+
+
+def sort_desc_nulls_last(df: DataFrame, date_col: str, extra: Sequence[str] = ()) -> DataFrame:
+    return df.orderBy(*fetch_order(date_col, extra))
 
 
-def with_position(df: DataFrame, order: Sequence[Column], name: str = "pos") -> DataFrame:
+def with_position(df: DataFrame, order: Sequence[Column] = (), name: str = "pos") -> DataFrame:
     """Attach the 1-based position of each row under ``order`` without a
-    single-partition window.
+    single-partition window; without ``order`` the frame is sorted already.
 
     The frame is range-sorted once and each row records its partition and
     its index inside the partition; that is written as a table in the shared
     checkpoint folder (lineage cut, survives executor loss). Per-partition
     row counts (one row per partition) give each partition's offset.
     """
-    sorted_df = df.orderBy(*order).select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid"))
+    sorted_df = (df.orderBy(*order) if order else df).select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid"))
     sorted_df = materialize(sorted_df)
     counts = sorted_df.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    offsets, _ = broadcast_if_small(counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off")), MAX_BROADCAST_PARTITIONS)
     low_bits = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    return sorted_df.join(F.broadcast(offsets), "_pid").select(
+    return sorted_df.join(offsets, "_pid").select(
         *[c for c in df.columns], (F.col("_off") + low_bits + 1).cast("long").alias(name)
     )
 

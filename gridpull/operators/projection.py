@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import SUMMARY_TABLE_DDL
+
 
 def select_list(header: Sequence[str], id_col: str, date_col: str | None) -> list[str]:
     """Header columns plus the dedup keys (id, date) when not asked for."""
     cols = list(header)
     for must in (id_col, date_col):
-        if must and must not in cols:
+        if must and must.lower() not in {c.lower() for c in cols}:
             cols.append(must)
     return cols
 
@@ -56,8 +58,10 @@ def read_columns(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     return df.select(*cols)
 
 
-def schema_for(columns: Sequence[str], full: T.StructType) -> T.StructType:
-    """The declared fields of ``columns`` in that order; unknown -> nullable string."""
+def schema_for(columns: Sequence[str], full: T.StructType | None = None) -> T.StructType:
+    """The declared fields (of the summary table by default) of ``columns``
+    in that order; unknown -> nullable string."""
+    full = T.StructType.fromDDL(SUMMARY_TABLE_DDL) if full is None else full
     by_name = {f.name: f for f in full.fields}
     return T.StructType([by_name.get(c, T.StructField(c, T.StringType(), True)) for c in columns])
 

@@ -6,6 +6,8 @@ so what reaches the driver or an executor's memory has a counted bound.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +37,39 @@ def materialize(df: DataFrame) -> DataFrame:
 
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/tables/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.parquet(path)
+    delete_on_exit(df.sparkSession, path)
+    for paths in _open_scopes:
+        paths.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_open_scopes: list[list[str]] = []
+
+
+def delete_on_exit(spark, path: str) -> None:
+    """Have the file system delete ``path`` when the application ends."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
+def drop_tables(spark, paths: list[str]) -> None:
+    """Delete written tables now."""
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    paths.clear()
+
+
+@contextmanager
+def table_scope():
+    """Collects the paths of the tables that :func:`materialize` writes."""
+    paths: list[str] = []
+    _open_scopes.append(paths)
+    try:
+        yield paths
+    finally:
+        _open_scopes.remove(paths)
 
 
 def broadcast_if_small(df: DataFrame, limit: int) -> tuple[DataFrame, bool]:

@@ -8,6 +8,7 @@ only fill in settings that are unset, so a cluster's own configuration
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,14 +41,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only a local-mode session without one (tests, the bench) gets a
-    scratch folder; a cluster session without one is refused, because a
-    machine-local folder would scatter materialised tables over the nodes.
+    as is. Only a single-JVM local session without one (tests, the bench)
+    gets a scratch folder; any other session without one is refused, because
+    a machine-local folder would scatter written tables over the nodes.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder (e.g. on HDFS or object storage)")
         d = tempfile.mkdtemp(prefix="gridpull-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not sc.getCheckpointDir():

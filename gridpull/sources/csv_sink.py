@@ -9,22 +9,24 @@
   Python prints them (``10000000.0``, ``1e-05``), booleans as ``True`` /
   ``False``.
 
-Spark's output committer publishes the folder atomically. ``single_file``
-coalesces to one part only after a counted check; big results are written
-by all tasks in parallel, one self-contained CSV part per task.
+Rows are formatted to lines by position, so a header name may repeat. A result
+is one named file (``single_file``) or a folder of parts that each start with
+the BOM and the header; which of them is the caller's choice. Either is
+written to a fresh folder beside the target first and then swapped in by
+renames, so a failed write leaves the old result in place.
 """
 
 from __future__ import annotations
 
 import glob
 import os
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import iso_text_fraction
-from ..operators.sizing import count_at_most
 
 BOM = "\ufeff"
 
@@ -71,63 +73,95 @@ def python_float_text(c) -> F.Column:
     )
 
 
-def format_for_csv(df: DataFrame) -> DataFrame:
-    cols = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = iso_text_fraction(c)
-        elif isinstance(f.dataType, T.DecimalType) and f.dataType.scale > 0:
-            c = F.regexp_replace(c.cast("string"), r"(\.[0-9]*?[0-9])0+$", "$1")
-        elif isinstance(f.dataType, T.DoubleType):
-            c = python_float_text(c)
-        elif isinstance(f.dataType, T.BooleanType):
-            c = F.when(c, F.lit("True")).when(~c, F.lit("False"))
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
-
-
-def write_csv(
-    df: DataFrame,
-    path: str,
-    bom: bool = True,
-    line_sep: str = "\n",
-    single_file: bool | None = None,
-    single_file_max_rows: int = 5_000_000,
-    partition_by: list[str] | None = None,
-) -> str:
-    """Write ``df`` as CSV into folder ``path``; returns the folder.
-
-    ``single_file=None`` decides by a counted bound (the frame should be
-    materialised, e.g. checkpointed, when that count must not recompute it).
-    Row order is kept: coalescing a sorted frame concatenates its ordered
-    partitions.
-    """
-    out = format_for_csv(df)
-    data_cols = [c for c in out.columns if c not in (partition_by or [])]
-    if bom and data_cols:
-        # the BOM is the first character of every part file: it leads the
-        # first written column name of the header line
-        out = out.withColumnRenamed(data_cols[0], BOM + data_cols[0])
-    if single_file is None:
-        single_file = count_at_most(df, single_file_max_rows) is not None
-    if single_file and not partition_by:
-        out = out.coalesce(1)
-    w = (
-        out.write.mode("overwrite")
-        .option("header", "true")
-        .option("nullValue", "")
-        .option("emptyValue", "")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", "false")
-        .option("ignoreTrailingWhiteSpace", "false")
-        .option("lineSep", line_sep)
-        .option("encoding", "UTF-8")
+def csv_text(c: Column, dtype: T.DataType) -> Column:
+    """A value's text in the file, before quoting."""
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return iso_text_fraction(c)
+    if isinstance(dtype, T.DecimalType) and dtype.scale > 0:
+        return F.regexp_replace(c.cast("string"), r"(\.[0-9]*?[0-9])0+$", "$1")
+    if isinstance(dtype, T.DoubleType):
+        return python_float_text(c)
+    if isinstance(dtype, T.BooleanType):
+        return F.when(c, F.lit("True")).when(~c, F.lit("False"))
+    return c.cast("string")
+
+
+def quoted(text: Column) -> Column:
+    """NULL as nothing; quotes around a text with a delimiter, quote or line
+    break, quotes inside doubled."""
+    t = F.coalesce(text, F.lit(""))
+    return F.when(t.rlike('[",\r\n]'), F.concat(F.lit('"'), F.replace(t, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(t)
+
+
+def header_line(names: list[str], bom: bool = True) -> Column:
+    return F.concat(F.lit(BOM if bom else ""), F.array_join(F.array(*[quoted(F.lit(n)) for n in names]), ","))
+
+
+def csv_lines(df: DataFrame) -> DataFrame:
+    """(line): the rows of ``df`` as CSV lines, in its order; columns are
+    taken by position."""
+    kinds = [f.dataType for f in df.schema.fields]
+    by_position = df.toDF(*[f"_{i}" for i in range(len(kinds))])
+    values = [quoted(csv_text(F.col(f"_{i}"), k)) for i, k in enumerate(kinds)]
+    return by_position.select(F.array_join(F.array(*values), ",").alias("line"))
+
+
+def _fs(spark, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def publish(spark, new: str, target: str) -> None:
+    """Put the finished ``new`` (file or folder) in ``target``'s place; the
+    old result goes only after the new one stands there, and comes back if
+    the swap fails."""
+    src, fs = _fs(spark, new)
+    dst, _ = _fs(spark, target)
+    fs.mkdirs(dst.getParent())
+    old = _fs(spark, f"{target}.old-{uuid.uuid4().hex}")[0] if fs.exists(dst) else None
+    if old is not None and not fs.rename(dst, old):
+        raise OSError(f"cannot move the old result {target}")
+    if not fs.rename(src, dst):
+        if old is not None:
+            fs.rename(old, dst)
+        raise OSError(f"cannot move the new result to {target}")
+    if old is not None:
+        fs.delete(old, True)
+
+
+def write_csv(df: DataFrame, path: str, bom: bool = True, line_sep: str = "\n", single_file: bool = False) -> str:
+    """Write ``df`` as CSV, in its row order; returns ``path``.
+
+    ``single_file``: ``path`` is the file, written by one task (its last
+    merge; the sort's exchange stays parallel). Otherwise ``path`` is a folder
+    of parts in order, each a CSV of its own; an empty frame gives one part
+    with the header."""
+    spark = df.sparkSession
+    head = header_line(df.columns, bom)
+    lines = csv_lines(df)
+    obs = Observation()
+    lines = lines.observe(obs, F.count(F.lit(1)).alias("n"))
+    if single_file:
+        lines = lines.coalesce(1)
+    # the first line of each part brings the header with it
+    low = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    out = lines.select("line", low.alias("i")).select(
+        F.explode(F.when(F.col("i") == 0, F.array(head, "line")).otherwise(F.array("line"))).alias("line")
     )
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.csv(path)
+    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    try:
+        out.write.option("lineSep", line_sep).text(fresh)
+        if obs.get["n"] == 0:
+            spark.range(1).select(head.alias("line")).coalesce(1).write.mode("overwrite").option("lineSep", line_sep).text(fresh)
+        p, fs = _fs(spark, fresh)
+        new = fresh
+        if single_file:
+            new = next(s.getPath().toString() for s in fs.listStatus(p) if s.getPath().getName().startswith("part-"))
+        publish(spark, new, path.rstrip("/"))
+    finally:
+        p, fs = _fs(spark, fresh)
+        if fs.exists(p):
+            fs.delete(p, True)
     return path
 
 

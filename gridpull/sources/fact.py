@@ -66,16 +66,17 @@ def read_jdbc_for_sets(
     id_col: str,
     date_col: str,
     properties: dict | None = None,
-    max_sets: int = 50,
+    partitions: int = 50,
+    max_sets: int = 100_000,
 ):
-    """Fact rows for a handful of parameter sets straight from a database:
-    one JDBC partition per set, so the database answers the sets in
-    parallel (the per-set requests of the sheet workflow, run as one job).
-
-    ``params`` is a (id, start, end) DataFrame; at most ``max_sets`` sets are
-    taken to the driver (counted), more are refused – read the table with
-    column partitioning and use the set join instead. Overlapping sets
-    return a row once per set, which the set join and de-dup absorb.
+    """Fact rows of parameter sets straight from a database, as one job of up
+    to ``partitions`` parallel queries; more sets share a query's WHERE.
+
+    ``params`` is a (id, start, end) DataFrame. The sets are query text, so
+    they come to the driver, counted: beyond ``max_sets`` read the table with
+    column partitioning and use the set join. No sets give an empty frame.
+    Overlapping sets may return a row once per query, which the set join and
+    de-dup absorb.
     """
     from ..functions.dates import iso_text
     from ..operators.sizing import take_at_most
@@ -85,7 +86,15 @@ def read_jdbc_for_sets(
     )
     if rows is None:
         raise ValueError(f"more than {max_sets} sets: use a partitioned table read and the set join")
-    if not rows:
-        return None
-    preds = set_predicates_sql([r.asDict() for r in rows], id_col, date_col)
+    preds = grouped_predicates(set_predicates_sql([r.asDict() for r in rows], id_col, date_col), partitions)
     return read_jdbc(spark, url, table, properties, preds)
+
+
+def grouped_predicates(preds: Sequence[str], partitions: int) -> list[str]:
+    """At most ``partitions`` WHERE fragments that cover all ``preds``; one
+    that is never true when there are none."""
+    if not preds:
+        return ["1 = 0"]
+    if len(preds) <= partitions:
+        return list(preds)
+    return [" OR ".join(f"({p})" for p in preds[i::partitions]) for i in range(partitions)]

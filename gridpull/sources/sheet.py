@@ -1,106 +1,90 @@
 """Parameter sheets: headerless CSV grids -> long cell tables.
 
 A sheet is read with an explicit all-string schema (no type inference, so
-``007`` stays ``007`` and dates stay text) and an explicit width (a short
-title line cannot truncate the grid). ``multiLine`` makes every file a single
-split, so the row order inside a file is the read order and
-``monotonically_increasing_id`` numbers the rows of one file contiguously; a
-per-file minimum turns that into a dense row index ``r``. A whole folder of
-sheets is one job: the file path is the ``sheet`` key carried through every
-later step.
+``007`` stays ``007`` and dates stay text). Its width comes from the data: the
+sheets are read once with a single column, every record that has more keeps
+its whole text, and the delimiters outside quoted fields are counted – so
+neither a short title line nor a wide sheet loses cells. ``multiLine`` makes
+every file a single split, so the row order inside a file is the read order
+and ``monotonically_increasing_id`` numbers the rows of one file contiguously;
+a per-file minimum turns that into a dense row index ``r``. A whole folder of
+sheets is one job: the (decoded) file path is the ``sheet`` key carried through
+every later step.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.sizing import broadcast_if_small
 
-MAX_BROADCAST_FILES = 1_000_000
-
-
+MAX_BROADCAST_FILES = 100_000
 CORRUPT = "_corrupt_record"
+# The reader's own bound on fields per record, raised beyond what any
+# spreadsheet holds.
+READER_COLUMNS = 1_000_000
+QUOTED_FIELD = r'(^|,)[ \t]*"(?:[^"]|"")*"[ \t]*(?=,|$)'
 
 
-def grid_schema(max_cols: int) -> T.StructType:
-    """``max_cols`` string columns plus the reader's malformed-record column."""
-    fields = [T.StructField(f"_c{i}", T.StringType(), True) for i in range(max_cols)]
-    return T.StructType(fields + [T.StructField(CORRUPT, T.StringType(), True)])
+def sheet_key() -> Column:
+    """The file's path with %-escapes decoded ('+' is a plain character)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
-def width_guarded_sheet(max_cols: int, sheet: str = "sheet") -> F.Column:
-    """The sheet column, failing the job for a record wider than ``max_cols``.
-
-    A record with more fields than the schema is kept whole in the
-    malformed-record column and still fills the last column; rather than
-    silently cutting it, the read stops with an error naming the limit.
-    """
-    too_wide = F.col(CORRUPT).isNotNull() & F.col(f"_c{max_cols - 1}").isNotNull()
-    msg = F.concat(F.lit(f"sheet row wider than max_cols={max_cols}: "), F.col(sheet))
-    return F.when(too_wide, F.raise_error(msg)).otherwise(F.col(sheet)).cast("string")
-
-
-def sheet_width(spark: SparkSession, paths: Sequence[str], max_cols: int) -> int:
-    """Columns needed for the sheets: the widest line's field count when no
-    line holds a quote (then every comma separates fields), else
-    ``max_cols``. One small job over the raw lines; a narrow schema keeps
-    planning and code generation cheap for typical sheets."""
-    lines = spark.read.text(list(paths))
-    agg = lines.agg(
-        F.max(F.size(F.split("value", ",", -1))).alias("w"),
-        F.max(F.col("value").contains('"').cast("int")).alias("q"),
-    ).first()
-    if agg is None or agg["w"] is None:
-        return 1
-    if agg["q"]:
-        return max_cols
-    return max(1, min(max_cols, agg["w"]))
-
-
-def read_sheet_grid(spark: SparkSession, paths: str | Sequence[str], max_cols: int = 256) -> DataFrame:
-    """(sheet, r, _c0 .. _c{w-1}) – one row per CSV record, ``w`` ≤ ``max_cols``."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    max_cols = sheet_width(spark, paths, max_cols)
-    cols = [f"_c{i}" for i in range(max_cols)]
-    raw = (
-        spark.read.schema(grid_schema(max_cols))
+def _reader(spark: SparkSession, schema: T.StructType):
+    return (
+        spark.read.schema(schema)
         .option("header", "false")
         .option("multiLine", "true")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("maxColumns", str(READER_COLUMNS))
         .option("ignoreLeadingWhiteSpace", "false")
         .option("ignoreTrailingWhiteSpace", "false")
+    )
+
+
+def sheet_width(spark: SparkSession, paths: Sequence[str]) -> int:
+    """Columns needed for the sheets: the most delimiters outside well-formed
+    quoted fields in any record, plus one (never fewer than the record has
+    fields)."""
+    schema = T.StructType([T.StructField("_c0", T.StringType()), T.StructField(CORRUPT, T.StringType())])
+    plain = F.regexp_replace(CORRUPT, QUOTED_FIELD, "$1")
+    delimiters = F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit("")))
+    # the reader wants a column beside the raw record
+    row = _reader(spark, schema).csv(list(paths)).agg(F.max(delimiters).alias("n"), F.count("_c0")).first()
+    return (row["n"] or 0) + 1
+
+
+def read_sheet_grid(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(sheet, r, row array<string>) – one row per CSV record."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    cols = [f"_c{i}" for i in range(sheet_width(spark, paths))]
+    raw = (
+        _reader(spark, T.StructType([T.StructField(c, T.StringType()) for c in cols]))
         .csv(paths)
-        .select(F.col("_metadata.file_path").alias("sheet"), *cols, CORRUPT)
-        .select(
-            width_guarded_sheet(max_cols).alias("sheet"),
-            F.monotonically_increasing_id().alias("_k"),
-            *cols,
-        )
+        .select(sheet_key().alias("sheet"), F.monotonically_increasing_id().alias("_k"), F.expr(f"array({', '.join(cols)})").alias("row"))
     )
-    # One row per file: the driver holds the file listing, so its length is
-    # the (checked) bound of what is broadcast.
-    first = raw.groupBy("sheet").agg(F.min("_k").alias("_k0"))
-    if len(raw.inputFiles()) <= MAX_BROADCAST_FILES:
-        first = F.broadcast(first)
-    return raw.join(first, "sheet").select("sheet", (F.col("_k") - F.col("_k0")).alias("r"), *cols)
+    # One row per file, broadcast only behind a count.
+    first, _ = broadcast_if_small(raw.groupBy("sheet").agg(F.min("_k").alias("_k0")), MAX_BROADCAST_FILES)
+    return raw.join(first, "sheet").select("sheet", (F.col("_k") - F.col("_k0")).alias("r"), "row")
 
 
 def grid_to_cells(grid: DataFrame) -> DataFrame:
-    """Wide grid -> cells (sheet, r, c, v); blank cells are not materialised."""
-    cols = [c for c in grid.columns if c.startswith("_c")]
-    cells = grid.select("sheet", "r", F.posexplode(F.array(*cols)).alias("c", "v")).where(F.col("v").isNotNull())
+    """Grid -> cells (sheet, r, c, v); blank cells are not materialised."""
+    cells = grid.select("sheet", "r", F.posexplode("row").alias("c", "v")).where(F.col("v").isNotNull())
     # A spreadsheet export may start with a UTF-8 byte-order mark.
     v = F.when((F.col("r") == 0) & (F.col("c") == 0), F.regexp_replace("v", "^\ufeff", "")).otherwise(F.col("v"))
     return cells.select("sheet", "r", F.col("c").cast("int").alias("c"), v.alias("v"))
 
 
-def read_sheet_cells(spark: SparkSession, paths: str | Sequence[str], max_cols: int = 256) -> DataFrame:
+def read_sheet_cells(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Sheets on disk -> cells (sheet, r, c, v)."""
-    return grid_to_cells(read_sheet_grid(spark, paths, max_cols))
+    return grid_to_cells(read_sheet_grid(spark, paths))
 
 
 def sheet_shape(cells: DataFrame, grid: DataFrame | None = None) -> DataFrame:
