@@ -29,16 +29,16 @@ from ..functions.text import clean_id, is_missing, norm_label, sanitize_name
 from ..operators.dedup import dedup_first, distinct_rows
 from ..operators.joins import ids_missing, ids_present, merge_ranges, param_join, prepared_sets, set_counts, union_sets
 from ..operators.markers import find_markers, header_names, marker_scan, marker_table
-from ..operators.ordering import page, probe_limit, with_position
+from ..operators.ordering import fetch_order, page, probe_limit, sort_desc_nulls_last, sort_result, with_position
 from ..operators.params import param_errors, param_sets
 from ..operators.predicates import date_clause, eq, or_groups
 from ..operators.projection import conform, schema_for
-from ..operators.sizing import materialize, take_at_most
+from ..operators.sizing import delete_on_exit, materialize, take_at_most
 from ..session import ensure_checkpoint_dir
 from ..sources.csv_sink import write_csv
-from ..sources.sheet import sheet_shape
-from .derived import SEGMENT_SHEET_CELLS_SQL, segment_sheet_cells
-from .extract import extract_rows, plan_sheets
+from ..sources.sheet import grid_to_cells, read_sheet_grid, sheet_shape
+from .derived import SEGMENT_SHEET_CELLS_SQL, write_segment_sheets
+from .extract import batch_header, extract_rows, plan_sheets
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -485,8 +485,7 @@ _ORD_NULL_SQL = "o AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 =
 def q_sort_date_id(spark, sf):
     ensure_checkpoint_dir(spark)
     o = _orders_with_null_dates(spark, sf)
-    order = [F.col("o_orderdate").asc_nulls_last(), F.col("o_custkey").asc_nulls_last(), F.col("o_orderkey").asc_nulls_first()]
-    return with_position(o, order)
+    return with_position(sort_result(o, "o_orderdate", "o_custkey", ["o_orderkey"]))
 
 
 SQL_SORT_DATE_ID = f"""
@@ -499,7 +498,7 @@ SELECT o_orderkey, o_custkey, o_orderdate,
 def q_sort_date(spark, sf):
     ensure_checkpoint_dir(spark)
     o = _orders_with_null_dates(spark, sf)
-    return with_position(o, [F.col("o_orderdate").asc_nulls_last(), F.col("o_orderkey").asc_nulls_first()])
+    return with_position(sort_result(o, "o_orderdate", None, ["o_orderkey"]))
 
 
 SQL_SORT_DATE = f"""
@@ -512,7 +511,7 @@ SELECT o_orderkey, o_custkey, o_orderdate,
 def q_sort_desc_nulls_last(spark, sf):
     ensure_checkpoint_dir(spark)
     o = _orders_with_null_dates(spark, sf)
-    return with_position(o, [F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey").asc_nulls_first()])
+    return with_position(sort_desc_nulls_last(o, "o_orderdate", ["o_orderkey"]))
 
 
 SQL_SORT_DESC_NULLS_LAST = f"""
@@ -524,7 +523,7 @@ SELECT o_orderkey, o_custkey, o_orderdate,
 
 def q_page_n(spark, sf):
     o = _t(spark, sf, "orders")
-    return page(o, [F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey").asc_nulls_first()], 3, PAGE_SIZE)
+    return page(o, fetch_order("o_orderdate", ["o_orderkey"]), 3, PAGE_SIZE)
 
 
 SQL_PAGE_N = f"SELECT * FROM orders ORDER BY o_orderdate DESC NULLS LAST, o_orderkey ASC NULLS FIRST LIMIT {PAGE_SIZE} OFFSET {3 * PAGE_SIZE}"
@@ -589,6 +588,8 @@ _SPELLINGS = (
     ("MM/dd/yyyy", "%m/%d/%Y", "day"),
     ("yy-MM-dd", "%y-%m-%d", None),
     ("yyyy-MM-dd HH:mm:ss'.5'", "%Y-%m-%d %H:%M:%S.5", None),
+    ("yyyy-MM-dd HH:mm:'60'", "%Y-%m-%d %H:%M:60", None),
+    ("M/d/yyyy H:mm:'61'", "%-m/%-d/%Y %-H:%M:61", None),
 )
 
 
@@ -710,49 +711,60 @@ params AS (SELECT sheet, c, {cid} AS id, {ps} AS "start", {pe} AS "end", start_r
 )
 
 
+def _segment_grid(spark, sf):
+    """The derived sheets, read from their CSV files and named by segment."""
+    grid = read_sheet_grid(spark, write_segment_sheets(spark, sf))
+    return grid.withColumn("sheet", F.regexp_extract("sheet", "/sheet=([^/]+)/", 1))
+
+
+def _segment_cells(spark, sf):
+    return grid_to_cells(_segment_grid(spark, sf))
+
+
 def _segment_plan(spark, sf):
-    """Cells and marker rows of the derived sheets; the marker table (one row
-    per sheet) becomes a local table behind a counted bound, else it is
-    written once and joined without a broadcast."""
-    cells = segment_sheet_cells(spark, sf)
+    """Stored cells and marker rows of the derived sheets; the marker table
+    (one row per sheet) becomes a local table behind a counted bound, else it
+    is written once and joined without a broadcast."""
+    cells = materialize(_segment_cells(spark, sf))
     mk = marker_table(cells)
     rows = take_at_most(mk, ORDERS_CFG.broadcast_max_sheets)
     if rows is None:
-        return cells, materialize(mk), False
-    return cells, spark.createDataFrame(rows, mk.schema), True
+        return cells, materialize(mk), False, False
+    return cells, spark.createDataFrame(rows, mk.schema), True, not any(r["non_ascii"] for r in rows)
 
 
 def q_sheet_cells(spark, sf):
-    return segment_sheet_cells(spark, sf)
+    return _segment_cells(spark, sf)
 
 
 SQL_SHEET_CELLS = "WITH " + SEGMENT_SHEET_CELLS_SQL + " SELECT sheet, r, c, v FROM cells"
 
 
 def q_sheet_shape(spark, sf):
-    return sheet_shape(segment_sheet_cells(spark, sf))
+    grid = _segment_grid(spark, sf)
+    return sheet_shape(grid_to_cells(grid), grid)
 
 
 SQL_SHEET_SHAPE = "WITH " + SEGMENT_SHEET_CELLS_SQL + " SELECT sheet, max(r) + 1 AS n_rows, max(c) + 1 AS n_cols FROM cells GROUP BY sheet"
 
 
 def q_marker_scan(spark, sf):
-    return marker_scan(segment_sheet_cells(spark, sf))
+    return marker_scan(_segment_cells(spark, sf))
 
 
 SQL_MARKER_SCAN = "WITH " + _MARKERS_SQL + " SELECT sheet, c FROM cand"
 
 
 def q_marker_find(spark, sf):
-    return find_markers(segment_sheet_cells(spark, sf))
+    return find_markers(_segment_cells(spark, sf))
 
 
 SQL_MARKER_FIND = "WITH " + _MARKERS_SQL + " SELECT sheet, role, r, c FROM markers"
 
 
 def q_header_cols(spark, sf):
-    cells, mk, few = _segment_plan(spark, sf)
-    return header_names(cells, mk, broadcast_mk=few)
+    cells, mk, few, ascii_only = _segment_plan(spark, sf)
+    return header_names(cells, mk, broadcast_mk=few, ascii_only=ascii_only)
 
 
 SQL_HEADER_COLS = (
@@ -769,16 +781,16 @@ SELECT sheet, c, name FROM h WHERE """
 
 
 def q_param_sets(spark, sf):
-    cells, mk, few = _segment_plan(spark, sf)
-    return param_sets(cells, mk, ascii_only=True, broadcast_mk=few)
+    cells, mk, few, ascii_only = _segment_plan(spark, sf)
+    return param_sets(cells, mk, ascii_only=ascii_only, broadcast_mk=few)
 
 
 SQL_PARAM_SETS = "WITH " + _PARAMS_SQL + ' SELECT sheet, c, id, "start", "end" FROM params WHERE id IS NOT NULL'
 
 
 def q_param_errors(spark, sf):
-    cells, mk, few = _segment_plan(spark, sf)
-    return param_errors(cells, mk, ascii_only=True, broadcast_mk=few)
+    cells, mk, few, ascii_only = _segment_plan(spark, sf)
+    return param_errors(cells, mk, ascii_only=ascii_only, broadcast_mk=few)
 
 
 SQL_PARAM_ERRORS = (
@@ -793,15 +805,11 @@ SELECT p.sheet, mk.end_r AS r, p.c, p.end_raw AS v FROM params p JOIN mk USING (
 """
 )
 
-SHEET_HEADER = ("o_orderdate", "o_custkey", "o_totalprice", "rate_usd", "voyage_id", "o_orderkey")
-
-
 def q_sheet_extract(spark, sf):
     """Many sheets in one job: every segment sheet's sets against orders,
     per-sheet de-dup, result keyed by sheet."""
-    cells = segment_sheet_cells(spark, sf)
-    mk, names, params, errs = plan_sheets(cells, ORDERS_CFG)
-    return extract_rows(_t(spark, sf, "orders"), params, ORDERS_CFG, SHEET_HEADER, by=["sheet"])
+    mk, names, params, errs = plan_sheets(_segment_cells(spark, sf), ORDERS_CFG)
+    return extract_rows(_t(spark, sf, "orders"), params, ORDERS_CFG, batch_header(names), by=["sheet"])
 
 
 SQL_SHEET_EXTRACT = (
@@ -824,10 +832,27 @@ def q_write_csv(spark, sf):
     import uuid
 
     out = f"{base.rstrip('/')}/csv-{uuid.uuid4().hex}"
-    write_csv(q_param_extract(spark, sf), out, single_file=False)
+    write_csv(q_param_extract(spark, sf), out)
+    delete_on_exit(spark, out)
     return spark.read.option("header", "true").option("encoding", "UTF-8").csv(out)
 
 
+SQL_WRITE_CSV = (
+    "SELECT strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') AS l_shipdate, "
+    + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in LINEITEM_HEADER[1:])
+    + f" FROM ({SQL_PARAM_EXTRACT})"
+)
+
+
+def q_nfkc_id(spark, sf):
+    """Ids spelled with full-width digits, cleaned like sheet ids."""
+    o = _t(spark, sf, "orders")
+    wide = F.translate(F.col("o_custkey").cast("string"), "0123456789", "０１２３４５６７８９")
+    return o.select("o_orderkey", clean_id(F.concat(F.lit("\u00a0'"), wide, F.lit("' "))).alias("id"))
+
+
+SQL_NFKC_ID = "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS id FROM orders"
+
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "param_extract": (q_param_extract, SQL_PARAM_EXTRACT),
     "param_extract_broadcast": (q_param_extract_broadcast, SQL_PARAM_EXTRACT),
@@ -876,5 +901,6 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "param_sets": (q_param_sets, SQL_PARAM_SETS),
     "param_errors": (q_param_errors, SQL_PARAM_ERRORS),
     "sheet_extract": (q_sheet_extract, SQL_SHEET_EXTRACT),
-    "write_csv": (q_write_csv, None),
+    "write_csv": (q_write_csv, SQL_WRITE_CSV),
+    "nfkc_id": (q_nfkc_id, SQL_NFKC_ID),
 }

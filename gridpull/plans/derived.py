@@ -7,14 +7,20 @@ a title, the label column and a header row; the variable part spells each
 customer's id and bounds in the different ways a hand-filled sheet does
 (quoted ids, unpadded dates, ``UTC`` / ``Z`` decorations, unreadable text,
 blank cells). Everything is per-row Spark expressions plus one explode per
-sheet – no driver data, no join.
+sheet. ``write_segment_sheets`` writes them as real CSV files, which the
+queries read like any sheet.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.sizing import delete_on_exit
+from ..session import ensure_checkpoint_dir
+
 # --- Fixed values -----------------------------------------------------------
 # Layout of every derived sheet (row, column, text). Column 1 holds the labels;
 # the header row also contains a cell that normalises like the id label and
@@ -36,7 +42,8 @@ SHEET_FIXED_CELLS = (
     (6, 1, "Voyage ID"),
     (7, 1, "Voyage ID"),
 )
-SET_COLUMN_OFFSET = 2  # sheet column of customer k is k + 2
+SET_COLUMN_OFFSET = 1  # a segment's first customer stands in column 2
+N_ROWS = 8
 ROW_START, ROW_END, ROW_NOTE, ROW_ID, ROW_DECOY = 3, 4, 5, 6, 7
 # ---------------------------------------------------------------------------
 
@@ -50,6 +57,8 @@ def segment_sheet_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         .distinct()
         .select("sheet", F.inline(fixed))
     )
+    nth = F.row_number().over(Window.partitionBy("c_mktsegment").orderBy("c_custkey"))
+    cust = cust.withColumn("nth", nth)
     k = F.col("c_custkey")
     ks = k.cast("string")
     year = (F.lit(1995) + F.pmod(F.col("c_nationkey"), F.lit(4))).cast("string")
@@ -71,7 +80,7 @@ def segment_sheet_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.pmod(k, F.lit(3)) == 0, F.concat(F.lit("12/31/"), year_next))
         .when(F.pmod(k, F.lit(3)) == 1, F.concat(year_next, F.lit("-06-30T12:00:00Z")))
     )
-    col = (k + F.lit(SET_COLUMN_OFFSET)).cast("int")
+    col = (F.col("nth") + F.lit(SET_COLUMN_OFFSET)).cast("int")
     per_customer = F.array(
         F.struct(F.lit(ROW_ID).cast("long").alias("r"), col.alias("c"), id_text.alias("v")),
         F.struct(F.lit(ROW_START).cast("long").alias("r"), col.alias("c"), start_text.alias("v")),
@@ -83,35 +92,58 @@ def segment_sheet_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixed_cells.unionByName(var_cells)
 
 
+def _sheet_text(v):
+    """A cell as the sheet reader takes it back: quotes inside are escaped by
+    a backslash, the reader's own convention."""
+    return F.when(v.rlike('[",]'), F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('\\"')), F.lit('"'))).otherwise(v)
+
+
+def write_segment_sheets(spark: SparkSession, sf_dir: str) -> str:
+    """The derived sheets as CSV files ``sheet=<segment>/part-*`` in the
+    shared checkpoint folder; returns that folder."""
+    cells = segment_sheet_cells(spark, sf_dir)
+    size = cells.groupBy("sheet").agg(F.max("c").alias("last"))
+    places = size.select("sheet", F.explode(F.sequence(F.lit(0), F.lit(N_ROWS - 1))).alias("r"), "last")
+    places = places.select("sheet", F.col("r").cast("long").alias("r"), F.explode(F.sequence(F.lit(0), "last")).alias("c"))
+    filled = places.join(cells, ["sheet", "r", "c"], "left").withColumn("v", _sheet_text(F.coalesce("v", F.lit(""))))
+    line = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("c", "v"))), lambda x: x["v"]), ",")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sheets-{uuid.uuid4().hex}"
+    lines = filled.groupBy("sheet", "r").agg(line.alias("line"))
+    lines.repartition("sheet").sortWithinPartitions("sheet", "r").select("sheet", "line").write.partitionBy("sheet").text(path)
+    delete_on_exit(spark, path)
+    return path
+
+
 # DuckDB twin of segment_sheet_cells, used by the oracle queries.
 SEGMENT_SHEET_CELLS_SQL = """
 fixed(r, c, v) AS (VALUES {fixed_values}),
 cust AS (SELECT c_custkey AS k, c_nationkey AS nk, c_mktsegment AS sheet,
                 CAST(c_custkey AS VARCHAR) AS ks,
                 CAST(1995 + (c_nationkey % 4) AS VARCHAR) AS y,
-                CAST(1996 + (c_nationkey % 4) AS VARCHAR) AS y2
+                CAST(1996 + (c_nationkey % 4) AS VARCHAR) AS y2,
+                row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS nth
          FROM customer),
 var_cells AS (
-  SELECT sheet, {row_id}::BIGINT AS r, CAST(k + {off} AS INTEGER) AS c,
+  SELECT sheet, {row_id}::BIGINT AS r, CAST(nth + {off} AS INTEGER) AS c,
          CASE WHEN k % 50 = 7 THEN 'null'
               WHEN k % 4 = 0 THEN ' ''' || ks || ''' '
               WHEN k % 4 = 1 THEN '  ' || ks || ' '
               WHEN k % 4 = 2 THEN '"' || ks || '"'
               ELSE ks END AS v FROM cust
   UNION ALL
-  SELECT sheet, {row_start}, CAST(k + {off} AS INTEGER),
+  SELECT sheet, {row_start}, CAST(nth + {off} AS INTEGER),
          CASE WHEN k % 5 = 0 THEN y || '-01-15 00:00'
               WHEN k % 5 = 1 THEN '1/15/' || y
               WHEN k % 5 = 2 THEN 'UTC ' || y || '-01-15'
               WHEN k % 5 = 3 THEN 'not a date' END FROM cust
   UNION ALL
-  SELECT sheet, {row_end}, CAST(k + {off} AS INTEGER),
+  SELECT sheet, {row_end}, CAST(nth + {off} AS INTEGER),
          CASE WHEN k % 3 = 0 THEN '12/31/' || y2
               WHEN k % 3 = 1 THEN y2 || '-06-30T12:00:00Z' END FROM cust
   UNION ALL
-  SELECT sheet, {row_note}, CAST(k + {off} AS INTEGER), 'n' || ks FROM cust
+  SELECT sheet, {row_note}, CAST(nth + {off} AS INTEGER), 'n' || ks FROM cust
   UNION ALL
-  SELECT sheet, {row_decoy}, CAST(k + {off} AS INTEGER), 'decoy' || ks FROM cust
+  SELECT sheet, {row_decoy}, CAST(nth + {off} AS INTEGER), 'decoy' || ks FROM cust
 ),
 cells AS (
   SELECT s.sheet, f.r::BIGINT AS r, f.c::INTEGER AS c, f.v

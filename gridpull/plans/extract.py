@@ -1,19 +1,20 @@
 """The extraction as one Spark job graph.
 
-    sheet CSV(s) -> cells -> markers -> header names (driver: a short list)
-                                     -> parameter sets (stay distributed)
-    fact -> prune to needed columns -> semi join with the sets
+    sheet CSV(s) -> cells (stored once) -> markers -> header names
+                                                   -> parameter sets
+    fact -> prune to needed columns, filter groups -> semi join with the sets
          -> de-duplicate on (id, date) with a deterministic survivor
          -> sort (date, id) -> project to the header -> CSV
 
-The only values that reach the driver are the marker rows (one per sheet,
-counted), the header names (one sheet row; for a batch, the distinct names,
-refused above a bound) and, when the sets are few, the sets themselves as
-literals for scan pushdown – all counted and bounded.
+What reaches the driver is counted: marker rows (one per sheet, up to
+``broadcast_max_sheets``), the header names of the one sheet of a single run,
+the fact columns that a batch asks for, and, when the sets are few, the sets
+themselves as literals for scan pushdown.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -21,16 +22,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ExtractConfig
-from ..operators.dedup import dedup_first, dedup_keys, orderable_columns
+from ..operators.dedup import dedup_first, orderable_columns
 from ..operators.joins import param_match, set_counts
-from ..operators.markers import header_names, marker_errors, marker_table
+from ..operators.markers import header_names, lacks, marker_errors, marker_table, no_names
 from ..operators.ordering import result_order, sort_result
 from ..operators.params import param_errors, param_sets
+from ..operators.predicates import or_groups
 from ..operators.projection import project, read_columns, select_list
-from ..operators.sizing import materialize, take_at_most
-from ..sources.csv_sink import write_csv
+from ..operators.sizing import broadcast_if_small, drop_tables, materialize, table_scope, take_at_most
+from ..sources.csv_sink import BOM, csv_text, publish, quoted, write_csv
 from ..sources.sheet import read_sheet_cells
 
+Groups = Sequence[Sequence[tuple[str, str, object]]]
+
 
 class SheetError(ValueError):
     """A sheet lacks a required marker or header names."""
@@ -47,43 +51,70 @@ class SheetPlan:
     @property
     def errors(self) -> DataFrame:
         """(sheet, r, c, v) of filled bound cells that could not be read."""
-        return param_errors(self.cells, self.markers, ascii_only=self.ascii_only)
+        return param_errors(self.cells, self.markers, self.ascii_only, broadcast_mk=True)
 
 
 @dataclass
 class ExtractRun:
+    """A run's plan and result. ``release`` deletes the tables written for
+    it (else they go when the application ends); the result is then unusable,
+    the output stays."""
+
     plan: SheetPlan
     result: DataFrame
     observation: Observation
     output: str | None = None
     metrics: dict = field(default_factory=dict)
+    tables: list[str] = field(default_factory=list)
+
+    def release(self) -> None:
+        drop_tables(self.result.sparkSession, self.tables)
+
 
+@dataclass
+class BatchRun:
+    """``result``: sheet and the fact columns that any sheet asks for, in
+    (sheet, date, id) order; ``errors`` (sheet, error) of sheets without an
+    answer; ``headers`` (sheet, names) of the others; ``rows`` (sheet,
+    n_rows)."""
+
+    result: DataFrame
+    errors: DataFrame
+    headers: DataFrame
+    rows: DataFrame
+    output: str | None = None
+    tables: list[str] = field(default_factory=list)
 
-def plan_sheet(cells: DataFrame, cfg: ExtractConfig, max_sheets: int = 1) -> SheetPlan:
-    """Markers, header list and parameter sets of one sheet's cells."""
+    def release(self) -> None:
+        drop_tables(self.result.sparkSession, self.tables)
+
+
+def plan_sheet(cells: DataFrame, cfg: ExtractConfig) -> SheetPlan:
+    """Markers, header list and parameter sets of one sheet's cells, which
+    are stored once."""
+    cells = materialize(cells)
     mk = marker_table(cells, cfg.labels)
-    rows = take_at_most(mk, max_sheets)
+    rows = take_at_most(mk, 1)
     if rows is None:
-        raise SheetError(f"expected at most {max_sheets} sheet(s) in this run")
+        raise SheetError("this run takes one sheet, and there are several")
     if not rows or rows[0]["header_r"] is None:
-        raise SheetError("Header marker not found")
+        raise SheetError(lacks(cfg.labels.header))
     if rows[0]["id_r"] is None:
-        raise SheetError("Voyage ID marker not found")
+        raise SheetError(lacks(cfg.labels.id))
     # the fetched marker row becomes a local table: not recomputed below
     ascii_only = not rows[0]["non_ascii"]
     mk = cells.sparkSession.createDataFrame(rows, mk.schema)
-    names = header_names(cells, mk, cfg.labels, cfg.omit_bound_headers, ascii_only=ascii_only)
-    # One sheet row of names: bounded by the sheet width (max_cols), so it
-    # is fetched as is and put in column order here.
+    names = header_names(cells, mk, cfg.labels, cfg.omit_bound_headers, broadcast_mk=True, ascii_only=ascii_only)
+    # The names of one sheet row, which become the result's columns.
     header = [r["name"] for r in sorted(names.collect(), key=lambda r: r["c"])]
     if not header:
-        raise SheetError("Header row found but no DB column names to the right.")
-    params = param_sets(cells, mk, ascii_only=ascii_only)
+        raise SheetError(no_names(cfg.labels.header))
+    params = param_sets(cells, mk, ascii_only, broadcast_mk=True)
     plan = SheetPlan(cells, mk, header, params, ascii_only)
     if cfg.on_bad_bound == "error":
-        bad = take_at_most(plan.errors, 20)
-        if bad is None or bad:
-            raise SheetError(f"unreadable date bounds: {bad if bad is not None else 'more than 20'}")
+        bad = plan.errors.agg(F.count("*").alias("n"), F.min(F.struct("r", "c", "v")).alias("first")).first()
+        if bad["n"]:
+            raise SheetError(f"unreadable date bounds: {bad['n']}, the first in row {bad['first']['r']}, column {bad['first']['c']}: {bad['first']['v']!r}")
     return plan
 
 
@@ -102,21 +133,19 @@ def match_dedup(
     header: Sequence[str],
     by: Sequence[str] = (),
     strategy: str = "auto",
+    where: Groups = (),
 ) -> DataFrame:
     """Semi join -> de-dup: one row per (by, id, date), unordered, with the
-    header columns the table has plus the keys."""
-    have = {c.lower() for c in fact.columns}
-    missing = [c for c in (cfg.id_col, cfg.date_col, *cfg.tie_break) if c.lower() not in have]
-    if missing:
-        raise ValueError(f"fact table lacks configured column(s) {missing}; it has {fact.columns}")
+    header columns the table has plus the keys. ``where`` are filter groups
+    (ANDed inside, ORed together) that fact rows must meet as well."""
+    cfg = cfg.resolved(fact.columns)
+    if where:
+        fact = fact.where(or_groups(where, df=fact))
     wanted = select_list(header, cfg.id_col, cfg.date_col) + list(cfg.tie_break)
     pruned = read_columns(fact, wanted)
     matched = param_match(pruned, params, cfg, by=by, strategy=strategy)
     keys = [*by, cfg.id_col, cfg.date_col]
-    order = survivor_order(pruned, cfg, keys)
-    if by:
-        return dedup_first(matched, keys, order)
-    return dedup_keys(matched, cfg.id_col, cfg.date_col, order)
+    return dedup_first(matched, keys, survivor_order(pruned, cfg, keys))
 
 
 def order_project(deduped: DataFrame, cfg: ExtractConfig, header: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -135,9 +164,11 @@ def extract_rows(
     header: Sequence[str],
     by: Sequence[str] = (),
     strategy: str = "auto",
+    where: Groups = (),
 ) -> DataFrame:
     """Semi join -> dedup -> sort -> project for already-built sets."""
-    return order_project(match_dedup(fact, params, cfg, header, by, strategy), cfg, header, by)
+    cfg = cfg.resolved(fact.columns)
+    return order_project(match_dedup(fact, params, cfg, header, by, strategy, where), cfg, header, by)
 
 
 def run(
@@ -146,42 +177,38 @@ def run(
     fact: DataFrame,
     cfg: ExtractConfig = ExtractConfig(),
     out_path: str | None = None,
-    single_file: bool | None = None,
+    single_file: bool = True,
     count_fetched: bool = False,
+    where: Groups = (),
 ) -> ExtractRun:
     """Read one parameter sheet, answer its sets against ``fact`` and (when
-    ``out_path`` is given) write the CSV result.
+    ``out_path`` is given) write the CSV result: one file of that name, or a
+    folder of parts for results too large for one writer.
 
-    The de-duplicated rows are written once as a table in the checkpoint
-    folder; the row count, the single-file decision and the sorted CSV
-    write all read that table instead of recomputing the extraction.
-    ``count_fetched`` adds the number of rows all sets fetch before
-    de-duplication (one extra pass over the id and date columns).
+    The rows are counted while they are written. ``count_fetched`` adds the
+    number of rows all sets fetch before de-duplication (one extra pass over
+    the id and date columns).
     """
-    cells = read_sheet_cells(spark, sheet_path, cfg.max_cols)
-    plan = plan_sheet(cells, cfg)
-    deduped = match_dedup(fact, plan.params, cfg, plan.header)
-    metrics = {}
-    if count_fetched:
-        per_set = set_counts(fact, plan.params, cfg)
-        metrics["fetched_rows"] = per_set.agg(F.sum("n_rows")).first()[0] or 0
-    if out_path is not None:
-        deduped = materialize(deduped)
-        metrics["rows"] = deduped.count()
-        if single_file is None:
-            single_file = metrics["rows"] <= cfg.single_file_max_rows
-    result = order_project(deduped, cfg, plan.header)
-    obs = Observation("extract")
-    result = result.observe(obs, F.count(F.lit(1)).alias("rows"))
-    out = None
-    if out_path is not None:
-        out = write_csv(result, out_path, single_file=single_file)
-    return ExtractRun(plan, result, obs, out, metrics)
+    with table_scope() as tables:
+        cfg = cfg.resolved(fact.columns)
+        plan = plan_sheet(read_sheet_cells(spark, sheet_path), cfg)
+        metrics = {}
+        if count_fetched:
+            asked = fact.where(or_groups(where, df=fact)) if where else fact
+            metrics["fetched_rows"] = set_counts(asked, plan.params, cfg).agg(F.sum("n_rows")).first()[0] or 0
+        obs = Observation("extract")
+        result = extract_rows(fact, plan.params, cfg, plan.header, where=where).observe(obs, F.count(F.lit(1)).alias("rows"))
+        if out_path is not None:
+            write_csv(result, out_path, single_file=single_file)
+            metrics["rows"] = obs.get["rows"]
+    return ExtractRun(plan, result, obs, out_path, metrics, tables)
 
 
 def plan_sheets(cells: DataFrame, cfg: ExtractConfig) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Batch form for many sheets in one job: (markers, header names, params,
-    sheet errors), all distributed and keyed by ``sheet``."""
+    """Batch form for many sheets in one job: (marker rows, header names,
+    params, sheet errors), all distributed and keyed by ``sheet``. Sheets with
+    an error are in none of the others. The cells are stored once."""
+    cells = materialize(cells)
     mk = marker_table(cells, cfg.labels)
     # One row per sheet. Up to broadcast_max_sheets of them are fetched in one
     # job and become a local table (broadcast for free); more stay a written
@@ -191,23 +218,26 @@ def plan_sheets(cells: DataFrame, cfg: ExtractConfig) -> tuple[DataFrame, DataFr
     # NFKC (a Python step) only when some sheet holds non-ASCII text
     ascii_only = few and not any(r["non_ascii"] for r in rows)
     mk = cells.sparkSession.createDataFrame(rows, mk.schema) if few else materialize(mk)
-    errs = marker_errors(mk)
+    errs = marker_errors(mk, cfg.labels)
     ok = mk.where(F.col("header_r").isNotNull() & F.col("id_r").isNotNull())
-    names = header_names(cells, ok, cfg.labels, cfg.omit_bound_headers, broadcast_mk=few, ascii_only=ascii_only)
-    params = param_sets(cells, ok, broadcast_mk=few, ascii_only=ascii_only)
-    return ok, names, params, errs
-
-
-def batch_header(names: DataFrame, cfg: ExtractConfig) -> list[str]:
-    """Union of all sheets' header names, ordered by first column position.
-    These become select-list entries, so they must fit on the driver: more
-    than ``4 * max_cols`` distinct names is refused, never cut."""
-    limit = cfg.max_cols * 4
-    distinct_names = names.groupBy("name").agg(F.min("c").alias("c"))
-    rows = take_at_most(distinct_names.orderBy("c", "name"), limit)
-    if rows is None:
-        raise SheetError(f"more than {limit} distinct header names across the sheets")
-    return [r["name"] for r in rows]
+    names = materialize(header_names(cells, ok, cfg.labels, cfg.omit_bound_headers, broadcast_mk=few, ascii_only=ascii_only))
+    empty = ok.join(names, "sheet", "left_anti").select("sheet", F.lit(no_names(cfg.labels.header)).alias("error"))
+    errs = errs.unionByName(empty)
+    if cfg.on_bad_bound == "error":
+        bad = param_errors(cells, ok, ascii_only, broadcast_mk=few).groupBy("sheet").agg(F.count("*").alias("n"), F.min(F.struct("r", "c", "v")).alias("f"))
+        said = F.format_string("unreadable date bounds: %d, the first in row %d, column %d: '%s'", "n", "f.r", "f.c", "f.v")
+        errs = errs.unionByName(bad.select("sheet", said.alias("error"))).groupBy("sheet").agg(F.min("error").alias("error"))
+    errs = materialize(errs)
+    ok = ok.join(errs, "sheet", "left_anti")
+    params = param_sets(cells, ok, ascii_only, broadcast_mk=few)
+    return ok, names.join(errs, "sheet", "left_anti"), params, errs
+
+
+def batch_header(names: DataFrame) -> list[str]:
+    """All sheets' header names, ordered by first column position: the
+    columns of one frame for all sheets."""
+    rows = names.groupBy("name").agg(F.min("c").alias("c")).collect()
+    return [r["name"] for r in sorted(rows, key=lambda r: (r["c"], r["name"]))]
 
 
 def run_batch(
@@ -216,15 +246,61 @@ def run_batch(
     fact: DataFrame,
     cfg: ExtractConfig = ExtractConfig(),
     out_path: str | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Many sheets, one job. The result carries ``sheet`` and the union of all
-    requested columns (names are collected: bounded by distinct header names);
-    written partitioned by sheet. Returns (result, sheet errors)."""
-    cells = read_sheet_cells(spark, sheet_paths, cfg.max_cols)
-    mk, names, params, errs = plan_sheets(cells, cfg)
-    header = batch_header(names, cfg)
-    result = extract_rows(fact, params, cfg, header, by=["sheet"])
-    if out_path is not None:
-        named = result.withColumn("sheet", F.regexp_extract("sheet", r"([^/]+?)(\.[^./]*)?$", 1))
-        write_csv(named, out_path, partition_by=["sheet"])
-    return result, errs
+    where: Groups = (),
+) -> BatchRun:
+    """Many sheets in one job; each gets what a run of its own would write.
+
+    The output folder holds ``sheet=<path below the common folder>`` for every
+    sheet without an error: the BOM and the sheet's own header, then its rows
+    in (date, id) order. A sheet without rows has its header only; a very
+    large one continues in further parts, by name order."""
+    with table_scope() as tables:
+        cfg = cfg.resolved(fact.columns)
+        ok, names, params, errs = plan_sheets(read_sheet_cells(spark, sheet_paths), cfg)
+        headers = names.groupBy("sheet").agg(F.transform(F.sort_array(F.collect_list(F.struct("c", "name"))), lambda x: x["name"]).alias("names"))
+        # fact columns that some sheet asks for: at most the table's
+        lower = [c.lower() for c in fact.columns]
+        asked = {r[0] for r in names.select(F.lower("name").alias("n")).where(F.col("n").isin(lower)).distinct().collect()}
+        columns = [c for c in fact.columns if c.lower() in asked]
+        deduped = match_dedup(fact, params, cfg, columns, by=["sheet"], where=where)
+        if out_path is not None:
+            deduped = materialize(deduped)
+            write_sheets(deduped, headers, cfg, out_path)
+        shown = select_list(columns, cfg.id_col, cfg.date_col)
+        result = order_project(deduped, cfg, shown, by=["sheet"])
+        counted = deduped.groupBy("sheet").agg(F.count("*").alias("n"))
+        rows = headers.join(counted, "sheet", "left").select("sheet", F.coalesce("n", F.lit(0)).alias("n_rows"))
+    return BatchRun(result, errs, headers, rows, out_path, tables)
+
+
+def write_sheets(deduped: DataFrame, headers: DataFrame, cfg: ExtractConfig, out_path: str) -> None:
+    """Every sheet's header line and rows as text, partitioned by sheet."""
+    spark = deduped.sparkSession
+    headers = materialize(headers)
+    ends = headers.agg(F.min("sheet"), F.max("sheet")).first()
+    # what all paths share up to a folder: so do the first and the last
+    low, high = ends[0] or "", ends[1] or ""
+    n = next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
+    root = low[: low[:n].rfind("/") + 1]
+
+    texts = F.map_from_arrays(
+        F.array(*[F.lit(f.name.lower()) for f in deduped.schema.fields]),
+        F.array(*[quoted(csv_text(F.col(f"`{f.name}`"), f.dataType)) for f in deduped.schema.fields]),
+    )
+    side, _ = broadcast_if_small(headers, cfg.broadcast_max_sheets)
+    line = F.array_join(F.transform("names", lambda x: F.coalesce(F.try_element_at(F.col("texts"), F.lower(x)), F.lit(""))), ",")
+    keys = {"d": cfg.date_col, "i": cfg.id_col}
+    data = deduped.select("sheet", F.lit(1).alias("o"), *[F.col(c).alias(k) for k, c in keys.items()], texts.alias("texts")).join(side, "sheet")
+    types = {k: deduped.schema[c].dataType for k, c in keys.items()}
+    head = headers.select(
+        "sheet",
+        F.lit(0).alias("o"),
+        *[F.lit(None).cast(t).alias(k) for k, t in types.items()],
+        F.concat(F.lit(BOM), F.array_join(F.transform("names", quoted), ",")).alias("line"),
+    )
+    lines = head.unionByName(data.select("sheet", "o", "d", "i", line.alias("line")))
+    lines = lines.withColumn("sheet", F.substring("sheet", F.lit(len(root) + 1), F.length("sheet")))
+    fresh = f"{out_path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    ordered = lines.orderBy("sheet", "o", F.col("d").asc_nulls_last(), F.col("i").asc_nulls_last())
+    ordered.select("sheet", "line").write.partitionBy("sheet").text(fresh)
+    publish(spark, fresh, out_path.rstrip("/"))

@@ -1,32 +1,21 @@
 """Sheets arriving in a folder, answered per micro-batch.
 
-The sheet workflow is trigger-driven: a sheet is exported, then answered.
-With Structured Streaming the folder of exported sheets is a file source;
-each micro-batch holds the rows of the newly arrived sheet files and is
-answered with the same batch operators (``plan_sheets`` / ``extract_rows``)
-inside ``foreachBatch``. Results are written under ``<out>/batch=<epoch>``
-with overwrite, so a replayed epoch rewrites the same folder (idempotent
-sink); progress lives in the query's checkpoint location.
+The sheet workflow is trigger-driven: a sheet is exported, then answered. The
+folder is a file source that yields the paths of new sheets; each micro-batch
+is a batch run over its paths. Results go to ``<out>/batch=<epoch>``, sheets
+that could not be answered to ``<out>_errors/batch=<epoch>``; a replayed epoch
+replaces the same folders, and progress lives in the query's checkpoint
+location.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import ExtractConfig
-from ..plans.extract import batch_header, extract_rows, plan_sheets
+from ..plans.extract import run_batch
 from ..sources.csv_sink import write_csv
-from ..sources.sheet import CORRUPT, grid_schema, grid_to_cells, width_guarded_sheet
-
-
-def _cells_of_batch(batch: DataFrame, max_cols: int) -> DataFrame:
-    cols = [f"_c{i}" for i in range(max_cols)]
-    keyed = batch.select(width_guarded_sheet(max_cols).alias("sheet"), F.monotonically_increasing_id().alias("_k"), *cols)
-    first = keyed.groupBy("sheet").agg(F.min("_k").alias("_k0"))
-    grid = keyed.join(F.broadcast(first), "sheet").select("sheet", (F.col("_k") - F.col("_k0")).alias("r"), *cols)
-    return grid_to_cells(grid)
 
 
 def answer_sheet_stream(
@@ -40,31 +29,25 @@ def answer_sheet_stream(
     max_files_per_trigger: int = 1000,
 ) -> StreamingQuery:
     """Start a stream over ``folder``; every new sheet file is answered
-    against ``fact`` and written to ``out_path`` partitioned by sheet.
-    ``max_files_per_trigger`` bounds a micro-batch (and so the per-file
-    offsets that are broadcast inside it)."""
-    stream = (
-        spark.readStream.schema(grid_schema(cfg.max_cols))
+    against ``fact``. ``max_files_per_trigger`` bounds a micro-batch and so
+    the paths that the driver hands to its batch run."""
+    paths = (
+        spark.readStream.format("binaryFile")
         .option("maxFilesPerTrigger", str(max_files_per_trigger))
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("header", "false")
-        .option("multiLine", "true")
-        .option("ignoreLeadingWhiteSpace", "false")
-        .option("ignoreTrailingWhiteSpace", "false")
-        .csv(folder)
-        .select(F.col("_metadata.file_path").alias("sheet"), "*")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .load(folder)
+        .select("path")
     )
+    base = out_path.rstrip("/")
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        cells = _cells_of_batch(batch, cfg.max_cols)
-        _, names, params, _ = plan_sheets(cells, cfg)
-        header = batch_header(names, cfg)
-        if not header:
+        new = [r["path"] for r in batch.collect()]
+        if not new:
             return
-        result = extract_rows(fact, params, cfg, header, by=["sheet"])
-        named = result.withColumn("sheet", F.regexp_extract("sheet", r"([^/]+?)(\.[^./]*)?$", 1))
-        write_csv(named, f"{out_path.rstrip('/')}/batch={epoch_id}", partition_by=["sheet"])
+        done = run_batch(spark, new, fact, cfg, out_path=f"{base}/batch={epoch_id}")
+        write_csv(done.errors, f"{base}_errors/batch={epoch_id}")
+        done.release()
 
-    w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_location)
+    w = paths.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()

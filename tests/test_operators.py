@@ -144,9 +144,9 @@ def test_with_position_and_page(spark):
 def test_csv_edge_values(spark, scratch):
     vals = [" a ", "b\\c", "x\\", '\\"q', None, "", "t\tab", "c\rr", "n\nl", "#h"]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v string").orderBy("i")
-    out = os.path.join(scratch, "edge")
+    out = os.path.join(scratch, "edge.csv")
     write_csv(df, out, single_file=True)
-    text = open(part_files(out)[0], "rb").read().decode("utf-8")
+    text = open(out, "rb").read().decode("utf-8")
     assert text.startswith("\ufeffi,v\n")
     assert "0, a \n" in text
     assert "1,b\\c\n" in text

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gridpull.config import ExtractConfig
 from gridpull.operators import find_markers, header_names, marker_scan, marker_table, param_errors, param_sets
 from gridpull.plans.extract import SheetError, plan_sheet, run
-from gridpull.sources import part_files, read_sheet_cells, read_sheet_grid, sheet_shape
+from gridpull.sources import read_sheet_cells, read_sheet_grid, sheet_shape
 
 HERE = os.path.dirname(os.path.abspath(__file__))
 S1 = os.path.join(HERE, "fixtures", "sheets", "s1.csv")
@@ -29,8 +29,8 @@ def _s1_text():
 
 
 def test_cells_markers_header_params(spark):
-    cells = read_sheet_cells(spark, S1, 16)
-    grid = read_sheet_grid(spark, S1, 16)
+    cells = read_sheet_cells(spark, S1)
+    grid = read_sheet_grid(spark, S1)
     assert cells.count() == 30  # non-blank cells (64 with blanks)
     shape = sheet_shape(cells, grid).first()
     assert (shape.n_rows, shape.n_cols) == (8, 8)
@@ -54,31 +54,31 @@ def test_cells_markers_header_params(spark):
 def test_missing_markers(spark, scratch):
     body = _s1_text().splitlines()
     no_header = _write(scratch, "s2.csv", "\n".join(l for l in body if ",Header," not in l) + "\n")
-    with pytest.raises(SheetError, match="Header marker not found"):
-        plan_sheet(read_sheet_cells(spark, no_header, 16), ExtractConfig())
+    with pytest.raises(SheetError, match="reads 'Header'"):
+        plan_sheet(read_sheet_cells(spark, no_header), ExtractConfig())
     no_id = _write(scratch, "s3.csv", "\n".join(l for l in body if ",Voyage ID," not in l) + "\n")
-    with pytest.raises(SheetError, match="Voyage ID marker not found"):
-        plan_sheet(read_sheet_cells(spark, no_id, 16), ExtractConfig())
+    with pytest.raises(SheetError, match="reads 'Voyage ID'"):
+        plan_sheet(read_sheet_cells(spark, no_id), ExtractConfig())
     empty_header = _write(scratch, "s5.csv", "\n".join(",Header,,,,,," if ",Header," in l else l for l in body) + "\n")
-    with pytest.raises(SheetError, match="no DB column names"):
-        plan_sheet(read_sheet_cells(spark, empty_header, 16), ExtractConfig())
+    with pytest.raises(SheetError, match="nothing stands right of 'Header'"):
+        plan_sheet(read_sheet_cells(spark, empty_header), ExtractConfig())
 
 
 def test_short_title_and_no_bounds(spark, scratch):
     body = _s1_text().splitlines()
     short = _write(scratch, "s7.csv", "\n".join(["Query sheet"] + body[1:]) + "\n")
-    p7 = plan_sheet(read_sheet_cells(spark, short, 16), ExtractConfig())
+    p7 = plan_sheet(read_sheet_cells(spark, short), ExtractConfig())
     assert p7.header == ["voyage_date_voyagestart", "voyage_id", "rate_usd", "voyage_expense_desc"]
     assert p7.params.count() == 4
     nob = _write(scratch, "s4.csv", "\n".join(l for l in body if "Date," not in l) + "\n")
-    p4 = plan_sheet(read_sheet_cells(spark, nob, 16), ExtractConfig())
+    p4 = plan_sheet(read_sheet_cells(spark, nob), ExtractConfig())
     rows = p4.params.collect()
     assert len(rows) == 4 and all(r.start is None and r.end is None for r in rows)
 
 
 def test_leading_zero_ids_stay_text(spark, scratch):
     text = "x,Header,voyage_id\n,StartDate,2025-01-01\n,Voyage ID,007,,0012\n"
-    p = plan_sheet(read_sheet_cells(spark, _write(scratch, "s8.csv", text), 8), ExtractConfig())
+    p = plan_sheet(read_sheet_cells(spark, _write(scratch, "s8.csv", text)), ExtractConfig())
     assert sorted(r.id for r in p.params.collect()) == ["0012", "007"]
 
 
@@ -111,19 +111,17 @@ def test_end_to_end_strategies(spark, strategy, hot):
 
     cfg = ExtractConfig(tie_break=("id",), hot_id_sets=hot, buckets_per_hot_id=8)
     fact = _fact(spark)
-    plan = plan_sheet(read_sheet_cells(spark, S1, 16), cfg)
+    plan = plan_sheet(read_sheet_cells(spark, S1), cfg)
     out = extract_rows(fact, plan.params, cfg, plan.header + ["id"], strategy=strategy).collect()
     assert [r.id for r in out] == [10, 1, 2, 4, 7, 9]
 
 
 def test_end_to_end_csv(spark, scratch):
     cfg = ExtractConfig(tie_break=("id",))
-    out_dir = os.path.join(scratch, "out")
-    res = run(spark, S1, _fact(spark), cfg, out_path=out_dir, single_file=True, count_fetched=True)
+    out = os.path.join(scratch, "results", "out.csv")
+    res = run(spark, S1, _fact(spark), cfg, out_path=out, count_fetched=True)
     assert res.metrics == {"fetched_rows": 7, "rows": 6}
-    files = part_files(out_dir)
-    assert len(files) == 1
-    data = open(files[0], "rb").read()
+    data = open(out, "rb").read()
     assert data.startswith(b"\xef\xbb\xbf")
     text = data.decode("utf-8-sig")
     assert text == (
@@ -141,9 +139,9 @@ def test_end_to_end_csv(spark, scratch):
 def test_zero_sets_gives_header_only(spark, scratch):
     text = "x,Header,voyage_id,voyage_date_voyagestart\n,StartDate,2025-01-01\n,Voyage ID,,null\n"
     sheet = _write(scratch, "s6.csv", text)
-    out_dir = os.path.join(scratch, "out6")
-    run(spark, sheet, _fact(spark), ExtractConfig(tie_break=("id",)), out_path=out_dir, single_file=True)
-    body = open(part_files(out_dir)[0], encoding="utf-8-sig").read()
+    out = os.path.join(scratch, "out6.csv")
+    run(spark, sheet, _fact(spark), ExtractConfig(tie_break=("id",)), out_path=out)
+    body = open(out, encoding="utf-8-sig").read()
     assert body == "voyage_id,voyage_date_voyagestart\n"
 
 
@@ -153,7 +151,7 @@ def test_header_without_keys_and_duplicate_sets(spark, scratch):
     cfg = ExtractConfig(tie_break=("id",))
     # S-9: neither id nor date is asked for; both still drive the match and de-dup.
     s9 = _write(scratch, "s9.csv", ",Header,voyage_expense_desc\n,StartDate,2025-07-03\n,EndDate,2025-07-10 00:00\n,Voyage ID,250101/AAA/BBB\n")
-    p9 = plan_sheet(read_sheet_cells(spark, s9, 8), cfg)
+    p9 = plan_sheet(read_sheet_cells(spark, s9), cfg)
     out9 = extract_rows(_fact(spark), p9.params, cfg, p9.header)
     assert out9.columns == ["voyage_expense_desc"]
     assert [r.voyage_expense_desc for r in out9.collect()] == ["a", "b"]
@@ -162,6 +160,6 @@ def test_header_without_keys_and_duplicate_sets(spark, scratch):
     two = _write(scratch, "s10b.csv", ",Header,id\n,StartDate,8/12/2025,8/12/2025\n,EndDate,2025-08-17,2025-08-17\n,Voyage ID,250202/CCC DDD,250202/CCC DDD\n")
     res = []
     for path in (one, two):
-        p = plan_sheet(read_sheet_cells(spark, path, 8), cfg)
+        p = plan_sheet(read_sheet_cells(spark, path), cfg)
         res.append([r.id for r in extract_rows(_fact(spark), p.params, cfg, p.header).collect()])
     assert res[0] == res[1] == [4]
