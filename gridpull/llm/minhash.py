@@ -9,13 +9,17 @@
    set under the first size - overlap + 1 of its values in one order, the
    globally rarest first (prefix filter). Values of one class need no list:
    most sets, and sets that share only a passage, drop out here.
-3. A list's members are paired with its leader first, where their sizes
-   allow the similarity. What is linked is contracted into components; then,
-   for a few rounds, the first member outside a list's main component leads,
-   and at last all members outside meet the others. So a group of near copies
-   costs a multiple of its size instead of its square, and no pair that could
-   join two components is left out. No list is capped.
-4. Pairs are estimated by the union sketch, and those that remain are
+3. Of each set in a list it is known how many members no other listed set
+   has. A pair can reach the similarity only if what both may share is
+   enough for the two sizes (``may_link``, exact), so sets that all differ
+   from one another by a little too much meet nowhere.
+4. A list's members are paired with its leader first, the one with the fewest
+   members of its own (the text that copies were made from). What is linked
+   is contracted into components; then members outside their list's main
+   component meet the others. So a group of near copies costs a multiple of
+   its size instead of its square, and no pair that could join two components
+   is left out. No list is capped.
+5. Pairs are estimated by the union sketch, and those that remain are
    verified exactly on the full sets of shingle hashes (64 bit).
 
 Defined cases: null or empty texts and texts without words have no shingles,
@@ -148,9 +152,7 @@ def least_overlap(m: int, similarity: float) -> int:
 
 
 def _list_entries(nodes: DataFrame, similarity: float) -> DataFrame:
-    """(key, node, n): each node under the prefix of its shared values, in its
-    size band and the next. Similar sets differ by one band at most."""
-    width = float(-np.log(similarity))
+    """(key, node, n): each node under the prefix of its shared values."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -171,12 +173,7 @@ def _list_entries(nodes: DataFrame, similarity: float) -> DataFrame:
     mine = values.join(shared, "value").groupBy("node", "n", "m", "prefix").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"))  # a sketch at most
     # values of this node alone come first in the order
     listed = mine.withColumn("take", F.col("prefix") - (F.col("m") - F.size("v"))).where("take > 0")
-    band = F.floor(F.log(F.col("n").cast("double")) / width + 1e-9).cast("long")
-    return (
-        listed.select("node", "n", F.explode(F.slice("v", F.lit(1), F.col("take").cast("int"))).alias("v"))
-        .select("node", "n", "v.value", F.explode(F.array(band, band + 1)).alias("band"))
-        .select(F.xxhash64("value", "band").alias("key"), "node", "n")
-    )
+    return listed.select(F.explode(F.slice("v", F.lit(1), F.col("take").cast("int"))).alias("v"), "node", "n").select(F.col("v.value").alias("key"), "node", "n")
 
 
 def _number(digest):
@@ -220,8 +217,37 @@ def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
     return stored(_pairs_with(some, sets, "members").mapInArrow(exact, "a long, b long"), "links")
 
 
+def _member_sets(words: int):
+    """A task's rows (node, members) of the texts that are their class's."""
+
+    def run(batches: Iterator) -> Iterator:
+        from hashlib import blake2b
+
+        import pyarrow as pa
+
+        for t in in_blocks(batches, BLOCK_BYTES):
+            sets = shingle_sets(t.column("t").fill_null("").to_pylist(), words)
+            own = [blake2b(s.tobytes(), digest_size=16).digest() == d for s, d in zip(sets, t.column("digest").to_pylist())]
+            got = pa.Table.from_arrays([t.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "members"])
+            yield from got.filter(pa.array(own, pa.bool_())).to_batches(max_chunksize=500)
+
+    return run
+
+
+def _each_member(batches: Iterator) -> Iterator:
+    """(value, node) of every member of every set."""
+    import pyarrow as pa
+
+    for b in batches:
+        for at in range(0, b.num_rows, 200):
+            part = b.slice(at, 200)
+            sets = [np.frombuffer(x, np.int64) for x in part.column("members").to_pylist()]
+            node = np.repeat(part.column("node").to_numpy(), [len(x) for x in sets])
+            yield from pa.Table.from_arrays([pa.array(np.concatenate(sets)), pa.array(node)], ["value", "node"]).to_batches(max_chunksize=50_000)
+
+
 def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85, words: int = WORDS, max_leader_rounds: int = 3
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85, words: int = WORDS
 ) -> DataFrame:
     """(doc_id long, text_hash long, n_shingles long, component_id long, kept
     boolean), one row per input row. Documents link where 100 * intersection
@@ -232,62 +258,42 @@ def near_duplicates(
     classes = usable.groupBy("digest").agg(F.min("d").alias("low"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     nodes = stored(classes.select(_number(F.col("digest")).alias("node"), "digest", "low", "n", "sketch"), "classes")
 
-    entries = stored(_list_entries(nodes, percent / 100), "lists")
-    heads = entries.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("size")).where("size > 1")
-    entries = stored(entries.join(stored(heads.select("key", "lead"), "heads"), "key"), "shared-lists")
+    listed = stored(_list_entries(nodes, percent / 100), "lists")
+    lists = stored(listed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "shared-lists")
+    entries = listed.join(lists.select("key"), "key", "left_semi")
 
     in_lists = broadcast_below(entries.select("node").distinct(), 1_000_000)
     wanted = nodes.join(in_lists, "node", "left_semi").select("node", "digest", "low")
     texts = base.join(broadcast_below(wanted, 1_000_000), F.col("d") == F.col("low")).select("node", "digest", "t")
-
-    def members(batches: Iterator) -> Iterator:
-        from hashlib import blake2b
-
-        import pyarrow as pa
-
-        for t in in_blocks(batches, BLOCK_BYTES):
-            sets = shingle_sets(t.column("t").fill_null("").to_pylist(), words)
-            own = [blake2b(s.tobytes(), digest_size=16).digest() == d for s, d in zip(sets, t.column("digest").to_pylist())]
-            got = pa.Table.from_arrays([t.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "members"])
-            yield from got.filter(pa.array(own, pa.bool_())).to_batches(max_chunksize=500)
-
-    sets = stored(texts.mapInArrow(members, "node long, members binary").dropDuplicates(["node"]), "sets")
-
-    def alike(x, y):  # no more can be shared than the smaller set has
-        return 100 * F.least(x, y) >= percent * F.greatest(x, y)
-
-    pairs = entries.where("lead.node <> node").where(alike(F.col("lead.n"), F.col("n")))
-    pairs = pairs.select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
-    links, tested = None, None
-    last, turn = False, 0
-    while True:
-        pairs = stored(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = _verified(pairs, nodes, sets, percent)
-        links = found if links is None else links.unionByName(found)
-        comps = stored(connected_components(links), "components")
-        if last:
-            break
-        now = (
-            entries.select("key", "node", "n")
-            .join(comps, "node", "left")
-            .select("key", "node", "n", F.coalesce("component", "node").alias("comp"))
-        )
-        now = stored(now, "lists-now")
-        per = now.groupBy("key", "comp").agg(F.count("*").alias("c"))
-        main = per.groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count("*").alias("parts"), F.sum("c").alias("size"))
-        rest = stored(now.join(stored(main.where("parts > 1"), "main-components"), "key").where("comp <> main"), "outside-main")
-        cost = rest.agg(F.count("*").alias("n"), F.sum("size").alias("pairs")).first()
-        if not cost["n"]:
-            break
-        turn += 1
-        last = turn >= max_leader_rounds or cost["pairs"] <= 4 * now.count()
-        if last:  # everything that is left, in full
-            mine = rest.select("key", F.col("node").alias("m"), F.col("n").alias("mn"), F.col("comp").alias("mc"))
-        else:  # the first member outside the main component leads next
-            mine = stored(rest.groupBy("key").agg(F.min(F.struct("node", "n", "comp")).alias("s")).select("key", "s.*").toDF("key", "m", "mn", "mc"), "next-leaders")
-        pairs = mine.join(now.toDF("key", "o", "on", "oc"), "key").where("mc <> oc").where(alike(F.col("mn"), F.col("on")))
-        pairs = pairs.select(F.least("m", "o").alias("a"), F.greatest("m", "o").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+    sets = stored(texts.mapInArrow(_member_sets(words), "node long, members binary").dropDuplicates(["node"]), "sets")
+    values = sets.mapInArrow(_each_member, "value long, node long")
+    common = stored(values.groupBy("value").agg(F.count("*").alias("c")).where("c > 1"), "common-members")
+    shared = values.join(common.select("value"), "value").groupBy("node").agg(F.count("*").alias("shared"))
+    # s: how many members another listed set has; n: all of them
+    entries = stored(entries.join(shared, "node").select("key", "node", "n", F.col("shared").alias("s")), "entries")
+
+    def may_link(xn, xs, yn, ys):
+        """Both hold at least 85/185 (for 85 %) of the two sizes together."""
+        return (100 + percent) * F.least(xs, ys) >= percent * (xn + yn)
+
+    own = F.struct(((F.col("n") - F.col("s")) / F.col("n")).alias("own"), "node", "n", "s")
+    heads = stored(entries.groupBy("key").agg(F.min(own).alias("m")).select("key", "m.node", "m.n", "m.s").toDF("key", "a", "an", "as_"), "leaders")
+    pairs = entries.join(heads, "key").where("a <> node").where(may_link(F.col("an"), F.col("as_"), F.col("n"), F.col("s")))
+    pairs = stored(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), "pairs")
+    links = _verified(pairs, nodes, sets, percent)
+    comps = stored(connected_components(links), "components")
+
+    now = entries.join(comps, "node", "left").select("key", "node", "n", "s", F.coalesce("component", "node").alias("comp"))
+    now = stored(now, "entries-now")
+    per = now.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    main = per.groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    rest = now.join(stored(main, "main-components"), "key").where("comp <> main").drop("main", "parts")
+    mine, other = rest.toDF("key", "m", "mn", "ms", "mc"), now.toDF("key", "o", "on", "os", "oc")
+    left = mine.join(other, "key").where("mc <> oc").where(may_link(F.col("mn"), F.col("ms"), F.col("on"), F.col("os")))
+    left = left.select(F.least("m", "o").alias("a"), F.greatest("m", "o").alias("b")).distinct()
+    left = stored(left.join(pairs, ["a", "b"], "left_anti"), "pairs-left")
+    links = links.unionByName(_verified(left, nodes, sets, percent))
+    comps = stored(connected_components(links), "components")
 
     of = nodes.select("digest", "node", "low").join(comps, "node", "left").select("digest", "low", F.coalesce("component", "node").alias("comp"))
     of = stored(of, "classed")
