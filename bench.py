@@ -4,9 +4,8 @@
 
 Prints one JSON line: total seconds over the headline queries plus one
 number per query. Every query is built and then fully executed with the
-``noop`` sink (no driver collection); each is run three times and the fastest
-run is reported, after a warm-up query, so JVM start-up and JIT are excluded
-(as the reference's own timings exclude its session start).
+``noop`` sink (no driver collection); each is run three times after a warm-up
+query, the median is reported and all three are listed under ``runs``.
 ``sheet_run_csv`` times a whole run like the logged ones of the original
 workflow: a three-set sheet file read, answered against lineitem, written
 as CSV.
@@ -18,12 +17,14 @@ import json
 import os
 import sys
 import time
+from statistics import median
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
 HEADLINE = (
     "param_extract",
+    "param_extract_shuffle",
     "many_sets",
     "dedup_id_date",
     "sheet_extract",
@@ -56,8 +57,10 @@ def sheet_run(spark, sf_dir: str, scratch: str) -> float:
     cfg = ExtractConfig(id_col="l_suppkey", date_col="l_shipdate")
     fact = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     t0 = time.perf_counter()
-    run(spark, sheet, fact, cfg, out_path=os.path.join(scratch, f"out-{time.time_ns()}"))
-    return time.perf_counter() - t0
+    done = run(spark, sheet, fact, cfg, out_path=os.path.join(scratch, f"out-{time.time_ns()}.csv"))
+    took = time.perf_counter() - t0
+    done.release()
+    return took
 
 
 def main() -> None:
@@ -70,28 +73,30 @@ def main() -> None:
     spark.read.parquet(f"{sf_dir}/orders.parquet").write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
+    runs: dict[str, list[float]] = {}
     rows: dict[str, int] = {}
     for name in HEADLINE:
         fn = REGISTRY[name][0]
-        best = None
+        runs[name] = []
         for _ in range(3):
             t0 = time.perf_counter()
             df = fn(spark, sf_dir)
             df.write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            best = dt if best is None else min(best, dt)
-        times[name] = round(best, 3)
+            runs[name].append(round(time.perf_counter() - t0, 3))
+        times[name] = median(runs[name])
         rows[name] = fn(spark, sf_dir).count()
     import tempfile
 
     scratch = tempfile.mkdtemp(prefix="gridpull-bench-")
-    times["sheet_run_csv"] = round(min(sheet_run(spark, sf_dir, scratch) for _ in range(3)), 3)
+    runs["sheet_run_csv"] = [round(sheet_run(spark, sf_dir, scratch), 3) for _ in range(3)]
+    times["sheet_run_csv"] = median(runs["sheet_run_csv"])
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     out = {
         "metric": "headline_total",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "runs": runs,
         "rows": rows,
         "sf": sf,
         "cpus": int(cpus),

@@ -5,7 +5,9 @@ and a set table where the same id holds a third of 3,000 sets, then runs
 
 * the bucketed set join (what ``param_match`` uses beyond the broadcast
   bound), and
-* a plain sort-merge semi join on id with the range as residual,
+* a plain sort-merge semi join on id with the range as residual, and
+* the bucketed join with narrow ranges only (one month, all of the hot id),
+  whose rows outside all ranges must not pile up anywhere,
 
 with broadcasts disabled, and reports wall time and, from the event log,
 the largest and median task in each job (records read).
@@ -34,7 +36,7 @@ def main() -> None:
     from pyspark.sql import functions as F
 
     from gridpull.config import ExtractConfig
-    from gridpull.operators.joins import bucketed_range_join, merge_ranges_balanced, prepared_sets, range_ok
+    from gridpull.operators.joins import bucketed_range_join, merge_ranges_balanced, param_match, prepared_sets, range_ok
     from gridpull.operators.sizing import materialize
     from gridpull.plans.catalog import literal_params
     from gridpull.session import local_session
@@ -74,6 +76,12 @@ def main() -> None:
     cond = (F.col("f.l_suppkey") == F.col("s._pid")) & range_ok(F.col("f.l_shipdate"), F.col("s._ps"), F.col("s._pe"))
     n_p = f.join(s, cond, "left_semi").count()
     out["plain_smj"] = {"rows": n_p, "sec": round(time.time() - t0, 2)}
+    t0 = time.time()
+    spark.sparkContext.setJobGroup("narrow", "narrow")
+    days = [(f"1997-12-{1 + i % 28:02d} {i % 24:02d}:00:00", f"1997-12-{1 + i % 28:02d} {i % 24:02d}:30:00") for i in range(100)]
+    few = materialize(prepared_sets(fact, literal_params(spark, tuple(("3", a, b) for a, b in days)), cfg).select("_pid", "_ps", "_pe").distinct())
+    n_n = param_match(fact, literal_params(spark, tuple(("3", a, b) for a, b in days)), cfg.with_(hot_id_sets=10), strategy="shuffle").count()
+    out["narrow"] = {"rows": n_n, "sets": few.count(), "sec": round(time.time() - t0, 2)}
     spark.stop()
 
     # largest / median task per job group, by records read
