@@ -29,7 +29,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def broadcast_below(df: DataFrame, rows: int) -> DataFrame:
     """A broadcast hint only if ``df`` has at most ``rows`` rows; larger
     sides are left to a shuffled join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def ascii_lower(c: Column) -> Column:

@@ -143,8 +143,8 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
 
 def least_overlap(m: int, similarity: float) -> int:
     """Shared sketch values that similar sets have at least, for a sketch of
-    ``m`` values: exact while both sets are their own sketches, else five
-    standard errors below the mean."""
+    ``m`` values: exact while both sets are their own sketches, else 4.5
+    standard errors below the mean of the worst case, a set and its subset."""
     if m <= similarity * SKETCH:
         return int(np.ceil(similarity * m - 1e-9))
     share = similarity - 4.5 * (similarity * (1 - similarity) / SKETCH) ** 0.5
