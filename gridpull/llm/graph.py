@@ -19,16 +19,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
         .distinct()
     )
     e = stored(e, "edges")
-    seen = None
     while True:
-        sig = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if sig[0] == 0 or tuple(sig) == seen:
+        n = e.count()
+        # stored, so that the joins with it can split a hub's edges
+        low = stored(e.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m"), "smallest-neighbours")
+        inner = e.join(low, F.col("b") == F.col("u"), "left_semi")
+        if low.count() == n and inner.isEmpty():  # stars: one edge each, to a root
             break
-        seen = tuple(sig)
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        # large star: each edge moves from its end b to the smallest neighbour
+        # of b; hubs are nobody's larger end, so they are not in ``low``
+        large = e.join(low, F.col("b") == F.col("u"), "left").select("a", F.coalesce("m", "b").alias("b")).distinct()
         large = stored(large, "large-star")
+        # small star: all smaller neighbours of a node meet at the smallest
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
             large.join(least, "a")

@@ -288,6 +288,7 @@ def near_duplicates(
     per = now.groupBy("key", "comp").agg(F.count("*").alias("c"))
     main = per.groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
     rest = now.join(stored(main, "main-components"), "key").where("comp <> main").drop("main", "parts")
+    rest = stored(rest, "outside-main")  # so that a hot key's join below can be split
     mine, other = rest.toDF("key", "m", "mn", "ms", "mc"), now.toDF("key", "o", "on", "os", "oc")
     left = mine.join(other, "key").where("mc <> oc").where(may_link(F.col("mn"), F.col("ms"), F.col("on"), F.col("os")))
     left = left.select(F.least("m", "o").alias("a"), F.greatest("m", "o").alias("b")).distinct()
