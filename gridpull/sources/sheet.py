@@ -20,8 +20,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.sizing import broadcast_if_small
-
 MAX_BROADCAST_FILES = 100_000
 CORRUPT = "_corrupt_record"
 # The reader's own bound on fields per record, raised beyond what any
@@ -69,8 +67,12 @@ def read_sheet_grid(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
         .csv(paths)
         .select(sheet_key().alias("sheet"), F.monotonically_increasing_id().alias("_k"), F.expr(f"array({', '.join(cols)})").alias("row"))
     )
-    # One row per file, broadcast only behind a count.
-    first, _ = broadcast_if_small(raw.groupBy("sheet").agg(F.min("_k").alias("_k0")), MAX_BROADCAST_FILES)
+    files = len(raw.inputFiles())
+    if files == 1:  # one split: the ids are the row numbers
+        return raw.select("sheet", F.col("_k").alias("r"), "row")
+    # One row per file, and the file listing tells how many there are.
+    first = raw.groupBy("sheet").agg(F.min("_k").alias("_k0"))
+    first = F.broadcast(first) if files <= MAX_BROADCAST_FILES else first
     return raw.join(first, "sheet").select("sheet", (F.col("_k") - F.col("_k0")).alias("r"), "row")
 
 
