@@ -9,10 +9,11 @@
    set under the first size - overlap + 1 of its values in one order, the
    globally rarest first (prefix filter). Values of one class need no list:
    most sets, and sets that share only a passage, drop out here.
-3. Of each set in a list it is known how many members no other listed set
-   has. A pair can reach the similarity only if what both may share is
-   enough for the two sizes (``may_link``, exact), so sets that all differ
-   from one another by a little too much meet nowhere.
+3. Each set in a list carries how many of its members another listed set
+   has, and an odd sketch: ``ODD_BITS`` parity bits of its members. Both bound
+   a pair exactly (``may_link``): it shares no more than the former, and
+   differs in at least as many members as the parities differ in bits. So
+   sets that all differ from one another by a little too much meet nowhere.
 4. A list's members are paired with its leader first, the one with the fewest
    members of its own (the text that copies were made from). What is linked
    is contracted into components; then members outside their list's main
@@ -42,6 +43,8 @@ from .graph import connected_components
 
 WORDS = 5
 SKETCH = 64
+ODD_BITS = 1024
+ODD = [f"o{i}" for i in range(ODD_BITS // 64)]
 BLOCK_BYTES = 1 << 20
 
 _TABLE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -217,6 +220,13 @@ def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
     return stored(_pairs_with(some, sets, "members").mapInArrow(exact, "a long, b long"), "links")
 
 
+def odd_sketch(members: np.ndarray) -> np.ndarray:
+    """Parity bits of a set's members, as 64-bit numbers. The sketches of two
+    sets differ in at most as many bits as the sets differ in members."""
+    at = (_mix(members + _NEXT) >> np.uint64(54)).astype(np.int64)  # 10 bits: ODD_BITS
+    return np.packbits((np.bincount(at, minlength=ODD_BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _member_sets(words: int):
     """A task's rows (node, members) of the texts that are their class's."""
 
@@ -228,7 +238,9 @@ def _member_sets(words: int):
         for t in in_blocks(batches, BLOCK_BYTES):
             sets = shingle_sets(t.column("t").fill_null("").to_pylist(), words)
             own = [blake2b(s.tobytes(), digest_size=16).digest() == d for s, d in zip(sets, t.column("digest").to_pylist())]
-            got = pa.Table.from_arrays([t.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "members"])
+            odd = np.array([odd_sketch(s) for s in sets])
+            cols = [t.column("node"), pa.array([s.tobytes() for s in sets], pa.binary()), *map(pa.array, odd.T)]
+            got = pa.Table.from_arrays(cols, ["node", "members", *ODD])
             yield from got.filter(pa.array(own, pa.bool_())).to_batches(max_chunksize=500)
 
     return run
@@ -265,33 +277,43 @@ def near_duplicates(
     in_lists = broadcast_below(entries.select("node").distinct(), 1_000_000)
     wanted = nodes.join(in_lists, "node", "left_semi").select("node", "digest", "low")
     texts = base.join(broadcast_below(wanted, 1_000_000), F.col("d") == F.col("low")).select("node", "digest", "t")
-    sets = stored(texts.mapInArrow(_member_sets(words), "node long, members binary").dropDuplicates(["node"]), "sets")
+    kinds = "node long, members binary, " + ", ".join(f"{o} long" for o in ODD)
+    sets = stored(texts.mapInArrow(_member_sets(words), kinds).dropDuplicates(["node"]), "sets")
     values = sets.mapInArrow(_each_member, "value long, node long")
     common = stored(values.groupBy("value").agg(F.count("*").alias("c")).where("c > 1"), "common-members")
     shared = values.join(common.select("value"), "value").groupBy("node").agg(F.count("*").alias("shared"))
     # s: how many members another listed set has; n: all of them
-    entries = stored(entries.join(shared, "node").select("key", "node", "n", F.col("shared").alias("s")), "entries")
-
-    def may_link(xn, xs, yn, ys):
-        """Both hold at least 85/185 (for 85 %) of the two sizes together."""
-        return (100 + percent) * F.least(xs, ys) >= percent * (xn + yn)
-
-    own = F.struct(((F.col("n") - F.col("s")) / F.col("n")).alias("own"), "node", "n", "s")
-    heads = stored(entries.groupBy("key").agg(F.min(own).alias("m")).select("key", "m.node", "m.n", "m.s").toDF("key", "a", "an", "as_"), "leaders")
-    pairs = entries.join(heads, "key").where("a <> node").where(may_link(F.col("an"), F.col("as_"), F.col("n"), F.col("s")))
-    pairs = stored(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), "pairs")
+    facts = shared.join(sets.select("node", *ODD), "node")
+    entries = entries.join(facts, "node").select("key", F.struct("node", "n", F.col("shared").alias("s"), *ODD).alias("x"))
+    entries = stored(entries, "entries")
+
+    def may_link(x, y):
+        """Both hold at least 85/185 (for 85 %) of the two sizes together, and
+        they differ in at most 15/185 of them."""
+        total = F.col(f"{x}.n") + F.col(f"{y}.n")
+        bits = sum((F.bit_count(F.col(f"{x}.{o}").bitwiseXOR(F.col(f"{y}.{o}"))) for o in ODD), F.lit(0))
+        enough = (100 + percent) * F.least(f"{x}.s", f"{y}.s") >= percent * total
+        return enough & ((100 + percent) * bits <= (100 - percent) * total)
+
+    def ends(x, y):
+        return F.least(f"{x}.node", f"{y}.node").alias("a"), F.greatest(f"{x}.node", f"{y}.node").alias("b")
+
+    own = (F.col("x.n") - F.col("x.s")) / F.col("x.n")
+    heads = stored(entries.groupBy("key").agg(F.min_by("x", F.struct(own.alias("own"), "x.node")).alias("y")), "leaders")
+    pairs = entries.join(heads, "key").where("x.node <> y.node").where(may_link("x", "y"))
+    pairs = stored(pairs.select(*ends("x", "y")).distinct(), "pairs")
     links = _verified(pairs, nodes, sets, percent)
     comps = stored(connected_components(links), "components")
 
-    now = entries.join(comps, "node", "left").select("key", "node", "n", "s", F.coalesce("component", "node").alias("comp"))
-    now = stored(now, "entries-now")
+    now = entries.join(comps, entries["x.node"] == comps["node"], "left")
+    now = stored(now.select("key", "x", F.coalesce("component", "x.node").alias("comp")), "entries-now")
     per = now.groupBy("key", "comp").agg(F.count("*").alias("c"))
     main = per.groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
     rest = now.join(stored(main, "main-components"), "key").where("comp <> main").drop("main", "parts")
     rest = stored(rest, "outside-main")  # so that a hot key's join below can be split
-    mine, other = rest.toDF("key", "m", "mn", "ms", "mc"), now.toDF("key", "o", "on", "os", "oc")
-    left = mine.join(other, "key").where("mc <> oc").where(may_link(F.col("mn"), F.col("ms"), F.col("on"), F.col("os")))
-    left = left.select(F.least("m", "o").alias("a"), F.greatest("m", "o").alias("b")).distinct()
+    other = now.select("key", F.col("x").alias("y"), F.col("comp").alias("comp2"))
+    left = rest.join(other, "key").where("comp <> comp2").where(may_link("x", "y"))
+    left = left.select(*ends("x", "y")).distinct()
     left = stored(left.join(pairs, ["a", "b"], "left_anti"), "pairs-left")
     links = links.unionByName(_verified(left, nodes, sets, percent))
     comps = stored(connected_components(links), "components")

@@ -223,3 +223,15 @@ def test_queries_match_sql(spark, name):
     cols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(df.columns)
     assert rows_of(df.select(*cols)) == sorted(res.fetchall(), key=str)
+
+
+def test_odd_sketch_bounds_the_difference():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for n in (0, 5, 100, 3000):
+        u = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        x, y = u[rng.random(n) < 0.8], u[rng.random(n) < 0.8]
+        bits = minhash.odd_sketch(x) ^ minhash.odd_sketch(y)
+        assert len(bits) == len(minhash.ODD)
+        assert sum(int(b & (2**64 - 1)).bit_count() for b in bits.tolist()) <= len(np.setxor1d(x, y))
