@@ -13,10 +13,16 @@ from ..session import ensure_checkpoint_dir
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+ROWS_A_PART = 50_000
+
+
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the session's shared checkpoint folder and
     read it back. Cuts the lineage, so a lost executor costs only its own
-    running tasks. The folder goes when the application ends."""
+    running tasks. The folder goes when the application ends. ``rows``, where
+    they are counted, keep small tables from many tiny files."""
+    if rows is not None:
+        df = df.coalesce(rows // ROWS_A_PART + 1)
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)

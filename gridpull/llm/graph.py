@@ -22,14 +22,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while True:
         n = e.count()
         # stored, so that the joins with it can split a hub's edges
-        low = stored(e.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m"), "smallest-neighbours")
+        low = stored(e.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m"), "smallest-neighbours", n)
         inner = e.join(low, F.col("b") == F.col("u"), "left_semi")
         if low.count() == n and inner.isEmpty():  # stars: one edge each, to a root
             break
         # large star: each edge moves from its end b to the smallest neighbour
         # of b; hubs are nobody's larger end, so they are not in ``low``
         large = e.join(low, F.col("b") == F.col("u"), "left").select("a", F.coalesce("m", "b").alias("b")).distinct()
-        large = stored(large, "large-star")
+        large = stored(large, "large-star", n)
         # small star: all smaller neighbours of a node meet at the smallest
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
@@ -39,7 +39,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .unionByName(least.select("a", F.col("m").alias("b")))
             .distinct()
         )
-        e = stored(small, "small-star")
+        e = stored(small, "small-star", n)
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

@@ -46,6 +46,7 @@ SKETCH = 64
 ODD_BITS = 1024
 ODD = [f"o{i}" for i in range(ODD_BITS // 64)]
 BLOCK_BYTES = 1 << 20
+NAMES_BROADCAST = 500_000
 
 _TABLE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -185,8 +186,13 @@ def _number(digest):
 
 
 def _pairs_with(pairs: DataFrame, side: DataFrame, column: str) -> DataFrame:
-    """``pairs`` (a, b) with ``column`` of both ends."""
+    """``pairs`` (a, b; a stored table) with ``column`` of both ends. Only the
+    rows of ``side`` that some pair names are shuffled, while the names can be
+    broadcast."""
     s = side.select(F.col("node"), F.col(column))
+    names = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    if pairs.count() <= NAMES_BROADCAST:
+        s = s.join(F.broadcast(names), "node", "left_semi")
     return pairs.join(s.toDF("a", "x"), "a").join(s.toDF("b", "y"), "b")
 
 

@@ -235,3 +235,13 @@ def test_odd_sketch_bounds_the_difference():
         bits = minhash.odd_sketch(x) ^ minhash.odd_sketch(y)
         assert len(bits) == len(minhash.ODD)
         assert sum(int(b & (2**64 - 1)).bit_count() for b in bits.tolist()) <= len(np.setxor1d(x, y))
+
+
+def test_near_without_broadcasts(spark, monkeypatch):
+    from gridpull.llm import common
+
+    monkeypatch.setattr(minhash, "NAMES_BROADCAST", -1)
+    monkeypatch.setattr(minhash, "broadcast_below", lambda df, rows: df)
+    monkeypatch.setattr(common, "ROWS_A_PART", 1)
+    got = rows_of(minhash.near_duplicates(documents(spark)).select("doc_id", "n_shingles", "component_id", "kept"))
+    assert got == sorted(brute.near(odd_rows()), key=str)
