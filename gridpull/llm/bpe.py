@@ -24,7 +24,7 @@ from .common import in_blocks, ship, shipped
 
 #: Fixed value: the split pattern of this kind of vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 8 << 20
 
 
 def byte_alphabet() -> dict[str, int]:

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from .common import in_blocks, pick, stored, text_hash
 
 BLANKS = b"\t\n\x0b\x0c\r "
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 SHARDS = 256
 
 

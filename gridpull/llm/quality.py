@@ -27,7 +27,7 @@ from .common import ship, shipped
 from .toxicity import bucket, prior_shift, score_rows, training_sample
 
 WIDTH, STRIDE, HALF, CHUNK = 8, 4, 128, 256
-PIECE = 1 << 21
+PIECE = 1 << 20
 
 
 def byte_features() -> np.ndarray:
