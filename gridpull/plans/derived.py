@@ -48,17 +48,10 @@ ROW_START, ROW_END, ROW_NOTE, ROW_ID, ROW_DECOY = 3, 4, 5, 6, 7
 # ---------------------------------------------------------------------------
 
 
-def segment_sheet_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """cells (sheet, r, c, v) of one derived sheet per ``c_mktsegment``."""
+def customer_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(sheet, nth, start, end, note, id, decoy): what each customer's column
+    of its segment's sheet holds, NULL for a blank cell."""
     cust = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_nationkey", "c_mktsegment")
-    fixed = F.array(*[F.struct(F.lit(r).cast("long").alias("r"), F.lit(c).alias("c"), F.lit(v).alias("v")) for r, c, v in SHEET_FIXED_CELLS])
-    fixed_cells = (
-        cust.select(F.col("c_mktsegment").alias("sheet"))
-        .distinct()
-        .select("sheet", F.inline(fixed))
-    )
-    nth = F.row_number().over(Window.partitionBy("c_mktsegment").orderBy("c_custkey"))
-    cust = cust.withColumn("nth", nth)
     k = F.col("c_custkey")
     ks = k.cast("string")
     year = (F.lit(1995) + F.pmod(F.col("c_nationkey"), F.lit(4))).cast("string")
@@ -80,41 +73,48 @@ def segment_sheet_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.pmod(k, F.lit(3)) == 0, F.concat(F.lit("12/31/"), year_next))
         .when(F.pmod(k, F.lit(3)) == 1, F.concat(year_next, F.lit("-06-30T12:00:00Z")))
     )
-    col = (F.col("nth") + F.lit(SET_COLUMN_OFFSET)).cast("int")
-    per_customer = F.array(
-        F.struct(F.lit(ROW_ID).cast("long").alias("r"), col.alias("c"), id_text.alias("v")),
-        F.struct(F.lit(ROW_START).cast("long").alias("r"), col.alias("c"), start_text.alias("v")),
-        F.struct(F.lit(ROW_END).cast("long").alias("r"), col.alias("c"), end_text.alias("v")),
-        F.struct(F.lit(ROW_NOTE).cast("long").alias("r"), col.alias("c"), F.concat(F.lit("n"), ks).alias("v")),
-        F.struct(F.lit(ROW_DECOY).cast("long").alias("r"), col.alias("c"), F.concat(F.lit("decoy"), ks).alias("v")),
+    nth = F.row_number().over(Window.partitionBy("c_mktsegment").orderBy("c_custkey"))
+    return cust.select(
+        F.col("c_mktsegment").alias("sheet"),
+        nth.alias("nth"),
+        start_text.alias("start"),
+        end_text.alias("end"),
+        F.concat(F.lit("n"), ks).alias("note"),
+        id_text.alias("id"),
+        F.concat(F.lit("decoy"), ks).alias("decoy"),
     )
-    var_cells = cust.select(F.col("c_mktsegment").alias("sheet"), F.inline(per_customer)).where(F.col("v").isNotNull())
-    return fixed_cells.unionByName(var_cells)
 
 
 def _sheet_text(v):
     """A cell as the sheet reader takes it back: quotes inside are escaped by
     a backslash, the reader's own convention."""
+    v = F.coalesce(v, F.lit(""))
     return F.when(v.rlike('[",]'), F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('\\"')), F.lit('"'))).otherwise(v)
 
 
 def write_segment_sheets(spark: SparkSession, sf_dir: str) -> str:
     """The derived sheets as CSV files ``sheet=<segment>/part-*`` in the
-    shared checkpoint folder; returns that folder."""
-    cells = segment_sheet_cells(spark, sf_dir)
-    size = cells.groupBy("sheet").agg(F.max("c").alias("last"))
-    places = size.select("sheet", F.explode(F.sequence(F.lit(0), F.lit(N_ROWS - 1))).alias("r"), "last")
-    places = places.select("sheet", F.col("r").cast("long").alias("r"), F.explode(F.sequence(F.lit(0), "last")).alias("c"))
-    filled = places.join(cells, ["sheet", "r", "c"], "left").withColumn("v", _sheet_text(F.coalesce("v", F.lit(""))))
-    line = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("c", "v"))), lambda x: x["v"]), ",")
+    shared checkpoint folder; returns that folder. A sheet's row is one line,
+    so a segment's cells meet in one group."""
+    rows = {r: [""] * (max([c for r2, c, _ in SHEET_FIXED_CELLS if r2 == r], default=1) + 1) for r in range(N_ROWS)}
+    for r, c, v in SHEET_FIXED_CELLS:
+        rows[r][c] = v
+    filled = {ROW_START: "start", ROW_END: "end", ROW_NOTE: "note", ROW_ID: "id", ROW_DECOY: "decoy"}
+    texts = F.struct("nth", *[_sheet_text(F.col(c)).alias(c) for c in filled.values()])
+    sheets = customer_texts(spark, sf_dir).groupBy("sheet").agg(F.sort_array(F.collect_list(texts)).alias("x"))
+
+    def line(r: int):
+        fixed = F.lit(",".join(rows[r]))
+        return F.concat(fixed, F.lit(","), F.array_join(F.col("x")[filled[r]], ",")) if r in filled else fixed
+
+    lines = sheets.select("sheet", F.posexplode(F.array(*map(line, range(N_ROWS)))).alias("r", "line"))
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sheets-{uuid.uuid4().hex}"
-    lines = filled.groupBy("sheet", "r").agg(line.alias("line"))
-    lines.repartition("sheet").sortWithinPartitions("sheet", "r").select("sheet", "line").write.partitionBy("sheet").text(path)
+    lines.sortWithinPartitions("sheet", "r").select("sheet", "line").write.partitionBy("sheet").text(path)
     delete_on_exit(spark, path)
     return path
 
 
-# DuckDB twin of segment_sheet_cells, used by the oracle queries.
+# The cells of the derived sheets in DuckDB, used by the oracle queries.
 SEGMENT_SHEET_CELLS_SQL = """
 fixed(r, c, v) AS (VALUES {fixed_values}),
 cust AS (SELECT c_custkey AS k, c_nationkey AS nk, c_mktsegment AS sheet,
