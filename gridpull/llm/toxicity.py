@@ -108,6 +108,21 @@ def _present(text: str) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
+def _document_counts(texts: list[str], some: int = 200) -> tuple[np.ndarray, np.ndarray]:
+    """All n-grams and how many texts hold each, summed by ``some`` texts at
+    a time to spare the driver's memory."""
+    keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+    for at in range(0, len(texts), some):
+        k, c = np.unique(np.concatenate([_present(t) for t in texts[at : at + some]]), return_counts=True)
+        spot = np.minimum(np.searchsorted(keys, k), max(len(keys) - 1, 0))
+        old = keys[spot] == k if len(keys) else np.zeros(len(k), bool)
+        counts[spot[old]] += c[old].astype(np.int32)
+        k, c = k[~old], c[~old].astype(np.int32)
+        to = np.searchsorted(keys, k)
+        keys, counts = np.insert(keys, to, k), np.insert(counts, to, c)
+    return keys, counts
+
+
 def prior_shift(y: np.ndarray, share: float | None) -> float:
     """What to add to a logit learned on the sample ``y`` for a population
     with this share of label 1."""
@@ -127,8 +142,7 @@ def fit(
     none = NgramModel(np.zeros(0, np.uint64), np.zeros(0), float(np.log((all_ + 1e-9) / (1 - all_ + 1e-9))))
     if not 0 < own < 1:
         return none
-    pos = [_present(t) for t, k in zip(texts, y) if k]
-    keys, p = np.unique(np.concatenate(pos), return_counts=True)
+    keys, p = _document_counts([t for t, k in zip(texts, y) if k])
     keys, p = keys[p >= least], p[p >= least].astype(float)
     if not len(keys):
         return none
@@ -140,7 +154,7 @@ def fit(
             at = np.minimum(at, len(keys) - 1)
             own = at[keys[at] == h]
             q[own] += 1
-            neg.append(own)
+            neg.append(own.astype(np.int32))
     n1, n0 = y.sum(), len(y) - y.sum()
     ratio = np.log(((p + 1) / (n1 + 2)) / ((q + 1) / (n0 + 2)))
     spread = np.sqrt(1 / (p + 1) + 1 / (q + 1))
@@ -148,11 +162,10 @@ def fit(
     sel, r = keys[best], ratio[best]
     place = np.full(len(keys), -1)
     place[best] = np.arange(len(best))
-    rows, cols, i, j = [], [], 0, 0
+    rows, cols, j = [], [], 0
     for k, label in enumerate(y):
         if label:
-            h = pos[i]
-            i += 1
+            h = _present(texts[k])
             at = np.minimum(np.searchsorted(sel, h), len(sel) - 1)
             own = at[sel[at] == h]
         else:
