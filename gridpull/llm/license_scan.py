@@ -1,14 +1,20 @@
 """License scan: an exact set-similarity join of text blocks and templates.
 
-A block is a line of a text. Tokens are ordered by their global frequency
-over all blocks, rarest first. A template T is contained in a block B where
-|T and B| >= alpha = ceil(threshold * |T|). Then B holds one of the first
+A block for a template of n words is any 2 n words in a row of a text, over
+line breaks and blank lines alike, so layout does not matter and a block's
+size is bound to the template's. Only blocks that begin with a template token
+are formed: any other holds no more than the next of these. Tokens are ordered
+by their global frequency over all blocks, rarest first. A template T is
+contained in a block B where |T and B| >= alpha = ceil(threshold * |T|). Then
+B holds one of the first
 |T| - alpha + 1 tokens of T (prefix filter), has at least alpha template
 tokens (length filter), and after the first shared token both sides have
-enough tokens left (positional filter); what passes is counted exactly. Fixed
-phrases are found besides, by their places in the whole text. Only DataFrame
+enough tokens left (positional filter); what passes is counted exactly. Before
+blocks are formed, texts are cut into overlapping pieces that hold each block
+whole, and pieces that miss too many tokens of a template have no blocks for
+it. Fixed phrases are found besides, by their places in the whole text. Only DataFrame
 operations, no Python on the executors; what is shuffled or sent to the driver
-is counts of template tokens and the few blocks that match.
+is counts of template tokens and the few pieces and blocks that may match.
 
 Defined cases: a null text is empty and has no words, no places and no
 labels. Rows are scanned one by one (a row number is fixed when the blocks
@@ -28,6 +34,11 @@ from .common import ascii_lower, let, stored
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 STRINGS = "array<string>"
 
+#: Words of a block for each word of the template, and words of a piece beside
+#: those that its last block needs.
+BLOCK_WORDS = 2
+PIECE_WORDS = 256
+
 #: Phrase -> label.
 PHRASES = {
     "gnu general public license": "gpl",
@@ -66,10 +77,31 @@ def _rows(spark, rows: list[tuple], names: list[str]) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
-def template_sets(spark, templates) -> list[tuple[int, str, list[str]]]:
-    """(number, label, distinct tokens) of each template."""
+def template_sets(spark, templates) -> list[tuple[int, str, list[str], int]]:
+    """(number, label, distinct tokens, words of a block) of each template."""
     df = _rows(spark, [(i, lab, t) for i, (lab, t) in enumerate(templates)], ["i", "label", "t"])
-    return [tuple(r) for r in df.select("i", "label", F.sort_array(F.array_distinct(_tokens(F.col("t"))))).collect()]
+    w = _tokens(F.col("t"))
+    return [tuple(r) for r in df.select("i", "label", F.sort_array(F.array_distinct(w)), F.size(w) * BLOCK_WORDS).collect()]
+
+
+def _alpha(threshold: float, ts: list[str]) -> int:
+    return max(1, ceil(threshold * len(ts) - 1e-9))
+
+
+def _pieces(w: Column, sets, vocabulary: list[str], threshold: float) -> Column:
+    """array<struct<x array<string>, widths array<int>>>: the pieces of the
+    words that may hold a block, and how wide that may be."""
+    widest = max(width for *_, width in sets)
+
+    def piece(x: Column) -> Column:
+        def of(held: Column) -> Column:
+            widths = [F.when(F.size(F.array_intersect(held, _strings(ts))) >= _alpha(threshold, ts), F.lit(width)) for _, _, ts, width in sets]
+            return F.struct(x.alias("x"), F.array_distinct(F.array_compact(F.array(*widths))).alias("widths"))
+
+        return let(F.array_intersect(x, _strings(vocabulary)), of)
+
+    starts = F.when(F.size(w) > 0, F.sequence(F.lit(1), F.size(w), F.lit(PIECE_WORDS))).otherwise(F.array().cast("array<int>"))
+    return F.filter(F.transform(starts, lambda i: piece(F.slice(w, i, PIECE_WORDS + widest))), lambda p: F.size(p["widths"]) > 0)
 
 
 def places(words: Column, phrases: dict[str, str]) -> Column:
@@ -107,22 +139,20 @@ def scan_licenses(
     places, the labels of the templates that a block contains, and the
     highest share of a template that one does."""
     spark = docs.sparkSession
-    sets = template_sets(spark, templates) if templates else []
-    vocabulary = sorted({t for _, _, ts in sets for t in ts})
-    base = docs.select(
+    sets = [t for t in template_sets(spark, templates) if t[2]] if templates else []
+    vocabulary = sorted({t for _, _, ts, _ in sets for t in ts})
+    words = docs.select(
         F.monotonically_increasing_id().alias("row"),
         docs[doc_id].alias("doc_id"),
-        # no word spans a line break
-        F.transform(F.split(F.coalesce(docs[text], F.lit("")), "\n"), _tokens).alias("lines"),
+        _tokens(F.coalesce(docs[text], F.lit(""))).alias("w"),
     )
-    words = base.select("row", "doc_id", "lines", F.flatten("lines").alias("w"))
     told = stored(
         words.select(
             "row",
             "doc_id",
             F.size("w").alias("n_words"),
             places(F.col("w"), PHRASES if phrases is None else phrases).alias("places"),
-            F.filter(F.transform("lines", lambda b: F.array_intersect(b, _strings(vocabulary))), lambda s: F.size(s) > 0).alias("blocks"),
+            *([let(F.col("w"), lambda w: _pieces(w, sets, vocabulary, threshold)).alias("pieces")] if sets else []),
         ),
         "blocks",
     )
@@ -142,24 +172,30 @@ def scan_licenses(
 def _contained(told: DataFrame, sets, vocabulary: list[str], threshold: float) -> DataFrame:
     """(row, found, containment) of the documents with a matching block."""
     spark = told.sparkSession
-    blocks = told.select("row", F.explode("blocks").alias("b"))
+    # a block begins with a token of a template of its width
+    opening = {width: _strings(sorted({t for _, _, ts, n in sets if n == width for t in ts})) for *_, width in sets}
+    pieces = told.select("row", F.explode("pieces").alias("p")).select("row", "p.x", F.explode("p.widths").alias("width"))
+    opens = F.coalesce(*[F.when(F.col("width") == width, ts) for width, ts in opening.items()])
+    starts = let(opens, lambda ts: F.filter(F.sequence(F.lit(1), F.least(F.size("x"), F.lit(PIECE_WORDS))), lambda i: F.array_contains(ts, F.get("x", i - 1))))
+    windows = pieces.select("row", "width", F.explode(F.transform(starts, lambda i: F.slice("x", i, F.col("width")))).alias("x"))
+    blocks = windows.select("row", "width", F.array_intersect("x", _strings(vocabulary)).alias("b"))
     seen = dict(map(tuple, blocks.select(F.explode("b").alias("t")).groupBy("t").count().collect()))  # at most the vocabulary
     order = sorted(vocabulary, key=lambda t: (seen.get(t, 0), t))
     rank = {t: i for i, t in enumerate(order)}
     prefixes = []
-    for _, label, ts in sets:
+    for _, label, ts, width in sets:
         ts = sorted(ts, key=rank.__getitem__)
-        alpha = max(1, ceil(threshold * len(ts) - 1e-9))
+        alpha = _alpha(threshold, ts)
         prefix = ts[: len(ts) - alpha + 1]
-        prefixes += [(t, i, label, ts, prefix, alpha) for i, t in enumerate(prefix)]
-    heads = _rows(spark, prefixes, ["t", "i", "label", "ts", "prefix", "alpha"])
+        prefixes += [(t, width, i, label, ts, prefix, alpha) for i, t in enumerate(prefix)]
+    heads = _rows(spark, prefixes, ["t", "width", "i", "label", "ts", "prefix", "alpha"])
     least = min(p[-1] for p in prefixes)
-    by_rank = blocks.where(F.size("b") >= least).select("row", F.array_intersect(_strings(order), "b").alias("s"))
-    probe = by_rank.select("row", "s", F.explode(F.array_intersect("s", _strings(sorted({p[0] for p in prefixes})))).alias("t"))
+    by_rank = blocks.where(F.size("b") >= least).select("row", "width", F.array_intersect(_strings(order), "b").alias("s"))
+    probe = by_rank.select("row", "width", "s", F.explode(F.array_intersect("s", _strings(sorted({p[0] for p in prefixes})))).alias("t"))
     left_t = F.size("ts") - F.col("i")
     left_s = F.size("s") - F.array_position("s", F.col("t")) + 1
     pairs = (
-        probe.join(F.broadcast(heads), "t")  # the templates' prefixes
+        probe.join(F.broadcast(heads), ["t", "width"])  # the templates' prefixes
         .where(F.size("s") >= F.col("alpha"))
         .where(F.least(left_t, left_s) >= F.col("alpha"))
         .where(F.array_intersect("prefix", "s")[0] == F.col("t"))  # once for each block and template

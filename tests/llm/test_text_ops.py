@@ -190,6 +190,46 @@ def test_licenses_match_brute(spark, source):
     assert got == sorted([(d, *brute_scan(t)) for d, t in rows], key=str)
 
 
+WRAPPED = {
+    "bsd": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:
+
+1. Redistributions of source code must retain the above notice.""",
+    "mit-notice": """Permission is hereby granted, free of charge, to any person obtaining a
+copy of this software and associated documentation files (the "Software"),
+to deal in the Software without restriction""",
+    "gpl-3.0": """    # This program is free software: you can redistribute it and/or modify
+    # it under the terms of the GNU General Public License as published by
+    # the Free Software Foundation, either version 3 of the License, or
+    # (at your option) any later version.""",
+    "apache-2.0": """ * Licensed under the Apache
+ * License,
+ *
+ * Version 2.0""",
+}
+
+
+def test_licenses_over_line_breaks(spark):
+    """A notice in its wrapped layout, anywhere in a long text."""
+    rows, expected = [], {}
+    for label, notice in WRAPPED.items():
+        for n in (0, 1, 230, 250, 256, 300, 5000):
+            rows.append((len(rows), f"{'word ' * n}\n\n{notice}\n{'more ' * n}"))
+            expected[len(rows) - 1] = [label]
+    got = license_scan.scan_licenses(documents(spark, rows))
+    assert {r["doc_id"]: r["found"] for r in got.collect()} == expected
+    assert {r["containment"] for r in got.collect()} == {1.0}
+
+
+def test_licenses_not_in_scattered_words(spark):
+    """A block is at most twice as long as its template."""
+    long = license_scan.TEMPLATES[2][1].split()
+    rows = [(1, " x y z ".join(long)), (2, "released " + "a " * 20 + "under the old license"), (3, " x ".join(long[:20]))]
+    got = license_scan.scan_licenses(documents(spark, rows))
+    assert {r["doc_id"]: r["found"] for r in got.collect()} == {1: [], 2: [], 3: ["bsd"]}
+
+
 def test_no_templates(spark):
     got = license_scan.summary(license_scan.scan_licenses(documents(spark), templates=()))
     assert {r["labels"] for r in got.collect()} == {r["base_labels"] for r in got.collect()}
