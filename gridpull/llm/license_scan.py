@@ -12,7 +12,7 @@ tokens (length filter), and after the first shared token both sides have
 enough tokens left (positional filter); what passes is counted exactly. Before
 blocks are formed, texts are cut into overlapping pieces that hold each block
 whole, and pieces that miss too many tokens of a template have no blocks for
-it. Fixed phrases are found besides, by their places in the whole text. Only DataFrame
+it. A block must also name the license (``NAMES``). Fixed phrases are found besides, by their places in the whole text. Only DataFrame
 operations, no Python on the executors; what is shuffled or sent to the driver
 is counts of template tokens and the few pieces and blocks that may match.
 
@@ -61,6 +61,21 @@ TEMPLATES = (
     ("mit-notice", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
 )
 
+#: template's text -> what a block must hold besides the share of
+#: its tokens, as a pattern over the block's words with a blank on either side.
+#: The words that tell a license or its version from others are a small part
+#: of a template's tokens, so the share alone does not ask for them.
+NAMES = {
+    TEMPLATES[0][1]: " apache license version 2 0 ",
+    TEMPLATES[1][1]: " apache license version 2 0 ",
+    TEMPLATES[3][1]: " attribution 4 0 ",
+    TEMPLATES[4][1]: " cc by nc 4 0 ",
+    TEMPLATES[5][1]: " gnu general public license (.* )?(version 3|v3) ",
+    TEMPLATES[6][1]: " gnu general public license (.* )?(version 3|v3) ",
+    TEMPLATES[7][1]: " mit license ",
+    TEMPLATES[8][1]: " associated documentation ",
+}
+
 
 def _tokens(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
@@ -77,11 +92,17 @@ def _rows(spark, rows: list[tuple], names: list[str]) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
-def template_sets(spark, templates) -> list[tuple[int, str, list[str], int]]:
-    """(number, label, distinct tokens, words of a block) of each template."""
+def template_sets(spark, templates, names=NAMES) -> list[tuple[int, str, list[str], int, str]]:
+    """(number, label, distinct tokens, words of a block, pattern of the name)
+    of each template; without a name, any block fits the pattern."""
     df = _rows(spark, [(i, lab, t) for i, (lab, t) in enumerate(templates)], ["i", "label", "t"])
     w = _tokens(F.col("t"))
-    return [tuple(r) for r in df.select("i", "label", F.sort_array(F.array_distinct(w)), F.size(w) * BLOCK_WORDS).collect()]
+    rows = df.select("i", "label", F.sort_array(F.array_distinct(w)), F.size(w) * BLOCK_WORDS).collect()
+    return [(*r, names.get(templates[r[0]][1], "")) for r in rows]
+
+
+def _spaced(words: Column) -> Column:
+    return F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
 
 
 def _alpha(threshold: float, ts: list[str]) -> int:
@@ -91,11 +112,12 @@ def _alpha(threshold: float, ts: list[str]) -> int:
 def _pieces(w: Column, sets, vocabulary: list[str], threshold: float) -> Column:
     """array<struct<x array<string>, widths array<int>>>: the pieces of the
     words that may hold a block, and how wide that may be."""
-    widest = max(width for *_, width in sets)
+    widest = max(width for _, _, _, width, _ in sets)
 
     def piece(x: Column) -> Column:
         def of(held: Column) -> Column:
-            widths = [F.when(F.size(F.array_intersect(held, _strings(ts))) >= _alpha(threshold, ts), F.lit(width)) for _, _, ts, width in sets]
+            fits = [(F.size(F.array_intersect(held, _strings(ts))) >= _alpha(threshold, ts)) & _spaced(x).rlike(name) for _, _, ts, _, name in sets]
+            widths = [F.when(fit, F.lit(t[3])) for fit, t in zip(fits, sets)]
             return F.struct(x.alias("x"), F.array_distinct(F.array_compact(F.array(*widths))).alias("widths"))
 
         return let(F.array_intersect(x, _strings(vocabulary)), of)
@@ -133,14 +155,16 @@ def scan_licenses(
     templates=TEMPLATES,
     phrases: dict[str, str] | None = None,
     threshold: float = 0.8,
+    names: dict[str, str] = NAMES,
 ) -> DataFrame:
     """(doc_id, n_words long, places array<struct<at,label>>, found
     array<string>, containment double), one row per input row: the phrases'
-    places, the labels of the templates that a block contains, and the
-    highest share of a template that one does."""
+    places, the labels of the templates that a block contains and names, and
+    the highest share of a template that one does. Templates not in ``names``
+    need the share of their tokens only."""
     spark = docs.sparkSession
-    sets = [t for t in template_sets(spark, templates) if t[2]] if templates else []
-    vocabulary = sorted({t for _, _, ts, _ in sets for t in ts})
+    sets = [t for t in template_sets(spark, templates, names) if t[2]] if templates else []
+    vocabulary = sorted({t for _, _, ts, _, _ in sets for t in ts})
     words = docs.select(
         F.monotonically_increasing_id().alias("row"),
         docs[doc_id].alias("doc_id"),
@@ -173,31 +197,32 @@ def _contained(told: DataFrame, sets, vocabulary: list[str], threshold: float) -
     """(row, found, containment) of the documents with a matching block."""
     spark = told.sparkSession
     # a block begins with a token of a template of its width
-    opening = {width: _strings(sorted({t for _, _, ts, n in sets if n == width for t in ts})) for *_, width in sets}
+    opening = {width: _strings(sorted({t for _, _, ts, n, _ in sets if n == width for t in ts})) for _, _, _, width, _ in sets}
     pieces = told.select("row", F.explode("pieces").alias("p")).select("row", "p.x", F.explode("p.widths").alias("width"))
     opens = F.coalesce(*[F.when(F.col("width") == width, ts) for width, ts in opening.items()])
     starts = let(opens, lambda ts: F.filter(F.sequence(F.lit(1), F.least(F.size("x"), F.lit(PIECE_WORDS))), lambda i: F.array_contains(ts, F.get("x", i - 1))))
     windows = pieces.select("row", "width", F.explode(F.transform(starts, lambda i: F.slice("x", i, F.col("width")))).alias("x"))
-    blocks = windows.select("row", "width", F.array_intersect("x", _strings(vocabulary)).alias("b"))
+    blocks = windows.select("row", "width", _spaced(F.col("x")).alias("x"), F.array_intersect("x", _strings(vocabulary)).alias("b"))
     seen = dict(map(tuple, blocks.select(F.explode("b").alias("t")).groupBy("t").count().collect()))  # at most the vocabulary
     order = sorted(vocabulary, key=lambda t: (seen.get(t, 0), t))
     rank = {t: i for i, t in enumerate(order)}
     prefixes = []
-    for _, label, ts, width in sets:
+    for _, label, ts, width, name in sets:
         ts = sorted(ts, key=rank.__getitem__)
         alpha = _alpha(threshold, ts)
         prefix = ts[: len(ts) - alpha + 1]
-        prefixes += [(t, width, i, label, ts, prefix, alpha) for i, t in enumerate(prefix)]
-    heads = _rows(spark, prefixes, ["t", "width", "i", "label", "ts", "prefix", "alpha"])
-    least = min(p[-1] for p in prefixes)
-    by_rank = blocks.where(F.size("b") >= least).select("row", "width", F.array_intersect(_strings(order), "b").alias("s"))
-    probe = by_rank.select("row", "width", "s", F.explode(F.array_intersect("s", _strings(sorted({p[0] for p in prefixes})))).alias("t"))
+        prefixes += [(t, width, i, label, ts, prefix, alpha, name) for i, t in enumerate(prefix)]
+    heads = _rows(spark, prefixes, ["t", "width", "i", "label", "ts", "prefix", "alpha", "name"])
+    least = min(p[-2] for p in prefixes)
+    by_rank = blocks.where(F.size("b") >= least).select("row", "width", "x", F.array_intersect(_strings(order), "b").alias("s"))
+    probe = by_rank.select("row", "width", "x", "s", F.explode(F.array_intersect("s", _strings(sorted({p[0] for p in prefixes})))).alias("t"))
     left_t = F.size("ts") - F.col("i")
     left_s = F.size("s") - F.array_position("s", F.col("t")) + 1
     pairs = (
         probe.join(F.broadcast(heads), ["t", "width"])  # the templates' prefixes
         .where(F.size("s") >= F.col("alpha"))
         .where(F.least(left_t, left_s) >= F.col("alpha"))
+        .where(F.expr("x rlike name"))
         .where(F.array_intersect("prefix", "s")[0] == F.col("t"))  # once for each block and template
         .select("row", "label", "alpha", F.size(F.array_intersect("ts", "s")).alias("both"), F.size("ts").alias("n"))
         .where("both >= alpha")

@@ -230,6 +230,30 @@ def test_licenses_not_in_scattered_words(spark):
     assert {r["doc_id"]: r["found"] for r in got.collect()} == {1: [], 2: [], 3: ["bsd"]}
 
 
+OTHERS = [
+    "Released under the BSD License.",
+    "Licensed under the Mozilla Public License, Version 2.0",
+    "Licensed under the Apache License, Version 1.1",
+    "This work is licensed under the GNU General Public License, version 2",
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License\n"
+    "as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License\n"
+    "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "This work is licensed under a Creative Commons Attribution 3.0 International License.",
+    "Licensed under CC BY 4.0",
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license",
+    "This was released under pressure of the press, with no license",
+]
+
+
+def test_other_licenses_have_no_label(spark):
+    """The words that name a license or its version must be there."""
+    rows = list(enumerate(OTHERS)) + [(100, "Released under an MIT License"), (101, "This work is licensed under the GNU General Public License v3")]
+    got = {r["doc_id"]: r["found"] for r in license_scan.scan_licenses(documents(spark, rows)).collect()}
+    assert got == {**{i: [] for i in range(len(OTHERS))}, 100: ["mit-notice"], 101: ["gpl-3.0"]}
+
+
 def test_no_templates(spark):
     got = license_scan.summary(license_scan.scan_licenses(documents(spark), templates=()))
     assert {r["labels"] for r in got.collect()} == {r["base_labels"] for r in got.collect()}
