@@ -36,8 +36,7 @@ from ..operators.projection import conform, schema_for
 from ..operators.sizing import delete_on_exit, materialize, take_at_most
 from ..session import ensure_checkpoint_dir
 from ..sources.csv_sink import write_csv
-from ..sources.sheet import grid_to_cells, read_sheet_grid, sheet_shape
-from .derived import SEGMENT_SHEET_CELLS_SQL, write_segment_sheets
+from .derived import SEGMENT_SHEET_CELLS_SQL, segment_cells, segment_shape
 from .extract import batch_header, extract_rows, plan_sheets
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -711,21 +710,11 @@ params AS (SELECT sheet, c, {cid} AS id, {ps} AS "start", {pe} AS "end", start_r
 )
 
 
-def _segment_grid(spark, sf):
-    """The derived sheets, read from their CSV files and named by segment."""
-    grid = read_sheet_grid(spark, write_segment_sheets(spark, sf))
-    return grid.withColumn("sheet", F.regexp_extract("sheet", "/sheet=([^/]+)/", 1))
-
-
-def _segment_cells(spark, sf):
-    return grid_to_cells(_segment_grid(spark, sf))
-
-
 def _segment_plan(spark, sf):
     """Stored cells and marker rows of the derived sheets; the marker table
     (one row per sheet) becomes a local table behind a counted bound, else it
     is written once and joined without a broadcast."""
-    cells = materialize(_segment_cells(spark, sf))
+    cells = materialize(segment_cells(spark, sf))
     mk = marker_table(cells)
     rows = take_at_most(mk, ORDERS_CFG.broadcast_max_sheets)
     if rows is None:
@@ -734,29 +723,28 @@ def _segment_plan(spark, sf):
 
 
 def q_sheet_cells(spark, sf):
-    return _segment_cells(spark, sf)
+    return segment_cells(spark, sf)
 
 
 SQL_SHEET_CELLS = "WITH " + SEGMENT_SHEET_CELLS_SQL + " SELECT sheet, r, c, v FROM cells"
 
 
 def q_sheet_shape(spark, sf):
-    grid = _segment_grid(spark, sf)
-    return sheet_shape(grid_to_cells(grid), grid)
+    return segment_shape(spark, sf)
 
 
 SQL_SHEET_SHAPE = "WITH " + SEGMENT_SHEET_CELLS_SQL + " SELECT sheet, max(r) + 1 AS n_rows, max(c) + 1 AS n_cols FROM cells GROUP BY sheet"
 
 
 def q_marker_scan(spark, sf):
-    return marker_scan(_segment_cells(spark, sf))
+    return marker_scan(segment_cells(spark, sf))
 
 
 SQL_MARKER_SCAN = "WITH " + _MARKERS_SQL + " SELECT sheet, c FROM cand"
 
 
 def q_marker_find(spark, sf):
-    return find_markers(_segment_cells(spark, sf))
+    return find_markers(segment_cells(spark, sf))
 
 
 SQL_MARKER_FIND = "WITH " + _MARKERS_SQL + " SELECT sheet, role, r, c FROM markers"
@@ -808,7 +796,7 @@ SELECT p.sheet, mk.end_r AS r, p.c, p.end_raw AS v FROM params p JOIN mk USING (
 def q_sheet_extract(spark, sf):
     """Many sheets in one job: every segment sheet's sets against orders,
     per-sheet de-dup, result keyed by sheet."""
-    mk, names, params, errs = plan_sheets(_segment_cells(spark, sf), ORDERS_CFG)
+    mk, names, params, errs = plan_sheets(segment_cells(spark, sf), ORDERS_CFG)
     return extract_rows(_t(spark, sf, "orders"), params, ORDERS_CFG, batch_header(names), by=["sheet"])
 
 

@@ -6,20 +6,24 @@ parameter set (sheet column) per customer. The fixed part of each sheet is
 a title, the label column and a header row; the variable part spells each
 customer's id and bounds in the different ways a hand-filled sheet does
 (quoted ids, unpadded dates, ``UTC`` / ``Z`` decorations, unreadable text,
-blank cells). Everything is per-row Spark expressions plus one explode per
-sheet. ``write_segment_sheets`` writes them as real CSV files, which the
-queries read like any sheet.
+blank cells). A sheet is as wide as its segment has customers, so it is
+written as pages: CSV files of up to ``PAGE_COLUMNS`` of its columns each,
+which the queries read like any sheet and put side by side again as cells.
+The number of files and groups grows with the table, no line, group or reader
+schema does. Customers are numbered by a distributed sort.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sizing import delete_on_exit
+from ..operators.ordering import with_position
+from ..operators.sizing import broadcast_if_small, delete_on_exit
 from ..session import ensure_checkpoint_dir
+from ..sources import grid_to_cells, read_sheet_grid, sheet_shape
 
 # --- Fixed values -----------------------------------------------------------
 # Layout of every derived sheet (row, column, text). Column 1 holds the labels;
@@ -44,6 +48,10 @@ SHEET_FIXED_CELLS = (
 )
 SET_COLUMN_OFFSET = 1  # a segment's first customer stands in column 2
 N_ROWS = 8
+# Columns of a page; the fixed cells stand on the first.
+PAGE_COLUMNS = 1000
+# Segments whose first positions may be broadcast.
+MAX_BROADCAST_SEGMENTS = 100_000
 ROW_START, ROW_END, ROW_NOTE, ROW_ID, ROW_DECOY = 3, 4, 5, 6, 7
 # ---------------------------------------------------------------------------
 
@@ -73,10 +81,11 @@ def customer_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.pmod(k, F.lit(3)) == 0, F.concat(F.lit("12/31/"), year_next))
         .when(F.pmod(k, F.lit(3)) == 1, F.concat(year_next, F.lit("-06-30T12:00:00Z")))
     )
-    nth = F.row_number().over(Window.partitionBy("c_mktsegment").orderBy("c_custkey"))
-    return cust.select(
+    placed = with_position(cust, [F.col("c_mktsegment"), F.col("c_custkey")], "pos")
+    first, _ = broadcast_if_small(placed.groupBy(F.col("c_mktsegment").alias("segment")).agg(F.min("pos").alias("first")), MAX_BROADCAST_SEGMENTS)
+    return placed.join(first, F.col("c_mktsegment").eqNullSafe(F.col("segment"))).select(
         F.col("c_mktsegment").alias("sheet"),
-        nth.alias("nth"),
+        (F.col("pos") - F.col("first") + 1).alias("nth"),
         start_text.alias("start"),
         end_text.alias("end"),
         F.concat(F.lit("n"), ks).alias("note"),
@@ -92,28 +101,59 @@ def _sheet_text(v):
     return F.when(v.rlike('[",]'), F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('\\"')), F.lit('"'))).otherwise(v)
 
 
-def write_segment_sheets(spark: SparkSession, sf_dir: str) -> str:
-    """The derived sheets as CSV files ``sheet=<segment>/part-*`` in the
-    shared checkpoint folder; returns that folder. A sheet's row is one line,
-    so a segment's cells meet in one group."""
+def write_segment_sheets(spark: SparkSession, sf_dir: str, page_columns: int = PAGE_COLUMNS) -> str:
+    """The derived sheets as CSV files ``sheet=<segment>/page=<n>/part-*`` in
+    the shared checkpoint folder; returns that folder. A page's row is one
+    line, so a page's cells meet in one group."""
+    if page_columns <= max(c for _, c, _ in SHEET_FIXED_CELLS):
+        raise ValueError("the fixed cells need a wider page")
     rows = {r: [""] * (max([c for r2, c, _ in SHEET_FIXED_CELLS if r2 == r], default=1) + 1) for r in range(N_ROWS)}
     for r, c, v in SHEET_FIXED_CELLS:
         rows[r][c] = v
     filled = {ROW_START: "start", ROW_END: "end", ROW_NOTE: "note", ROW_ID: "id", ROW_DECOY: "decoy"}
     texts = F.struct("nth", *[_sheet_text(F.col(c)).alias(c) for c in filled.values()])
-    sheets = customer_texts(spark, sf_dir).groupBy("sheet").agg(F.sort_array(F.collect_list(texts)).alias("x"))
+    page = F.floor((F.col("nth") + SET_COLUMN_OFFSET) / page_columns).alias("page")
+    pages = customer_texts(spark, sf_dir).groupBy("sheet", page).agg(F.sort_array(F.collect_list(texts)).alias("x"))
+    # every sheet has its first page, with the labels, as its first customer stands there
 
     def line(r: int):
-        fixed = F.lit(",".join(rows[r]))
-        return F.concat(fixed, F.lit(","), F.array_join(F.col("x")[filled[r]], ",")) if r in filled else fixed
-
-    lines = sheets.select("sheet", F.posexplode(F.array(*map(line, range(N_ROWS)))).alias("r", "line"))
+        first = F.col("page") == 0
+        if r not in filled:
+            # the reader leaves out empty lines
+            return F.when(first, F.lit(",".join(rows[r]))).otherwise(F.lit(","))
+        cells = F.array_join(F.col("x")[filled[r]], ",")
+        return F.when(first, F.concat(F.lit(",".join(rows[r]) + ","), cells)).otherwise(F.concat(cells, F.when(F.size("x") == 1, F.lit(",")).otherwise(F.lit(""))))
+
+    lines = pages.select("sheet", "page", F.posexplode(F.array(*map(line, range(N_ROWS)))).alias("r", "line"))
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sheets-{uuid.uuid4().hex}"
-    lines.sortWithinPartitions("sheet", "r").select("sheet", "line").write.partitionBy("sheet").text(path)
+    lines.sortWithinPartitions("sheet", "page", "r").select("sheet", "page", "line").write.partitionBy("sheet", "page").text(path)
     delete_on_exit(spark, path)
     return path
 
 
+def _segment():
+    return F.regexp_extract("sheet", "/sheet=([^/]+)/", 1).alias("sheet")
+
+
+def _left_of(page_columns: int):
+    """Columns of the sheet left of a page's."""
+    return F.regexp_extract("sheet", "/page=([0-9]+)/", 1).cast("int") * page_columns
+
+
+def segment_cells(spark: SparkSession, sf_dir: str, page_columns: int = PAGE_COLUMNS) -> DataFrame:
+    """(sheet, r, c, v) of the derived sheets, read from their pages."""
+    cells = grid_to_cells(read_sheet_grid(spark, write_segment_sheets(spark, sf_dir, page_columns)))
+    return cells.select(_segment(), "r", (F.col("c") + _left_of(page_columns)).alias("c"), "v")
+
+
+def segment_shape(spark: SparkSession, sf_dir: str, page_columns: int = PAGE_COLUMNS) -> DataFrame:
+    """(sheet, n_rows, n_cols) of the derived sheets, from their pages'."""
+    grid = read_sheet_grid(spark, write_segment_sheets(spark, sf_dir, page_columns))
+    pages = sheet_shape(grid_to_cells(grid), grid)
+    width = F.when(F.col("n_cols") > 0, F.col("n_cols") + _left_of(page_columns)).otherwise(0)
+    return pages.select(_segment(), "n_rows", width.alias("n_cols")).groupBy("sheet").agg(F.max("n_rows").alias("n_rows"), F.max("n_cols").alias("n_cols"))
+
+
 # The cells of the derived sheets in DuckDB, used by the oracle queries.
 SEGMENT_SHEET_CELLS_SQL = """
 fixed(r, c, v) AS (VALUES {fixed_values}),

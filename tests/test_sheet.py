@@ -3,13 +3,18 @@
 import datetime as dt
 import os
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from gridpull.config import ExtractConfig
 from gridpull.operators import find_markers, header_names, marker_scan, marker_table, param_errors, param_sets
+from gridpull.plans.derived import SEGMENT_SHEET_CELLS_SQL, segment_cells, segment_shape, write_segment_sheets
 from gridpull.plans.extract import SheetError, plan_sheet, run
 from gridpull.sources import read_sheet_cells, read_sheet_grid, sheet_shape
+from gridpull.sources.sheet import sheet_width
+
+from conftest import SF001
 
 HERE = os.path.dirname(os.path.abspath(__file__))
 S1 = os.path.join(HERE, "fixtures", "sheets", "s1.csv")
@@ -163,3 +168,20 @@ def test_header_without_keys_and_duplicate_sets(spark, scratch):
         p = plan_sheet(read_sheet_cells(spark, path), cfg)
         res.append([r.id for r in extract_rows(_fact(spark), p.params, cfg, p.header).collect()])
     assert res[0] == res[1] == [4]
+
+
+def test_derived_sheets_have_pages_of_bounded_width(spark):
+    """No file is wider than a page, however many customers a segment has."""
+    path = write_segment_sheets(spark, "/root/testdata/sf0.1")
+    assert sheet_width(spark, [path]) <= 1000
+    assert read_sheet_grid(spark, path).select("sheet").distinct().count() == 18
+
+
+@pytest.mark.parametrize("width", [10, 11, 17, 32])
+def test_derived_sheets_do_not_depend_on_the_page_width(spark, width):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW customer AS SELECT * FROM '{SF001}/customer.parquet'")
+    got = segment_cells(spark, SF001, width).select("sheet", "r", "c", "v").collect()
+    assert sorted(map(tuple, got)) == sorted(con.execute(f"WITH {SEGMENT_SHEET_CELLS_SQL} SELECT sheet, r, c, v FROM cells").fetchall())
+    shape = segment_shape(spark, SF001, width).select("sheet", "n_rows", "n_cols").collect()
+    assert sorted(map(tuple, shape)) == sorted(con.execute(f"WITH {SEGMENT_SHEET_CELLS_SQL} SELECT sheet, max(r) + 1, max(c) + 1 FROM cells GROUP BY sheet").fetchall())
