@@ -10,7 +10,8 @@
    globally rarest first (prefix filter). Values of one class need no list:
    most sets, and sets that share only a passage, drop out here.
 3. Each set in a list carries how many of its members another listed set
-   has, and an odd sketch: ``ODD_BITS`` parity bits of its members. Both bound
+   has (a set that shares too little of its own with all others together
+   leaves the lists), and an odd sketch: ``ODD_BITS`` parity bits of its members. Both bound
    a pair exactly (``may_link``): it shares no more than the former, and
    differs in at least as many members as the parities differ in bits. So
    sets that all differ from one another by a little too much meet nowhere.
@@ -291,7 +292,8 @@ def near_duplicates(
     # s: how many members another listed set has; n: all of them
     facts = shared.join(sets.select("node", *ODD), "node")
     entries = entries.join(facts, "node").select("key", F.struct("node", "n", F.col("shared").alias("s"), *ODD).alias("x"))
-    entries = stored(entries, "entries")
+    # a member that shares less with all others together reaches it with none
+    entries = stored(entries.where(100 * F.col("x.s") >= percent * F.col("x.n")), "entries")
 
     def may_link(x, y):
         """Both hold at least 85/185 (for 85 %) of the two sizes together, and

@@ -309,3 +309,23 @@ def test_near_without_broadcasts(spark, monkeypatch):
     monkeypatch.setattr(common, "ROWS_A_PART", 1)
     got = rows_of(minhash.near_duplicates(documents(spark)).select("doc_id", "n_shingles", "component_id", "kept"))
     assert got == sorted(brute.near(odd_rows()), key=str)
+
+
+def test_sets_that_can_link_with_nothing_leave_the_lists(spark, monkeypatch):
+    """Texts that share 70 % of their words and reach 0.85 with none: no pair
+    of theirs is even compared; near copies in the same lists are found."""
+    kept, stored = {}, minhash.stored
+
+    def watch(df, name, *a):
+        out = stored(df, name, *a)
+        kept.setdefault(name, out)
+        return out
+
+    monkeypatch.setattr(minhash, "stored", watch)
+    common = " ".join(f"c{i}" for i in range(700))
+    text = lambda k: common + " " + " ".join(f"own{k}x{i}" for i in range(300))
+    rows = [(k, text(k)) for k in range(20)] + [(100, text(100)), (101, text(100).replace("own100x7 ", "y "))]
+    got = rows_of(minhash.near_duplicates(documents(spark, rows)).select("doc_id", "n_shingles", "component_id", "kept"))
+    assert got == sorted(brute.near(rows), key=str)
+    assert kept["shared-lists"].agg(F.max("size")).first()[0] > 2
+    assert kept["entries"].select("x.node").distinct().count() == 2
