@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import queries_more
 from .bpe import BpeModel, bpe_digests
 from .common import read_table, sha256_hex
 from .decontam import contamination, digests
@@ -142,8 +143,10 @@ QUERIES = {
     "op8_bpe": q_bpe,
     "op9_minhash": q_minhash,
     "op10_license_scan": q_license_scan,
+    **queries_more.QUERIES,
 }
 SQL: dict[str, str] = {
     "op2_decontamination": SQL_DECONTAMINATION,
     "op6_url_filters": SQL_URL_FILTERS,
+    **queries_more.SQL,
 }
