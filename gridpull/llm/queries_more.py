@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .prefix_trie import conversation_trie
+from .suffix_dedup import remove_repeats
 from .whitening import whiten
 
 
@@ -55,12 +56,25 @@ FROM full_node f JOIN sub USING (d, key) LEFT JOIN node p ON f.d > 0 AND p.d = f
 """
 
 
+def q_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every copy of a string of 200 bytes that starts twice goes."""
+    got = remove_repeats(read_table(spark, sf, "documents"), ["doc_id"], min_bytes=200, keep="none")
+    return got.select(
+        "row.doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def q_whitening(spark: SparkSession, sf: str) -> DataFrame:
     return whiten(read_table(spark, sf, "embeddings"), scale=256.0, components=4)
 
 
 QUERIES = {
     "op11_prefix_trie": q_prefix_trie,
+    "op12_suffix_dedup": q_suffix_dedup,
     "op13_whitening": q_whitening,
 }
 SQL: dict[str, str] = {"op11_prefix_trie": SQL_PREFIX_TRIE}
