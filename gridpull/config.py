@@ -16,6 +16,7 @@ DEFAULT_HEADER_LABEL = "Header"
 DEFAULT_START_LABEL = "StartDate"
 DEFAULT_END_LABEL = "EndDate"
 DEFAULT_ID_LABEL = "Voyage ID"
+DEFAULT_FILTER_LABEL = "Filter"
 DEFAULT_ANCHOR_LABELS = ("Header", "StartDate")
 DEFAULT_ID_COL = "voyage_id"
 DEFAULT_DATE_COL = "voyage_date_voyagestart"
@@ -54,6 +55,8 @@ class Labels:
     start: str = DEFAULT_START_LABEL
     end: str = DEFAULT_END_LABEL
     id: str = DEFAULT_ID_LABEL
+    # Rows with this label hold filter conditions (any number of rows).
+    filter: str = DEFAULT_FILTER_LABEL
     # Labels whose columns become the candidate label columns.
     anchors: tuple[str, ...] = DEFAULT_ANCHOR_LABELS
 

@@ -31,8 +31,9 @@ def marker_scan(cells: DataFrame, labels: Labels = Labels()) -> DataFrame:
 def marker_table(cells: DataFrame, labels: Labels = Labels()) -> DataFrame:
     """One row per sheet: header_r, header_c, start_r, start_c, end_r, end_c,
     id_r, id_c – the first cell (row-major) of each label inside the
-    candidate label columns, NULL when a label is absent – and whether any
-    cell is non-ASCII (only then does text need the NFKC step).
+    candidate label columns, NULL when a label is absent – whether any cell is
+    non-ASCII (only then does text need the NFKC step), and whether any reads
+    like the filter rows' label.
 
     One scan of the cells, folded per (sheet, column) and then per sheet: two
     partial aggregates. A sheet without any label still gets its row.
@@ -43,15 +44,18 @@ def marker_table(cells: DataFrame, labels: Labels = Labels()) -> DataFrame:
     per_col = keyed.groupBy("sheet", "c").agg(
         F.max(n.isin(label_keys(labels.anchors))).alias("_anchor"),
         F.max("_wide").alias("_wide"),
+        F.max(n.isin(label_keys((labels.filter,)))).alias("_filter"),
         *[F.min(F.when(n == key, rc)).alias(role) for role, key in zip(labels.as_dict(), label_keys(labels.as_dict().values()))],
     )
     per_sheet = per_col.groupBy("sheet").agg(
-        F.max("_wide").alias("non_ascii"), *[F.min(F.when(F.col("_anchor"), F.col(role))).alias(role) for role in ROLES]
+        F.max("_wide").alias("non_ascii"),
+        F.max("_filter").alias("has_filter"),
+        *[F.min(F.when(F.col("_anchor"), F.col(role))).alias(role) for role in ROLES],
     )
     cols = []
     for role in ROLES:
         cols += [F.col(f"{role}.r").alias(f"{role}_r"), F.col(f"{role}.c").alias(f"{role}_c")]
-    return per_sheet.select("sheet", *cols, "non_ascii")
+    return per_sheet.select("sheet", *cols, "non_ascii", F.coalesce("has_filter", F.lit(False)).alias("has_filter"))
 
 
 def find_markers(cells: DataFrame, labels: Labels = Labels()) -> DataFrame:

@@ -131,6 +131,54 @@ def write_segment_sheets(spark: SparkSession, sf_dir: str, page_columns: int = P
     return path
 
 
+# --- Fixed values -----------------------------------------------------------
+# Sheets with filter rows: a customer block each, by the block's number modulo
+# four. The columns are those of the header row.
+BLOCK_CUSTOMERS = 250
+BLOCK_HEADER = ("O-OrderDate", "O_CustKey", "O OrderStatus", "o_orderpriority", "O OrderKey")
+BLOCK_START = "1996-01-01"  # of every third customer
+BLOCK_FILTERS = {
+    1: (("", "", "F", "", ""),),
+    # the second row asks for the block's first customer
+    2: (("", "", "O", "1-%", ""), ("", "{first}", "", "", "")),
+    3: (("", "", "", "%LOW%", ""), ("", "", "P", "", "%3"), ("NULL", "", "  ", "", "")),
+}
+# ---------------------------------------------------------------------------
+
+
+def write_block_sheets(spark: SparkSession, sf_dir: str) -> str:
+    """Sheets ``sheet=<block>/part-*`` of ``BLOCK_CUSTOMERS`` customers each,
+    with filter rows; the number of sheets grows with the table, no sheet
+    does."""
+    cust = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey")
+    k = F.col("c_custkey")
+    block = F.floor(k / BLOCK_CUSTOMERS).cast("long").alias("sheet")
+    start = F.when(k % 3 == 0, BLOCK_START).otherwise("")
+    cells = cust.groupBy(block).agg(F.sort_array(F.collect_list(F.struct(k.alias("k"), start.alias("s")))).alias("x"))  # a block's
+    first = F.col("x")[0]["k"].cast("string")
+
+    def filters(rows):
+        return F.array(*[F.replace(F.lit(",Filter," + ",".join(r)), F.lit("{first}"), first) for r in rows])
+
+    chosen = F.array().cast("array<string>")
+    for n, rows in BLOCK_FILTERS.items():
+        chosen = F.when(F.col("sheet") % len(BLOCK_FILTERS | {0: ()}) == n, filters(rows)).otherwise(chosen)
+    lines = F.concat(
+        F.array(
+            F.lit("Block sheet"),
+            F.lit(",Header," + ",".join(BLOCK_HEADER)),
+            F.concat(F.lit(",StartDate,"), F.array_join(F.col("x")["s"], ",")),
+            F.concat(F.lit(",Voyage ID,"), F.array_join(F.transform(F.col("x")["k"], lambda v: v.cast("string")), ",")),
+        ),
+        chosen,
+    )
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sheets-{uuid.uuid4().hex}"
+    out = cells.select("sheet", F.posexplode(lines).alias("r", "line")).sortWithinPartitions("sheet", "r")
+    out.select("sheet", "line").write.partitionBy("sheet").text(path)
+    delete_on_exit(spark, path)
+    return path
+
+
 def _segment():
     return F.regexp_extract("sheet", "/sheet=([^/]+)/", 1).alias("sheet")
 

@@ -21,8 +21,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ExtractConfig
+from ..config import ExtractConfig, Labels
 from ..operators.dedup import dedup_first, orderable_columns
+from ..operators.filters import filter_atoms, filter_columns, filter_errors, filter_groups, filter_index, filter_rows
 from ..operators.joins import param_match, set_counts
 from ..operators.markers import header_names, lacks, marker_errors, marker_table, no_names
 from ..operators.ordering import result_order, sort_result
@@ -47,6 +48,12 @@ class SheetPlan:
     header: list[str]
     params: DataFrame
     ascii_only: bool = False
+    labels: Labels = field(default_factory=Labels)
+
+    @property
+    def filters(self) -> DataFrame:
+        """(sheet, g, name, op, value): conditions of the sheet's filter rows."""
+        return filter_atoms(self.cells, self.markers, self.labels, True, self.ascii_only)
 
     @property
     def errors(self) -> DataFrame:
@@ -110,7 +117,7 @@ def plan_sheet(cells: DataFrame, cfg: ExtractConfig) -> SheetPlan:
     if not header:
         raise SheetError(no_names(cfg.labels.header))
     params = param_sets(cells, mk, ascii_only, broadcast_mk=True)
-    plan = SheetPlan(cells, mk, header, params, ascii_only)
+    plan = SheetPlan(cells, mk, header, params, ascii_only, cfg.labels)
     if cfg.on_bad_bound == "error":
         bad = plan.errors.agg(F.count("*").alias("n"), F.min(F.struct("r", "c", "v")).alias("first")).first()
         if bad["n"]:
@@ -134,17 +141,27 @@ def match_dedup(
     by: Sequence[str] = (),
     strategy: str = "auto",
     where: Groups = (),
+    filters: DataFrame | None = None,
 ) -> DataFrame:
     """Semi join -> de-dup: one row per (by, id, date), unordered, with the
     header columns the table has plus the keys. ``where`` are filter groups
-    (ANDed inside, ORed together) that fact rows must meet as well."""
+    (ANDed inside, ORed together) that fact rows must meet as well; so are
+    ``filters``, each sheet's own conditions (``filter_atoms``)."""
     cfg = cfg.resolved(fact.columns)
     if where:
         fact = fact.where(or_groups(where, df=fact))
     wanted = select_list(header, cfg.id_col, cfg.date_col) + list(cfg.tie_break)
     pruned = read_columns(fact, wanted)
-    matched = param_match(pruned, params, cfg, by=by, strategy=strategy)
     keys = [*by, cfg.id_col, cfg.date_col]
+    if filters is None:
+        matched = param_match(pruned, params, cfg, by=by, strategy=strategy)
+    else:
+        asked = filter_columns(filters, fact)
+        matched = param_match(read_columns(fact, [*wanted, *asked]), params, cfg, by=by, strategy=strategy)
+        if "sheet" not in by:  # one sheet: its name is its conditions'
+            matched = matched.withColumn("sheet", F.lit(filters.select("sheet").first()[0]))
+        matched = filter_rows(matched, filter_index(filters, fact, asked), asked, cfg.broadcast_max_sheets)
+        matched = matched.select(*by, *pruned.columns)
     return dedup_first(matched, keys, survivor_order(pruned, cfg, keys))
 
 
@@ -165,10 +182,11 @@ def extract_rows(
     by: Sequence[str] = (),
     strategy: str = "auto",
     where: Groups = (),
+    filters: DataFrame | None = None,
 ) -> DataFrame:
     """Semi join -> dedup -> sort -> project for already-built sets."""
     cfg = cfg.resolved(fact.columns)
-    return order_project(match_dedup(fact, params, cfg, header, by, strategy, where), cfg, header, by)
+    return order_project(match_dedup(fact, params, cfg, header, by, strategy, where, filters), cfg, header, by)
 
 
 def run(
@@ -183,7 +201,8 @@ def run(
 ) -> ExtractRun:
     """Read one parameter sheet, answer its sets against ``fact`` and (when
     ``out_path`` is given) write the CSV result: one file of that name, or a
-    folder of parts for results too large for one writer.
+    folder of parts for results too large for one writer. The sheet's own
+    filter rows and ``where`` both hold.
 
     The rows are counted while they are written. ``count_fetched`` adds the
     number of rows all sets fetch before de-duplication (one extra pass over
@@ -193,22 +212,42 @@ def run(
         cfg = cfg.resolved(fact.columns)
         plan = plan_sheet(read_sheet_cells(spark, sheet_path), cfg)
         metrics = {}
+        fact, filters = sheet_filters(plan, fact)
         if count_fetched:
             asked = fact.where(or_groups(where, df=fact)) if where else fact
+            if filters is not None:
+                named = asked.withColumn("sheet", F.lit(filters.select("sheet").first()[0]))
+                columns = filter_columns(filters, fact)
+                asked = filter_rows(named, filter_index(filters, fact, columns), columns, cfg.broadcast_max_sheets)
             metrics["fetched_rows"] = set_counts(asked, plan.params, cfg).agg(F.sum("n_rows")).first()[0] or 0
         obs = Observation("extract")
-        result = extract_rows(fact, plan.params, cfg, plan.header, where=where).observe(obs, F.count(F.lit(1)).alias("rows"))
+        result = extract_rows(fact, plan.params, cfg, plan.header, where=where, filters=filters).observe(obs, F.count(F.lit(1)).alias("rows"))
         if out_path is not None:
             write_csv(result, out_path, single_file=single_file)
             metrics["rows"] = obs.get["rows"]
     return ExtractRun(plan, result, obs, out_path, metrics, tables)
 
 
-def plan_sheets(cells: DataFrame, cfg: ExtractConfig) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def sheet_filters(plan: SheetPlan, fact: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``fact`` under the conditions of one sheet's filter rows, which are
+    literals that reach the scan; with very many, ``fact`` and the conditions."""
+    if not plan.markers.first()["has_filter"]:
+        return fact, None
+    atoms = materialize(plan.filters)
+    bad = filter_errors(atoms, fact).first()
+    if bad is not None:
+        raise SheetError(bad["error"])
+    groups = filter_groups(atoms)
+    if groups is None:
+        return fact, atoms
+    return (fact.where(or_groups(groups, df=fact)) if groups else fact), None
+
+
+def plan_sheets(cells: DataFrame, cfg: ExtractConfig, cells_stored: bool = False) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Batch form for many sheets in one job: (marker rows, header names,
     params, sheet errors), all distributed and keyed by ``sheet``. Sheets with
     an error are in none of the others. The cells are stored once."""
-    cells = materialize(cells)
+    cells = cells if cells_stored else materialize(cells)
     mk = marker_table(cells, cfg.labels)
     # One row per sheet. Up to broadcast_max_sheets of them are fetched in one
     # job and become a local table (broadcast for free); more stay a written
@@ -233,6 +272,14 @@ def plan_sheets(cells: DataFrame, cfg: ExtractConfig) -> tuple[DataFrame, DataFr
     return ok, names.join(errs, "sheet", "left_anti"), params, errs
 
 
+def batch_filters(cells: DataFrame, ok: DataFrame, cfg: ExtractConfig) -> DataFrame | None:
+    """The conditions of all sheets' filter rows, or None if there are none."""
+    if ok.where("has_filter").isEmpty():
+        return None
+    atoms = materialize(filter_atoms(cells, ok, cfg.labels))
+    return None if atoms.isEmpty() else atoms
+
+
 def batch_header(names: DataFrame) -> list[str]:
     """All sheets' header names, ordered by first column position: the
     columns of one frame for all sheets."""
@@ -256,13 +303,19 @@ def run_batch(
     large one continues in further parts, by name order."""
     with table_scope() as tables:
         cfg = cfg.resolved(fact.columns)
-        ok, names, params, errs = plan_sheets(read_sheet_cells(spark, sheet_paths), cfg)
+        cells = materialize(read_sheet_cells(spark, sheet_paths))
+        ok, names, params, errs = plan_sheets(cells, cfg, cells_stored=True)
+        filters = batch_filters(cells, ok, cfg)
+        if filters is not None:
+            bad = materialize(filter_errors(filters, fact))
+            errs = errs.unionByName(bad)
+            names, params, filters = (x.join(bad, "sheet", "left_anti") for x in (names, params, filters))
         headers = names.groupBy("sheet").agg(F.transform(F.sort_array(F.collect_list(F.struct("c", "name"))), lambda x: x["name"]).alias("names"))
         # fact columns that some sheet asks for: at most the table's
         lower = [c.lower() for c in fact.columns]
         asked = {r[0] for r in names.select(F.lower("name").alias("n")).where(F.col("n").isin(lower)).distinct().collect()}
         columns = [c for c in fact.columns if c.lower() in asked]
-        deduped = match_dedup(fact, params, cfg, columns, by=["sheet"], where=where)
+        deduped = match_dedup(fact, params, cfg, columns, by=["sheet"], where=where, filters=filters)
         if out_path is not None:
             deduped = materialize(deduped)
             write_sheets(deduped, headers, cfg, out_path)
