@@ -52,8 +52,8 @@ from pyspark.sql import types as T
 from .common import broadcast_below, in_blocks, pick, stored
 
 GRAM = 64
-BLOCK_BYTES = 1 << 20
-PIECE_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 19
+PIECE_BYTES = 1 << 20
 PLACE_BITS = 24  # places in a block; the rest of a window's key is hash
 PENDING_ROWS = 1_000_000
 GROUP_FRAGMENTS = 4096
@@ -232,11 +232,11 @@ def _packed(texts: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         codec = pa.Codec("zstd", 1)
-        for b in batches:
+        for b in in_blocks(batches, 8 * BLOCK_BYTES):
             raw = [t.encode() for t in b.column("t").to_pylist()]
             cols = [b.column(c) for c in schema.names[:-2]]
             z = pa.array([codec.compress(x, asbytes=True) for x in raw], pa.binary())
-            yield pa.RecordBatch.from_arrays([*cols, z, pa.array([len(x) for x in raw], pa.int64())], schema.names)
+            yield from pa.Table.from_arrays([*cols, z, pa.array([len(x) for x in raw], pa.int64())], schema.names).to_batches()
 
     return texts.mapInArrow(run, schema)
 
@@ -355,7 +355,7 @@ def _cut_fragments(mixed: DataFrame, texts: DataFrame, min_bytes: int) -> DataFr
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for b in batches:
+        for b in in_blocks(batches, BLOCK_BYTES):
             rows, size = [], 0
             cols = [b.column(c).to_pylist() for c in ("d", "h", "x")]
             for d, h, x, raw in zip(*cols, _unpacked(b.column("z").to_pylist(), b.column("size").to_pylist())):
@@ -491,7 +491,7 @@ def remove_repeats(
         import pyarrow as pa
 
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        for b in batches:
+        for b in in_blocks(batches, 2 * BLOCK_BYTES):
             kept, gone = [], []
             size = b.column("size").to_pylist()
             for raw, own in zip(_unpacked(b.column("z").to_pylist(), size), b.column("spans").to_pylist()):
@@ -499,7 +499,7 @@ def remove_repeats(
                 edges = [0, *(p for r in runs for p in r), len(raw)]
                 kept.append(b"".join([raw[i:j] for i, j in zip(edges[::2], edges[1::2])]))
                 gone.append([{"start": s, "end": e} for s, e in runs])
-            cols = [b.column("row"), pa.array(kept, pa.binary()), b.column("size"), pa.array(gone, kind)]
+            cols = [b.column("row").combine_chunks(), pa.array(kept, pa.binary()), b.column("size"), pa.array(gone, kind)]
             table = pa.Table.from_arrays(cols, ["row", "kept", "n_bytes", "spans"])
             yield from table.to_batches(max_chunksize=2000)
 
