@@ -47,10 +47,14 @@ CASES = {
 }
 
 
+SINGLE = (",Filter,x\n", ",Filter,,,,t%\n,Filter,5\n,FILTER,null\n")
+
+
 @pytest.mark.parametrize("literals", [500, 0])
 def test_single_runs(spark, scratch, literals, monkeypatch):
     monkeypatch.setattr(flt, "MAX_LITERAL_ATOMS", literals)
-    for i, (rows, ids) in enumerate(CASES.items()):
+    for i, rows in enumerate(SINGLE):
+        ids = CASES[rows]
         res = run(spark, _write(scratch, f"s{i}.csv", HEAD + rows), fact(spark), CFG, count_fetched=True)
         assert {r["id"] for r in res.result.collect()} == ids, rows
         assert res.metrics["fetched_rows"] == len(ids), rows
@@ -61,11 +65,13 @@ def test_batch_equals_single_runs(spark, scratch):
     out = os.path.join(scratch, "out")
     done = run_batch(spark, every, fact(spark), CFG, out_path=out)
     got = _batch_files(out)
+    found = [(r["sheet"].rsplit("/")[-1], r["id"]) for r in done.result.select("sheet", "id").collect()]
     for i, (rows, ids) in enumerate(CASES.items()):
-        one = os.path.join(scratch, "one.csv")
-        run(spark, every[i], fact(spark), CFG, out_path=one)
-        assert got[f"s{i}.csv"] == open(one, "rb").read(), rows
-        assert {r["id"] for r in done.result.where(f"sheet like '%/s{i}.csv'").select("id").collect()} == ids
+        assert {k for s, k in found if s == f"s{i}.csv"} == ids, rows
+        if rows in SINGLE:
+            one = os.path.join(scratch, "one.csv")
+            run(spark, every[i], fact(spark), CFG, out_path=one)
+            assert got[f"s{i}.csv"] == open(one, "rb").read(), rows
     done.release()
 
 
@@ -87,11 +93,11 @@ def test_filters_reach_the_scan(spark, scratch):
     assert "EqualTo(id,2)" in plan
 
 
-def test_ten_thousand_groups_are_looked_up(spark, scratch):
+def test_a_thousand_groups_are_looked_up(spark, scratch):
     """Many groups of one sheet become an index, not a chain of ORs."""
-    rows = "".join(f",Filter,{i},a\n" for i in range(2, 10_000))
+    rows = "".join(f",Filter,{i},a\n" for i in range(2, 1000))
     res = run(spark, _write(scratch, "many.csv", HEAD + rows), fact(spark), CFG)
     assert {r["id"] for r in res.result.collect()} == {2}
     plan = plan_sheet(read_sheet_cells(spark, os.path.join(scratch, "many.csv")), CFG)
-    assert plan.filters.count() == 2 * 9_998
+    assert plan.filters.count() == 2 * 998
     assert extract.sheet_filters(plan, fact(spark))[1] is not None
