@@ -86,6 +86,8 @@ class ExtractConfig:
                         this many ids.
     window_merge_max_per_key  ranges of one key merged by a per-key window up
                         to this many (counted); beyond it the balanced merge.
+    probe_max_sets      broadcast sets of ids with more sets than this are
+                        probed by binary search.
     hot_id_sets         in the shuffled set join, ids with more merged ranges
                         than this are joined on (id, time bucket).
     hot_id_rows         so are ids with more fact rows than this.
@@ -105,6 +107,7 @@ class ExtractConfig:
     broadcast_max_sets: int = 200_000
     broadcast_max_ids: int = 1_000
     window_merge_max_per_key: int = 1_000_000
+    probe_max_sets: int = 16
     hot_id_sets: int = 64
     hot_id_rows: int = 5_000_000
     buckets_per_hot_id: int = 4096

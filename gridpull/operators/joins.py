@@ -21,7 +21,9 @@ Physical strategy, chosen behind counted bounds:
    checkpoint folder, broadcast and probed by a hash join on id with the
    range as residual (per-group sets are first merged into disjoint ranges,
    so the inner join is a per-group semi join); the fact side never
-   shuffles. A distinct-id envelope (``id IN …``, up to
+   shuffles. Ids with many sets become one row each, the sorted array of
+   their disjoint ranges, which a fact row probes by binary search
+   (``range_index``), so a hot id costs a row the logarithm of its sets. A distinct-id envelope (``id IN …``, up to
    ``broadcast_max_ids``) and the overall date envelope are added as scan
    filters;
 3. otherwise: a shuffled equi join on (id, time bucket) – see
@@ -40,10 +42,12 @@ from pyspark.sql import types as T
 
 from ..config import ExtractConfig
 from ..functions.dates import day_start
+from .ordering import fetch_order, with_position
 from .projection import column_type
 from .sizing import broadcast_if_small, materialize, take_at_most
 
 MAX_SUMMARY_ROWS = 100_000
+_FAR_PAST = "0001-01-01 00:00:00"
 _FAR_FUTURE = "9999-12-31 23:59:59.999999"
 
 
@@ -98,6 +102,25 @@ def merge_ranges(sets: DataFrame, keys: Sequence[str]) -> DataFrame:
     ).drop("_g")
 
 
+def range_index(merged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Disjoint ranges -> one row per key: (*keys, _starts, _ends, _all).
+    ``_starts`` ascends; open bounds are the far past and future; ``_all``
+    says that a range open on both sides takes rows without a date."""
+    lo, hi = (F.lit(t).cast("timestamp_ntz") for t in (_FAR_PAST, _FAR_FUTURE))
+    ranges = F.sort_array(F.collect_list(F.struct(F.coalesce("_ps", lo).alias("s"), F.coalesce("_pe", hi).alias("e"))))
+    x = merged.groupBy(*keys).agg(ranges.alias("x"), F.max(F.col("_ps").isNull() & F.col("_pe").isNull()).alias("_all"))
+    return x.select(*keys, F.col("x")["s"].alias("_starts"), F.col("x")["e"].alias("_ends"), "_all")
+
+
+def in_ranges(d: Column, starts: Column, ends: Column, any_date: Column, longest: int) -> Column:
+    """Whether ``d`` is in one of the disjoint ranges: a binary search for the
+    last start at or before it. ``longest`` bounds the arrays' length."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, longest.bit_length())))])
+    # ``get`` gives NULL beyond the end, which is no hit
+    last = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(starts, at + step - 1) <= d, at + step).otherwise(at))
+    return (d.isNull() & any_date) | F.coalesce(F.get(ends, last - 1) >= d, F.lit(False))
+
+
 def merge_ranges_balanced(sets: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
     """:func:`merge_ranges` for set tables where one key may hold a large
     share of all ranges.
@@ -271,15 +294,24 @@ def param_match(
 
     # a forced broadcast is still held to the counted bound
     small = strategy in ("auto", "broadcast") and stats["n"] <= cfg.broadcast_max_sets
+    keys = [*by, "_pid"]
+    per_key = raw.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     if not small:
         # Many sets: merge (a per-key window unless one key holds more than
         # window_merge_max_per_key ranges, then without gathering a key) and
         # join on (id, time bucket).
-        keys = [*by, "_pid"]
-        per_key = raw.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
         merge = merge_ranges if per_key <= cfg.window_merge_max_per_key else merge_ranges_balanced
         merged = materialize(merge(raw, keys))
         return bucketed_range_join(_asked_rows(fact, raw, stats, cfg), merged, cfg, by)
+    if per_key > cfg.probe_max_sets:
+        # One row per (group, id): the inner join keeps a fact row at most
+        # once per group, and it searches the id's ranges.
+        index = F.broadcast(materialize(range_index(merge_ranges(raw, keys), keys)))
+        f, s = _envelope(fact, raw, stats, cfg).alias("f"), index.alias("s")
+        d = F.col("f." + cfg.date_col)
+        d = d.try_cast("timestamp_ntz") if isinstance(column_type(fact, cfg.date_col), T.StringType) else d
+        cond = (F.col("f." + cfg.id_col) == F.col("s._pid")) & in_ranges(d, F.col("s._starts"), F.col("s._ends"), F.col("s._all"), per_key)
+        return f.join(s, cond, "inner").select(*[F.col("s." + b).alias(b) for b in by], *[F.col("f." + c).alias(c) for c in cond_cols])
     if by:
         # Per-group inner join: disjoint ranges per (group, id) make it a
         # per-group semi join. At most broadcast_max_sets ranges, so a
@@ -325,7 +357,7 @@ def time_key(c: Column, dtype: T.DataType) -> Column | None:
     return None
 
 
-def bucketed_range_join(fact: DataFrame, merged: DataFrame, cfg: ExtractConfig, by: Sequence[str] = ()) -> DataFrame:
+def bucketed_range_join(fact: DataFrame, merged: DataFrame, cfg: ExtractConfig, by: Sequence[str] = (), small: bool = False) -> DataFrame:
     """Shuffled set join that stays balanced when one id is hot.
 
     ``merged`` holds disjoint ranges per (by, id). Ids with more than
@@ -390,6 +422,8 @@ def bucketed_range_join(fact: DataFrame, merged: DataFrame, cfg: ExtractConfig,
         F.concat(lows, F.sequence(first, last), highs, nulls)
     )
     pk = m.join(hot_side, "_pid", "left").select(*by, "_pid", "_ps", "_pe", F.explode(keys).alias("_bk"))
+    if small:  # few sets with a hot id: broadcast by bucket while the buckets' rows are few
+        pk, _ = broadcast_if_small(materialize(pk), cfg.broadcast_max_sets)
 
     # Fact side: the one bucket of each row.
     h = hot_side.select(F.col("_pid").alias("_hid"), "_lo", "_hi", "_w", "_from_low", "_to_high", "_any")
@@ -441,6 +475,9 @@ def param_join(fact: DataFrame, params: DataFrame, cfg: ExtractConfig, set_key:
         stats = _set_stats(sets)
         # a forced broadcast is still held to the counted bound
         if (broadcast is None or broadcast) and stats["n"] <= cfg.broadcast_max_sets:
+            per_id = sets.groupBy("_pid").count().agg(F.max("count")).first()[0] or 0
+            if per_id > cfg.hot_id_sets:  # not every set of the id for every row
+                return bucketed_range_join(_envelope(fact, sets, stats, cfg), sets, cfg, by=keys, small=True)
             fact = _envelope(fact, sets, stats, cfg)
         else:
             return bucketed_range_join(_asked_rows(fact, sets, stats, cfg), sets, cfg, by=keys)
@@ -491,6 +528,25 @@ def union_sets(fact: DataFrame, params_rows: Sequence[dict], cfg: ExtractConfig)
     return fact.where(reduce(lambda a, b: a | b, conds)).select(F.explode(ords).alias("ord"), *fact.columns)
 
 
+def union_sets_ordered(
+    fact: DataFrame, params: DataFrame, cfg: ExtractConfig, set_key: Sequence[str] = ("sheet", "c"), tie: Sequence[str] = ()
+) -> DataFrame:
+    """The per-set results one after the other: set key and fact columns with
+    ``pos`` (place in the whole, from 1) and ``rank`` (place in the set). Sets
+    in the order of their key, rows by date descending (no date last), then by
+    ``tie``. One range sort places all rows, however many a set has; a set's
+    first place comes from an aggregate, so no window runs over a set."""
+    keys = [k for k in set_key if k in params.columns]
+    cfg = cfg.with_(tie_break=()).resolved(fact.columns)
+    joined = param_join(fact, params, cfg, keys)
+    order = [*[F.col(k).asc_nulls_first() for k in keys], *fetch_order(cfg.date_col, tie)]
+    placed = with_position(joined, order)
+    first = placed.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.min("pos").alias("_first"))
+    first, _ = broadcast_if_small(first, cfg.broadcast_max_sets)
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return placed.join(first, cond).select("pos", (F.col("pos") - F.col("_first") + 1).alias("rank"), *joined.columns)
+
+
 def ids_present(fact: DataFrame, params: DataFrame, cfg: ExtractConfig) -> DataFrame:
     """Distinct requested ids that have at least one fact row (any date).
 
