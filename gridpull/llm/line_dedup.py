@@ -8,14 +8,18 @@
 3. Only lines in the twice-seen filter shuffle, with their whole key, for the
    exact document count and the largest document id (partial aggregates, so a
    line of a third of all documents is summed before the shuffle).
-4. Each document drops its lines of confirmed keys unless it is the last
-   holder.
-
-The filter has a fixed number of bits: what reaches the driver and each
-executor (``filter_bits / 8`` bytes) never grows with the data. A fuller
-filter only sends more lines to the exact step.
-
-Defined cases: a null or empty text is one empty line. Every row counts as a
+4. The confirmed keys (128-bit digest and last holder) go to every task, where
+   each document drops its lines of these keys unless it is the last holder;
+   no text is shuffled. Beyond ``BROADCAST_KEYS`` counted keys, the documents
+   that drop lines are joined with their own keys instead.
+
+The filter is sized by a count of the lines, ``BITS_A_LINE`` for each, up to
+``filter_bits``: what reaches the driver and each executor is at most
+``filter_bits / 8`` bytes and ``BROADCAST_KEYS`` keys, whatever the data. A
+fuller filter only sends more lines to the exact step.
+
+Defined cases: a null or empty text is one empty line. Texts of any length
+are read whole. An empty table gives no rows. Every row counts as a
 document; rows of the same id hold the same line together (all keep it if
 theirs is the largest id). A null id is smaller than any other; where only
 null ids hold a key, all of them keep it. Other columns are carried as one
@@ -36,6 +40,9 @@ from .common import in_blocks, pick, stored, text_hash
 BLANKS = b"\t\n\x0b\x0c\r "
 BLOCK_BYTES = 8 << 20
 SHARDS = 256
+BITS_A_LINE = 16
+LEAST_BITS = 1 << 20
+BROADCAST_KEYS = 1_000_000  # of 24 bytes
 
 
 def line_keys(text: str, min_chars: int) -> list[bytes | None]:
@@ -61,6 +68,32 @@ def _bits(h: np.ndarray, filter_bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (h & m).astype(np.int64), ((h * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)) & m).astype(np.int64)
 
 
+def _marks(keys: list[bytes]) -> np.ndarray:
+    """128-bit digests, sortable."""
+    from hashlib import blake2b
+
+    return np.frombuffer(b"".join([blake2b(k, digest_size=16).digest() for k in keys]), np.dtype([("a", "<u8"), ("b", "<u8")]))
+
+
+def _suspected(bits: np.ndarray, keys: list[bytes]) -> np.ndarray:
+    """Whether the filter has all bits of each key."""
+    p, q = _bits(_hashes(keys), 8 * len(bits))
+    return (bits[p >> 3] >> (7 - (p & 7)) & bits[q >> 3] >> (7 - (q & 7)) & 1).astype(bool)
+
+
+def bits_for(docs: DataFrame, text: str, min_chars: int, most: int) -> int:
+    """A power of two of some ``BITS_A_LINE`` bits for each line that is long
+    enough to count, from one count of the whole table."""
+    t = docs[text]
+    # a line's key has min_chars characters at least, and a line break
+    lines = F.least(F.length(t) - F.length(F.replace(t, F.lit("\n"), F.lit(""))) + 1, F.ceil(F.length(t) / min_chars))
+    n = docs.agg(F.sum(lines)).first()[0] or 0
+    bits = min(most, LEAST_BITS)
+    while bits < min(most, BITS_A_LINE * n):
+        bits *= 2
+    return bits
+
+
 def twice_seen_filter(docs: DataFrame, text: str, min_chars: int, filter_bits: int) -> np.ndarray:
     """Packed bits of the filter of all keys that two documents hold."""
     span = filter_bits // SHARDS
@@ -137,11 +170,11 @@ def drop_repeated_lines(
     text: str = "text",
     min_docs: int = 5,
     min_chars: int = 40,
-    filter_bits: int = 1 << 27,
+    filter_bits: int = 1 << 28,
 ) -> DataFrame:
     """(row struct<carry>, kept string, n_lines long, n_dropped long), one row
-    per input row. ``filter_bits`` is a power of two; take some 16 for each
-    distinct line, as far as an executor's memory goes."""
+    per input row. ``filter_bits`` is a power of two, the most that the filter
+    may take (by default 32 MB)."""
     spark = docs.sparkSession
     base = docs.select(
         F.struct(*[pick(docs, c) for c in carry]).alias("row"),
@@ -150,7 +183,7 @@ def drop_repeated_lines(
         text_hash(docs[text]).alias("h"),
     )
     d_type = base.schema["d"].dataType
-    shared = spark.sparkContext.broadcast(twice_seen_filter(docs, text, min_chars, filter_bits))
+    shared = spark.sparkContext.broadcast(twice_seen_filter(docs, text, min_chars, bits_for(docs, text, min_chars, filter_bits)))
 
     def suspects(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -164,23 +197,20 @@ def drop_repeated_lines(
                 who.extend([i] * len(own))
             if not keys:
                 continue
-            p, q = _bits(_hashes(keys), filter_bits)
-            hit = (bits[p >> 3] >> (7 - (p & 7)) & bits[q >> 3] >> (7 - (q & 7)) & 1).astype(bool)
-            at = np.flatnonzero(hit)
+            at = np.flatnonzero(_suspected(bits, keys))
             who = pa.array(np.array(who)[at])
             got = pa.Table.from_arrays(
                 [t.column("d").take(who), t.column("h").take(who), pa.array([keys[i] for i in at], pa.binary())], ["d", "h", "key"]
             )
             yield from got.to_batches(max_chunksize=20_000)
 
-    said = stored(
-        base.select("t", "d", "h").mapInArrow(
-            suspects, T.StructType([T.StructField("d", d_type), T.StructField("h", T.LongType()), T.StructField("key", T.BinaryType())])
-        ),
-        "suspects",
-    )
-    # stored, so that a hot key in the join below can be split
-    confirmed = stored(said.groupBy("key").agg(F.count("*").alias("n"), F.max("d").alias("last")).where(F.col("n") >= min_docs), "confirmed")
+    kinds = T.StructType([T.StructField("d", d_type), T.StructField("h", T.LongType()), T.StructField("key", T.BinaryType())])
+    said = base.select("t", "d", "h").mapInArrow(suspects, kinds)
+    counts = said.groupBy("key").agg(F.count("*").alias("n"), F.max("d").alias("last")).where(F.col("n") >= min_docs)
+    # stored, so that a hot key in a join below can be split
+    confirmed = stored(counts.select("key", "last"), "confirmed")
+    if confirmed.count() <= BROADCAST_KEYS:
+        return _without_lines(base, confirmed, shared, min_chars)
     drops = (
         said.join(confirmed, "key")
         .where(~F.col("d").eqNullSafe(F.col("last")))
@@ -191,25 +221,85 @@ def drop_repeated_lines(
     joined = base.join(drops, base["d"].eqNullSafe(drops["d2"]) & (base["h"] == drops["h2"]), "left").select("row", "t", "gone")
 
     def apply(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
         for t in in_blocks(batches, BLOCK_BYTES):
-            kept, lines, dropped = [], [], []
-            for text, gone in zip(t.column("t").fill_null("").to_pylist(), t.column("gone").to_pylist()):
-                if not gone:
-                    kept.append(text)
-                    lines.append(text.count("\n") + 1)
-                    dropped.append(0)
-                    continue
-                gone, own = set(gone), text.split("\n")
-                stay = [x for x, k in zip(own, line_keys(text, min_chars)) if k not in gone]
-                kept.append("\n".join(stay))
-                lines.append(len(own))
-                dropped.append(len(own) - len(stay))
-            cols = [t.column("row").combine_chunks(), pa.array(kept, pa.string()), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())]
-            yield from pa.Table.from_arrays(cols, ["row", "kept", "n_lines", "n_dropped"]).to_batches(max_chunksize=2000)
-
-    schema = T.StructType(
+            yield from _cut(t, min_chars, [set(g or ()) for g in t.column("gone").to_pylist()])
+
+    return joined.mapInArrow(apply, _kept_schema(base))
+
+
+def _kept_schema(base: DataFrame) -> T.StructType:
+    return T.StructType(
         [base.schema["row"], T.StructField("kept", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
     )
-    return joined.mapInArrow(apply, schema)
+
+
+def _cut(t, min_chars: int, gone: list[set]) -> Iterator:
+    """The rows of a block without the lines of the keys ``gone``."""
+    import pyarrow as pa
+
+    kept, lines, dropped = [], [], []
+    for text, keys in zip(t.column("t").fill_null("").to_pylist(), gone):
+        own = text.split("\n") if keys else None
+        stay = [x for x, k in zip(own, line_keys(text, min_chars)) if k not in keys] if keys else None
+        kept.append("\n".join(stay) if keys else text)
+        lines.append(len(own) if keys else text.count("\n") + 1)
+        dropped.append(len(own) - len(stay) if keys else 0)
+    cols = [t.column("row").combine_chunks(), pa.array(kept, pa.string()), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())]
+    yield from pa.Table.from_arrays(cols, ["row", "kept", "n_lines", "n_dropped"]).to_batches(max_chunksize=2000)
+
+
+def _without_lines(base: DataFrame, confirmed: DataFrame, filter_: object, min_chars: int) -> DataFrame:
+    """``base`` without the lines of confirmed keys, but in their last holder:
+    a map over the texts."""
+
+    def marks(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for b in batches:
+            m = _marks(b.column("key").to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in m], pa.binary()), b.column("last")], ["mark", "last"])
+
+    last_type = confirmed.schema["last"].dataType
+    got = confirmed.mapInArrow(marks, T.StructType([T.StructField("mark", T.BinaryType()), T.StructField("last", last_type)])).toArrow()
+    mark = np.frombuffer(b"".join(got.column("mark").to_pylist()), _marks([]).dtype)
+    order = np.lexsort((mark["b"], mark["a"]))
+    known = base.sparkSession.sparkContext.broadcast((mark[order], got.column("last").combine_chunks().take(order)))
+
+    def apply(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        bits, (mark, last) = filter_.value, known.value
+        for t in in_blocks(batches, BLOCK_BYTES):
+            keys, who = [], []
+            for i, text in enumerate(t.column("t").fill_null("").to_pylist()):
+                own = {k for k in line_keys(text, min_chars) if k is not None}
+                keys.extend(own)
+                who.extend([i] * len(own))
+            gone: list[set] = [set() for _ in range(t.num_rows)]
+            at = np.flatnonzero(_suspected(bits, keys)) if keys and len(mark) else np.zeros(0, np.int64)
+            if len(at):
+                own = _marks([keys[i] for i in at])
+                spot = np.searchsorted(mark["a"], own["a"])  # first parts are all but unique
+                for _ in range(_longest_run(mark)):
+                    here = np.minimum(spot, len(mark) - 1)
+                    spot = np.where((mark["a"][here] == own["a"]) & (mark["b"][here] < own["b"]), spot + 1, spot)
+                spot = np.minimum(spot, len(mark) - 1)
+                found = mark[spot] == own
+                d = t.column("d").combine_chunks().take(pa.array([who[i] for i in at]))
+                holder = last.take(pa.array(spot))
+                same = pc.fill_null(pc.equal(d, holder), False).to_numpy(zero_copy_only=False) | (
+                    pc.is_null(d).to_numpy(zero_copy_only=False) & pc.is_null(holder).to_numpy(zero_copy_only=False)
+                )
+                for i in at[found & ~same].tolist():
+                    gone[who[i]].add(keys[i])
+            yield from _cut(t, min_chars, gone)
+
+    return base.select("row", "t", "d").mapInArrow(apply, _kept_schema(base))
+
+
+def _longest_run(mark: np.ndarray) -> int:
+    """How many digests share their first half, at most."""
+    a = mark["a"]
+    runs = np.diff(np.flatnonzero(np.r_[True, a[1:] != a[:-1], True])) if len(a) else np.zeros(0, np.int64)
+    return int(runs.max(initial=1)) - 1

@@ -28,7 +28,9 @@ Defined cases: null or empty texts and texts without words have no shingles,
 link with nothing and are their own component. Texts with fewer words than a
 shingle are one shingle. Rows with a null id are compared with nothing: their
 component is null and they are kept. Rows that repeat an id are each compared
-by their own text.
+by their own text. Texts of any length are one set each; an empty table gives
+no rows; ties do not arise, as components are named by their smallest id.
+Other columns are not read, so their names may be anything.
 """
 
 from __future__ import annotations
@@ -181,11 +183,6 @@ def _list_entries(nodes: DataFrame, similarity: float) -> DataFrame:
     return listed.select(F.explode(F.slice("v", F.lit(1), F.col("take").cast("int"))).alias("v"), "node", "n").select(F.col("v.value").alias("key"), "node", "n")
 
 
-def _number(digest):
-    """A class's node number."""
-    return F.conv(F.hex(F.substring(digest, 1, 8)), 16, -10).cast("long")
-
-
 def _pairs_with(pairs: DataFrame, side: DataFrame, column: str) -> DataFrame:
     """``pairs`` (a, b; a stored table) with ``column`` of both ends. Only the
     rows of ``side`` that some pair names are shuffled, while the names can be
@@ -275,7 +272,8 @@ def near_duplicates(
     rows = stored(_signatures(base, words), "signatures")
     usable = rows.where("digest is not null and d is not null")
     classes = usable.groupBy("digest").agg(F.min("d").alias("low"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    nodes = stored(classes.select(_number(F.col("digest")).alias("node"), "digest", "low", "n", "sketch"), "classes")
+    # a class's number is fixed by the table
+    nodes = stored(classes.select(F.monotonically_increasing_id().alias("node"), "digest", "low", "n", "sketch"), "classes")
 
     listed = stored(_list_entries(nodes, percent / 100), "lists")
     lists = stored(listed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "shared-lists")

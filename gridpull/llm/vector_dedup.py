@@ -18,8 +18,11 @@ their links, never the pairs.
 Defined cases: rows with a null id, a null label, a null or empty vector, a
 null or non-finite component or length zero link with nothing, and neither do
 vectors of different dimensions; such a row is its own component (null for a
-null id) and is kept. Rows that repeat an id with one vector are copies;
-n_links counts rows.
+null id) and is kept. Rows that repeat an id are vectors of their own: with
+one vector and label they are copies, and n_links counts rows; with others
+they may lie in different components, which are named by their smallest id.
+An empty table gives no rows. Other columns are not read, so their names may
+be anything.
 """
 
 from __future__ import annotations
@@ -239,13 +242,14 @@ def embedding_duplicates(
     """(vec_id long, n_links long, component_id long, kept boolean), one row
     per input row. Take more ``grid_dims`` for more vectors per label."""
     rows = stored(_unit_rows(vectors, vec_id, embedding, label), "unit-vectors")
-    nodes = (
+    classes = (
         rows.where("digest is not null")
         .groupBy("digest")
-        .agg(F.min("id").alias("node"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("u").alias("u"))
+        .agg(F.min("id").alias("low"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("u").alias("u"))
     )
-    nodes = stored(nodes, "vector-classes")
-    # One id may carry several vectors; its classes then share the node.
+    # A class has a number of its own, fixed by the table: one id may carry
+    # several vectors.
+    nodes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
     cells = stored(_cell_rows(nodes, cosine, block_dims, grid_dims), "cells")
     large = cells.where("home").groupBy("key").agg(F.ceil(F.count("*") / CELL_HOMES).cast("int").alias("salts")).where("salts > 1")
     dealt = cells.join(broadcast_below(large, 100_000), "key", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
@@ -255,12 +259,14 @@ def embedding_duplicates(
     found = stored(_links_in_cells(dealt, cosine, block_dims), "cell-links")
     comps = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    classes = (
-        nodes.select("digest", "node", "copies")
+    classes = stored(
+        nodes.select("digest", "node", "low", "copies")
         .join(links, "node", "left")
         .join(comps, "node", "left")
-        .select("digest", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"), F.coalesce("component", "node").alias("c"))
+        .select("digest", "low", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"), F.coalesce("component", "node").alias("comp")),
+        "classes",
     )
+    classes = classes.join(classes.groupBy("comp").agg(F.min("low").alias("c")), "comp").select("digest", "n", "c")
     return (
         rows.select("id", "digest")
         .join(classes, "digest", "left")

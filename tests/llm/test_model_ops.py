@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import zlib
 
 import duckdb
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridpull.llm import quality, queries, toxicity, url_filter, vector_dedup
+from gridpull.llm.common import read_table
 
 from . import brute
 from .cases import SF, documents, odd_rows, rows_of
@@ -158,6 +160,39 @@ def test_embeddings_match_brute(spark, monkeypatch, homes, grid, block):
     assert got == brute_links(ids, e, label)
 
 
+def test_embeddings_of_repeated_ids(spark):
+    """An id under two labels, near vectors under one id, copies of one row."""
+    rng = np.random.default_rng(9)
+    ids, e, label = vectors()
+    ids = [i if rng.random() < 0.5 else int(rng.integers(0, 40)) for i in ids]
+    rows = brute_links(list(range(len(ids))), e, label)
+    by_row = {r[0]: r for r in rows}
+    low: dict[int, int] = {}
+    for k, i in enumerate(ids):
+        c = by_row[k][2]
+        low[c] = min(i, low.get(c, i))
+    want = sorted(((i, by_row[k][1], low[by_row[k][2]], low[by_row[k][2]] == i) for k, i in enumerate(ids)), key=str)
+    df = spark.createDataFrame(list(zip(ids, e, label)), "vec_id long, embedding array<double>, label int")
+    assert rows_of(vector_dedup.embedding_duplicates(df)) == want
+    a, b = [1.0, 0.0], [0.0, 1.0]
+    few = [(10, a, 1), (10, b, 2), (2, [1.0, 0.01], 1), (3, [0.01, 1.0], 2), (7, a, 3), (7, [1.0, 0.02], 3)]
+    got = rows_of(vector_dedup.embedding_duplicates(spark.createDataFrame(few, "vec_id long, embedding array<double>, label int")))
+    assert got == sorted([(10, 1, 2, False), (10, 1, 3, False), (2, 1, 2, True), (3, 1, 3, True), (7, 1, 7, True), (7, 1, 7, True)], key=str)
+
+
+def test_embedding_query(spark):
+    """The query, over a table with planted copies."""
+    rows = [tuple(r) for r in read_table(spark, SF, "embeddings").select("vec_id", "embedding", "label").collect()]
+    near = [(10_000 + i, [x * 1.5 + 0.001 * (j % 3) for j, x in enumerate(v)], lab) for i, v, lab in rows[::5]]
+    folder = tempfile.mkdtemp(prefix="gridpull-test-", dir="/tmp")
+    every = rows + near
+    spark.createDataFrame(every, "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
+    every = [tuple(r) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
+    want = brute_links(*map(list, zip(*every)))
+    assert sum(r[1] for r in want) >= 2 * len(near)
+    assert rows_of(queries.q_embedding_dedup(spark, folder)) == want
+
+
 def test_embedding_rows(spark):
     kind = "vec_id long, embedding array<float>, label int"
     rows = [(None, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [0.0, 1.0], 1)]

@@ -32,8 +32,10 @@ def small_documents():
 
 
 # ------------------------------------------------------------- line dedup
+@pytest.mark.parametrize("keys", [line_dedup.BROADCAST_KEYS, 0])  # 0: documents are joined with their keys
 @pytest.mark.parametrize("bits", [1 << 27, 1 << 11])  # the small one is full: all lines are suspects
-def test_lines_match_brute(spark, bits):
+def test_lines_match_brute(spark, bits, keys, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BROADCAST_KEYS", keys)
     got = line_dedup.drop_repeated_lines(documents(spark), ["doc_id", "row"], filter_bits=bits)
     got = rows_of(got.select("row.doc_id", "n_lines", "n_dropped", "kept"))
     assert got == sorted(brute.lines(odd_rows()), key=str)
@@ -41,6 +43,28 @@ def test_lines_match_brute(spark, bits):
     assert dropped[100] == 1 and dropped[120] == 0
 
 
+def test_lines_shuffle_no_texts(spark):
+    got = line_dedup.drop_repeated_lines(documents(spark), ["doc_id"])
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    bits = line_dedup.bits_for(documents(spark), "text", 40, 1 << 28)
+    assert bits == line_dedup.LEAST_BITS and line_dedup.bits_for(documents(spark), "text", 40, 1 << 10) == 1 << 10
+
+
+def test_lines_with_equal_half_digests(spark, monkeypatch):
+    """Keys that share the first half of their digest are told apart."""
+    real = line_dedup._marks
+
+    def marks(keys):
+        m = real(keys).copy()
+        m["a"] %= 3
+        return m
+
+    monkeypatch.setattr(line_dedup, "_marks", marks)
+    rows = [(d, "\n".join(f"this is the repeated line number {i} of the documents" for i in range(9))) for d in range(6)]
+    got = rows_of(line_dedup.drop_repeated_lines(documents(spark, rows), ["doc_id"]).select("row.doc_id", "n_lines", "n_dropped", "kept"))
+    assert got == sorted(brute.lines(rows), key=str)
+
+
 def test_lines_thresholds(spark):
     """Exactly ``min_docs`` documents and exactly ``min_chars`` code points."""
     key = "é" * 40
