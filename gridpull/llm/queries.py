@@ -98,16 +98,14 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
 
-#: Words of hosts that the query's block list is made of.
-LISTED_HOST_WORDS = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
-
-
 def q_url_filters(spark: SparkSession, sf: str) -> DataFrame:
-    """The list: addresses of all pages on hosts with a listed word."""
+    """The list: addresses of thin pages, whose html is shorter than half the
+    mean of all pages."""
     pages = read_table(spark, sf, "pages")
-    listed = pages.select(url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
-    listed = listed.where(F.col("host").rlike("(^|[.])(" + "|".join(LISTED_HOST_WORDS) + ")[.]"))
-    return judge_urls(pages, listed.select(F.concat("host", "path").alias("key")))
+    size = F.coalesce(F.length("html"), F.lit(0))
+    total, n = pages.agg(F.sum(size), F.count("*")).first()
+    thin = pages.where(2 * size.cast("long") * n < F.lit(total))
+    return judge_urls(pages, thin.select(F.concat(url_host(F.col("url")), url_path(F.col("url"))).alias("key")))
 
 
 def _rule_sql(column: int) -> str:
@@ -121,9 +119,11 @@ def _rule_sql(column: int) -> str:
 _HOST_SQL = _LOWER_SQL.format("coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), '')")
 SQL_URL_FILTERS = f"""
 WITH p AS (
-  SELECT page_id, {_HOST_SQL} AS host, coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path FROM pages)
+  SELECT page_id, coalesce(length(html), 0) AS size, {_HOST_SQL} AS host,
+         coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+thin AS (SELECT DISTINCT host || path AS key FROM p, (SELECT sum(size) AS total, count(*) AS n FROM p) WHERE 2 * size * n < total)
 SELECT page_id, host, path, {_rule_sql(0)} AS rule,
-       coalesce({_rule_sql(1)}, CASE WHEN regexp_matches(host, '(^|[.])({"|".join(LISTED_HOST_WORDS)})[.]') THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce({_rule_sql(1)}, CASE WHEN host || path IN (SELECT key FROM thin) THEN 'block' ELSE 'allow' END) AS verdict
 FROM p
 """
 

@@ -8,18 +8,24 @@ for every key of U and needs no join: tasks only test bits.
 
 The universe is the corpus's own distinct keys. Levels shrink by the false
 positive rate; their bits go to the executors as one broadcast whose size is
-known from the count of listed keys and checked against ``max_bytes`` (a
-longer list is refused with an error, never shortened). Keys stand for
-themselves by two 64-bit hashes.
+known from the count of listed keys and checked against ``max_bytes``. Keys
+of a longer list are dealt by hash to shards, each with a cascade of its own
+within that bound; a row is judged by its shard's. Keys stand for themselves
+by two 64-bit hashes.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path,
-which is a key like any other. Null keys in the list are ignored.
+which is a key like any other. Null keys in the list are ignored; repeated
+keys and rows count once each as keys, and every row is judged. An empty list
+has no levels and lists nothing; an empty table gives no rows. Urls of any
+length are read whole. Extra columns are not read by ``judge_urls`` and are
+carried as one struct by ``listed_column``, so their names may clash.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -135,15 +141,14 @@ def _level(keys: DataFrame, n: int, level: int, bits_per_key: int, hashes: int)
     return bits, data
 
 
-def build_cascade(universe: DataFrame, listed: DataFrame, bits_per_key: int = 10, hashes: int = 5, max_bytes: int = 256 << 20) -> Cascade:
-    """A cascade for ``universe`` (key, every key once) with the keys of
-    ``listed`` (key) as members.
-
-    The first level decides the size: ``bits_per_key`` bits for each listed
-    key, refused beyond ``max_bytes`` (no key is ever left out)."""
-    spark = universe.sparkSession
+def _sides(universe: DataFrame, listed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The hashes of the listed keys, and of all others."""
     members = stored(listed.where("key is not null").select(*key_hashes(F.col("key"))).distinct(), "listed")
-    others = stored(universe.select(*key_hashes(F.col("key"))).distinct().join(members, ["h", "g"], "left_anti"), "unlisted")
+    return members, stored(universe.select(*key_hashes(F.col("key"))).distinct().join(members, ["h", "g"], "left_anti"), "unlisted")
+
+
+def _cascade(members: DataFrame, others: DataFrame, bits_per_key: int, hashes: int, max_bytes: int) -> Cascade:
+    spark = members.sparkSession
     cascade = Cascade([], hashes)
     sides, n = [members, others], members.count()
     while n:
@@ -166,10 +171,44 @@ def build_cascade(universe: DataFrame, listed: DataFrame, bits_per_key: int = 10
     return cascade
 
 
-def listed_column(df: DataFrame, key: Column, cascade: Cascade) -> DataFrame:
-    """(row struct of all columns, listed boolean) of every row, no join."""
-    shared = ship(df.sparkSession, cascade)
+def build_cascade(universe: DataFrame, listed: DataFrame, bits_per_key: int = 10, hashes: int = 5, max_bytes: int = 256 << 20) -> Cascade:
+    """A cascade for ``universe`` (key, every key once) with the keys of
+    ``listed`` (key) as members.
+
+    The first level decides the size: ``bits_per_key`` bits for each listed
+    key, refused beyond ``max_bytes`` (no key is ever left out)."""
+    return _cascade(*_sides(universe, listed), bits_per_key, hashes, max_bytes)
+
+
+def build_cascades(universe: DataFrame, listed: DataFrame, bits_per_key: int = 10, hashes: int = 5, max_bytes: int = 256 << 20) -> list[Cascade]:
+    """The same for a list of any length: one cascade, or one for each shard
+    of the keys, none larger than ``max_bytes`` a level."""
+    members, others = _sides(universe, listed)
+    shards = -(-members.count() * bits_per_key // (8 * max_bytes))
+    if shards <= 1:
+        return [_cascade(members, others, bits_per_key, hashes, max_bytes)]
+    shards += shards // 8 + 1  # as hashing deals unevenly
+    return [_cascade(members.where(_shard(shards) == k), others.where(_shard(shards) == k), bits_per_key, hashes, max_bytes) for k in range(shards)]
+
+
+def _shard(shards: int) -> Column:
+    return F.pmod(F.xxhash64("h", "g"), F.lit(shards))
+
+
+def listed_column(df: DataFrame, key: Column, cascade: Cascade | list[Cascade]) -> DataFrame:
+    """(row struct of all columns, listed boolean) of every row, no join.
+    Several cascades (``build_cascades``) are each a pass over their shard."""
     base = df.select(F.struct(*[pick(df, c) for c in df.columns]).alias("row"), *key_hashes(key))
+    if isinstance(cascade, Cascade):
+        return _listed(base, cascade)
+    if len(cascade) == 1:
+        return _listed(base, cascade[0])
+    parts = [_listed(base.where(_shard(len(cascade)) == k), c) for k, c in enumerate(cascade)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _listed(base: DataFrame, cascade: Cascade) -> DataFrame:
+    shared = ship(base.sparkSession, cascade)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -184,14 +223,14 @@ def listed_column(df: DataFrame, key: Column, cascade: Cascade) -> DataFrame:
     return base.mapInArrow(run, T.StructType([base.schema["row"], T.StructField("listed", T.BooleanType())]))
 
 
-def judge_urls(pages: DataFrame, listed: DataFrame, page_id: str = "page_id", url: str = "url", rules=RULES) -> DataFrame:
+def judge_urls(pages: DataFrame, listed: DataFrame, page_id: str = "page_id", url: str = "url", rules=RULES, max_bytes: int = 256 << 20) -> DataFrame:
     """(page_id, host, path, rule, verdict) of every page: the rule's verdict,
     else block where the page's address (host and path) is a key of
     ``listed`` (key), else allow."""
     base = pages.select(pages[page_id].alias("page_id"), url_host(pages[url]).alias("host"), url_path(pages[url]).alias("path"))
     address = F.concat("host", "path")
-    cascade = build_cascade(base.select(address.alias("key")).distinct(), listed)
-    got = listed_column(base, address, cascade).select("row.*", "listed")
+    cascades = build_cascades(base.select(address.alias("key")).distinct(), listed, max_bytes=max_bytes)
+    got = listed_column(base, address, cascades).select("row.*", "listed")
     rule, verdict = match_rule(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("listed"), "block").otherwise("allow")
     return got.select(F.col("page_id").alias(page_id), "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"))
