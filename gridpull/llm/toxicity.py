@@ -6,16 +6,21 @@ toxic and the clean training texts (Wang and Manning 2012), and a logistic
 regression weighs the scaled features. Features stand for themselves by their
 64-bit hash; a small table of hash prefixes refuses most n-grams early.
 
-Training reads a bounded sample of labelled rows (``max_per_class`` whole
-texts of each label, of at most ``max_chars`` characters each, first by a
-hash of the id). Scoring is one pass without a shuffle; a text of any length
+Training reads a bounded sample of labelled rows: of each label the first
+``max_per_class`` whole texts by a hash of the id, of at most ``max_chars``
+characters each and ``max_total_chars`` together, which bounds the driver's
+memory. Candidates are the n-grams that at least ``least`` texts of either
+label hold. Scoring is one pass without a shuffle; a text of any length
 is scored whole, in pieces of ``PIECE`` characters that overlap by n - 1.
 
 Defined cases: a null or empty text has no features and gets the intercept's
 score. Rows of ``labels`` with a null id or label are ignored; an id with
 several labels counts as toxic if one says so. Without rows of both labels
 every score is the share of toxic rows (0 without any). A null id is never
-held out and never learned from. Repeated rows are scored one by one.
+held out and never learned from. Repeated rows are scored one by one; of an
+id with several texts the smallest is learned from, and each is scored. An
+empty table gives no rows. Ties among n-grams go to the smaller hash. Other
+columns are carried as one struct, so their names may clash with anything.
 """
 
 from __future__ import annotations
@@ -142,36 +147,30 @@ def fit(
     none = NgramModel(np.zeros(0, np.uint64), np.zeros(0), float(np.log((all_ + 1e-9) / (1 - all_ + 1e-9))))
     if not 0 < own < 1:
         return none
-    keys, p = _document_counts([t for t, k in zip(texts, y) if k])
-    keys, p = keys[p >= least], p[p >= least].astype(float)
+    by_label = []
+    for label in (1, 0):
+        k, c = _document_counts([t for t, own in zip(texts, y) if bool(own) == bool(label)])
+        by_label.append(k[c >= least])
+    keys = np.union1d(*by_label)
     if not len(keys):
         return none
-    q = np.zeros(len(keys))
-    neg = []
+    p, q = np.zeros(len(keys)), np.zeros(len(keys))
+
+    def found(among: np.ndarray, text: str) -> np.ndarray:
+        at = np.searchsorted(among, h := _present(text))
+        at = np.minimum(at, len(among) - 1)
+        return at[among[at] == h]
+
     for t, k in zip(texts, y):
-        if not k:
-            at = np.searchsorted(keys, h := _present(t))
-            at = np.minimum(at, len(keys) - 1)
-            own = at[keys[at] == h]
-            q[own] += 1
-            neg.append(own.astype(np.int32))
+        (p if k else q)[found(keys, t)] += 1
     n1, n0 = y.sum(), len(y) - y.sum()
     ratio = np.log(((p + 1) / (n1 + 2)) / ((q + 1) / (n0 + 2)))
     spread = np.sqrt(1 / (p + 1) + 1 / (q + 1))
     best = np.sort(np.argsort(-np.abs(ratio) / spread, kind="stable")[:features])
     sel, r = keys[best], ratio[best]
-    place = np.full(len(keys), -1)
-    place[best] = np.arange(len(best))
-    rows, cols, j = [], [], 0
-    for k, label in enumerate(y):
-        if label:
-            h = _present(texts[k])
-            at = np.minimum(np.searchsorted(sel, h), len(sel) - 1)
-            own = at[sel[at] == h]
-        else:
-            own = place[neg[j]]
-            own = own[own >= 0]
-            j += 1
+    rows, cols = [], []
+    for k, t in enumerate(texts):  # again: all candidates of all texts would not be small
+        own = found(sel, t)
         rows.append(np.full(len(own), k))
         cols.append(own)
     rows, cols = np.concatenate(rows), np.concatenate(cols)
@@ -197,10 +196,12 @@ def bucket(doc_id: Column, n: int) -> Column:
 
 
 def training_sample(
-    docs: DataFrame, labels: DataFrame, label: str, held_out: Column, max_per_class: int, max_chars: int, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, labels: DataFrame, label: str, held_out: Column, max_per_class: int, max_chars: int, doc_id: str = "doc_id", text: str = "text",
+    max_total_chars: int = 16_000_000,
 ) -> tuple[list[str], np.ndarray, float | None]:
     """Whole texts and labels of a bounded, repeatable sample: of each label
-    the first ``max_per_class`` ids by their hash that are not held out; and
+    the first ``max_per_class`` ids by their hash that are not held out, while
+    their texts have ``max_total_chars`` characters together; and
     the share of label 1 among all rows that are not. ``held_out`` is over a
     column named id."""
     said = (
@@ -217,6 +218,8 @@ def training_sample(
         of = said.where(F.col("y") == y if y == 0 else F.col("y") != 0).select("id")
         # ids first: the texts of no more than the sample are joined
         ids = of.join(texts.select("id").distinct(), "id", "left_semi").orderBy(rank, "id").limit(max_per_class)
+        size = texts.join(F.broadcast(ids), "id").groupBy("id").agg(F.max(F.length("t"))).orderBy(rank, "id").collect()
+        ids = ids.limit(int((np.cumsum([r[1] for r in size]) <= max_total_chars).sum()))
         got += [(t, y) for (t,) in texts.join(F.broadcast(ids), "id").groupBy("id").agg(F.min("t").alias("t")).orderBy(rank, "id").select("t").collect()]
     share = said.agg(F.avg((F.col("y") != 0).cast("double"))).first()[0]
     return [t for t, _ in got], np.array([y for _, y in got], float), share

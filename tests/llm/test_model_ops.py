@@ -213,6 +213,17 @@ def test_cascade_is_exact(spark):
         url_filter.build_cascade(universe, listed, max_bytes=8)
 
 
+def test_cascades_of_a_long_list(spark):
+    """Beyond ``max_bytes`` the keys are dealt to shards; membership stays exact."""
+    universe = spark.range(5000).select(F.concat(F.lit("host"), F.col("id")).alias("key"))
+    listed = universe.where("pmod(xxhash64(key), 3) = 0")
+    cascades = url_filter.build_cascades(universe, listed, max_bytes=700)
+    assert len(cascades) > 3
+    got = url_filter.listed_column(universe.unionByName(universe), F.col("key"), cascades)
+    assert got.count() == 10_000
+    assert got.where("listed <> (pmod(xxhash64(row.key), 3) = 0)").count() == 0
+
+
 def test_urls(spark):
     urls = {
         1: "HTTP://WWW.Example.ORG/es/1?x=://y/",

@@ -3,6 +3,9 @@ versions, over odd rows and the smallest tables."""
 
 from __future__ import annotations
 
+import random
+import re
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -183,21 +186,56 @@ def test_index_joins_without_broadcast(spark, monkeypatch):
 
 
 # ------------------------------------------------------------- license scan
-def brute_scan(text):
+def brute_scan(text, templates=license_scan.TEMPLATES, names=license_scan.NAMES, threshold=0.8):
+    """Every run of 2 n words, for a template of n words, is a block (a shorter
+    text is one); it holds the template if it has the share of its distinct
+    words and, in order, the words that name the license."""
     w = brute.words(text)
     places = [(i, lab) for p, lab in license_scan.PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
     labels, best = set(), 0.0
-    for line in (text or "").split("\n"):
-        b = set(brute.words(line))
-        for lab, t in license_scan.TEMPLATES:
-            share = len(set(brute.words(t)) & b) / len(set(brute.words(t)))
-            if share >= 0.8 - 1e-12:
+    for lab, t in templates:
+        own = brute.words(t)
+        if not own:
+            continue
+        need, width = set(own), 2 * len(own)
+        for i in range(len(w)):
+            block = w[i : i + width]
+            share = len(need & set(block)) / len(need)
+            if share >= threshold - 1e-9 and re.search(names.get(t, ""), " " + " ".join(block) + " "):
                 labels.add(lab)
                 best = max(best, share)
     base, at = {lab for _, lab in places}, [i for i, _ in places]
     return (len(w), len(places), min(at, default=None), max(at, default=None), ",".join(sorted(base)), ",".join(sorted(base | labels)), 1.0 if places else best)
 
 
+def distorted(seed: int, n: int) -> list[tuple]:
+    """Templates with words left out, changed, spread out, wrapped or cut."""
+    rng = random.Random(seed)
+    rows = []
+    for d in range(n):
+        out = []
+        for _ in range(rng.randrange(1, 3)):
+            words = rng.choice(license_scan.TEMPLATES)[1].split()
+            loss, gap = rng.choice([0, 0.05, 0.15, 0.3]), rng.choice([0, 0.1, 0.6])
+            for x in words:
+                if rng.random() < loss:
+                    x = rng.choice(["", "other", "2", "3", "mit", "the"])
+                out.append(x.upper() if rng.random() < 0.1 else x)
+                if rng.random() < gap:
+                    out.append(rng.choice(["\n", "some", "license", "\n\n // ", "words"]))
+            out += ["filler"] * rng.randrange(4)
+        rows.append((d, " ".join(out)))
+    return rows
+
+
+def test_licenses_of_distorted_templates(spark):
+    rows = distorted(1, 250)
+    got = rows_of(license_scan.summary(license_scan.scan_licenses(documents(spark, rows))))
+    want = sorted([(d, *brute_scan(t)) for d, t in rows], key=str)
+    assert got == want
+    assert 50 < sum(bool(r[-2]) for r in want) < 250
+
+
 @pytest.mark.parametrize("source", ["odd", "table"])
 def test_licenses_match_brute(spark, source):
     if source == "odd":
