@@ -232,7 +232,7 @@ def _packed(texts: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         codec = pa.Codec("zstd", 1)
-        for b in in_blocks(batches, 8 * BLOCK_BYTES):
+        for b in in_blocks(batches, 2 * BLOCK_BYTES):
             raw = [t.encode() for t in b.column("t").to_pylist()]
             cols = [b.column(c) for c in schema.names[:-2]]
             z = pa.array([codec.compress(x, asbytes=True) for x in raw], pa.binary())
@@ -348,8 +348,9 @@ def repeated_windows(pieces: list[bytes], windows: np.ndarray, min_bytes: int, l
 FRAGMENT = "a long, g long, d long, h int, s long, n int, cnt long, f binary"
 
 
-def _cut_fragments(mixed: DataFrame, texts: DataFrame, min_bytes: int) -> DataFrame:
-    """The bytes f of one copy of each fragment in ``mixed``."""
+def _cut_fragments(mixed: DataFrame, packed: DataFrame, min_bytes: int) -> DataFrame:
+    """The bytes f of one copy of each fragment in ``mixed``. All columns of
+    ``packed`` are read, so that its exchange serves the last join too."""
     refs = mixed.groupBy("d", "h").agg(F.collect_list(F.struct("a", "g", "s", "n", "cnt")).alias("x"))  # one text's own
 
     def run(batches: Iterator) -> Iterator:
@@ -374,7 +375,7 @@ def _cut_fragments(mixed: DataFrame, texts: DataFrame, min_bytes: int) -> DataFr
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], [*PLACE, "cnt", "f"])
 
-    return refs.join(_packed(texts), ["d", "h"]).select("d", "h", "x", "z", "size").mapInArrow(run, FRAGMENT)
+    return packed.join(refs, ["d", "h"]).mapInArrow(run, FRAGMENT)
 
 
 def _spans_by_suffixes(cut: DataFrame, min_bytes: int, first: bool) -> DataFrame:
@@ -438,27 +439,27 @@ def _spans_by_digests(cut: DataFrame, min_bytes: int, first: bool) -> DataFrame:
     return windows.join(shared, "w").where(goes).select("d", "h", "start", (F.col("start") + min_bytes).alias("end"))
 
 
-def repeat_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_bytes: int = 200, keep: str = "first") -> DataFrame:
+def repeat_spans(texts: DataFrame, min_bytes: int = 200, keep: str = "first", packed: DataFrame | None = None) -> DataFrame:
     """(d, h, spans array<struct<start, end>>): the bytes to remove of each
-    text that has some, by the columns of :func:`_identified`. Spans may
-    overlap."""
+    text that has some, for ``texts`` of the columns of :func:`_identified`.
+    Spans may overlap. ``packed`` are the same texts compressed."""
     if min_bytes < GRAM:
         raise ValueError(f"at least {GRAM} bytes are needed")
     if keep not in ("first", "none"):
         raise ValueError("keep is 'first' or 'none'")
     first = keep == "first"
-    texts = docs.select(*_identified(docs, doc_id, text))
+    packed = _packed(texts) if packed is None else packed
     found = _classified(_places(texts, min_bytes))
     copies = found.where("cnt > 1" + (" and not lead" if first else ""))
     spans = copies.select("d", "h", F.col("s").alias("start"), (F.col("s") + F.col("n") + (min_bytes - 1)).alias("end"))
     mixed = stored(found.where("mixed and lead").select(*PLACE, "cnt").dropDuplicates(["a", "g"]), "mixed")
     large = stored(mixed.groupBy("a").agg(F.count("*").alias("k")).where(F.col("k") > GROUP_FRAGMENTS).select("a"), "large-anchors")
     if large.isEmpty():
-        spans = spans.unionByName(_spans_by_suffixes(_cut_fragments(mixed, texts, min_bytes), min_bytes, first))
+        spans = spans.unionByName(_spans_by_suffixes(_cut_fragments(mixed, packed, min_bytes), min_bytes, first))
     else:
         side = broadcast_below(large, 100_000)
-        some = _cut_fragments(mixed.join(side, "a", "left_anti"), texts, min_bytes)
-        rest = _cut_fragments(mixed.join(side, "a", "left_semi"), texts, min_bytes)
+        some = _cut_fragments(mixed.join(side, "a", "left_anti"), packed, min_bytes)
+        rest = _cut_fragments(mixed.join(side, "a", "left_semi"), packed, min_bytes)
         spans = spans.unionByName(_spans_by_suffixes(some, min_bytes, first)).unionByName(_spans_by_digests(rest, min_bytes, first))
     return spans.groupBy("d", "h").agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # one text's own
 
@@ -480,8 +481,9 @@ def remove_repeats(
     """(row struct<carry>, kept binary, n_bytes long, spans
     array<struct<start long, end long>>), one row per input row: the bytes
     left, and the removed runs in the input's bytes."""
-    spans = repeat_spans(docs, doc_id, text, min_bytes, keep)
     base = docs.select(F.struct(*[pick(docs, c) for c in carry]).alias("row"), *_identified(docs, doc_id, text))
+    packed = _packed(base)
+    spans = repeat_spans(base.select("d", "h", "t"), min_bytes, keep, packed)
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType(
         [base.schema["row"], T.StructField("kept", T.BinaryType()), T.StructField("n_bytes", T.LongType()), T.StructField("spans", span)]
@@ -503,5 +505,5 @@ def remove_repeats(
             table = pa.Table.from_arrays(cols, ["row", "kept", "n_bytes", "spans"])
             yield from table.to_batches(max_chunksize=2000)
 
-    joined = _packed(base).join(spans, ["d", "h"], "left").select("row", "z", "size", "spans")
+    joined = packed.join(spans, ["d", "h"], "left")
     return joined.mapInArrow(run, schema)
