@@ -24,6 +24,7 @@ from gridpull.llm.line_dedup import drop_repeated_lines
 from gridpull.llm.minhash import near_duplicates
 from gridpull.llm.queries import vocabulary_path
 from gridpull.llm.toxicity import toxicity
+from gridpull.operators.sizing import drop_tables, table_scope
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -83,9 +84,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows; what a stage wrote on its way goes when its
+    result is written."""
     docs = read_table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = stored(docs, f"stage-{name}")
-    return docs
+    for name, stage in STAGES[:-1]:
+        with table_scope() as scratch:
+            got = stage(spark, docs, sf_dir)
+        docs = stored(got, f"stage-{name}")
+        drop_tables(spark, scratch)
+    return STAGES[-1][1](spark, docs, sf_dir)

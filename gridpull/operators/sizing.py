@@ -39,14 +39,19 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{base}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     delete_on_exit(df.sparkSession, path)
-    for paths in _open_scopes:
-        paths.append(path)
+    note_table(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _open_scopes: list[list[str]] = []
 
 
+def note_table(path: str) -> None:
+    """Have the open scopes know a written table."""
+    for paths in _open_scopes:
+        paths.append(path)
+
+
 def delete_on_exit(spark, path: str) -> None:
     """Have the file system delete ``path`` when the application ends."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

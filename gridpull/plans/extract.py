@@ -37,6 +37,10 @@ from ..sources.sheet import read_sheet_cells
 Groups = Sequence[Sequence[tuple[str, str, object]]]
 
 
+#: Columns of one result frame; more cannot be planned in reason.
+MAX_RESULT_COLUMNS = 20_000
+
+
 class SheetError(ValueError):
     """A sheet lacks a required marker or header names."""
 
@@ -113,7 +117,10 @@ def plan_sheet(cells: DataFrame, cfg: ExtractConfig) -> SheetPlan:
     mk = cells.sparkSession.createDataFrame(rows, mk.schema)
     names = header_names(cells, mk, cfg.labels, cfg.omit_bound_headers, broadcast_mk=True, ascii_only=ascii_only)
     # The names of one sheet row, which become the result's columns.
-    header = [r["name"] for r in sorted(names.collect(), key=lambda r: r["c"])]
+    named = take_at_most(names, MAX_RESULT_COLUMNS)
+    if named is None:
+        raise SheetError(f"the header row has more than {MAX_RESULT_COLUMNS} names")
+    header = [r["name"] for r in sorted(named, key=lambda r: r["c"])]
     if not header:
         raise SheetError(no_names(cfg.labels.header))
     params = param_sets(cells, mk, ascii_only, broadcast_mk=True)
@@ -283,7 +290,9 @@ def batch_filters(cells: DataFrame, ok: DataFrame, cfg: ExtractConfig) -> DataFr
 def batch_header(names: DataFrame) -> list[str]:
     """All sheets' header names, ordered by first column position: the
     columns of one frame for all sheets."""
-    rows = names.groupBy("name").agg(F.min("c").alias("c")).collect()
+    rows = take_at_most(names.groupBy("name").agg(F.min("c").alias("c")), MAX_RESULT_COLUMNS)
+    if rows is None:
+        raise SheetError(f"the sheets together ask for more than {MAX_RESULT_COLUMNS} columns; a frame for each sheet takes its own")
     return [r["name"] for r in sorted(rows, key=lambda r: (r["c"], r["name"]))]
 
 
