@@ -8,7 +8,9 @@ sequences of pre-token numbers, so ids, counts and decoded bytes are looked up.
 
 Nothing is shuffled; memory is bounded by ``BLOCK_BYTES`` of text (one longer
 text makes a block of its own). Null texts count as empty; empty texts have
-no tokens. Input columns of any name are kept apart from the results.
+no tokens. Every row is encoded on its own, so rows may repeat; an empty table
+gives no rows. Input columns of any name are kept apart from the results; in
+``encode_column`` a kept column named ids is refused.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import in_blocks, ship, shipped
+from .common import fresh, in_blocks, ship, shipped
 
 #: Fixed value: the split pattern of this kind of vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -232,7 +234,9 @@ def encode_column(df: DataFrame, model: BpeModel, text: str = "text", keep: tupl
     """``keep`` columns plus ids array<int> of every row's text."""
     from pyspark.sql import types as T
 
-    shared = ship(df.sparkSession, model)
+    if "ids" in keep:
+        raise ValueError("a kept column may not be named ids")
+    shared, own = ship(df.sparkSession, model), fresh(df, "_text")
     fields = [df.schema[c] for c in keep] + [T.StructField("ids", T.ArrayType(T.IntegerType()))]
 
     def run(batches: Iterator) -> Iterator:
@@ -240,7 +244,7 @@ def encode_column(df: DataFrame, model: BpeModel, text: str = "text", keep: tupl
 
         m: BpeModel = shipped(shared)
         for t in in_blocks(batches, BLOCK_BYTES):
-            got = encode_texts(m, t.column("_text").fill_null("").to_pylist())
+            got = encode_texts(m, t.column(own).fill_null("").to_pylist())
             for at in range(0, len(got), 256):
                 part = got[at : at + 256]
                 cols = [t.column(c).slice(at, 256).combine_chunks() for c in keep]
@@ -248,7 +252,7 @@ def encode_column(df: DataFrame, model: BpeModel, text: str = "text", keep: tupl
                 ids = pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(part)))
                 yield from pa.Table.from_arrays([*cols, ids], [*keep, "ids"]).to_batches()
 
-    return df.select(*keep, df[text].alias("_text")).mapInArrow(run, T.StructType(fields))
+    return df.select(*keep, df[text].alias(own)).mapInArrow(run, T.StructType(fields))
 
 
 def bpe_digests(df: DataFrame, model: BpeModel, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import sizing
 from ..session import ensure_checkpoint_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -19,16 +20,16 @@ ROWS_A_PART = 50_000
 def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the session's shared checkpoint folder and
     read it back. Cuts the lineage, so a lost executor costs only its own
-    running tasks. The folder goes when the application ends. ``rows``, where
-    they are counted, keep small tables from many tiny files."""
+    running tasks. The folder goes when the application ends, or with the
+    ``table_scope`` it was written in. ``rows``, where they are counted, keep
+    small tables from many tiny files."""
     if rows is not None:
         df = df.coalesce(rows // ROWS_A_PART + 1)
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    sizing.delete_on_exit(spark, path)
+    sizing.note_table(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

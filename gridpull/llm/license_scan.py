@@ -18,8 +18,10 @@ is counts of template tokens and the few pieces and blocks that may match.
 
 Defined cases: a null text is empty and has no words, no places and no
 labels. Rows are scanned one by one (a row number is fixed when the blocks
-are stored), so ids may repeat or be null. An empty table of documents gives
-an empty result; without templates only the phrases count.
+are stored), so ids may repeat or be null. Texts of any length are scanned whole.
+An empty table of documents gives an empty result; without templates only the
+phrases count. Tokens that are equally frequent are ordered by their text.
+Other columns are not read, so their names may be anything.
 """
 
 from __future__ import annotations

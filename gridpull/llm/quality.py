@@ -10,8 +10,10 @@ texts of each label). Scoring is one pass without a shuffle; memory is bounded
 by ``PIECE`` bytes, whatever a text's length.
 
 Defined cases: a null or empty text is one chunk of padding and gets a score
-like any other. Labels, held-out rows, nulls and repeats are treated as by
-``toxicity``; without rows of both labels every score is the share of label 1.
+like any other. Labels, held-out rows, nulls, repeated rows, ids with several
+texts, empty tables and other columns are treated as by ``toxicity``; without
+rows of both labels every score is the share of label 1. Texts of any length
+are scored whole. There are no ties to break.
 """
 
 from __future__ import annotations

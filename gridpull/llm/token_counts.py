@@ -4,12 +4,18 @@ Each document's pre-tokens are dealt to leaves of ``LEAF``; a tree holds the
 characters and tokens under every node, so a position is found and a sum
 renewed in logarithmic steps. An edit re-encodes only the text from a safe
 pre-token boundary before it to the first boundary after it that the old text
-had too; the sums above the changed leaves are updated. Counts equal a full
-encoding of the edited text.
+had too; the sums above the changed leaves are updated. A leaf that an edit
+fills beyond ``FULL`` pre-tokens is dealt anew, and the tree over all leaves is
+built again, once for each so many new pre-tokens. Counts equal a full encoding
+of the edited text.
 
 Nothing is shuffled. Defined cases: a null text is empty; a null list of edits
 is empty; edits are applied one after another, positions in characters of the
-text as it then is, cut to its ends; a null replacement is empty.
+text as it then is, cut to its ends; a null replacement is empty. Texts of any
+length are one tree each; every row is counted on its own, so rows and keys may
+repeat or be null; an empty table gives no rows. Only the key, the text and the
+edits are read, so other columns may have any name; the key's name must differ
+from the results'.
 """
 
 from __future__ import annotations
@@ -24,6 +30,7 @@ from .bpe import BLOCK_BYTES, BpeModel, merge_all, splitter
 from .common import in_blocks, ship, shipped
 
 LEAF = 32
+FULL = 8 * LEAF
 
 
 class SumTree:
@@ -99,19 +106,32 @@ class TokenTree:
             text = "".join(old)
             changed = text[: start - before] + new + text[end - before :]
             got = self.split(changed)
+            self.reencoded += len(changed)
             done = self._resync(old, got, changed, end - before, len(new) - (end - start), stop == len(self.leaves))
             if done is not None:
                 break
             reach *= 2
         keep_new, keep_old = done
-        self.reencoded += sum(map(len, got[:keep_new]))
         tokens = got[:keep_new] + old[keep_old:]
+        if len(tokens) > LEAF * (stop - first - 1) + FULL:
+            self._deal(first, stop, tokens)
+            return
         for k, leaf in enumerate(range(first, stop)):  # the last leaf takes what is over
             part = tokens[k * LEAF : (k + 1) * LEAF] if leaf < stop - 1 else tokens[k * LEAF :]
             self.leaves[leaf] = part
             self.tree.put(leaf, [sum(map(len, part)), self.tree.data[1, self.tree.size + leaf]])
             self.dirty.add(leaf)
 
+    def _deal(self, first: int, stop: int, tokens: list[str]) -> None:
+        """Leaves ``first`` to ``stop`` become as many as ``tokens`` need."""
+        new = [tokens[i : i + LEAF] for i in range(0, len(tokens), LEAF)]
+        sums = self.tree.data[:, self.tree.size : self.tree.size + len(self.leaves)]
+        own = np.array([[sum(map(len, part)), 0] for part in new], np.int64).T
+        self.leaves[first:stop] = new
+        self.tree = SumTree(np.concatenate([sums[:, :first], own, sums[:, stop:]], axis=1))
+        shift = len(new) - (stop - first)
+        self.dirty = {k if k < first else k + shift for k in self.dirty if not first <= k < stop} | set(range(first, first + len(new)))
+
     def _safe_start(self, start: int) -> tuple[int, int]:
         """A leaf, and the characters before it, whose earlier pre-tokens do
         not depend on text from ``start`` on: they end ``context`` characters
@@ -161,7 +181,8 @@ def count_after_edits(
     """(key, n_tokens long, n_edits long, n_tokens_edited long, n_reencoded
     long), one row per input row. ``edits`` is a column of type
     array<struct<start: int, end: int, text: string>>, or a function from a
-    text to such a list. n_reencoded counts characters encoded again."""
+    text to such a list. n_reencoded counts the
+    characters that were split again."""
     shared = ship(df.sparkSession, model)
     of_text = edits if callable(edits) else None
     context = max([len(s) for s in model.special] + [0]) + 4

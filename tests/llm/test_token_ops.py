@@ -112,6 +112,35 @@ def test_edit_reencodes_a_region(model):
     assert tree.text() == text[:70_000] + "changed" + text[70_005:]
 
 
+def test_large_insertions_split_leaves(model):
+    """A long insertion is dealt to new leaves; later edits stay local."""
+    split = bpe.splitter(model)
+    count = lambda w: token_counts.count_tokens(model, [w])[w]
+    toks = split("a short text of some words")
+    tree = token_counts.TokenTree(toks, np.array([count(t) for t in toks]), split, 17)
+    long = " ".join(f"w{i % 50}" for i in range(20_000))
+    tree.edit(2, 2, long + " ")
+    tree.edit(len(long) // 2, len(long) // 2, long[:3000])
+    now = "a " + long + " short text of some words"
+    now = now[: len(long) // 2] + long[:3000] + now[len(long) // 2 :]
+    assert max(map(len, tree.leaves)) <= token_counts.FULL + token_counts.LEAF
+    before = tree.reencoded
+    for k in range(20):
+        at = 4000 * k + 11
+        tree.edit(at, at + 1, "é")
+        now = now[:at] + "é" + now[at + 1 :]
+    assert tree.reencoded - before < 20 * 6_000
+    assert [t for leaf in tree.leaves for t in leaf] == split(now)
+    known = token_counts.count_tokens(model, sorted(set(split(now))))
+    tree.settle(known.__getitem__)
+    assert tree.n_tokens() == sum(known[w] for w in split(now)) and tree.text() == now
+
+
+def test_counts_of_an_empty_table(spark, model):
+    kind = "doc_id long, text string, e array<struct<start:int,end:int,text:string>>"
+    assert token_counts.count_after_edits(spark.createDataFrame([], kind), model, "e").count() == 0
+
+
 def test_counts_with_an_edit_column(spark, model, library):
     kind = "doc_id long, text string, e array<struct<start:int,end:int,text:string>>, k int"
     rows = [
