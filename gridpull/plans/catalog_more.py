@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from ..config import PAGE_SIZE
 from ..operators.joins import union_sets_ordered
 from ..operators.like_many import like_pairs
+from ..operators.ordering import sort_result
 from ..operators.pages import read_page, write_pages
 from ..operators.sizing import delete_on_exit
 from ..session import ensure_checkpoint_dir
+from ..sources.csv_sink import write_csv
 from ..sources.file_index import read_for_sets, write_file_index
 from ..sources.layout import write_clustered
+from ..sources.sheet import read_sheet_grid
 from .catalog import (
     _CUSTOMER_SETS_SQL,
     _LI_COLS_SQL,
@@ -181,6 +184,32 @@ SELECT pattern, count(*) AS n_values, min(c_name) AS first_value FROM p JOIN (SE
 """
 
 
+# ------------------------------------------------------------- one ordered file
+def q_write_csv_single(spark, sf):
+    """All orders in (date, id, key) order as one file, read back with each
+    row's line number."""
+    o = _t(spark, sf, "orders").orderBy("o_orderdate", "o_custkey", "o_orderkey").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    out = _folder(spark, "csv")
+    write_csv(o, out, single_file=10_000_000)
+    lines = read_sheet_grid(spark, out).where("r > 0")
+    return lines.select(F.col("r").cast("long").alias("line_no"), *[F.col("row")[i].alias(c) for i, c in enumerate(o.columns)])
+
+
+SQL_WRITE_CSV_SINGLE = """
+SELECT row_number() OVER (ORDER BY o_orderdate NULLS FIRST, o_custkey NULLS FIRST, o_orderkey NULLS FIRST) AS line_no, CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+       CAST(o_custkey AS VARCHAR) AS o_custkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS o_orderdate, o_orderpriority FROM orders
+"""
+
+
+# ------------------------------------------------------------ no date, no sort
+def q_sort_no_date(spark, sf):
+    """A frame without the date column is left as it is."""
+    return sort_result(_t(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderdate", "o_custkey")
+
+
+SQL_SORT_NO_DATE = "SELECT o_orderkey, o_custkey FROM orders"
+
+
 MORE: dict[str, tuple[QueryFn, str | None]] = {
     "sheet_filter_groups": (q_sheet_filter_groups, SQL_SHEET_FILTER_GROUPS),
     "param_extract_hot_id": (q_param_extract_hot_id, SQL_PARAM_EXTRACT_HOT_ID),
@@ -188,4 +217,6 @@ MORE: dict[str, tuple[QueryFn, str | None]] = {
     "page_deep": (q_page_deep, SQL_PAGE_DEEP),
     "skip_index_extract": (q_skip_index_extract, SQL_SKIP_INDEX_EXTRACT),
     "like_many": (q_like_many, SQL_LIKE_MANY),
+    "sort_no_date": (q_sort_no_date, SQL_SORT_NO_DATE),
+    "write_csv_single": (q_write_csv_single, SQL_WRITE_CSV_SINGLE),
 }

@@ -37,6 +37,8 @@ from ..sources.sheet import read_sheet_cells
 Groups = Sequence[Sequence[tuple[str, str, object]]]
 
 
+#: Up to so many rows a run's result is one file on any file system.
+SINGLE_FILE_ROWS = 5_000_000
 #: Columns of one result frame; more cannot be planned in reason.
 MAX_RESULT_COLUMNS = 20_000
 
@@ -202,13 +204,14 @@ def run(
     fact: DataFrame,
     cfg: ExtractConfig = ExtractConfig(),
     out_path: str | None = None,
-    single_file: bool = True,
+    single_file: bool | int = SINGLE_FILE_ROWS,
     count_fetched: bool = False,
     where: Groups = (),
 ) -> ExtractRun:
     """Read one parameter sheet, answer its sets against ``fact`` and (when
     ``out_path`` is given) write the CSV result: one file of that name, or a
-    folder of parts for results too large for one writer. The sheet's own
+    folder of parts where the result has more rows than ``single_file`` and
+    the file system cannot join files (``write_csv``). The sheet's own
     filter rows and ``where`` both hold.
 
     The rows are counted while they are written. ``count_fetched`` adds the

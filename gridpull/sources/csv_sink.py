@@ -22,7 +22,7 @@ import glob
 import os
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,39 +129,99 @@ def publish(spark, new: str, target: str) -> None:
         fs.delete(old, True)
 
 
-def write_csv(df: DataFrame, path: str, bom: bool = True, line_sep: str = "\n", single_file: bool = False) -> str:
+def can_concat(spark, path: str) -> bool:
+    """Whether ``path``'s file system joins files without copying them."""
+    p, fs = _fs(spark, path)
+    return fs.hasPathCapability(p.getParent(), "fs.capability.paths.concat")
+
+
+def concat(spark, first: str, rest: list[str]) -> None:
+    """Have the file system append the files ``rest`` to ``first``, in order."""
+    p, fs = _fs(spark, first)
+    gateway = spark.sparkContext._gateway
+    paths = gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(rest))
+    for i, r in enumerate(rest):
+        paths[i] = _fs(spark, r)[0]
+    fs.concat(p, paths)
+
+
+def _parts(spark, folder: str) -> list[str]:
+    """Written files below a folder, in part order, without empty ones."""
+    p, fs = _fs(spark, folder)
+    found = [f for f in fs.listStatus(p) if f.getPath().getName().startswith("part-") and f.getLen()]
+    return sorted(f.getPath().toString() for f in found)
+
+
+def _with_header(lines: DataFrame, head: Column) -> DataFrame:
+    """The first line of each part brings the header with it."""
+    low = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return lines.select("line", low.alias("i")).select(
+        F.explode(F.when(F.col("i") == 0, F.array(head, "line")).otherwise(F.array("line"))).alias("line")
+    )
+
+
+def _merged(spark, folder: str, head_lines: int, line_sep: str) -> DataFrame:
+    """The lines of a folder's parts as one ordered part, the header once."""
+    text = spark.read.option("lineSep", line_sep).text(_parts(spark, folder))
+    at = [F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("k")]
+    lines = text.select("value", *at).select("*", F.row_number().over(Window.partitionBy("f").orderBy("b", "k")).alias("n"))
+    first = lines.agg(F.min("f")).first()[0]
+    kept = lines.where((F.col("n") > head_lines) | (F.col("f") == F.lit(first)))
+    return kept.coalesce(1).sortWithinPartitions("f", "b", "k").select("value")
+
+
+def write_csv(df: DataFrame, path: str, bom: bool = True, line_sep: str = "\n", single_file: bool | int = False) -> str:
     """Write ``df`` as CSV, in its row order; returns ``path``.
 
-    ``single_file``: ``path`` is the file, written by one task (its last
-    merge; the sort's exchange stays parallel). Otherwise ``path`` is a folder
-    of parts in order, each a CSV of its own; an empty frame gives one part
-    with the header."""
+    By default ``path`` is a folder of parts in order, each a CSV of its own;
+    an empty frame gives one part with the header.
+
+    ``single_file``: ``path`` is one file. Where the file system can join
+    files, all tasks write and it joins their parts behind the header's, at
+    any size. Elsewhere the last merge is one task's: with True always, with a
+    number only for results of at most so many rows; larger ones stay a folder
+    of parts."""
     spark = df.sparkSession
     head = header_line(df.columns, bom)
-    lines = csv_lines(df)
     obs = Observation()
-    lines = lines.observe(obs, F.count(F.lit(1)).alias("n"))
-    if single_file:
-        lines = lines.coalesce(1)
-    # the first line of each part brings the header with it
-    low = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    out = lines.select("line", low.alias("i")).select(
-        F.explode(F.when(F.col("i") == 0, F.array(head, "line")).otherwise(F.array("line"))).alias("line")
-    )
-    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    lines = csv_lines(df).observe(obs, F.count(F.lit(1)).alias("n"))
+    path = path.rstrip("/")
+    fresh = f"{path}.new-{uuid.uuid4().hex}"
+    only_head = spark.range(1).select(head.alias("line")).coalesce(1)
+    save = lambda out, to: out.write.mode("overwrite").option("lineSep", line_sep).text(to)
+    scratch = [fresh]
     try:
-        out.write.option("lineSep", line_sep).text(fresh)
-        if obs.get["n"] == 0:
-            spark.range(1).select(head.alias("line")).coalesce(1).write.mode("overwrite").option("lineSep", line_sep).text(fresh)
-        p, fs = _fs(spark, fresh)
-        new = fresh
-        if single_file:
-            new = next(s.getPath().toString() for s in fs.listStatus(p) if s.getPath().getName().startswith("part-"))
-        publish(spark, new, path.rstrip("/"))
+        if single_file and can_concat(spark, fresh):
+            save(lines, fresh)
+            scratch.append(f"{fresh}-head")
+            save(only_head, scratch[-1])
+            new = _parts(spark, scratch[-1])[0]
+            rest = _parts(spark, fresh)
+            if rest:
+                concat(spark, new, rest)
+        elif single_file is True:
+            save(_with_header(lines.coalesce(1), head), fresh)
+            if obs.get["n"] == 0:
+                save(only_head, fresh)
+            new = _parts(spark, fresh)[0]
+        else:
+            save(_with_header(lines, head), fresh)
+            if obs.get["n"] == 0:
+                save(only_head, fresh)
+            new = fresh
+            if single_file and obs.get["n"] <= single_file:
+                new = _parts(spark, fresh)[0]
+                if len(_parts(spark, fresh)) > 1:
+                    scratch.append(f"{fresh}-one")
+                    names = sum(name.count(line_sep) for name in df.columns)
+                    save(_merged(spark, fresh, 1 + names, line_sep), scratch[-1])
+                    new = _parts(spark, scratch[-1])[0]
+        publish(spark, new, path)
     finally:
-        p, fs = _fs(spark, fresh)
-        if fs.exists(p):
-            fs.delete(p, True)
+        for folder in scratch:
+            p, fs = _fs(spark, folder)
+            if fs.exists(p):
+                fs.delete(p, True)
     return path
 
 

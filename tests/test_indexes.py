@@ -149,3 +149,33 @@ def test_many_patterns(spark):
     hits = {r["i"] for r in like_many.like_any(df, "v", some).collect()}
     assert hits == {i for i, v in enumerate(values) if v is not None and (like("%ab%b").fullmatch(v) or len(v) == 1)}
     assert like_many.like_pairs(df.select("v"), ps.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("how", ["rows", "concat"])
+def test_one_ordered_file_from_parallel_parts(spark, scratch, how, monkeypatch):
+    from gridpull.sources import csv_sink
+
+    joined = []
+    if how == "concat":  # a file system that can join files
+
+        def concat(_, first, rest):
+            local = lambda p: p.removeprefix("file:")
+            joined.append(len(rest))
+            with open(local(first), "ab") as f:
+                for r in rest:
+                    f.write(open(local(r), "rb").read())
+
+        monkeypatch.setattr(csv_sink, "can_concat", lambda *_: True)
+        monkeypatch.setattr(csv_sink, "concat", concat)
+    df = spark.range(500).select(F.col("id"), F.when(F.col("id") % 3 == 0, 'a "b"\nc, d').otherwise("é").alias("two\nlines"))
+    ordered = df.repartition(4).orderBy(F.col("id").desc())
+    out = os.path.join(scratch, "one.csv")
+    csv_sink.write_csv(ordered.repartitionByRange(5, F.col("id").desc()).sortWithinPartitions(F.col("id").desc()), out, single_file=1000)
+    body = "".join(f'{i},"a ""b""\nc, d"\n' if i % 3 == 0 else f"{i},é\n" for i in reversed(range(500)))
+    assert open(out, encoding="utf-8-sig", newline="").read() == 'id,"two\nlines"\n' + body
+    assert (joined and joined[0] > 1) or how == "rows"
+    csv_sink.write_csv(df.limit(0), out, single_file=1000)
+    assert open(out, encoding="utf-8-sig").read() == 'id,"two\nlines"\n'
+    if how == "rows":  # more rows than one task should write
+        csv_sink.write_csv(df, out, single_file=499)
+        assert os.path.isdir(out)
