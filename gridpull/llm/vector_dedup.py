@@ -237,10 +237,11 @@ def embedding_duplicates(
     embedding: str = "embedding",
     label: str = "label",
     block_dims: int = 16,
-    grid_dims: int = 2,
+    grid_dims: int = 1,
 ) -> DataFrame:
     """(vec_id long, n_links long, component_id long, kept boolean), one row
-    per input row. Take more ``grid_dims`` for more vectors per label."""
+    per input row. With one grid dimension a vector is two rows a block; take
+    more where a block's coordinates spread over many ranges."""
     rows = stored(_unit_rows(vectors, vec_id, embedding, label), "unit-vectors")
     classes = (
         rows.where("digest is not null")

@@ -151,7 +151,7 @@ def brute_links(ids, e, label, cosine=0.93):
     return sorted(((i, n[i], comp[i], comp[i] == i) for i in ids), key=str)
 
 
-@pytest.mark.parametrize("homes,grid,block", [(4096, 2, 16), (10, 2, 16), (4096, 3, 8)])
+@pytest.mark.parametrize("homes,grid,block", [(4096, 1, 16), (10, 2, 16), (4096, 3, 8)])
 def test_embeddings_match_brute(spark, monkeypatch, homes, grid, block):
     monkeypatch.setattr(vector_dedup, "CELL_HOMES", homes)
     ids, e, label = vectors()
