@@ -24,7 +24,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .config import DEFAULT_DATE_COL, DEFAULT_ID_COL, ExtractConfig
-from .plans.extract import run, run_batch
+from .plans.extract import SINGLE_FILE_ROWS, run, run_batch
 from .sources.csv_sink import write_csv
 from .sources.fact import read_parquet, read_table
 
@@ -74,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps({"out": a.out, "sheets": n["sheets"], "rows": n["rows"] or 0, "errors": done.errors.count(), "errors_out": errors}))
         done.release()
         return 0
-    res = run(spark, a.sheet, fact, cfg, out_path=a.out, single_file=not a.parts, where=a.where)
+    res = run(spark, a.sheet, fact, cfg, out_path=a.out, single_file=False if a.parts else SINGLE_FILE_ROWS, where=a.where)
     print(json.dumps({"out": res.output, "header": res.plan.header, **res.metrics}))
     res.release()
     return 0
