@@ -342,7 +342,7 @@ def test_hot_line_is_one_row_per_document(spark):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_queries_match_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     res = con.execute(queries.SQL[name])
