@@ -56,6 +56,7 @@ BLOCK_BYTES = 1 << 19
 PIECE_BYTES = 1 << 20
 PLACE_BITS = 24  # places in a block; the rest of a window's key is hash
 PENDING_ROWS = 1_000_000
+OPEN_FRAGMENTS = 200_000  # broadcast up to so many
 GROUP_FRAGMENTS = 4096
 
 _TABLE = np.random.default_rng(20250611).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -215,13 +216,17 @@ def _classified(places: DataFrame) -> DataFrame:
     kinds = "a long, g long, d long, h int, s long, n int, cnt long, lead boolean, mixed boolean, open boolean"
     order = PLACE[:5]
     found = stored(places.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, kinds), "places")
-    rest = found.where("open").select(*PLACE)
+    # One join gives the rows of open anchors their counts; whole anchors have them.
     first = F.struct("d", "h", "s")
-    per = stored(rest.groupBy("a", "g").agg(F.count("*").alias("cnt"), F.min(first).alias("top")), "open-fragments")
-    mixed = per.groupBy("a").agg((F.count("*") > 1).alias("mixed"))
-    facts = per.join(mixed, "a").where("cnt > 1 or mixed")
-    rest = rest.join(facts, ["a", "g"]).select(*PLACE, "cnt", (F.col("top") == first).alias("lead"), "mixed")
-    return found.where("not open").drop("open").unionByName(rest)
+    per = stored(found.where("open").groupBy("a", "g").agg(F.count("*").alias("all"), F.min(first).alias("top")), "open-fragments")
+    facts = per.join(per.groupBy("a").agg((F.count("*") > 1).alias("several")), "a").where("all > 1 or several")
+    rows = found.join(broadcast_below(facts, OPEN_FRAGMENTS), ["a", "g"], "left").where("not open or all is not null")
+    return rows.select(
+        *PLACE,
+        F.coalesce("all", "cnt").alias("cnt"),
+        F.when(F.col("open"), F.col("top") == first).otherwise(F.col("lead")).alias("lead"),
+        F.coalesce("several", "mixed").alias("mixed"),
+    )
 
 
 def _packed(texts: DataFrame) -> DataFrame:
