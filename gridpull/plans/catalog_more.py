@@ -190,7 +190,7 @@ def q_write_csv_single(spark, sf):
     row's line number."""
     o = _t(spark, sf, "orders").orderBy("o_orderdate", "o_custkey", "o_orderkey").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     out = _folder(spark, "csv")
-    write_csv(o, out, single_file=10_000_000)
+    write_csv(o, out, single_file=True)
     lines = read_sheet_grid(spark, out).where("r > 0")
     return lines.select(F.col("r").cast("long").alias("line_no"), *[F.col("row")[i].alias(c) for i, c in enumerate(o.columns)])
 

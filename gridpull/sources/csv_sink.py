@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import glob
 import os
+import shutil
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, Window
@@ -145,6 +146,42 @@ def concat(spark, first: str, rest: list[str]) -> None:
     fs.concat(p, paths)
 
 
+def is_mounted(spark, path: str) -> bool:
+    """Whether ``path`` is a mounted disk's, on which tasks write their own
+    byte ranges of one file."""
+    return _fs(spark, path)[1].getUri().getScheme() == "file"
+
+
+def join_mounted(spark, parts: list[str], head_bytes: int, target: str) -> None:
+    """The parts' bytes as the one file ``target``, in order, the header (the
+    first ``head_bytes`` of each part) once. Every part's place is known from
+    the sizes, so tasks copy them side by side, a buffer at a time; a task that
+    runs again writes the same bytes to the same place."""
+    local = lambda path: _fs(spark, path)[0].toUri().getPath()
+    end, spans = 0, []
+    for path in parts:
+        p, fs = _fs(spark, path)
+        skip = head_bytes if spans else 0
+        size = fs.getFileStatus(p).getLen() - skip
+        spans.append((local(path), skip, end, size))
+        end += size
+    out = local(target)
+
+    def copy(span):
+        source, skip, at, size = span
+        with open(source, "rb") as src, os.fdopen(os.open(out, os.O_WRONLY | os.O_CREAT, 0o666), "wb") as dst:
+            src.seek(skip)
+            dst.seek(at)
+            shutil.copyfileobj(src, dst, 1 << 20)
+            if dst.tell() != at + size:
+                raise OSError(f"{source} has changed")
+
+    spark.sparkContext.parallelize(spans, len(spans)).foreach(copy)
+    p, fs = _fs(spark, target)
+    if fs.getFileStatus(p).getLen() != end:
+        raise OSError(f"{target} is not whole")
+
+
 def _parts(spark, folder: str) -> list[str]:
     """Written files below a folder, in part order, without empty ones."""
     p, fs = _fs(spark, folder)
@@ -176,11 +213,11 @@ def write_csv(df: DataFrame, path: str, bom: bool = True, line_sep: str = "\n",
     By default ``path`` is a folder of parts in order, each a CSV of its own;
     an empty frame gives one part with the header.
 
-    ``single_file``: ``path`` is one file. Where the file system can join
-    files, all tasks write and it joins their parts behind the header's, at
-    any size. Elsewhere the last merge is one task's: with True always, with a
-    number only for results of at most so many rows; larger ones stay a folder
-    of parts."""
+    ``single_file``: ``path`` is one file, with True always, with a number for
+    results of at most so many rows; larger ones stay a folder of parts. Where
+    the file system can join files, all tasks write and it joins their parts
+    behind the header's, at any size. On a mounted disk all tasks write, and
+    then copy their parts into the one file. Elsewhere one task merges."""
     spark = df.sparkSession
     head = header_line(df.columns, bom)
     obs = Observation()
@@ -199,7 +236,7 @@ def write_csv(df: DataFrame, path: str, bom: bool = True, line_sep: str = "\n",
             rest = _parts(spark, fresh)
             if rest:
                 concat(spark, new, rest)
-        elif single_file is True:
+        elif single_file is True and not is_mounted(spark, fresh):
             save(_with_header(lines.coalesce(1), head), fresh)
             if obs.get["n"] == 0:
                 save(only_head, fresh)
@@ -209,9 +246,15 @@ def write_csv(df: DataFrame, path: str, bom: bool = True, line_sep: str = "\n",
             if obs.get["n"] == 0:
                 save(only_head, fresh)
             new = fresh
-            if single_file and obs.get["n"] <= single_file:
-                new = _parts(spark, fresh)[0]
-                if len(_parts(spark, fresh)) > 1:
+            if single_file is True or (single_file and obs.get["n"] <= single_file):
+                parts = _parts(spark, fresh)
+                new = parts[0]
+                if len(parts) > 1 and is_mounted(spark, fresh):
+                    head_bytes = len((spark.range(1).select(head).first()[0] + line_sep).encode())
+                    new = f"{fresh}-one"
+                    scratch.append(new)
+                    join_mounted(spark, parts, head_bytes, new)
+                elif len(parts) > 1:
                     scratch.append(f"{fresh}-one")
                     names = sum(name.count(line_sep) for name in df.columns)
                     save(_merged(spark, fresh, 1 + names, line_sep), scratch[-1])

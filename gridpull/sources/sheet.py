@@ -119,6 +119,19 @@ def _numbered(lines: DataFrame, ranges: bool) -> DataFrame:
     return x.select("sheet", "r", "b", "k", "line", "inside")
 
 
+def _numbered_ranges(lines: DataFrame) -> DataFrame:
+    """(sheet, r, line): the record each line is, where no field holds a line
+    break. A range is one task's, whose lines have consecutive numbers, so
+    what a line needs of the others is one row a range; no range is sorted."""
+    k = F.monotonically_increasing_id().alias("k")
+    x = materialize(lines.where("line <> ''").select("sheet", "b", k, "line"))
+    per = x.groupBy("sheet", "b").agg(F.min("k").alias("first"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("sheet").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    off = F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")
+    side, _ = broadcast_if_small(materialize(per.select("sheet", "b", off.alias("off"))), MAX_BROADCAST_RANGES)
+    return x.join(side, ["sheet", "b"]).select("sheet", (F.col("k") + F.col("off")).alias("r"), "line")
+
+
 def read_sheet_grid(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(sheet, r, row array<string>) – one row per CSV record."""
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -127,7 +140,7 @@ def read_sheet_grid(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
     seen = lines.agg(F.max(F.contains("line", F.lit('"')) & opens_quotes(F.col("line"))).alias("opens"), F.max("b").alias("b")).first()
     ranges = bool(seen["b"])
     if not seen["opens"]:
-        flat = _numbered(lines.withColumn("inside", F.lit(False)), ranges)
+        flat = _numbered_ranges(lines) if ranges else _numbered(lines.withColumn("inside", F.lit(False)), False)
         return flat.select("sheet", "r", fields(F.col("line")).alias("row"))
     x = materialize(_numbered(_quote_states(lines), ranges))
     broken, _ = broadcast_if_small(x.where("inside").select("sheet", "r").distinct(), MAX_BROADCAST_RECORDS)

@@ -179,3 +179,42 @@ def test_one_ordered_file_from_parallel_parts(spark, scratch, how, monkeypatch):
     if how == "rows":  # more rows than one task should write
         csv_sink.write_csv(df, out, single_file=499)
         assert os.path.isdir(out)
+
+
+@pytest.mark.parametrize("single", [True, 1000])
+def test_one_file_on_a_disk_is_written_by_all_tasks(spark, scratch, single, monkeypatch):
+    from gridpull.sources import csv_sink, read_sheet_grid
+
+    joined = []
+    join = csv_sink.join_mounted
+    monkeypatch.setattr(csv_sink, "join_mounted", lambda spark, parts, *to: (joined.append(len(parts)), join(spark, parts, *to)))
+    monkeypatch.setattr(csv_sink, "_merged", lambda *_: pytest.fail("one task holds all rows"))
+    df = spark.range(500).select(F.col("id"), F.when(F.col("id") % 3 == 0, 'a "b"\r\nc').otherwise("é").alias("zwei\r\nä"))
+    parts = df.repartitionByRange(5, F.col("id").desc()).sortWithinPartitions(F.col("id").desc())
+    out = os.path.join(scratch, "one file é%20.csv")
+    for _ in range(2):  # the second takes the first one's place
+        csv_sink.write_csv(parts, out, line_sep="\r\n", single_file=single)
+        body = "".join(f'{i},"a ""b""\r\nc"\r\n' if i % 3 == 0 else f"{i},é\r\n" for i in reversed(range(500)))
+        assert open(out, encoding="utf-8-sig", newline="").read() == 'id,"zwei\r\nä"\r\n' + body
+    assert len(joined) == 2 and min(joined) > 1
+    assert [f for f in os.listdir(scratch) if ".new-" in f or ".old-" in f] == []
+    csv_sink.write_csv(parts.select("id"), out, single_file=single)
+    assert [r["row"][0] for r in read_sheet_grid(spark, out).orderBy("r").collect()][1:] == [str(i) for i in reversed(range(500))]
+
+
+def test_lines_of_byte_ranges_are_numbered_without_a_sort(spark, scratch):
+    from gridpull.sources import read_sheet_grid
+
+    texts = {f"f{n}": [f"{n}-{i}" if i % 7 else "" for i in range(n * 300)] for n in (1, 2, 5)}
+    for name, lines in texts.items():
+        with open(os.path.join(scratch, name), "w") as f:
+            f.write("".join(line + "\n" for line in lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    try:
+        grid = read_sheet_grid(spark, scratch)
+        plan = grid._jdf.queryExecution().executedPlan().toString()
+        got = {(os.path.basename(r["sheet"]), r["r"], r["row"][0]) for r in grid.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {(name, r, line) for name, lines in texts.items() for r, line in enumerate(filter(None, lines))}
+    assert "Window" not in plan and "Sort" not in plan
