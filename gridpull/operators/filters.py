@@ -35,7 +35,10 @@ from .sizing import broadcast_if_small, materialize, take_at_most
 
 #: Groups of one sheet that become literals of its scan hold at most this many conditions.
 MAX_LITERAL_ATOMS = 500
+#: Up to so many filter rows are broadcast to the cells.
+MAX_BROADCAST_GROUPS = 100_000
 _BETWEEN = "\x00"
+_PLAIN_LIKE = r"(?s)^(%?)([^%_\\]*)(%?)\z"
 
 
 def filter_atoms(cells: DataFrame, mk: DataFrame, labels: Labels = Labels(), broadcast_mk: bool = False, ascii_only: bool = False) -> DataFrame:
@@ -43,13 +46,17 @@ def filter_atoms(cells: DataFrame, mk: DataFrame, labels: Labels = Labels(), bro
     rows; g is the row."""
     m = mk.where("has_filter").select("sheet", "header_r", "header_c")
     m = F.broadcast(m) if broadcast_mk else m
-    key = label_keys((labels.filter,))
-    here = cells.join(m, "sheet").where(F.col("r") != F.col("header_r"))
-    rows = here.where((F.col("c") == F.col("header_c")) & norm_label("v").isin(key)).select("sheet", F.col("r").alias("g"))
-    filled = here.where((F.col("c") > F.col("header_c")) & ~is_missing("v")).select("sheet", F.col("r").alias("g"), "c", strip_ws("v").alias("value"))
+    other = F.col("r") != F.col("header_r")
+    # A condition on both sides stays above the join, so no cell of another column is normalised.
+    label = norm_label(F.when(other, F.col("v"))).isin(label_keys((labels.filter,)))
+    rows = cells.join(m, "sheet").where((F.col("c") == F.col("header_c")) & other & label).select("sheet", F.col("r").alias("g"), "header_c").distinct()
+    rows, _ = broadcast_if_small(materialize(rows), MAX_BROADCAST_GROUPS)
+    right = F.col("c") > F.col("header_c")
+    filled = cells.withColumnRenamed("r", "g").join(rows, ["sheet", "g"]).where(right & ~is_missing(F.when(right, F.col("v"))))
+    filled = filled.select("sheet", "g", "c", strip_ws("v").alias("value"))
     names = header_names(cells, mk.where("has_filter"), labels, True, broadcast_mk, ascii_only)
     op = F.when(F.col("value").contains("%"), F.lit("like")).otherwise(F.lit("="))
-    return filled.join(rows, ["sheet", "g"], "left_semi").join(names, ["sheet", "c"]).select("sheet", "g", F.lower("name").alias("name"), op.alias("op"), "value").distinct()
+    return filled.join(names, ["sheet", "c"]).select("sheet", "g", F.lower("name").alias("name"), op.alias("op"), "value").distinct()
 
 
 def _value_text(c: Column, dtype: T.DataType) -> Column:
@@ -73,8 +80,9 @@ def filter_columns(atoms: DataFrame, fact: DataFrame) -> list[str]:
 
 
 def filter_index(atoms: DataFrame, fact: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(sheet, eq map<string, array<int>>, likes array<struct<name, value,
-    g>>, need map<int, int>)."""
+    """(sheet, eq map<string, array<int>>, likes array<struct<name, value, g,
+    kind, part>>, need map<int, int>). A pattern with ``%`` at its ends only is
+    a search for ``part``, which needs no regular expression a row."""
     typed = F.lit(None).cast("string")
     for c in columns:
         dtype = column_type(fact, c)
@@ -86,7 +94,10 @@ def filter_index(atoms: DataFrame, fact: DataFrame, columns: Sequence[str]) -> D
     need = need.groupBy("sheet").agg(F.map_from_entries(F.collect_list(F.struct("g", "n"))).alias("need"))
     eq = x.where("op = '=' and value is not null").groupBy("sheet", F.concat_ws(_BETWEEN, "name", "value").alias("k")).agg(F.collect_list("g").alias("gs"))
     eq = eq.groupBy("sheet").agg(F.map_from_entries(F.collect_list(F.struct("k", "gs"))).alias("eq"))
-    likes = x.where("op = 'like'").groupBy("sheet").agg(F.collect_list(F.struct("name", "value", "g")).alias("likes"))
+    part = F.regexp_extract("value", _PLAIN_LIKE, 2)
+    ends = F.concat(F.regexp_extract("value", _PLAIN_LIKE, 1), F.lit("x"), F.regexp_extract("value", _PLAIN_LIKE, 3))
+    kind = F.when(F.col("value").rlike(_PLAIN_LIKE), ends).otherwise(F.lit("like"))
+    likes = x.where("op = 'like'").groupBy("sheet").agg(F.collect_list(F.struct("name", "value", "g", kind.alias("kind"), part.alias("part"))).alias("likes"))
     return need.join(eq, "sheet", "left").join(likes, "sheet", "left").select("sheet", "eq", "likes", "need")
 
 
@@ -97,13 +108,22 @@ def filter_rows(rows: DataFrame, index: DataFrame, columns: Sequence[str], max_s
     side, _ = broadcast_if_small(index.select(F.col("sheet").alias("_sheet"), F.col("eq").alias("_eq"), F.col("likes").alias("_likes"), F.col("need").alias("_need")), max_sheets)
     texts = {c.lower(): _value_text(F.col(f"`{c}`"), column_type(rows, c)) for c in columns}
     none = F.array().cast("array<int>")
-    met = [F.coalesce(F.try_element_at("_eq", F.concat(F.lit(n + _BETWEEN), t)), none) for n, t in texts.items()]
+
+    def fits(x, text: Column) -> Column:
+        kinds = F.when(x["kind"] == "x%", F.startswith(text, x["part"])).when(x["kind"] == "%x", F.endswith(text, x["part"]))
+        kinds = kinds.when(x["kind"] == "%x%", F.contains(text, x["part"])).when(x["kind"] == "x", text == x["part"])
+        return kinds.otherwise(F.like(text, x["value"]))
+
+    def hits(v: Column) -> Column:
+        met = [F.coalesce(F.try_element_at("_eq", F.concat(F.lit(n + _BETWEEN), F.try_element_at(v, F.lit(n)))), none) for n in texts]
+        liked = F.filter("_likes", lambda x: fits(x, F.try_element_at(v, x["name"])))
+        return F.concat(*met, F.coalesce(F.transform(liked, lambda x: x["g"]), none))
+
+    # A group holds when as many atoms were met as it needs. What stands in an
+    # array of one is computed once for a row, not for each use below it.
     values = F.map_from_arrays(F.array(*[F.lit(n) for n in texts]), F.array(*texts.values()))
-    liked = F.filter("_likes", lambda x: F.like(F.try_element_at(values, x["name"]), x["value"]))
-    hits = F.concat(*met, F.coalesce(F.transform(liked, lambda x: x["g"]), none))
-    # A group holds when as many atoms were met as it needs.
-    sorted_hits = F.array_sort(hits)
-    holds = F.exists(F.array_distinct(sorted_hits), lambda g: F.size(F.filter(sorted_hits, lambda x: x == g)) == F.try_element_at("_need", g))
+    full = lambda h: F.exists(F.array_distinct(h), lambda g: F.size(F.filter(h, lambda x: x == g)) == F.try_element_at("_need", g))
+    holds = F.exists(F.array(values), lambda v: F.exists(F.array(hits(v)), full))
     return rows.join(side, F.col("sheet") == F.col("_sheet"), "left").where(F.col("_need").isNull() | holds).select(*rows.columns)
 
 

@@ -103,10 +103,13 @@ def header_names(
     table columns.
     """
     m = mk.select("sheet", "header_r", "header_c")
+    # Conditions on both sides (but no equality, which is carried over to one)
+    # stay above the join, so no cell of another row is cleaned.
+    v = F.when(F.col("c") > F.col("header_c"), F.col("v"))
     h = (
         cells.join(F.broadcast(m) if broadcast_mk else m, "sheet")
-        .where((F.col("r") == F.col("header_r")) & (F.col("c") > F.col("header_c")) & ~is_missing("v"))
-        .select("sheet", "c", sanitize_name("v", nfkc_text=not ascii_only).alias("name"))
+        .where((F.col("r") == F.col("header_r")) & (F.col("c") > F.col("header_c")) & ~is_missing(v))
+        .select("sheet", "c", sanitize_name(v, nfkc_text=not ascii_only).alias("name"))
     )
     if omit_bound_headers:
         h = h.where(~norm_label("name").isin(label_keys((labels.start, labels.end))))

@@ -136,6 +136,8 @@ def write_segment_sheets(spark: SparkSession, sf_dir: str, page_columns: int = P
 # four. The columns are those of the header row.
 BLOCK_CUSTOMERS = 250
 BLOCK_HEADER = ("O-OrderDate", "O_CustKey", "O OrderStatus", "o_orderpriority", "O OrderKey")
+# Sheets of one folder: Spark lists folders of one level by a task each.
+FOLDER_SHEETS = 64
 BLOCK_START = "1996-01-01"  # of every third customer
 BLOCK_FILTERS = {
     1: (("", "", "F", "", ""),),
@@ -147,9 +149,9 @@ BLOCK_FILTERS = {
 
 
 def write_block_sheets(spark: SparkSession, sf_dir: str) -> str:
-    """Sheets ``sheet=<block>/part-*`` of ``BLOCK_CUSTOMERS`` customers each,
-    with filter rows; the number of sheets grows with the table, no sheet
-    does."""
+    """Sheets ``folder=<n>/sheet=<block>/part-*`` of ``BLOCK_CUSTOMERS``
+    customers each, with filter rows; the number of sheets grows with the
+    table, no sheet does."""
     cust = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey")
     k = F.col("c_custkey")
     block = F.floor(k / BLOCK_CUSTOMERS).cast("long").alias("sheet")
@@ -173,8 +175,9 @@ def write_block_sheets(spark: SparkSession, sf_dir: str) -> str:
         chosen,
     )
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sheets-{uuid.uuid4().hex}"
-    out = cells.select("sheet", F.posexplode(lines).alias("r", "line")).sortWithinPartitions("sheet", "r")
-    out.select("sheet", "line").write.partitionBy("sheet").text(path)
+    folder = F.floor(F.col("sheet") / FOLDER_SHEETS).alias("folder")
+    out = cells.select(folder, "sheet", F.posexplode(lines).alias("r", "line")).sortWithinPartitions("folder", "sheet", "r")
+    out.select("folder", "sheet", "line").write.partitionBy("folder", "sheet").text(path)
     delete_on_exit(spark, path)
     return path
 

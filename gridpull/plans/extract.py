@@ -171,7 +171,8 @@ def match_dedup(
             matched = matched.withColumn("sheet", F.lit(filters.select("sheet").first()[0]))
         matched = filter_rows(matched, filter_index(filters, fact, asked), asked, cfg.broadcast_max_sheets)
         matched = matched.select(*by, *pruned.columns)
-    return dedup_first(matched, keys, survivor_order(pruned, cfg, keys))
+    # Sorted by id and date first: paths of sheets begin alike.
+    return dedup_first(matched, [cfg.id_col, cfg.date_col, *by], survivor_order(pruned, cfg, keys))
 
 
 def order_project(deduped: DataFrame, cfg: ExtractConfig, header: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -259,14 +260,12 @@ def plan_sheets(cells: DataFrame, cfg: ExtractConfig, cells_stored: bool = False
     an error are in none of the others. The cells are stored once."""
     cells = cells if cells_stored else materialize(cells)
     mk = marker_table(cells, cfg.labels)
-    # One row per sheet. Up to broadcast_max_sheets of them are fetched in one
-    # job and become a local table (broadcast for free); more stay a written
-    # table joined without a broadcast.
-    rows = take_at_most(mk, cfg.broadcast_max_sheets)
-    few = rows is not None
-    # NFKC (a Python step) only when some sheet holds non-ASCII text
-    ascii_only = few and not any(r["non_ascii"] for r in rows)
-    mk = cells.sparkSession.createDataFrame(rows, mk.schema) if few else materialize(mk)
+    # One row per sheet, written once and broadcast up to broadcast_max_sheets.
+    mk = materialize(mk)
+    seen = mk.agg(F.count("*").alias("n"), F.max("non_ascii").alias("wide")).first()
+    few = seen["n"] <= cfg.broadcast_max_sheets
+    # NFKC only when some sheet holds non-ASCII text
+    ascii_only = few and not seen["wide"]
     errs = marker_errors(mk, cfg.labels)
     ok = mk.where(F.col("header_r").isNotNull() & F.col("id_r").isNotNull())
     names = materialize(header_names(cells, ok, cfg.labels, cfg.omit_bound_headers, broadcast_mk=few, ascii_only=ascii_only))
@@ -284,9 +283,10 @@ def plan_sheets(cells: DataFrame, cfg: ExtractConfig, cells_stored: bool = False
 
 def batch_filters(cells: DataFrame, ok: DataFrame, cfg: ExtractConfig) -> DataFrame | None:
     """The conditions of all sheets' filter rows, or None if there are none."""
-    if ok.where("has_filter").isEmpty():
+    seen = ok.where("has_filter").agg(F.count("*").alias("n"), F.max("non_ascii").alias("wide")).first()
+    if not seen["n"]:
         return None
-    atoms = materialize(filter_atoms(cells, ok, cfg.labels))
+    atoms = materialize(filter_atoms(cells, ok, cfg.labels, seen["n"] <= cfg.broadcast_max_sheets, not seen["wide"]))
     return None if atoms.isEmpty() else atoms
 
 

@@ -101,3 +101,40 @@ def test_a_thousand_groups_are_looked_up(spark, scratch):
     plan = plan_sheet(read_sheet_cells(spark, os.path.join(scratch, "many.csv")), CFG)
     assert plan.filters.count() == 2 * 998
     assert extract.sheet_filters(plan, fact(spark))[1] is not None
+
+
+# every kind of pattern: with % at its ends only, between, escaped, with _
+PATTERNS = ("%", "%%", "o%", "%o", "%n%", "%one", "one%", "%One%", "o%e", "%\\%%", "a\\%%", "%w_", "%a%b%", "%.%", "t%,Filter")
+
+
+def test_patterns_of_the_index_are_like(spark):
+    texts = ["", "one", "two", "Two", "a%b", "a.b", "on\ne", "x_y", None]
+    rows = spark.createDataFrame([(p, i, t) for p in PATTERNS for i, t in enumerate(texts)], "sheet string, i int, name string")
+    atoms = spark.createDataFrame([(p, 1, "name", "like", p) for p in PATTERNS], "sheet string, g int, name string, op string, value string")
+    index = flt.filter_index(atoms, rows, ["name"])
+    got = {(r["sheet"], r["i"]) for r in flt.filter_rows(rows, index, ["name"], 100).collect()}
+    assert got == {(r["sheet"], r["i"]) for r in rows.where("name like sheet").collect()}
+    kinds = {x["value"]: x["kind"] for r in index.collect() for x in r["likes"]}
+    assert {p for p, k in kinds.items() if k == "like"} == {"o%e", "%\\%%", "a\\%%", "%w_", "%a%b%", "t%,Filter"}
+
+
+def test_only_cells_of_the_header_and_the_labels_are_cleaned(spark, scratch):
+    """No costly condition of header or label cells is pushed to the scan of all cells."""
+    _write(scratch, "s.csv", HEAD + ",Filter,5\n")
+    cells = extract.materialize(read_sheet_cells(spark, scratch))
+    mk = extract.materialize(extract.marker_table(cells))
+    for df in (extract.header_names(cells, mk, broadcast_mk=True), flt.filter_atoms(cells, mk, broadcast_mk=True)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        scans = [a + b for a, b in zip(plan, plan[1:]) if "Relation [" in b]
+        assert scans and not any("regexp_replace" in x for x in scans), scans
+
+
+
+def test_block_sheets_stand_in_folders_of_bounded_number(spark, scratch):
+    from gridpull.plans import derived
+
+    spark.range(1, 40_000, 50).selectExpr("id as c_custkey").write.parquet(os.path.join(scratch, "customer.parquet"))
+    root = derived.write_block_sheets(spark, scratch).removeprefix("file:")
+    found = {d: sorted(x for x in os.listdir(os.path.join(root, d)) if x.startswith("sheet=")) for d in os.listdir(root) if d.startswith("folder=")}
+    assert sorted(len(x) for x in found.values()) == [32, 64, 64]
+    assert {x for xs in found.values() for x in xs} == {f"sheet={b}" for b in range(160)}
