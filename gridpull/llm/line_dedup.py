@@ -38,7 +38,8 @@ from pyspark.sql import types as T
 from .common import in_blocks, pick, stored, text_hash
 
 BLANKS = b"\t\n\x0b\x0c\r "
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 1 << 20
+PENDING_HASHES = 1 << 20  # of a task, before it sends them
 SHARDS = 256
 BITS_A_LINE = 16
 LEAST_BITS = 1 << 20
@@ -122,7 +123,7 @@ def twice_seen_filter(docs: DataFrame, text: str, min_chars: int, filter_bits: i
                 h = _hashes(list({k for k in line_keys(text, min_chars) if k is not None}))
                 held.append(h)
                 size += len(h)
-            if size >= 4_000_000:
+            if size >= PENDING_HASHES:
                 yield from flush(np.concatenate(held))
                 held, size = [], 0
         if size:

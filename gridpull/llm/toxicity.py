@@ -33,17 +33,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import in_blocks, pick, ship, shipped
+from .common import in_blocks, pick, ship, shipped, stored
 
 SIZES = (4, 5, 6)
-PIECE = 1 << 20
+PIECE = 1 << 18
 BLOCK_BYTES = 4 << 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _GATE = np.uint64(64 - 20)
 
 
+def _wide(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+
+
 def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.lower().encode("utf-32-le"), np.uint32).astype(np.uint64)
+    return _wide(text.lower())
+
+
+def _pieces(texts: list[str], widest: int) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """Text numbers and codes of pieces of at most ``PIECE`` characters, and
+    ``widest`` - 1 of the next; short texts are handed out together, some
+    ``PIECE`` characters at a time, so that no more are held as codes."""
+    owner, some, size = [], [], 0
+    for i, t in enumerate(texts):
+        t = t.lower()  # whole: a letter's lower case may hang on its neighbours
+        for at in range(0, max(len(t), 1), PIECE):
+            c = _wide(t[at : at + PIECE + widest - 1])
+            if some and size + len(c) > PIECE:
+                yield owner, some
+                owner, some, size = [], [], 0
+            owner.append(i)
+            some.append(c)
+            size += len(c) + widest  # and a mark that no text has
+    if some:
+        yield owner, some
 
 
 def _ngrams(c: np.ndarray, sizes=SIZES) -> Iterator[np.ndarray]:
@@ -77,34 +100,28 @@ class NgramModel:
         total = np.full(len(texts), self.bias)
         if not len(self.keys):
             return 1 / (1 + np.exp(-total))
-        hits: list[np.ndarray] = []  # text number * features + feature
         m = len(self.keys)
-        whole, owner = [], []
-        for i, t in enumerate(texts):
-            c = _codes(t)
-            step = PIECE
-            for at in range(0, max(len(c), 1), step):
-                whole.append(c[at : at + step + max(self.sizes) - 1])
-                owner.append(i)
-        # short texts are handled together; a mark that no text has ends each
-        at = 0
-        while at < len(whole):
-            size, to = 0, at
-            while to < len(whole) and (to == at or size + len(whole[to]) <= PIECE):
-                size += len(whole[to]) + max(self.sizes)
-                to += 1
+
+        def count(pairs: np.ndarray) -> None:
+            total[:] += np.bincount(pairs // m, self.weights[pairs % m], minlength=len(texts))
+
+        pairs = np.zeros(0, np.int64)  # text number * features + feature
+        for owner, some in _pieces(texts, max(self.sizes)):
             mark = np.full(max(self.sizes), 1 << 40, np.uint64)
-            c = np.concatenate([x for w in whole[at:to] for x in (w, mark)])
-            who = np.repeat(np.array(owner[at:to]), [len(w) + len(mark) for w in whole[at:to]])
+            c = np.concatenate([x for w in some for x in (w, mark)])
+            who = np.repeat(np.array(owner), [len(w) + len(mark) for w in some])
+            hits = [pairs]
             for h in _ngrams(c, self.sizes):
                 p = np.flatnonzero(gate[(h >> _GATE).astype(np.int64)])
                 x = h[p]
                 k = np.minimum(np.searchsorted(self.keys, x), m - 1)
                 ok = self.keys[k] == x
                 hits.append(np.unique(who[p[ok]] * m + k[ok]))
-            at = to
-        pairs = np.unique(np.concatenate(hits)) if hits else np.zeros(0, np.int64)
-        total += np.bincount(pairs // m, self.weights[pairs % m], minlength=len(texts))
+            pairs = np.unique(np.concatenate(hits))
+            done = np.searchsorted(pairs, owner[-1] * m)  # the last text may go on
+            count(pairs[:done])
+            pairs = pairs[done:].copy()
+        count(pairs)
         return 1 / (1 + np.exp(-np.clip(total, -500, 500)))
 
 
@@ -213,13 +230,13 @@ def training_sample(
     )
     texts = docs.select(docs[doc_id].alias("id"), F.coalesce(docs[text], F.lit("")).alias("t")).where(F.length("t") <= max_chars)
     rank = F.xxhash64("id")
+    # ids and lengths first, once: the texts of no more than the sample are joined
+    sized = stored(said.join(texts.groupBy("id").agg(F.max(F.length("t")).alias("n")), "id"), "sized")
     got: list = []
     for y in (0, 1):
-        of = said.where(F.col("y") == y if y == 0 else F.col("y") != 0).select("id")
-        # ids first: the texts of no more than the sample are joined
-        ids = of.join(texts.select("id").distinct(), "id", "left_semi").orderBy(rank, "id").limit(max_per_class)
-        size = texts.join(F.broadcast(ids), "id").groupBy("id").agg(F.max(F.length("t"))).orderBy(rank, "id").collect()
-        ids = ids.limit(int((np.cumsum([r[1] for r in size]) <= max_total_chars).sum()))
+        first = sized.where(F.col("y") == y if y == 0 else F.col("y") != 0).orderBy(rank, "id").limit(max_per_class)
+        size = first.select("n").collect()
+        ids = first.select("id").limit(int((np.cumsum([r[0] for r in size]) <= max_total_chars).sum()))
         got += [(t, y) for (t,) in texts.join(F.broadcast(ids), "id").groupBy("id").agg(F.min("t").alias("t")).orderBy(rank, "id").select("t").collect()]
     share = said.agg(F.avg((F.col("y") != 0).cast("double"))).first()[0]
     return [t for t, _ in got], np.array([y for _, y in got], float), share

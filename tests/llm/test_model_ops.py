@@ -54,6 +54,43 @@ def test_pieces_do_not_change_scores(monkeypatch):
     assert np.allclose(whole, model.scores(texts, model.gate()))
 
 
+def test_scores_hold_few_texts_as_codes():
+    import tracemalloc
+
+    rows = labelled("toxic")[:300]
+    model = toxicity.fit([r[1] for r in rows], np.array([r[2] for r in rows], float))
+    text = " ".join(r[1] for r in rows).encode("ascii", "replace").decode()
+    for texts in ([r[1] for r in rows] * (8_000_000 // len(text)), [text * (8_000_000 // len(text))]):
+        tracemalloc.start()
+        model.scores(texts, model.gate())
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 50e6  # as codes, all are 64 MB
+
+
+def test_training_sample_reads_texts_thrice(spark):
+    rows = [(i, f"text {i} " * (i % 7)) for i in range(400)] + [(5, None), (None, "x")]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(0, 400, 2)], "doc_id long, toxic int")
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    schema = "doc_id long, text string"
+    docs = spark.createDataFrame(rows, schema).mapInArrow(count, schema)
+    held = toxicity.bucket(F.col("id"), 4) == 2
+    texts, y, share = toxicity.training_sample(docs, labels, "toxic", held, 30, 60, max_total_chars=900)
+    assert 0 < read.value <= 3 * len(rows)  # lengths, and each label's texts
+    ok = {i: t for i, t in rows[:400] if len(t) <= 60 and zlib.crc32(str(i).encode()) % 4 != 2}
+    for label in (0, 1):
+        own = [t for t, k in zip(texts, y) if k == label]
+        assert 0 < len(own) <= 30 and sum(map(len, own)) <= 900 and set(own) <= {t for i, t in ok.items() if i % 2 == 0 and (i % 3 == 0) == label}
+    every = [i for i in range(0, 400, 2) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert share == pytest.approx(sum(i % 3 == 0 for i in every) / len(every))
+
+
 def test_quality_held_out(monkeypatch):
     caught, wrong, model = held_out_rates(quality.fit, "quality", lambda d: zlib.crc32(str(d).encode()) % 5 == 0, lambda m, t: m.scores(t))
     assert caught > 0.97 and wrong < 0.15

@@ -43,6 +43,19 @@ def test_columns_and_odd_rows(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == before
 
 
+def test_line_dedup_sends_a_text_once(spark, monkeypatch):
+    real, carried = corpus_pipeline.drop_repeated_lines, []
+    monkeypatch.setattr(corpus_pipeline, "drop_repeated_lines", lambda docs, carry, **k: carried.extend(carry) or real(docs, carry, **k))
+    line = "a line that five documents hold, and it is long enough"
+    rows = [(i, line) for i in range(6)] + [(10, None), (11, ""), (12, f"{line}\nstays"), (None, None), (13, "é\r\n\x00 x")]
+    docs = documents(spark, rows).withColumn("no_text", F.lit("own")).withColumn("n_chars", F.when(F.col("doc_id") > 9, 7))
+    got = corpus_pipeline.dedup_lines(spark, docs, SF)
+    assert "text" not in carried and got.columns == docs.columns
+    kept = [(i, "", "own", 0) for i in range(6)] + [(10, None, "own", 7), (11, "", "own", 7), (12, f"{line}\nstays", "own", 7), (None, None, "own", None)]
+    kept.append((13, "é\r\n\x00 x", "own", 7))
+    assert rows_of(got.select("doc_id", "text", "no_text", "n_chars")) == sorted(kept, key=str)
+
+
 def test_empty_documents(spark):
     docs = documents(spark, []).withColumn("n_chars", F.lit(0).cast("long"))
     for name, stage in corpus_pipeline.STAGES:
